@@ -166,3 +166,7 @@ UNION ALL SELECT 'flow_info', NULL, 0, NULL, CAST(count(*) AS DOUBLE), NULL FROM
 @register("indicators_all", with_tagged(_ALL_SQL))
 def q_all(spark, sf):
     return ind.all_indicators(summary(spark, sf))
+
+
+# Further query groups register themselves on import.
+from . import queries_scoring  # noqa: E402,F401
