@@ -54,22 +54,36 @@ def metric_map() -> Column:
     return F.create_map(*kv)
 
 
-def _score_flow(f: Column, metrics: Column) -> Column:
-    """I1-I4 for one flow struct ``f``."""
+def _rule_hits(f: Column, metrics: Column) -> Column:
+    """Per rule of flow ``f``: hit flag and hit score (miss -> 0)."""
     def hit(r):
         value = F.coalesce(F.element_at(metrics, r["rule_name"]), F.lit(0.0))
         return value > F.when(r["rule_name"] == SECOND_ARG_RULE, r["arg1"]).otherwise(r["arg0"])
 
     per = F.transform(f["rules"], lambda r: F.struct(
-        r["rule_id"].alias("rule_id"),
-        r["rule_status"].alias("status"),
-        hit(r).alias("hit"),
-        F.when(hit(r), r["score"].cast("double")).otherwise(F.lit(0.0)).alias("s")))
-    total = F.aggregate(per, F.lit(0.0), lambda a, x: a + x["s"])
-    n = F.size(per)
+        r["rule_id"].alias("rule_id"), r["rule_status"].alias("status"),
+        hit(r).alias("hit"), r["score"].cast("double").alias("score")))
+    return F.struct(f["flow_id"].alias("flow_id"), f["flow_limit"].alias("flow_limit"),
+                    F.transform(per, lambda x: x.withField("s", F.when(x["hit"], x["score"])
+                                                                 .otherwise(F.lit(0.0)))).alias("per"))
+
+
+def _flow_sums(p: Column) -> Column:
+    """Totals over all rules and over enabled rules (status 0)."""
+    per = p["per"]
     enabled = F.filter(per, lambda x: x["status"] == 0)
-    max_en = F.coalesce(F.array_max(F.transform(enabled, lambda x: x["s"])), F.lit(0.0))
-    sum_en = F.aggregate(enabled, F.lit(0.0), lambda a, x: a + x["s"])
+    return F.struct(
+        p["flow_id"].alias("flow_id"), p["flow_limit"].alias("flow_limit"),
+        F.aggregate(per, F.lit(0.0), lambda a, x: a + x["s"]).alias("total"),
+        F.size(per).alias("n"),
+        F.coalesce(F.array_max(F.transform(enabled, lambda x: x["s"])), F.lit(0.0)).alias("max_en"),
+        F.aggregate(enabled, F.lit(0.0), lambda a, x: a + x["s"]).alias("sum_en"),
+        F.transform(F.filter(per, lambda x: x["hit"]), lambda x: x["rule_id"]).alias("hit_rules"))
+
+
+def _flow_score(t: Column) -> Column:
+    """f1 * (f2 + f3) and the over-limit flag."""
+    total, n, max_en, sum_en = t["total"], t["n"], t["max_en"], t["sum_en"]
     f1 = total / (F.lit(10) * n)
     sixth = F.lit(1.0) / F.lit(6.0)
     f2 = F.when(F.lit(1.0) < sixth * max_en, F.lit(FLOW_SCORE_CAP)).otherwise(sixth * max_en * F.lit(60.0))
@@ -77,20 +91,27 @@ def _score_flow(f: Column, metrics: Column) -> Column:
     # Empty flows or no hit at all: the reference divides 0 by 0 (NaN); a
     # NaN is never above a limit there, so it scores 0 here.
     score = F.when((n == 0) | (total == 0), F.lit(0.0)).otherwise(f1 * (f2 + f3))
-    hits = F.transform(F.filter(per, lambda x: x["hit"]), lambda x: x["rule_id"])
-    return F.struct(
-        f["flow_id"].alias("flow_id"),
-        score.alias("score"),
-        f["flow_limit"].alias("flow_limit"),
-        (score > f["flow_limit"]).alias("is_up_limited"),
-        hits.alias("hit_rules"))
+    return F.struct(t["flow_id"].alias("flow_id"), score.alias("score"),
+                    t["flow_limit"].alias("flow_limit"), t["hit_rules"].alias("hit_rules"))
 
 
 def score_flows(metrics: DataFrame, flow_rows: list) -> DataFrame:
-    """Append ``flows_score`` (one struct per configured flow)."""
+    """Append ``flows_score`` (one struct per configured flow).
+
+    Three staged projections so every per-rule array is computed once per
+    row (Catalyst keeps non-trivial expressions from being inlined twice).
+    """
     lit = flows_literal(flow_rows)
     m = metric_map()
-    return metrics.withColumn("flows_score", F.transform(lit, lambda f: _score_flow(f, m)))
+    cols = metrics.columns
+    staged = (metrics
+              .withColumn("__per", F.transform(lit, lambda f: _rule_hits(f, m)))
+              .withColumn("__sums", F.transform("__per", _flow_sums))
+              .withColumn("__scores", F.transform("__sums", _flow_score)))
+    return staged.select(*cols, F.transform("__scores", lambda x: F.struct(
+        x["flow_id"].alias("flow_id"), x["score"].alias("score"), x["flow_limit"].alias("flow_limit"),
+        (x["score"] > x["flow_limit"]).alias("is_up_limited"),
+        x["hit_rules"].alias("hit_rules"))).alias("flows_score"))
 
 
 def flagged(scored: DataFrame) -> DataFrame:

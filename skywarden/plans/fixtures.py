@@ -34,6 +34,43 @@ INTERNATION_BOOK_RULES = [r"^.*/bookingnew/intl/.*$"]
 CRITICAL_PAGES = [r"^.*/query/.*$", r"^.*/bookingnew/.*$"]
 
 
+# Parse rules of the derived logs (M7): GET query search in
+# the URL; booking JSON bodies, with a later, narrower rule for
+# international bookings (the last matching rule wins).
+QUERY_PARAM_KEYS = {"depCity": "depCity", "arrCity": "arrCity", "flightDate": "flightDate",
+                    "adultNum": "adultNum", "childNum": "childNum", "infantNum": "infantNum",
+                    "country": "country"}
+BOOK_JSON_PATHS = {"bookUserId": "$.bookUserId", "psgName": "$.psgName", "psgFirName": "$.psgFirName",
+                   "idType": "$.idType", "idCard": "$.idCard", "contractName": "$.contactName",
+                   "contractPhone": "$.contactPhone", "depCity": "$.depCity", "arrCity": "$.arrCity",
+                   "flightDate": "$.flightDate", "flightNo": "$.flightNo", "cabin": "$.cabin"}
+
+
+def etl_rules():
+    """Rule snapshot used with :func:`raw_lines`."""
+    from ..operators.etl import EtlRules, ParseRule
+    return EtlRules(
+        filter_rules=FILTER_RULES,
+        nation_query=NATION_QUERY_RULES, internation_query=INTERNATION_QUERY_RULES,
+        nation_book=NATION_BOOK_RULES, internation_book=INTERNATION_BOOK_RULES,
+        query_rules=[ParseRule("Q1", "GET", 0, "^.*/query/.*$", normal_get=True, query=QUERY_PARAM_KEYS)],
+        book_rules=[ParseRule("B1", "POST", 1, "^.*/bookingnew/.*$", flight_type=0, application_json=True,
+                              is_json=True, book=BOOK_JSON_PATHS),
+                    ParseRule("B2", "POST", 1, "^.*/bookingnew/intl/.*$", flight_type=1,
+                              application_json=True, is_json=True, book=BOOK_JSON_PATHS)])
+
+
+def hot_ips(events: DataFrame) -> DataFrame:
+    """nh_ip_blacklist: addresses of every 50th user."""
+    u = events.select("user_id").distinct().filter(F.col("user_id") % 50 == 0)
+    return u.select(F.concat(F.lit("10.0.0."), _s("user_id")).alias("ip_name"))
+
+
+HOT_IPS_SQL = """
+SELECT DISTINCT '10.0.0.' || CAST(user_id AS VARCHAR) AS ip_name FROM events WHERE user_id % 50 = 0
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -184,48 +221,96 @@ FROM (
 """
 
 
+def _raw_columns() -> dict[str, Column]:
+    """Per-event parts of a raw access line (method, URL, type, body)."""
+    c = _request_columns()
+    eid, et = F.col("event_id"), F.col("event_type")
+    form = et.isin("signup", "purchase")
+    url = F.when(et == "view", F.concat(
+        c["request"], F.lit("?depCity="), c["depcity"], F.lit("&arrCity="), c["arrcity"],
+        F.lit("&flightDate="), c["flightDate"], F.lit("&adultNum="), _s(eid % 4 + 1))).otherwise(c["request"])
+    form_body = F.concat(
+        F.lit("tel=13"), F.lpad(_s(eid * 7919 % 1000000000), 9, "0"),
+        F.lit("&idcard=11010"), F.lpad(_s(eid * 104729 % 10000000000000), 13, "0"),
+        F.lit("&depCity="), c["depcity"], F.lit("&arrCity="), c["arrcity"])
+    book_body = F.concat(
+        F.lit('{"bookUserId":"'), c["USERID"],
+        F.lit('","psgFirName":["Li","Wang"],"psgName":["Lei","Fang"],"idType":["ID","ID"],'
+              '"idCard":["11010519900101'), F.lpad(_s(eid % 10000), 4, "0"),
+        F.lit('","110105199001021234"],"contactName":"Li Lei","contactPhone":"139'),
+        F.lpad(_s(eid % 100000000), 8, "0"),
+        F.lit('","depCity":"'), c["depcity"], F.lit('","arrCity":"'), c["arrcity"],
+        F.lit('","flightDate":"'), c["flightDate"], F.lit('","flightNo":"CZ'), _s(eid % 9000 + 1000),
+        F.lit('","cabin":"Y"}'))
+    return {
+        "method": F.when(form | (et == "click"), "POST").otherwise("GET"),
+        "url": url,
+        "contentType": F.when(form, "application/x-www-form-urlencoded")
+                        .when(et == "click", "application/json").otherwise(""),
+        "body": F.when(form, form_body).when(et == "click", book_body).otherwise(""),
+    }
+
+
+def raw_lines_keyed(events: DataFrame) -> DataFrame:
+    """:func:`raw_lines` with the event id kept (per-line outputs)."""
+    return _raw_select(events, keep_id=True)
+
+
 def raw_lines(events: DataFrame) -> DataFrame:
     """events -> raw access lines (M1): one ``value`` string per request.
 
-    POST bodies carry a mobile number and an id-card number built from the
-    event id, so the masking steps have work to do.
+    Query pages carry their search in the URL, bookings post a JSON body
+    and forms post a mobile and an id-card number, so filtering, masking
+    and every parse branch have work to do.
     """
+    return _raw_select(events, keep_id=False)
+
+
+def _raw_select(events: DataFrame, keep_id: bool) -> DataFrame:
     c = _request_columns()
-    eid, post = F.col("event_id"), c["requestMethod"] == "POST"
-    body = F.concat(
-        F.lit("tel=13"), F.lpad(_s(eid * 7919 % 1000000000), 9, "0"),
-        F.lit("&idcard=11010"), F.lpad(_s(eid * 104729 % 10000000000000), 13, "0"),
-        F.lit("&depCity="), c["depcity"], F.lit("&arrCity="), c["arrcity"])
-    return events.select(F.concat_ws(
+    r = _raw_columns()
+    eid = F.col("event_id")
+    return events.select(*(["event_id"] if keep_id else []), F.concat_ws(
         "#CS#",
         c["timeIso8601"],
-        F.concat(c["requestMethod"], F.lit(" "), c["request"], F.lit(" HTTP/1.1")),
-        c["requestMethod"],
-        F.when(post, "application/x-www-form-urlencoded").otherwise(""),
-        F.when(post, body).otherwise(""),
-        c["httpReferrer"],
-        c["remoteAddr"],
-        c["httpUserAgent"],
-        c["timeIso8601"],
-        c["serverAddr"],
+        F.concat(r["method"], F.lit(" "), r["url"], F.lit(" HTTP/1.1")),
+        r["method"], r["contentType"], r["body"],
+        c["httpReferrer"], c["remoteAddr"], c["httpUserAgent"], c["timeIso8601"], c["serverAddr"],
         F.concat(F.lit("JSESSIONID="), c["JSESSIONID"], F.lit("; userId4logCookie="), c["USERID"]),
         _s(eid % 50),
     ).alias("value"))
 
 
-RAW_LINES_SQL = """
-SELECT concat_ws('#CS#',
-  timeIso8601,
-  requestMethod || ' ' || request || ' HTTP/1.1',
-  requestMethod,
-  CASE WHEN requestMethod = 'POST' THEN 'application/x-www-form-urlencoded' ELSE '' END,
-  CASE WHEN requestMethod = 'POST' THEN
-    'tel=13' || lpad(CAST(event_id * 7919 % 1000000000 AS VARCHAR), 9, '0')
-    || '&idcard=11010' || lpad(CAST(event_id * 104729 % 10000000000000 AS VARCHAR), 13, '0')
-    || '&depCity=' || depcity || '&arrCity=' || arrcity
-  ELSE '' END,
+RAW_LINES_KEYED_SQL = """
+SELECT event_id, concat_ws('#CS#',
+  timeIso8601, method || ' ' || url || ' HTTP/1.1', method, contentType, body,
   httpReferrer, remoteAddr, httpUserAgent, timeIso8601, serverAddr,
   'JSESSIONID=' || JSESSIONID || '; userId4logCookie=' || USERID,
   CAST(event_id % 50 AS VARCHAR)) AS value
-FROM (""" + requests_sql("event_id, ") + """) r
+FROM (
+  SELECT r.*,
+    CASE WHEN event_type IN ('signup', 'purchase', 'click') THEN 'POST' ELSE 'GET' END AS method,
+    CASE WHEN event_type = 'view' THEN request || '?depCity=' || depcity || '&arrCity=' || arrcity
+         || '&flightDate=' || flightDate || '&adultNum=' || CAST(event_id % 4 + 1 AS VARCHAR)
+         ELSE request END AS url,
+    CASE WHEN event_type IN ('signup', 'purchase') THEN 'application/x-www-form-urlencoded'
+         WHEN event_type = 'click' THEN 'application/json' ELSE '' END AS contentType,
+    CASE WHEN event_type IN ('signup', 'purchase') THEN
+           'tel=13' || lpad(CAST(event_id * 7919 % 1000000000 AS VARCHAR), 9, '0')
+           || '&idcard=11010' || lpad(CAST(event_id * 104729 % 10000000000000 AS VARCHAR), 13, '0')
+           || '&depCity=' || depcity || '&arrCity=' || arrcity
+         WHEN event_type = 'click' THEN
+           '{"bookUserId":"' || USERID
+           || '","psgFirName":["Li","Wang"],"psgName":["Lei","Fang"],"idType":["ID","ID"],'
+           || '"idCard":["11010519900101' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0')
+           || '","110105199001021234"],"contactName":"Li Lei","contactPhone":"139'
+           || lpad(CAST(event_id % 100000000 AS VARCHAR), 8, '0')
+           || '","depCity":"' || depcity || '","arrCity":"' || arrcity
+           || '","flightDate":"' || flightDate || '","flightNo":"CZ' || CAST(event_id % 9000 + 1000 AS VARCHAR)
+           || '","cabin":"Y"}'
+         ELSE '' END AS body
+  FROM (""" + requests_sql("event_id, event_type, ") + """) r
+) x
 """
+
+RAW_LINES_SQL = "SELECT value FROM (" + RAW_LINES_KEYED_SQL + ")"
