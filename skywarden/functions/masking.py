@@ -25,17 +25,29 @@ def md5_upper(col) -> Column:
     return F.upper(F.md5(_c(col)))
 
 
+def _is_digit(ch: Column) -> Column:
+    """``ch`` is one ASCII digit (``ch`` is a one-character string or '')."""
+    return (F.length(ch) == 1) & (ch >= F.lit("0")) & (ch <= F.lit("9"))
+
+
 def _mask(text: Column, pattern: str) -> Column:
+    """Replace accepted matches of ``pattern`` in ``text`` by their MD5.
+
+    The boundary test only reads the original text, so accepted matches
+    are chosen first (one ``position`` per match) and then replaced in
+    order.  Texts without any candidate skip the array work entirely.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    cands = F.transform(found, lambda m: F.struct(m.alias("m"), F.position(m, text).alias("p")))
 
-    def bounded(m: Column) -> Column:
-        pos = F.position(m, text)  # first occurrence, 1-based
-        before = F.when(pos > 1, F.substring(text, pos - 1, 1)).otherwise(F.lit(""))
-        after = F.substring(text, pos + F.length(m), 1)
-        return ~before.rlike("^[0-9]$") & ~after.rlike("^[0-9]$")
+    def bounded(x: Column) -> Column:
+        before = F.when(x["p"] > 1, F.substring(text, x["p"] - 1, 1)).otherwise(F.lit(""))
+        after = F.substring(text, x["p"] + F.length(x["m"]), 1)
+        return ~_is_digit(before) & ~_is_digit(after)
 
-    return F.aggregate(found, text,
-                       lambda acc, m: F.when(bounded(m), F.replace(acc, m, md5_upper(m))).otherwise(acc))
+    accepted = F.filter(cands, bounded)
+    masked = F.aggregate(accepted, text, lambda acc, x: F.replace(acc, x["m"], md5_upper(x["m"])))
+    return F.when(text.rlike(pattern), masked).otherwise(text)
 
 
 def mask_phone(col) -> Column:
@@ -51,10 +63,24 @@ def mask_id_card(col) -> Column:
 
 
 def mask_all(col) -> Column:
-    """B24 then B25, the order the ETL applies them."""
+    """B24 then B25, the order the ETL applies them.
+
+    For a DataFrame prefer two projections (phone, then id card) so the
+    phone-masked text is a column: nested, it is re-evaluated per match.
+    """
     return mask_id_card(mask_phone(col))
 
 
+def mask_columns(df, col: str, out: str | None = None):
+    """B24 then B25 on ``df[col]`` as two staged projections."""
+    from ..operators.layout import spread_for_cpu
+    out = out or col
+    df = spread_for_cpu(df)
+    others = [c for c in df.columns if c != col]
+    return (df.select(*others, mask_phone(col).alias("__masked"))
+              .select(*others, mask_id_card("__masked").alias(out)))
+
+
 def _sql_mask(text: str, pattern: str) -> str:
     return (f"list_reduce(regexp_extract_all({text}, '{pattern}'), "
             f"lambda acc, m: CASE WHEN (strpos({text}, m) <= 1 OR NOT regexp_full_match("

@@ -83,6 +83,8 @@ def _kv_entries(pairs: Column, decode) -> Column:
 
 
 def _last_wins_map(entries: Column) -> Column:
+    """Entries -> map where the last duplicate key wins (a plain
+    ``map_from_entries`` raises on duplicates under the default policy)."""
     empty = F.create_map().cast("map<string,string>")
     return F.aggregate(entries, empty, lambda acc, e: F.map_concat(
         F.map_filter(acc, lambda k, v: k != e["k"]), F.create_map(e["k"], e["v"])))

@@ -19,13 +19,14 @@ from dataclasses import dataclass, field as dc_field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.masking import mask_all, md5_upper
+from ..functions.masking import mask_id_card, mask_phone, md5_upper
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
                                  form_params, json_field, last_value, param, request_url,
                                  split_raw, url_params)
 from ..functions.tags import (BEHAVIOR_TYPE_IDS, FLIGHT_TYPE_IDS, TRAVEL_TYPE_IDS, classify_request,
                               enum_id, matches_any, travel_type)
 from ..schemas import PROCESSED_FIELDS, RAW_SEP
+from .layout import spread_for_cpu
 
 QUERY_KEYS = ["depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country",
               "travelType"]
@@ -74,7 +75,7 @@ class EtlRules:
         return self
 
 
-def _last_match(rules: list[ParseRule], method: Column, behavior_id: Column, url: Column) -> Column:
+def last_match(rules: list[ParseRule], method: Column, behavior_id: Column, url: Column) -> Column:
     """Index of the last rule whose method (any case), behaviour and URL match."""
     idx = None
     for i in reversed(range(len(rules))):
@@ -112,9 +113,8 @@ def _xml_text(body: Column) -> Column:
     return F.substring(body, F.instr(body, "<page>"), F.length(body))
 
 
-def _query_from_xml(body: Column, r: ParseRule) -> dict:
+def _query_from_xml(xml: Column, r: ParseRule) -> dict:
     """XPath per rule field, blank -> ``""``."""
-    xml = _xml_text(body)
     out = {}
     for k in QUERY_KEYS:
         if k == "travelType":
@@ -126,28 +126,43 @@ def _query_from_xml(body: Column, r: ParseRule) -> dict:
     return out
 
 
-def query_request(rules: list[ParseRule], method: Column, content_type: Column, url: Column,
-                  body: Column, behavior_id: Column, flight_id: Column, travel_id: Column) -> Column:
-    """Query-request record of a row (M4)."""
-    idx = _last_match(rules, method, behavior_id, url)
+def query_source(r: ParseRule, url: Column, body: Column, content_type: Column) -> Column | None:
+    """Per-rule input of the query parse: a parameter map, a JSON text or
+    an XML text (computed once per row, then read by every field)."""
+    m = r.method.upper()
+    if m == "GET" and r.normal_get:
+        return url_params(url)
+    if m == "POST" and r.normal_form:
+        return form_params(body)
+    if m == "POST" and r.is_json and not _blank(r.form_field):
+        return param(form_params(body), r.form_field, "")
+    if m == "POST" and r.text_xml and r.is_xml:
+        ok = (F.lower(content_type) == "text/xml") & (body != "")
+        return F.when(ok, _xml_text(body))
+    return None
+
+
+def query_request(rules: list[ParseRule], idx: Column, sources: list[Column | None],
+                  flight_id: Column, travel_id: Column) -> Column:
+    """Query-request record of a row (M4).
+
+    ``idx`` is the last matching rule (:func:`last_match`), ``sources`` the
+    per-rule inputs (:func:`query_source`), both already projected.
+    """
     empty = {k: F.lit("") for k in QUERY_KEYS if k != "travelType"}
     empty["isEmpty"] = F.lit(True)
-    acc = {k: v for k, v in empty.items()}
-    for i, r in enumerate(rules):
+    acc = dict(empty)
+    for i, (r, src) in enumerate(zip(rules, sources)):
+        if src is None:
+            continue
         m = r.method.upper()
-        if m == "GET" and r.normal_get:
-            vals = _query_from_map(url_params(url), r)
-        elif m == "POST" and r.normal_form:
-            vals = _query_from_map(form_params(body), r)
+        if (m == "GET" and r.normal_get) or (m == "POST" and r.normal_form):
+            vals = _query_from_map(src, r)
         elif m == "POST" and r.is_json and not _blank(r.form_field):
-            js = param(form_params(body), r.form_field, "")
-            vals = _query_from_json(js, r)
-        elif m == "POST" and r.text_xml and r.is_xml:
-            ok = (F.lower(content_type) == "text/xml") & (body != "")
-            x = _query_from_xml(body, r)
-            vals = {k: F.when(ok, x[k]).otherwise(empty[k]) for k in empty}
+            vals = _query_from_json(src, r)
         else:
-            continue
+            x = _query_from_xml(src, r)
+            vals = {k: F.when(src.isNotNull(), x[k]).otherwise(empty[k]) for k in empty}
         for k in acc:
             acc[k] = F.when(idx == i, vals[k]).otherwise(acc[k])
     # The behaviour's flight type and the referrer's travel type win (P20).
@@ -171,9 +186,9 @@ def _json_one(js: Column, path: str) -> Column:
     return F.when(v.isNull(), F.array().cast("array<string>")).otherwise(F.array(v))
 
 
-def _book_from_json(json_text: Column, r: ParseRule) -> dict:
-    """Booking JSON -> lists; passenger name = first + last name."""
-    js = F.trim(F.replace(json_text, F.lit("\\x22"), F.lit("")))
+def _book_from_json(js: Column, r: ParseRule) -> dict:
+    """Booking JSON (cleaned by :func:`book_source`) -> lists;
+    passenger name = first + last name."""
     p = r.book
     first, last = _json_list(js, p.get("psgFirName", "")), _json_list(js, p.get("psgName", ""))
     # One name per first name; Java string concatenation prints "null".
@@ -224,34 +239,35 @@ BOOK_FIELDS = ["bookUserId", "psgName", "idType", "idCard", "contractName", "con
                "depCity", "arrCity", "flightDate", "flightNo", "cabin"]
 
 
-def book_request(rules: list[ParseRule], method: Column, content_type: Column, url: Column,
-                 body: Column, behavior_id: Column, travel_id: Column) -> Column:
+def book_source(r: ParseRule, body: Column, content_type: Column) -> Column | None:
+    """Per-rule input of the booking parse (JSON or XML text, else NULL)."""
+    ct = F.lower(content_type)
+    if r.text_xml and r.is_xml:
+        return F.when((ct == "text/xml") & (body != ""), body)
+    if r.application_json and r.is_json and not r.normal_form:
+        return F.when((ct == "application/json") & (body != ""), F.trim(F.replace(body, F.lit("\\x22"), F.lit(""))))
+    if r.is_json and not r.normal_form and not r.application_json and not _blank(r.form_field):
+        js = param(form_params(body), r.form_field, "")
+        js = F.when(js.startswith("[") & js.endswith("]"),
+                    F.substring(js, F.lit(2), F.length(js) - 2)).otherwise(js)
+        return F.when(F.trim(js) != "", F.trim(F.replace(js, F.lit("\\x22"), F.lit(""))))
+    return None
+
+
+def book_request(rules: list[ParseRule], idx: Column, sources: list[Column | None],
+                 travel_id: Column) -> Column:
     """Booking record (M5); contact phone and id cards hashed."""
-    idx = _last_match(rules, method, behavior_id, url)
     empty_list = F.array().cast("array<string>")
     empty = {k: (F.lit("") if k in ("bookUserId", "contractName", "contractPhone") else empty_list)
              for k in BOOK_FIELDS}
     acc = dict(empty)
     flight = F.lit(-1)
     travel = F.lit(-1)
-    for i, r in enumerate(rules):
-        ct = F.lower(content_type)
-        if r.text_xml and r.is_xml:
-            ok = (ct == "text/xml") & (body != "")
-            vals = _book_from_xml(body, r)
-        elif r.application_json and r.is_json and not r.normal_form:
-            ok = (ct == "application/json") & (body != "")
-            vals = _book_from_json(body, r)
-        elif r.is_json and not r.normal_form and not r.application_json and not _blank(r.form_field):
-            js = param(form_params(body), r.form_field, "")
-            js = F.when(js.startswith("[") & js.endswith("]"),
-                        F.substring(js, F.lit(2), F.length(js) - 2)).otherwise(js)
-            ok = F.trim(js) != ""
-            vals = _book_from_json(js, r)
-        else:
-            ok, vals = F.lit(False), empty
-        for k in acc:
-            acc[k] = F.when((idx == i) & ok, vals[k]).otherwise(acc[k])
+    for i, (r, src) in enumerate(zip(rules, sources)):
+        if src is not None:
+            vals = _book_from_xml(src, r) if (r.text_xml and r.is_xml) else _book_from_json(src, r)
+            for k in acc:
+                acc[k] = F.when((idx == i) & src.isNotNull(), vals[k]).otherwise(acc[k])
         if r.flight_type in (0, 1):
             flight = F.when(idx == i, F.lit(r.flight_type)).otherwise(flight)
             travel = F.when(idx == i, travel_id).otherwise(travel)
@@ -277,31 +293,51 @@ def filter_lines(raw: DataFrame, filter_rules: list[str], drop: bool = True) ->
 
 def etl(raw: DataFrame, rules: EtlRules, hot_ips: DataFrame | None = None,
         hot_col: str = "ip_name") -> DataFrame:
-    """Raw lines -> processed log (M10), the full ETL of one batch."""
+    """Raw lines -> processed log (M10), the full ETL of one batch.
+
+    Written as staged projections: every intermediate that later steps
+    read several times (masked text, cookie entries, rule index, parse
+    inputs) is its own column, so it is computed once per row.
+    """
     rules.check()
-    kept = filter_lines(raw, rules.filter_rules)                      # C1
-    masked = kept.select(mask_all("value").alias("value"))            # B24, B25
-    f = masked.select(split_raw("value").alias("f")).select("f.*")    # B1
-    url = request_url(F.col("requestLine"))                           # B2
-    cookies = cookie_entries(F.col("cookie"))                         # B3-B6
+    kept = filter_lines(spread_for_cpu(raw), rules.filter_rules)                      # C1
+    masked = (kept.select(mask_phone("value").alias("value"))                          # B24
+                  .select(mask_id_card("value").alias("value")))                       # B25
+    f = masked.select(split_raw("value").alias("f")).select("f.*")                    # B1
     s = f.select(
-        "requestMethod", url.alias("request"), "contentType", "requestBody", "httpReferrer",
-        "remoteAddr", "httpUserAgent", "timeIso8601", "serverAddr",
-        last_value(cookies, COOKIE_SESSION_KEY).alias("JSESSIONID"),
-        last_value(cookies, COOKIE_USER_KEY).alias("USERID"),
-        classify_request(url, rules.nation_query, rules.internation_query,       # D1
+        "requestMethod", request_url(F.col("requestLine")).alias("request"),           # B2
+        "contentType", "requestBody", "httpReferrer", "remoteAddr", "httpUserAgent",
+        "timeIso8601", "serverAddr", cookie_entries(F.col("cookie")).alias("__ck"))     # B3-B6
+    s = s.select(
+        "*",
+        last_value(F.col("__ck"), COOKIE_SESSION_KEY).alias("JSESSIONID"),
+        last_value(F.col("__ck"), COOKIE_USER_KEY).alias("USERID"),
+        classify_request(F.col("request"), rules.nation_query, rules.internation_query,  # D1
                          rules.nation_book, rules.internation_book).alias("cls"),
-        travel_type(F.col("httpReferrer")).alias("travelType"))                   # D2
-    flight_id = enum_id(F.col("cls.flightType"), FLIGHT_TYPE_IDS)
-    behavior_id = enum_id(F.col("cls.behaviorType"), BEHAVIOR_TYPE_IDS)
-    travel_id = enum_id(F.col("travelType"), TRAVEL_TYPE_IDS)
+        travel_type(F.col("httpReferrer")).alias("travelType"))                          # D2
+    s = s.select(
+        "*",
+        enum_id(F.col("cls.flightType"), FLIGHT_TYPE_IDS).alias("__flight_id"),
+        enum_id(F.col("cls.behaviorType"), BEHAVIOR_TYPE_IDS).alias("__behavior_id"),
+        enum_id(F.col("travelType"), TRAVEL_TYPE_IDS).alias("__travel_id"))
+    method, ctype, url, body = (F.col("requestMethod"), F.col("contentType"), F.col("request"),
+                                F.col("requestBody"))
+    beh_id = F.col("__behavior_id")
+    qsrc = [query_source(r, url, body, ctype) for r in rules.query_rules]
+    bsrc = [book_source(r, body, ctype) for r in rules.book_rules]
+    s = s.select(
+        "*",
+        last_match(rules.query_rules, method, beh_id, url).alias("__qi"),
+        last_match(rules.book_rules, method, beh_id, url).alias("__bi"),
+        *[c.alias(f"__qs{i}") for i, c in enumerate(qsrc) if c is not None],
+        *[c.alias(f"__bs{i}") for i, c in enumerate(bsrc) if c is not None])
+    qcols = [F.col(f"__qs{i}") if c is not None else None for i, c in enumerate(qsrc)]
+    bcols = [F.col(f"__bs{i}") if c is not None else None for i, c in enumerate(bsrc)]
     parsed = s.select(
         "*",
-        query_request(rules.query_rules, F.col("requestMethod"), F.col("contentType"),   # B14
-                      F.col("request"), F.col("requestBody"), behavior_id, flight_id,
-                      travel_id).alias("q"),
-        book_request(rules.book_rules, F.col("requestMethod"), F.col("contentType"),     # B15
-                     F.col("request"), F.col("requestBody"), behavior_id, travel_id).alias("b"))
+        query_request(rules.query_rules, F.col("__qi"), qcols, F.col("__flight_id"),   # B14
+                      F.col("__travel_id")).alias("q"),
+        book_request(rules.book_rules, F.col("__bi"), bcols, F.col("__travel_id")).alias("b"))  # B15
     if hot_ips is not None:                                                             # D6
         hot = hot_ips.select(F.col(hot_col).alias("__hot")).distinct()
         parsed = parsed.join(hot, parsed["remoteAddr"] == hot["__hot"], "left") \

@@ -153,37 +153,50 @@ def flow_counts(summary: DataFrame) -> DataFrame:
                             (F.lit(2), F.col("c2")), (F.lit(0), F.col("c0"))))
 
 
+def _ind(name: str, step, code, code2, value: Column, record_time: Column) -> Column:
+    def lit(v, t):
+        return F.lit(v).cast(t) if not isinstance(v, Column) else v.cast(t)
+    return F.struct(F.lit(name).alias("indicator"), lit(step, "int").alias("step_type"),
+                    lit(code, "int").alias("code"), lit(code2, "string").alias("code2"),
+                    value.cast("double").alias("value"), record_time.cast("string").alias("record_time"))
+
+
 def all_indicators(summary: DataFrame) -> DataFrame:
-    """Every indicator in one long table (one result set, one write).
+    """Every indicator (F1-F16) in one long table from ONE aggregate.
 
+    Grouping sets ``()`` and ``(flightType, travelType)`` over the small
+    summary give the 14 global indicators and the per-route crawl counts
+    in a single pass; the rows are then unpivoted with ``inline``.
     Columns: indicator, step_type, code, code2, value, record_time.
     """
-    def conv(df, name, code_col):
-        return df.select(F.lit(name).alias("indicator"), "step_type",
-                         F.col(code_col).alias("code"), F.lit(None).cast("string").alias("code2"),
-                         F.col("conversion_rate").alias("value"), "record_time")
-
-    parts = [
-        conv(conversion_by_flight(summary, NATIONAL, 0), "domestic_inter_conversion_rate", "flight_type"),
-        conv(conversion_by_flight(summary, INTERNATIONAL, 1), "domestic_inter_conversion_rate", "flight_type"),
-        conv(conversion_by_user(summary, "1"), "flight_query_conversion_rate", "query_spider_type"),
-        conv(conversion_by_user(summary, "0"), "flight_query_conversion_rate", "query_spider_type"),
-        conv(conversion_by_user(summary, None), "flight_query_conversion_rate", "query_spider_type"),
-        crawl_frequency(summary).select(
-            F.lit("flight_query_rule").alias("indicator"), F.lit(None).cast("int").alias("step_type"),
-            F.lit(None).cast("int").alias("code"),
-            F.concat_ws("/", "flight_type", "travel_type").alias("code2"),
-            F.col("frequency").cast("double").alias("value"), "record_time"),
-        book_query_ratio(summary).select(
-            F.lit("flow_query_rate").alias("indicator"), F.lit(None).cast("int").alias("step_type"),
-            F.col("user_type").alias("code"), F.lit(None).cast("string").alias("code2"),
-            F.col("rate").alias("value"), "record_time"),
-        flow_counts(summary).select(
-            F.lit("flow_info").alias("indicator"), F.lit(None).cast("int").alias("step_type"),
-            F.col("type").alias("code"), F.lit(None).cast("string").alias("code2"),
-            F.col("value").cast("double").alias("value"), F.lit(None).cast("string").alias("record_time")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    nat, intl = _flight_in(NATIONAL), _flight_in(INTERNATIONAL)
+    sp, ns, al = F.col("isSpider") == "1", F.col("isSpider") == "0", F.lit(True)
+    g = summary.groupingSets([[], ["flightType", "travelType"]], "flightType", "travelType").agg(
+        F.grouping_id().alias("gid"),
+        _ratio(nat, "2", "1", 2).alias("n0"), _ratio(nat, "3", "2", 2).alias("n1"), _last_day(nat).alias("nt"),
+        _ratio(intl, "2", "1", 2).alias("i0"), _ratio(intl, "3", "2", 2).alias("i1"), _last_day(intl).alias("it"),
+        _ratio(sp, "2", "1", None).alias("s0"), _ratio(sp, "3", "2", None).alias("s1"), _last_day(sp).alias("st"),
+        _ratio(ns, "2", "1", None).alias("o0"), _ratio(ns, "3", "2", None).alias("o1"), _last_day(ns).alias("ot"),
+        _ratio(al, "2", "1", None).alias("a0"), _ratio(al, "3", "2", None).alias("a1"), _last_day(al).alias("at"),
+        _ratio(sp, "1", "0", None).alias("bq2"), _ratio(ns, "1", "0", None).alias("bq1"),
+        F.sum(F.when(sp, F.col("n"))).alias("c1"), F.sum(F.when(ns, F.col("n"))).alias("c2"),
+        F.sum("n").alias("c0"))
+    c = F.col
+    dom, fq = "domestic_inter_conversion_rate", "flight_query_conversion_rate"
+    globals_ = F.array(
+        _ind(dom, 0, 0, None, c("n0"), c("nt")), _ind(dom, 1, 0, None, c("n1"), c("nt")),
+        _ind(dom, 0, 1, None, c("i0"), c("it")), _ind(dom, 1, 1, None, c("i1"), c("it")),
+        _ind(fq, 0, 1, None, c("s0"), c("st")), _ind(fq, 1, 1, None, c("s1"), c("st")),
+        _ind(fq, 0, 0, None, c("o0"), c("ot")), _ind(fq, 1, 0, None, c("o1"), c("ot")),
+        _ind(fq, 0, None, None, c("a0"), c("at")), _ind(fq, 1, None, None, c("a1"), c("at")),
+        _ind("flow_query_rate", None, 2, None, c("bq2"), c("st")),
+        _ind("flow_query_rate", None, 1, None, c("bq1"), c("ot")),
+        _ind("flow_info", None, 1, None, F.coalesce(c("c1"), F.lit(0)), F.lit(None)),
+        _ind("flow_info", None, 2, None, F.coalesce(c("c2"), F.lit(0)), F.lit(None)),
+        _ind("flow_info", None, 0, None, F.coalesce(c("c0"), F.lit(0)), F.lit(None)))
+    route = F.array(_ind("flight_query_rule", None, None, F.concat_ws("/", "flightType", "travelType"),
+                         c("c1"), c("st")))
+    # Routes only count crawler rows; a route seen only from normal users
+    # has no crawl-frequency row.
+    keep = (c("gid") == 3) | c("c1").isNotNull()
+    return g.filter(keep).select(F.inline(F.when(c("gid") == 3, globals_).otherwise(route)))

@@ -1,0 +1,19 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row-wise work at least one partition per core.
+
+    Large inputs already arrive in many splits (one per file block), so
+    this is a no-op at scale.  A small input stored as one file would run
+    the whole projection in a single task; a round-robin repartition
+    spreads it over the cluster first.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import helpers as H
-from ..functions.masking import mask_all, mask_phone, sql_mask_id_card, sql_mask_phone
+from ..functions.masking import mask_columns, mask_phone, sql_mask_id_card, sql_mask_phone
 from ..functions.parsing import (cookie_map, form_params, json_field, json_map, parse_processed,
                                  request_url, serialise_processed, split_raw, url_params)
 from ..functions.tags import DATE_VALUE_PATTERN, classify_request, hot_ip_flag, travel_type
@@ -72,7 +72,7 @@ FROM (SELECT doc_id, {sql_mask_phone('text')} AS p FROM documents)
 """)
 def q_mask_id(spark, sf):
     d = fx.table(spark, sf, "documents")
-    return d.select("doc_id", mask_all("text").alias("masked"))
+    return mask_columns(d.select("doc_id", "text"), "text", "masked")
 
 
 @register("mask_raw_lines", f"""
@@ -80,7 +80,7 @@ WITH {RAW_SQL}
 SELECT {sql_mask_id_card('p')} AS value FROM (SELECT {sql_mask_phone('value')} AS p FROM raw)
 """)
 def q_mask_raw(spark, sf):
-    return _raw(spark, sf).select(mask_all("value").alias("value"))
+    return mask_columns(_raw(spark, sf), "value")
 
 
 # --------------------------------------------------------------- D1 / D2 / C3 / D6

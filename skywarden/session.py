@@ -17,6 +17,10 @@ _DEFAULTS = {
     # Multi-character separators need the full row to detect short rows
     # (DROPMALFORMED); see sources.text.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
+    # Plans are built from many small Column calls; skipping the per-call
+    # call-site capture (error-message context only) halves the py4j
+    # round trips while a plan is being built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
