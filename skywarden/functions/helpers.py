@@ -49,17 +49,27 @@ def days_between(a, b) -> Column:
 # ----------------------------------------------------------- B30-B36 shaping
 
 def cpu_percent(sys_frac, user_frac) -> Column:
-    """(sys + user) * 100 rounded to two decimals."""
-    return F.round((_c(sys_frac) + _c(user_frac)) * 100, 2)
+    """(system + user) * 100, two decimals, half-even like the
+    reference's decimal format."""
+    return F.bround((_c(sys_frac) + _c(user_frac)) * 100, 2)
 
 
-# Fixed value: the reference divides byte counts by this and calls it G.
-DISK_DIVISOR = 1000 * 1000 * 1000
+# Byte divisors of the memory ("M") and disk ("G") texts;
+# the disk one is 10^7, not 10^9, as in the reference.
+MEMORY_DIVISOR = 1000 * 1000
+DISK_DIVISOR = 1000 * 10000
+
+
+def memory_text(used, total) -> Column:
+    """``<used>M/<total>M`` with whole megabytes."""
+    return F.concat((_c(used) / MEMORY_DIVISOR).cast("long").cast("string"), F.lit("M/"),
+                    (_c(total) / MEMORY_DIVISOR).cast("long").cast("string"), F.lit("M"))
 
 
 def disk_text(used, total) -> Column:
-    """``used/total`` disk text in the reference's 'G' units."""
-    return F.format_string("%.2fG/%.2fG", _c(used) / DISK_DIVISOR, _c(total) / DISK_DIVISOR)
+    """``<used>G/<total>G`` in the reference's 'G' units."""
+    return F.concat((_c(used) / DISK_DIVISOR).cast("long").cast("string"), F.lit("G/"),
+                    (_c(total) / DISK_DIVISOR).cast("long").cast("string"), F.lit("G"))
 
 
 def speed_text(v) -> Column:

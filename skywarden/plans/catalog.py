@@ -171,3 +171,4 @@ def q_all(spark, sf):
 # Further query groups register themselves on import.
 from . import queries_scoring  # noqa: E402,F401
 from . import queries_etl  # noqa: E402,F401
+from . import queries_monitor  # noqa: E402,F401
