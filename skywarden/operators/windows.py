@@ -51,14 +51,8 @@ def fmt_time(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def ip_window_metrics(logs: DataFrame, critical_pages: Sequence[str], seconds: int = 10) -> DataFrame:
-    """G1a-G1g: seven metrics per (window, remote address).
-
-    Columns: window_start, ip, ip_visits, critical_visits, distinct_ua,
-    min_critical_gap (NULL below two critical visits, P11), gaps_under_10s,
-    distinct_trips, critical_cookies.
-    """
-    base = (logs.select(
+def _metric_inputs(logs: DataFrame, critical_pages: Sequence[str], seconds: int) -> DataFrame:
+    return (logs.select(
                 F.col("remoteAddr").alias("ip"),
                 matches_any("request", critical_pages).alias("crit"),
                 F.col("httpUserAgent").alias("ua"),
@@ -68,28 +62,78 @@ def ip_window_metrics(logs: DataFrame, critical_pages: Sequence[str], seconds: i
             .filter(F.col("ts").isNotNull())
             .withColumn("win", window_start(F.col("ts"), seconds)))
 
-    counts = base.groupBy("win", "ip").agg(
+
+def _gap_aggs() -> list[Column]:
+    """Critical visits as (count, distinct seconds): the set is bounded by
+    the window length in seconds, however hot the address is."""
+    return [F.count_if("crit").alias("__crit_n"),
+            F.array_sort(F.collect_set(F.when(F.col("crit"), F.col("ts")))).alias("__secs")]
+
+
+def _gap_metrics() -> list[Column]:
+    """G1d / G1e from (count, sorted distinct seconds).
+
+    Repeated seconds add ``count - distinct`` zero gaps; the other gaps are
+    the differences of consecutive distinct seconds.
+    """
+    secs, n = F.col("__secs"), F.col("__crit_n")
+    dup = n - F.size(secs)
+    diffs = F.transform(F.slice(secs, 2, F.greatest(F.size(secs) - 1, F.lit(1))),
+                        lambda t, i: F.timestamp_diff("SECOND", F.element_at(secs, i + 1), t))
+    diffs = F.when(F.size(secs) >= 2, diffs).otherwise(F.array().cast("array<bigint>"))
+    min_gap = (F.when(n < 2, F.lit(None).cast("int"))
+               .when(dup > 0, F.lit(0))
+               .otherwise(F.array_min(diffs).cast("int")))
+    under = dup + F.size(F.filter(diffs, lambda d: d < SMALL_GAP_SECONDS))
+    return [min_gap.alias("min_critical_gap"), under.cast("long").alias("gaps_under_10s")]
+
+
+def ip_window_metrics(logs: DataFrame, critical_pages: Sequence[str], seconds: int = 10) -> DataFrame:
+    """G1a-G1g: seven metrics per (window, remote address), one aggregate.
+
+    Columns: window_start, ip, ip_visits, critical_visits, distinct_ua,
+    min_critical_gap (NULL below two critical visits, P11), gaps_under_10s,
+    distinct_trips, critical_cookies.
+    """
+    base = _metric_inputs(logs, critical_pages, seconds)
+    agg = base.groupBy("win", "ip").agg(
         F.count(F.lit(1)).alias("ip_visits"),
         F.count_if("crit").alias("critical_visits"),
         F.countDistinct(F.struct("ua")).alias("distinct_ua"),
         F.countDistinct("trip").alias("distinct_trips"),
-        F.countDistinct(F.when(F.col("crit"), F.struct("cookie"))).alias("critical_cookies"))
-
-    gaps = critical_gaps(base.filter("crit"), ["win", "ip"])
-    out = counts.join(gaps, ["win", "ip"], "left")
-    return out.select(
+        F.countDistinct(F.when(F.col("crit"), F.struct("cookie"))).alias("critical_cookies"),
+        *_gap_aggs())
+    return agg.select(
         fmt_time(F.col("win")).alias("window_start"), "ip", "ip_visits", "critical_visits",
-        "distinct_ua", "min_critical_gap",
-        F.coalesce("gaps_under_10s", F.lit(0)).cast("long").alias("gaps_under_10s"),
-        "distinct_trips", "critical_cookies")
+        "distinct_ua", *_gap_metrics(), "distinct_trips", "critical_cookies")
+
+
+def ip_window_metrics_stream(logs: DataFrame, critical_pages: Sequence[str], seconds: int = 10,
+                             watermark: str = "30 seconds") -> DataFrame:
+    """G1 for Structured Streaming (append mode after the watermark).
+
+    Same metrics as :func:`ip_window_metrics`; distinct counts use
+    ``size(collect_set)`` because streaming rejects ``count(DISTINCT)``.
+    """
+    base = _metric_inputs(logs, critical_pages, seconds).withWatermark("ts", watermark)
+    agg = base.groupBy(F.window("ts", f"{int(seconds)} seconds").alias("w"), "ip").agg(
+        F.count(F.lit(1)).alias("ip_visits"),
+        F.count_if("crit").alias("critical_visits"),
+        F.size(F.collect_set(F.struct("ua"))).cast("long").alias("distinct_ua"),
+        F.size(F.collect_set("trip")).cast("long").alias("distinct_trips"),
+        F.size(F.collect_set(F.when(F.col("crit"), F.struct("cookie")))).cast("long").alias("critical_cookies"),
+        *_gap_aggs())
+    return agg.select(
+        fmt_time(F.col("w.start")).alias("window_start"), "ip", "ip_visits", "critical_visits",
+        "distinct_ua", *_gap_metrics(), "distinct_trips", "critical_cookies")
 
 
 def critical_gaps(rows: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
-    """Min gap and number of gaps under 10 s between sorted visit times.
+    """Min gap and gaps under 10 s for arbitrary keys (window form).
 
     Equal seconds are collapsed first (they contribute ``count - 1`` zero
     gaps); consecutive distinct seconds come from ``lag`` over a window
-    whose size is bounded by the window length in seconds.
+    whose size is bounded by the number of distinct seconds per key.
     """
     per_sec = rows.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys).orderBy(ts)
