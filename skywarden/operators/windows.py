@@ -43,6 +43,15 @@ def event_time(time_iso) -> Column:
     return F.substring(s, 1, 19).try_cast("timestamp_ntz")
 
 
+def watermark_time(ts_ntz: Column) -> Column:
+    """TIMESTAMP_NTZ -> the same wall clock as a UTC instant (TIMESTAMP).
+
+    Watermarks need TIMESTAMP; reading the text with an explicit ``Z``
+    keeps the instant independent of the session time zone.
+    """
+    return F.concat(F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).try_cast("timestamp")
+
+
 def window_start(ts: Column, seconds: int) -> Column:
     return F.window(ts, f"{int(seconds)} seconds").start
 
@@ -115,8 +124,11 @@ def ip_window_metrics_stream(logs: DataFrame, critical_pages: Sequence[str], sec
     Same metrics as :func:`ip_window_metrics`; distinct counts use
     ``size(collect_set)`` because streaming rejects ``count(DISTINCT)``.
     """
-    base = _metric_inputs(logs, critical_pages, seconds).withWatermark("ts", watermark)
-    agg = base.groupBy(F.window("ts", f"{int(seconds)} seconds").alias("w"), "ip").agg(
+    base = (_metric_inputs(logs, critical_pages, seconds)
+            .withColumn("__et", watermark_time(F.col("ts"))).withWatermark("__et", watermark))
+    # The NTZ window start is functionally dependent on the watermarked
+    # window; grouping by both keeps the output identical to batch.
+    agg = base.groupBy(F.window("__et", f"{int(seconds)} seconds").alias("w"), "win", "ip").agg(
         F.count(F.lit(1)).alias("ip_visits"),
         F.count_if("crit").alias("critical_visits"),
         F.size(F.collect_set(F.struct("ua"))).cast("long").alias("distinct_ua"),
@@ -124,7 +136,7 @@ def ip_window_metrics_stream(logs: DataFrame, critical_pages: Sequence[str], sec
         F.size(F.collect_set(F.when(F.col("crit"), F.struct("cookie")))).cast("long").alias("critical_cookies"),
         *_gap_aggs())
     return agg.select(
-        fmt_time(F.col("w.start")).alias("window_start"), "ip", "ip_visits", "critical_visits",
+        fmt_time(F.col("win")).alias("window_start"), "ip", "ip_visits", "critical_visits",
         "distinct_ua", *_gap_metrics(), "distinct_trips", "critical_cookies")
 
 

@@ -125,11 +125,13 @@ def link_job(raw_lines: DataFrame, monitor_path: str, checkpoint: str | None = N
              seconds: int = LINK_WINDOW_SECONDS, watermark: str = "10 seconds",
              trigger: dict | None = None, query_name: str = "link"):
     """G3 + G4 -> A10: per-server traffic and latest active connections."""
-    f = W.raw_server_fields(raw_lines).filter(F.col("ts").isNotNull()).withWatermark("ts", watermark)
-    agg = (f.groupBy(F.window("ts", f"{int(seconds)} seconds").alias("w"), "server")
+    f = (W.raw_server_fields(raw_lines).filter(F.col("ts").isNotNull())
+         .withColumn("win", W.window_start(F.col("ts"), seconds))
+         .withColumn("__et", W.watermark_time(F.col("ts"))).withWatermark("__et", watermark))
+    agg = (f.groupBy(F.window("__et", f"{int(seconds)} seconds").alias("w"), "win", "server")
            .agg(F.count(F.lit(1)).alias("n"),
                 F.max_by("active", F.struct("ts", "active")).alias("active")))
-    out = agg.select(W.fmt_time(F.col("w.end")).alias("window_start"), "server", "n", "active")
+    out = agg.select(W.fmt_time(F.col("win")).alias("window_start"), "server", "n", "active")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         pts = sinks.monitor_points("serversCountMap", df).unionByName(
