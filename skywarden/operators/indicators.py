@@ -57,13 +57,15 @@ def stage_summary(logs: DataFrame, blacklist: DataFrame, dedupe: bool = False) -
     Equivalent to aggregating :func:`tagged_requests`, but the logs are
     reduced per address first, so the join and the hot keys stay small.
     """
+    # The day is a grouping key here (not max'ed): fixed-width buffers keep
+    # the pass over the full log a hash aggregate; days are few.
     per_ip = (logs.select(
                   "remoteAddr",
                   request_flag("request").alias("requestType"),
                   "flightType", "travelType",
                   visit_day("timeIso8601").alias("visitTime"))
-              .groupBy("remoteAddr", "requestType", "flightType", "travelType")
-              .agg(F.count(F.lit(1)).alias("n"), F.max("visitTime").alias("visitTime")))
+              .groupBy("remoteAddr", "requestType", "flightType", "travelType", "visitTime")
+              .agg(F.count(F.lit(1)).alias("n")))
     bl = blacklist.select("remoteAddr", "flowID")
     if dedupe:
         bl = bl.dropDuplicates(["remoteAddr"])

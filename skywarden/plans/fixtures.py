@@ -199,12 +199,12 @@ def blacklist(events: DataFrame) -> DataFrame:
     log join fans out), and users with id % 30 == 7 carry the text flow id
     ``null`` (treated as a normal user by the crawler tag).
     """
-    u = events.select("user_id").distinct()
     uid = F.col("user_id")
-    f1 = u.filter(uid % 10 == 0).select(uid, F.lit("F1").alias("flowID"), F.lit(1).alias("k"))
-    f2 = u.filter(uid % 20 == 0).select(uid, F.lit("F2").alias("flowID"), F.lit(2).alias("k"))
-    fn = u.filter(uid % 30 == 7).select(uid, F.lit("null").alias("flowID"), F.lit(3).alias("k"))
-    b = f1.unionByName(f2).unionByName(fn)
+    u = events.select("user_id").distinct()
+    # One pass: every user gets the array of its flows (usually empty).
+    flows = F.filter(F.array(F.when(uid % 10 == 0, F.lit("F1")), F.when(uid % 20 == 0, F.lit("F2")),
+                             F.when(uid % 30 == 7, F.lit("null"))), lambda f: f.isNotNull())
+    b = u.select(uid, F.explode(flows).alias("flowID"))
     return b.select(
         F.concat(F.lit("10.0.0."), _s(uid)).alias("remoteAddr"),
         F.col("flowID"),
