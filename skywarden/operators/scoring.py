@@ -1,9 +1,9 @@
 """Rule / flow scoring (I1-I6, C4) over per-IP window metrics.
 
 The flow configuration is a bounded table (checked in
-``rules.collect_flows``) and is inlined as an array literal, so scoring is
-a narrow projection over the metric rows: no join, no shuffle, evaluated
-with higher-order functions inside whole-stage codegen.
+``rules.collect_flows``) and is compiled into the plan: every rule is a
+comparison of a metric column with a literal, so scoring is a narrow,
+code-generated projection over the metric rows: no join, no shuffle.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import FLOW
 
 # Metric name -> metric column of ``ip_window_metrics``.
 METRIC_COLUMNS = {
@@ -30,100 +29,112 @@ FLOW_SCORE_CAP = 60.0     # factor 2 weight
 ENABLED_SHARE_WEIGHT = 40.0  # factor 3 weight
 
 
-def flows_literal(flow_rows: list) -> Column:
-    """Python flow rows -> typed ``array<FLOW>`` literal."""
-    def rule(r):
-        return F.struct(F.lit(r["rule_order"]).cast("int").alias("rule_order"),
-                        F.lit(r["rule_id"]).alias("rule_id"), F.lit(r["rule_name"]).alias("rule_name"),
-                        F.lit(r["rule_status"]).cast("int").alias("rule_status"),
-                        F.lit(r["arg0"]).cast("double").alias("arg0"),
-                        F.lit(r["arg1"]).cast("double").alias("arg1"),
-                        F.lit(r["score"]).cast("int").alias("score"))
-    flows = [F.struct(F.lit(f["flow_id"]).alias("flow_id"), F.lit(f["flow_name"]).alias("flow_name"),
-                      F.lit(f["flow_limit"]).cast("double").alias("flow_limit"),
-                      F.array(*[rule(r) for r in f["rules"]]).cast(FLOW["rules"].dataType).alias("rules"))
-             for f in flow_rows]
-    return F.array(*flows).cast(T.ArrayType(FLOW))
-
-
-def metric_map() -> Column:
-    """Metric name -> value; NULL metrics (min gap below two visits) -> 0."""
-    kv = []
-    for name, col in METRIC_COLUMNS.items():
-        kv += [F.lit(name), F.coalesce(F.col(col).cast("double"), F.lit(0.0))]
-    return F.create_map(*kv)
-
-
-def _rule_hits(f: Column, metrics: Column) -> Column:
-    """Per rule of flow ``f``: hit flag and hit score (miss -> 0)."""
-    def hit(r):
-        value = F.coalesce(F.element_at(metrics, r["rule_name"]), F.lit(0.0))
-        return value > F.when(r["rule_name"] == SECOND_ARG_RULE, r["arg1"]).otherwise(r["arg0"])
-
-    per = F.transform(f["rules"], lambda r: F.struct(
-        r["rule_id"].alias("rule_id"), r["rule_status"].alias("status"),
-        hit(r).alias("hit"), r["score"].cast("double").alias("score")))
-    return F.struct(f["flow_id"].alias("flow_id"), f["flow_limit"].alias("flow_limit"),
-                    F.transform(per, lambda x: x.withField("s", F.when(x["hit"], x["score"])
-                                                                 .otherwise(F.lit(0.0)))).alias("per"))
-
-
-def _flow_sums(p: Column) -> Column:
-    """Totals over all rules and over enabled rules (status 0)."""
-    per = p["per"]
-    enabled = F.filter(per, lambda x: x["status"] == 0)
-    return F.struct(
-        p["flow_id"].alias("flow_id"), p["flow_limit"].alias("flow_limit"),
-        F.aggregate(per, F.lit(0.0), lambda a, x: a + x["s"]).alias("total"),
-        F.size(per).alias("n"),
-        F.coalesce(F.array_max(F.transform(enabled, lambda x: x["s"])), F.lit(0.0)).alias("max_en"),
-        F.aggregate(enabled, F.lit(0.0), lambda a, x: a + x["s"]).alias("sum_en"),
-        F.transform(F.filter(per, lambda x: x["hit"]), lambda x: x["rule_id"]).alias("hit_rules"))
-
-
-def _flow_score(t: Column) -> Column:
-    """f1 * (f2 + f3) and the over-limit flag."""
-    total, n, max_en, sum_en = t["total"], t["n"], t["max_en"], t["sum_en"]
-    f1 = total / (F.lit(10) * n)
+def _metric(name: str) -> Column:
+    """Metric value of a rule name; unknown names and NULL metrics (min gap
+    below two visits, P11) count as 0."""
+    col = METRIC_COLUMNS.get(name)
+    return F.lit(0.0) if col is None else F.coalesce(F.col(col).cast("double"), F.lit(0.0))
+
+
+def _sum(cols: list[Column]) -> Column:
+    total = F.lit(0.0)
+    for c in cols:          # left to right, in rule order
+        total = total + c
+    return total
+
+
+def _hit(r) -> Column:
+    """Metric above the rule's threshold (argument 1 for the
+    less-than-default rule, else argument 0)."""
+    thr = r["arg1"] if r["rule_name"] == SECOND_ARG_RULE else r["arg0"]
+    return _metric(r["rule_name"]) > F.lit(thr).cast("double")
+
+
+def _flow_score(total: Column, n: int, max_en: Column, sum_en: Column) -> Column:
+    """f1 * (f2 + f3); no hit (the reference's 0 / 0) scores 0."""
+    if n == 0:
+        return F.lit(0.0)
+    f1 = total / F.lit(10 * n)
     sixth = F.lit(1.0) / F.lit(6.0)
     f2 = F.when(F.lit(1.0) < sixth * max_en, F.lit(FLOW_SCORE_CAP)).otherwise(sixth * max_en * F.lit(60.0))
     f3 = F.lit(ENABLED_SHARE_WEIGHT) * (sum_en / total)
-    # Empty flows or no hit at all: the reference divides 0 by 0 (NaN); a
-    # NaN is never above a limit there, so it scores 0 here.
-    score = F.when((n == 0) | (total == 0), F.lit(0.0)).otherwise(f1 * (f2 + f3))
-    return F.struct(t["flow_id"].alias("flow_id"), score.alias("score"),
-                    t["flow_limit"].alias("flow_limit"), t["hit_rules"].alias("hit_rules"))
+    return F.when(total == 0, F.lit(0.0)).otherwise(f1 * (f2 + f3))
 
 
 def score_flows(metrics: DataFrame, flow_rows: list) -> DataFrame:
     """Append ``flows_score`` (one struct per configured flow).
 
-    Three staged projections so every per-rule array is computed once per
-    row (Catalyst keeps non-trivial expressions from being inlined twice).
+    The bounded flow configuration (``rules.collect_flows``) is compiled
+    into staged projections of plain, code-generated expressions: per
+    rule the hit score, per flow the totals, then the score, then the
+    structs with the over-limit flag.  Each intermediate is a column, so
+    it is computed once and every generated method stays small.
     """
-    lit = flows_literal(flow_rows)
-    m = metric_map()
     cols = metrics.columns
-    staged = (metrics
-              .withColumn("__per", F.transform(lit, lambda f: _rule_hits(f, m)))
-              .withColumn("__sums", F.transform("__per", _flow_sums))
-              .withColumn("__scores", F.transform("__sums", _flow_score)))
-    return staged.select(*cols, F.transform("__scores", lambda x: F.struct(
-        x["flow_id"].alias("flow_id"), x["score"].alias("score"), x["flow_limit"].alias("flow_limit"),
-        (x["score"] > x["flow_limit"]).alias("is_up_limited"),
-        x["hit_rules"].alias("hit_rules"))).alias("flows_score"))
+    if not flow_rows:
+        empty = F.array().cast(T.ArrayType(T.StructType([
+            T.StructField("flow_id", T.StringType()), T.StructField("score", T.DoubleType()),
+            T.StructField("flow_limit", T.DoubleType()), T.StructField("is_up_limited", T.BooleanType()),
+            T.StructField("hit_rules", T.ArrayType(T.StringType()))])))
+        return metrics.withColumn("flows_score", empty).withColumn("any_up_limited", F.lit(False))
+    flows = [(f, sorted(f["rules"], key=lambda r: r["rule_order"])) for f in flow_rows]
+    none = F.array().cast("array<string>")
+    # Stage 1: per rule, the hit score (0 on a miss); per flow, hit ids.
+    s1, stage2 = [], []
+    for k, (f, rules) in enumerate(flows):
+        for j, r in enumerate(rules):
+            s1.append(F.when(_hit(r), F.lit(float(r["score"]))).otherwise(F.lit(0.0)).alias(f"__r{k}_{j}"))
+        s1.append((F.flatten(F.array(*[F.when(_hit(r), F.array(F.lit(r["rule_id"]))).otherwise(none)
+                                       for r in rules])) if rules else none).alias(f"__h{k}"))
+    st1 = metrics.select(*cols, *s1)
+    # Stage 2: totals over all rules and over enabled rules.
+    for k, (f, rules) in enumerate(flows):
+        sc = [F.col(f"__r{k}_{j}") for j in range(len(rules))]
+        en = [c for c, r in zip(sc, rules) if r["rule_status"] == 0]
+        stage2 += [_sum(sc).alias(f"__t{k}"), _sum(en).alias(f"__e{k}"),
+                   (F.lit(0.0) if not en else en[0] if len(en) == 1 else F.greatest(*en)).alias(f"__m{k}")]
+    st2 = st1.select(*cols, *[f"__h{k}" for k in range(len(flows))], *stage2)
+    # Stage 3: scores (I3); stage 4: structs with the flag (I4).
+    st3 = st2.select(*cols, *[f"__h{k}" for k in range(len(flows))], *[
+        _flow_score(F.col(f"__t{k}"), len(rules), F.col(f"__m{k}"), F.col(f"__e{k}")).alias(f"__s{k}")
+        for k, (f, rules) in enumerate(flows)])
+    out = []
+    for k, (f, rules) in enumerate(flows):
+        limit = F.lit(f["flow_limit"]).cast("double")
+        out.append(F.struct(F.lit(f["flow_id"]).alias("flow_id"), F.col(f"__s{k}").alias("score"),
+                            limit.alias("flow_limit"), (F.col(f"__s{k}") > limit).alias("is_up_limited"),
+                            F.col(f"__h{k}").alias("hit_rules")))
+    any_up = F.lit(False)
+    for k, (f, rules) in enumerate(flows):
+        any_up = any_up | (F.col(f"__s{k}") > F.lit(f["flow_limit"]).cast("double"))
+    return st3.select(*cols, F.array(*out).alias("flows_score"), F.coalesce(any_up, F.lit(False)).alias("any_up_limited"))
+
+
+def _any_up(scored: DataFrame) -> Column:
+    if "any_up_limited" in scored.columns:
+        return F.col("any_up_limited")
+    return F.exists("flows_score", lambda f: f["is_up_limited"])
 
 
 def flagged(scored: DataFrame) -> DataFrame:
     """C4: keep rows with at least one flow over its limit."""
-    return scored.filter(F.exists("flows_score", lambda f: f["is_up_limited"]))
+    return scored.filter(_any_up(scored))
 
 
 def flatten_flows(scored: DataFrame, only_over_limit: bool = False) -> DataFrame:
-    """One row per flow of a flagged IP, below-limit flows included."""
-    rows = flagged(scored).select("window_start", "ip", F.explode("flows_score").alias("f"))
+    """C4 + I5: one row per flow of a flagged IP, below-limit flows
+    included (P17).
+
+    The flag test and the flattening are one generator over the scored
+    column: a separate ``filter`` would be pushed below the scoring
+    projection and score every row twice.
+    """
+    fs = F.col("flows_score")
+    keep = F.when(_any_up(scored), fs).otherwise(
+        F.array().cast(scored.schema["flows_score"].dataType))
     if only_over_limit:
-        rows = rows.filter(F.col("f.is_up_limited"))
+        keep = F.filter(keep, lambda f: f["is_up_limited"])
+    rows = scored.select("window_start", "ip", F.explode(keep).alias("f"))
     return rows.select("window_start", "ip", "f.flow_id", "f.score", "f.flow_limit",
                        "f.is_up_limited", F.array_join("f.hit_rules", ",").alias("hit_rules"))
 

@@ -6,37 +6,10 @@ returns a DataFrame; computed columns carry the same aliases as the SQL.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from ..operators import indicators as ind
-from . import fixtures as fx
 from .sqlparts import sql_ratio, with_tagged
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
-def logs(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.requests(fx.table(spark, sf, "events"))
-
-
-def blacklist(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.blacklist(fx.table(spark, sf, "events"))
-
-
-def summary(spark: SparkSession, sf: str) -> DataFrame:
-    return ind.stage_summary(logs(spark, sf), blacklist(spark, sf))
+from .registry import ORACLES, QUERIES, blacklist, logs, register, summary  # noqa: F401
 
 
 # ---------------------------------------------------------------- indicators

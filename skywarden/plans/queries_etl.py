@@ -12,7 +12,7 @@ from ..functions.tags import DATE_VALUE_PATTERN, classify_request, hot_ip_flag,
 from ..operators import etl as E
 from ..schemas import PROCESSED_FIELDS, RAW_FIELDS
 from . import fixtures as fx
-from .catalog import logs, register
+from .registry import logs, register
 from .fixtures import requests_sql
 from .sqlparts import sql_full_match
 

@@ -11,7 +11,7 @@ from ..operators import reports as RP
 from ..operators import windows as W
 from . import fixtures as fx
 from . import monitor_fixtures as mf
-from .catalog import blacklist, logs, register, summary
+from .registry import blacklist, logs, register, summary
 from .fixtures import CITIES, _list_sql, requests_sql
 from .queries_scoring import FLOWS_CTE, METRICS_CTE, SCORES_CTE, _scored
 from .sqlparts import sql_ratio, with_tagged

@@ -8,7 +8,7 @@ from ..operators import rules as R
 from ..operators import scoring as S
 from ..operators import windows as W
 from . import fixtures as fx
-from .catalog import logs, register
+from .registry import logs, register
 from .fixtures import RULE_NAMES, _list_sql, requests_sql
 from .sqlparts import sql_full_match
 
