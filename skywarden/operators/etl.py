@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.masking import mask_id_card, mask_phone, md5_upper
+from ..functions.xml import node_text
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
                                  form_params, json_field, last_value, param, request_url,
                                  split_raw, url_params)
@@ -217,7 +218,7 @@ def _book_from_xml(body: Column, r: ParseRule) -> dict:
 
     def lst(k):
         path = p.get(k, "")
-        return F.array().cast("array<string>") if _blank(path) else F.xpath(xml, F.lit(path))
+        return F.array().cast("array<string>") if _blank(path) else F.xpath(xml, F.lit(node_text(path)))
 
     def one(k):
         path = p.get(k, "")

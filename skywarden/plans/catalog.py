@@ -145,3 +145,4 @@ def q_all(spark, sf):
 from . import queries_scoring  # noqa: E402,F401
 from . import queries_etl  # noqa: E402,F401
 from . import queries_monitor  # noqa: E402,F401
+from . import queries_xml  # noqa: E402,F401

@@ -78,9 +78,9 @@ SELECT DISTINCT '10.0.0.' || CAST(user_id AS VARCHAR) AS ip_name FROM events WHE
 _DIMENSIONS = {"region", "nation", "supplier", "customer", "part", "labels", "benchmark"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in _DIMENSIONS else spread_for_cpu(df)
+    return df if (name in _DIMENSIONS or not spread) else spread_for_cpu(df)
 
 
 def _s(c) -> Column:
@@ -275,10 +275,12 @@ def raw_lines(events: DataFrame) -> DataFrame:
 
 
 def _raw_select(events: DataFrame, keep_id: bool) -> DataFrame:
+    """The lines are spread over the cores *after* they are built, so the
+    exchange materialises each line once, as a file source would."""
     c = _request_columns()
     r = _raw_columns()
     eid = F.col("event_id")
-    return events.select(*(["event_id"] if keep_id else []), F.concat_ws(
+    return spread_for_cpu(events.select(*(["event_id"] if keep_id else []), F.concat_ws(
         "#CS#",
         c["timeIso8601"],
         F.concat(r["method"], F.lit(" "), r["url"], F.lit(" HTTP/1.1")),
@@ -286,7 +288,7 @@ def _raw_select(events: DataFrame, keep_id: bool) -> DataFrame:
         c["httpReferrer"], c["remoteAddr"], c["httpUserAgent"], c["timeIso8601"], c["serverAddr"],
         F.concat(F.lit("JSESSIONID="), c["JSESSIONID"], F.lit("; userId4logCookie="), c["USERID"]),
         _s(eid % 50),
-    ).alias("value"))
+    ).alias("value")))
 
 
 RAW_LINES_KEYED_SQL = """

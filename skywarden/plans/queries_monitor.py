@@ -37,7 +37,7 @@ def _points(spark, sf):
 
 
 def _links(spark, sf):
-    return mf.link_points(_ev(spark, sf))
+    return mf.link_points(fx.table(spark, sf, "events", spread=False))
 
 
 TP = f"tp AS ({mf.THROUGHPUT_SQL})"

@@ -163,7 +163,7 @@ def q_method_counts(spark, sf):
 
 
 def _raw(spark, sf):
-    return fx.raw_lines(fx.table(spark, sf, "events"))
+    return fx.raw_lines(fx.table(spark, sf, "events", spread=False))
 
 
 RAW_FIELDS_CTE = f"""
