@@ -5,11 +5,11 @@ same function gives the same answer in batch and under Structured
 Streaming (where the caller adds ``withWatermark``).
 
 Skew: one address may carry a third of all rows.  Every metric is either
-an algebraic aggregate (partial aggregation on the map side) or a
-distinct count (Spark expands it into a two-level aggregate keyed on the
-distinct value).  Gap metrics reduce critical visits to one row per
-(window, address, second) first, so the ordered pass per window sees at
-most ``window_seconds`` rows however hot the address is.
+an algebraic aggregate (partial aggregation on the map side), a distinct
+count (Spark expands it into a two-level aggregate keyed on the distinct
+value), or the set of distinct *seconds* of critical visits, which is
+bounded by the window length however hot the address is: the gap metrics
+need only that set and the visit count.  One aggregate, one shuffle.
 """
 
 from __future__ import annotations

@@ -21,6 +21,10 @@ _DEFAULTS = {
     # call-site capture (error-message context only) halves the py4j
     # round trips while a plan is being built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Window state of the streaming jobs lives off-heap in RocksDB and is
+    # checkpointed incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
