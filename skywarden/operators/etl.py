@@ -329,9 +329,12 @@ def etl(raw: DataFrame, rules: EtlRules, hot_ips: DataFrame | None = None,
     s = s.select(
         "*",
         last_match(rules.query_rules, method, beh_id, url).alias("__qi"),
-        last_match(rules.book_rules, method, beh_id, url).alias("__bi"),
-        *[c.alias(f"__qs{i}") for i, c in enumerate(qsrc) if c is not None],
-        *[c.alias(f"__bs{i}") for i, c in enumerate(bsrc) if c is not None])
+        last_match(rules.book_rules, method, beh_id, url).alias("__bi"))
+    # A rule's input is built only on the lines that rule parses.
+    s = s.select(
+        "*",
+        *[F.when(F.col("__qi") == i, c).alias(f"__qs{i}") for i, c in enumerate(qsrc) if c is not None],
+        *[F.when(F.col("__bi") == i, c).alias(f"__bs{i}") for i, c in enumerate(bsrc) if c is not None])
     qcols = [F.col(f"__qs{i}") if c is not None else None for i, c in enumerate(qsrc)]
     bcols = [F.col(f"__bs{i}") if c is not None else None for i, c in enumerate(bsrc)]
     parsed = s.select(

@@ -13,7 +13,9 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     the whole projection in a single task; a round-robin repartition
     spreads it over the cluster first.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
