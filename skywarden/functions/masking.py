@@ -73,9 +73,7 @@ def mask_all(col) -> Column:
 
 def mask_columns(df, col: str, out: str | None = None):
     """B24 then B25 on ``df[col]`` as two staged projections."""
-    from ..operators.layout import spread_for_cpu
     out = out or col
-    df = spread_for_cpu(df)
     others = [c for c in df.columns if c != col]
     return (df.select(*others, mask_phone(col).alias("__masked"))
               .select(*others, mask_id_card("__masked").alias(out)))

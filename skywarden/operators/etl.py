@@ -27,7 +27,6 @@ from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_ent
 from ..functions.tags import (BEHAVIOR_TYPE_IDS, FLIGHT_TYPE_IDS, TRAVEL_TYPE_IDS, classify_request,
                               enum_id, matches_any, travel_type)
 from ..schemas import PROCESSED_FIELDS, RAW_SEP
-from .layout import spread_for_cpu
 
 QUERY_KEYS = ["depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country",
               "travelType"]
@@ -301,7 +300,7 @@ def etl(raw: DataFrame, rules: EtlRules, hot_ips: DataFrame | None = None,
     inputs) is its own column, so it is computed once per row.
     """
     rules.check()
-    kept = filter_lines(spread_for_cpu(raw), rules.filter_rules)                      # C1
+    kept = filter_lines(raw, rules.filter_rules)                                      # C1
     masked = (kept.select(mask_phone("value").alias("value"))                          # B24
                   .select(mask_id_card("value").alias("value")))                       # B25
     f = masked.select(split_raw("value").alias("f")).select("f.*")                    # B1

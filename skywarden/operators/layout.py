@@ -12,6 +12,10 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     this is a no-op at scale.  A small input stored as one file would run
     the whole projection in a single task; a round-robin repartition
     spreads it over the cluster first.
+
+    Call it on a scan (or a narrow projection of one): counting the
+    partitions of a plan that already contains a shuffle would run that
+    shuffle under adaptive execution.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
