@@ -1,9 +1,10 @@
 """Monitoring roll-ups and reads.
 
 Inputs are monitor-point tables (one row per point, time as text) and
-host samples.  "Latest per key" is always an aggregate (``max_by`` with a
-total order), never a window over a whole key: a host or a kind with a
-third of all samples is reduced map-side like any other.
+host samples.  "Latest per key" is a hash aggregate of the newest time
+plus a join back (``latest_point``), never a window or a sort over a whole
+key: a host or a kind with a third of all samples is reduced map-side
+like any other.
 """
 
 from __future__ import annotations
@@ -58,9 +59,24 @@ def liveness(points: DataFrame, now: str, minutes: int = 2) -> DataFrame:
 
 
 def latest_point(points: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """H4 / H6 / H8: the newest row per key (``max_by`` on a total order)."""
+    """H4 / H6 / H8: the newest row per key on the total order ``order``.
+
+    Hash-based in two steps instead of one sort-based ``max_by`` over every
+    row: the newest time per key (a fixed-width hash aggregate), a join
+    back on the key (one row per key on the small side, so broadcast or
+    skew-split by AQE), then ``max_by`` over the few rows that share the
+    newest time.  A key holding a third of all rows costs one hash slot.
+    """
+    first = order[0]
     cols = [c for c in points.columns if c not in keys]
-    return (points.groupBy(*keys)
+    newest = points.groupBy(*keys).agg(F.max(first).alias("__newest"))
+    newest = newest.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__newest")
+    cond = None
+    for k in keys:
+        c = points[k].eqNullSafe(newest[f"__k_{k}"])
+        cond = c if cond is None else cond & c
+    tied = points.join(newest, cond, "inner").filter(F.col(first).eqNullSafe(F.col("__newest")))
+    return (tied.groupBy(*keys)
             .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("__last"))
             .select(*keys, "__last.*"))
 

@@ -93,16 +93,17 @@ def flow_config_from_tables(spark, region: DataFrame, nation: DataFrame) -> Data
 def collect_flows(flows: DataFrame, max_rules: int = MAX_INLINE_RULES) -> list:
     """Flow configuration as Python rows, refusing anything unbounded.
 
-    The configuration is inlined into the scoring expression (no join, no
-    shuffle).  The count check runs on the executors; only a bounded
-    result is collected.
+    The configuration is compiled into the scoring projection (no join,
+    no shuffle).  One bounded read: at most ``max_rules + 1`` flows come
+    back, and the rule count is checked before anything is built.
     """
-    n_rules = flows.select(F.coalesce(F.sum(F.size("rules") + 1), F.lit(0))).first()[0]
-    if n_rules > max_rules:
+    rows = flows.orderBy("flow_id").limit(max_rules + 1).collect()
+    n_rules = len(rows) + sum(len(r["rules"]) for r in rows)
+    if len(rows) > max_rules or n_rules > max_rules:
         # Every metric row is scored against every rule, so the rule set
         # is a per-row cost, not data to shuffle: refuse, do not degrade.
-        raise ValueError(f"{n_rules} configured rules exceed the inline bound {max_rules}")
-    return flows.orderBy("flow_id").collect()
+        raise ValueError(f"{n_rules} configured flows/rules exceed the inline bound {max_rules}")
+    return rows
 
 
 def flow_model_list(nation: DataFrame, region: DataFrame) -> DataFrame:
