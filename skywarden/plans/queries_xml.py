@@ -172,3 +172,58 @@ def q_monitor_keys(spark, sf):
     a = mf.throughput_points(fx.table(spark, sf, "events")).select(F.col("id").alias("key"))
     b = mf.link_points(ev).select("key")
     return a.union(b).distinct().orderBy("key")
+
+
+# ------------------------------------------------------------ end to end
+
+def _e2e_sql() -> str:
+    from .queries_etl import _ETL_SQL
+    from .queries_scoring import FLOWS_CTE, METRICS_CTE, SCORES_CTE
+    from .fixtures import requests_sql
+    from .catalog import _ALL_SQL
+    from .sqlparts import sql_request_flag, sql_spider_flag
+    metrics = METRICS_CTE.replace(f"req AS ({requests_sql()})", f"req AS ({_ETL_SQL})")
+    return f"""
+WITH {metrics}, {FLOWS_CTE}, {SCORES_CTE},
+hot AS (SELECT DISTINCT window_start, ip FROM scores WHERE score > flow_limit),
+bl AS (SELECT DISTINCT s.ip AS remoteAddr, s.flow_id AS flowID FROM scores s
+       JOIN hot h ON s.window_start = h.window_start AND s.ip = h.ip),
+tagged AS (
+  SELECT r.request, {sql_request_flag('r.request')} AS requestType, {sql_spider_flag('b.flowID')} AS isSpider,
+         r.travelType, r.flightType, substr(r.timeIso8601, 1, 10) AS visitTime
+  FROM req r LEFT JOIN bl b ON r.remoteAddr = b.remoteAddr)
+{_ALL_SQL}
+"""
+
+
+def q_scored_indicators(spark, sf):
+    """The three data paths chained on the derived raw lines: ETL ->
+    per-IP day-window metrics -> flow scores -> blacklist store (latest
+    value per ip#flow key, every flow of a flagged window, P17) -> tags ->
+    all indicators.
+
+    The processed log feeds two branches (scoring and indicators), so it
+    is checkpointed once into the shared ``spark.checkpoint.dir`` folder
+    (the reference hands it over through a topic) instead of being
+    recomputed by each branch.
+    """
+    from ..operators import indicators as ind
+    from ..operators import rules as R
+    from ..operators import scoring as S
+    from ..operators import windows as W
+    from ..session import checkpoint_root
+    checkpoint_root(spark)
+    ev = fx.table(spark, sf, "events")
+    processed = E.etl(fx.raw_lines(fx.table(spark, sf, "events", spread=False)), fx.etl_rules(),
+                      fx.hot_ips(ev)).checkpoint()
+    metrics = W.ip_window_metrics(processed, fx.CRITICAL_PAGES, 86400)
+    flows = R.collect_flows(R.flow_config_from_tables(spark, fx.table(spark, sf, "region"),
+                                                      fx.table(spark, sf, "nation")))
+    entries = S.blacklist_entries(S.flatten_flows(S.score_flows(metrics, flows)))
+    store = entries.groupBy("ip", "flow_id").agg(
+        F.max_by(F.struct("score", "hit_rules", "rule_time"), "rule_time").alias("v")).select(
+        "ip", "flow_id", "v.*")
+    return ind.all_indicators(ind.stage_summary(processed, S.blacklist_log(store)))
+
+
+register("scored_indicators", _e2e_sql())(q_scored_indicators)
