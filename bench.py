@@ -27,6 +27,7 @@ HEADLINE = [
     "blacklist_rows",        # metrics -> flow scores -> blacklist
     "mask_id",               # masking over whole documents
     "server_three_day",      # calendar window over daily counts
+    "scored_indicators",     # all three paths chained: ETL -> scores -> blacklist -> indicators
 ]
 
 

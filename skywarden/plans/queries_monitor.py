@@ -8,7 +8,6 @@ from ..functions.helpers import route_label, speed_text
 from ..operators import indicators as ind
 from ..operators import monitor as M
 from ..operators import reports as RP
-from ..operators import windows as W
 from . import fixtures as fx
 from . import monitor_fixtures as mf
 from .registry import blacklist, logs, register, summary
