@@ -33,8 +33,22 @@ def time_range(df: DataFrame, col: str, start: str | None, end: str | None) -> D
 
 
 def day_range(df: DataFrame, col: str, start: str | None, end: str | None) -> DataFrame:
-    """Optional inclusive range on the day part of ``col``."""
-    d = F.substring(F.col(col).cast("string"), 1, 10)
+    """Optional inclusive range on the day part of ``col``.
+
+    On a timestamp / date column the bounds are compared with the column
+    itself (``[start 00:00, end + 1 day)``), so the filter reaches the
+    scan; on text it compares the ``yyyy-MM-dd`` prefix.
+    """
+    dtype = df.schema[col].dataType.typeName()
+    c = F.col(col)
+    if dtype in ("timestamp", "timestamp_ntz", "date"):
+        cast = "date" if dtype == "date" else dtype
+        if not _blank(start):
+            df = df.filter(c >= F.lit(start).cast(cast))
+        if not _blank(end):
+            df = df.filter(c < F.date_add(F.lit(end).cast("date"), 1).cast(cast))
+        return df
+    d = F.substring(c.cast("string"), 1, 10)
     if not _blank(start):
         df = df.filter(d >= F.lit(start))
     if not _blank(end):

@@ -225,9 +225,12 @@ def q_route_rank(spark, sf):
     return out.orderBy(F.col("frequency").desc(), "route")
 
 
-def _occ(spark, sf):
-    """nh_illegal_occ_flight_rank rows derived from orders."""
+def _occ(spark, sf, days: tuple[str, str] | None = None):
+    """nh_illegal_occ_flight_rank rows derived from orders (rows of one
+    day per group, so a day range can be applied to the orders first)."""
     o = fx.table(spark, sf, "orders")
+    if days:
+        o = RP.day_range(o, "o_orderdate", *days)
     ck = F.col("o_custkey")
     cities = F.array(*[F.lit(c) for c in CITIES])
     return (o.select(F.concat(F.lit("CZ"), (ck % 500 + 1000).cast("string")).alias("flight_code"),
@@ -257,7 +260,7 @@ SELECT flight_code, dep || '-' || arr AS route, start_time, price, ship_space, f
 ORDER BY frequency DESC, flight_code, dep, arr, start_time LIMIT {ROWS} OFFSET {(PAGE - 1) * ROWS}
 """)
 def q_occ_page(spark, sf):
-    r = RP.day_range(_occ(spark, sf), "start_time", *OCC_RANGE)
+    r = _occ(spark, sf, OCC_RANGE)
     p = RP.page(r, [F.col("frequency").desc(), F.col("flight_code"), F.col("dep"), F.col("arr"),
                     F.col("start_time")], PAGE, ROWS)
     return p.select("flight_code", route_label("dep", "arr").alias("route"), "start_time", "price",
@@ -268,7 +271,7 @@ def q_occ_page(spark, sf):
 WITH {_OCC_SQL} SELECT count(*) AS n, CAST(ceil(count(*) / {ROWS}) AS BIGINT) AS pages FROM occ_r
 """)
 def q_page_count(spark, sf):
-    return RP.page_count(RP.day_range(_occ(spark, sf), "start_time", *OCC_RANGE), ROWS)
+    return RP.page_count(_occ(spark, sf, OCC_RANGE), ROWS)
 
 
 def _daily_flow_types(spark, sf):
