@@ -174,6 +174,19 @@ def method_window_counts(logs: DataFrame, seconds: int = 10) -> DataFrame:
             .select(fmt_time(F.col("win")).alias("window_start"), "ip", "method", "n"))
 
 
+def method_window_counts_stream(logs: DataFrame, seconds: int = 10, watermark: str = "30 seconds") -> DataFrame:
+    """G5 on a stream: same rows as :func:`method_window_counts`, emitted
+    once the watermark passes the window (append mode)."""
+    ts = event_time("timeIso8601")
+    b = (logs.select(F.col("remoteAddr").alias("ip"), F.col("requestMethod").alias("method"), ts.alias("ts"))
+         .filter(F.col("ts").isNotNull())
+         .withColumn("win", window_start(F.col("ts"), seconds))
+         .withColumn("__et", watermark_time(F.col("ts"))).withWatermark("__et", watermark))
+    return (b.groupBy(F.window("__et", f"{int(seconds)} seconds").alias("w"), "win", "ip", "method")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(fmt_time(F.col("win")).alias("window_start"), "ip", "method", "n"))
+
+
 def raw_server_fields(raw: DataFrame) -> DataFrame:
     """Time, server and active-connection fields of raw lines.
 

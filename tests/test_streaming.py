@@ -122,3 +122,23 @@ def test_backup_stream_partitions_by_day(spark, tmpdir_path):
     q.awaitTermination()
     back = spark.read.text(out)
     assert "dt" in back.columns and back.count() == raw.count()
+
+
+def test_method_counts_stream_equals_batch(spark, tmpdir_path):
+    logs = fx.requests(fx.table(spark, SF_SMALL, "events"))
+    src = os.path.join(tmpdir_path, "in")
+    flush = logs.limit(1).withColumn("timeIso8601", F.lit(FAR)).select(serialise_processed().alias("value"))
+    write_sequence(src, [logs.select(serialise_processed().alias("value")), flush, flush])
+    stream = W.method_window_counts_stream(
+        parse_processed_lines(jobs.read_lines(spark, "files", src, max_files_per_trigger=1)), 86400, "1 second")
+    name = f"g5_{uuid.uuid4().hex}"
+    q = (stream.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", ckpt(spark)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table(name)
+    want = W.method_window_counts(logs, 86400)
+    assert got.count() == want.count() > 0
+    cols = ["window_start", "ip", "method", "n"]
+    assert multiset(got, cols) == multiset(want, cols)
+    pts = jobs.progress_points(spark, q, "DP")
+    assert pts.count() >= 1 and pts.agg(F.sum("source_count")).first()[0] == logs.count() + 2
