@@ -118,3 +118,15 @@ def test_blank_and_usage(spark):
 def test_page_count(spark):
     df = spark.range(41)
     assert RP.page_count(df, 20).first()["pages"] == 3
+
+
+def test_stream_metrics_match_batch_metrics(spark):
+    from skywarden.plans import fixtures as fx
+    from conftest import SF_SMALL
+    logs = fx.requests(fx.table(spark, SF_SMALL, "events"))
+    cols = ["window_start", "ip", "ip_visits", "critical_visits", "distinct_ua", "min_critical_gap",
+            "gaps_under_10s", "distinct_trips", "critical_cookies"]
+    exact = sorted(map(tuple, W.ip_window_metrics(logs, fx.CRITICAL_PAGES, 86400).select(*cols).collect()))
+    for approx in (False, True):   # small cardinalities: the sketch is exact
+        got = W.ip_window_metrics_stream(logs, fx.CRITICAL_PAGES, 86400, approx=approx).select(*cols)
+        assert sorted(map(tuple, got.collect())) == exact
