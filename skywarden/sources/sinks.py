@@ -64,10 +64,20 @@ def monitor_points(kind: str, per_server: DataFrame, window_col: str = "window_s
         F.col(window_col).alias("end_time"), F.to_json(F.create_map(F.lit(kind), F.col("m"))).alias("value"))
 
 
-def write_monitor_points(points: DataFrame, path: str, ttl: int = MONITOR_TTL_SECONDS) -> None:
-    """A10: append points with their expiry."""
+def write_monitor_points(points: DataFrame, path: str, ttl: int = MONITOR_TTL_SECONDS,
+                         batch_id: int | None = None) -> None:
+    """A10: append points with their expiry.
+
+    With ``batch_id`` the batch overwrites its own partition, so a replayed
+    micro-batch does not duplicate points.
+    """
     now = F.current_timestamp().cast("timestamp_ntz")
-    points.withColumn("expires_at", _expires(now, ttl)).write.mode("append").partitionBy("kind").parquet(path)
+    out = points.withColumn("expires_at", _expires(now, ttl))
+    if batch_id is None:
+        out.write.mode("append").partitionBy("kind").parquet(path)
+    else:
+        (out.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id").parquet(path))
 
 
 def scan_monitor(spark: SparkSession, path: str, kind_prefix: str, now: str | None = None) -> DataFrame:

@@ -136,7 +136,7 @@ def link_job(raw_lines: DataFrame, monitor_path: str, checkpoint: str | None = N
     def batch(df: DataFrame, batch_id: int) -> None:
         pts = sinks.monitor_points("serversCountMap", df).unionByName(
             sinks.monitor_points("activeNumMap", df.filter(F.col("active").isNotNull()), value_col="active"))
-        sinks.write_monitor_points(pts.withColumn("batch_id", F.lit(int(batch_id))), monitor_path)
+        sinks.write_monitor_points(pts, monitor_path, batch_id=batch_id)
 
     w = (out.writeStream.queryName(query_name).outputMode("append").foreachBatch(batch)
          .option("checkpointLocation", _ckpt(raw_lines.sparkSession, query_name, checkpoint)))

@@ -62,3 +62,11 @@ def test_monitor_points_scan(spark, tmpdir_path):
     assert [p["key"] for p in pts] == ["serversCountMap#w1", "serversCountMap#w2"]
     assert pts[0]["parsed"]["serversCountMap"] == {"s1": 3, "s2": 4}
     assert pts[0]["value"] == '{"serversCountMap":{"s1":3,"s2":4}}'
+
+
+def test_monitor_points_replay_is_idempotent(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "mon")
+    per = spark.createDataFrame([("w1", "s1", 3)], "window_start string, server string, n long")
+    for _ in range(2):
+        sinks.write_monitor_points(sinks.monitor_points("serversCountMap", per), path, batch_id=3)
+    assert spark.read.parquet(path).count() == 1
