@@ -92,7 +92,10 @@ def scan_monitor(spark: SparkSession, path: str, kind_prefix: str, now: str | No
 def backup_raw(lines: DataFrame, ts_col: Column | None = None) -> DataFrame:
     """A11 layout: raw lines with their ``dt`` bucket (yyyy-MM-dd, zone)."""
     ts = ts_col if ts_col is not None else F.current_timestamp()
-    return lines.select("value", F.date_format(F.from_utc_timestamp(ts, BACKUP_ZONE), "yyyy-MM-dd").alias("dt"))
+    # Session wall clock -> wall clock of the backup zone, whatever the
+    # session time zone is.
+    local = F.convert_timezone(F.lit(BACKUP_ZONE), ts.cast("timestamp_ntz"))
+    return lines.select("value", F.date_format(local, "yyyy-MM-dd").alias("dt"))
 
 
 def write_backup(lines_with_dt: DataFrame, path: str, max_records_per_file: int = 200000) -> None:

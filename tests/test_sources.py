@@ -70,3 +70,9 @@ def test_monitor_points_replay_is_idempotent(spark, tmpdir_path):
     for _ in range(2):
         sinks.write_monitor_points(sinks.monitor_points("serversCountMap", per), path, batch_id=3)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_backup_day_in_zone(spark):
+    df = spark.createDataFrame([("x",)], "value string")
+    ts = F.lit("2024-01-01 20:00:00").cast("timestamp")   # session zone is UTC in tests
+    assert sinks.backup_raw(df, ts).first()["dt"] == "2024-01-02"
