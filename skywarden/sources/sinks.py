@@ -94,7 +94,7 @@ def backup_raw(lines: DataFrame, ts_col: Column | None = None) -> DataFrame:
     ts = ts_col if ts_col is not None else F.current_timestamp()
     # Session wall clock -> wall clock of the backup zone, whatever the
     # session time zone is.
-    local = F.convert_timezone(F.lit(BACKUP_ZONE), ts.cast("timestamp_ntz"))
+    local = F.convert_timezone(None, F.lit(BACKUP_ZONE), ts.cast("timestamp_ntz"))
     return lines.select("value", F.date_format(local, "yyyy-MM-dd").alias("dt"))
 
 
