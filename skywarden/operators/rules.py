@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ..plans.fixtures import RULE_NAMES
 
-# Upper bound on configured rules that may be inlined into a plan.
-MAX_INLINE_RULES = 20000
+# Upper bound on configured rules compiled into the scoring projection
+# (one column per rule; real configurations hold tens of rules).
+MAX_INLINE_RULES = 2000
 
 
 def process_table(region: DataFrame) -> DataFrame:
