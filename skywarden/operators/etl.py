@@ -30,8 +30,6 @@ from ..schemas import PROCESSED_FIELDS, RAW_SEP
 
 QUERY_KEYS = ["depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country",
               "travelType"]
-BOOK_KEYS = ["bookUserId", "psgName", "psgFirName", "idType", "idCard", "contractName",
-             "contractPhone", "depCity", "arrCity", "flightDate", "flightNo", "cabin"]
 # Upper bound on parse / classification rules inlined into one plan.
 MAX_RULES = 2000
 
