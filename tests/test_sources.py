@@ -76,3 +76,21 @@ def test_backup_day_in_zone(spark):
     df = spark.createDataFrame([("x",)], "value string")
     ts = F.lit("2024-01-01 20:00:00").cast("timestamp")   # session zone is UTC in tests
     assert sinks.backup_raw(df, ts).first()["dt"] == "2024-01-02"
+
+
+def test_rule_store_without_tables_is_empty(spark, tmpdir_path):
+    from skywarden.plans import fixtures as fx
+    from skywarden.operators.etl import etl
+    from skywarden.sources.rules import RuleStore
+    store = RuleStore(spark, os.path.join(tmpdir_path, "no-rules"))
+    snap = store.snapshot()
+    assert snap.filter_rules == [] and snap.query_rules == [] and store.hot_ips() is None
+    raw = fx.raw_lines(fx.table(spark, SF_SMALL, "events", spread=False))
+    out = etl(raw, snap)            # nothing filtered, everything classified Other
+    assert out.count() == raw.count()
+    assert {r[0] for r in out.select("behaviorType").distinct().collect()} == {"Other"}
+
+
+def test_checkpoint_root_uses_session_setting(spark):
+    from skywarden.session import checkpoint_root
+    assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
