@@ -25,6 +25,8 @@ _DEFAULTS = {
     # checkpointed incrementally.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Lineage cuts (``checkpoint()``) are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
