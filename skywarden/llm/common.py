@@ -75,6 +75,14 @@ def ranked(df: DataFrame, by: list[str], order: list[str], out: str,
     return df if by else df.drop("__all")
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u: a star around each root."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("in")) \
+        .unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in")) \
+        .where("out > 1 or out > 0 and in > 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over (u, v) edges.
 
@@ -87,8 +95,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                    .where(F.col("u") != F.col("v")).distinct(), "cc")
-    while not edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty() \
-            or not edges.groupBy("u").count().where(F.col("count") > 1).isEmpty():
+    while not _is_forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(by_min(both), "u").where(F.col("v") > F.col("u")) \
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()

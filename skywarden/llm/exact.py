@@ -34,8 +34,8 @@ def exact_duplicates(docs: DataFrame, prefix_chars: int = 256, digest: bool = Fa
     slot = F.pmod(F.xxhash64("n_bytes", "prefix"), F.lit(SLOTS))
     keys = staged(docs.where(docs["doc_id"].isNotNull()).select(n_bytes.alias("n_bytes"), prefix.alias("prefix")),
                   "exact-keys")
-    lengths = keys.groupBy("n_bytes").count().where("count > 1")
-    prefixes = keys.join(lengths, "n_bytes", "left_semi").groupBy("n_bytes", "prefix").count().where("count > 1")
+    lengths = keys.groupBy("n_bytes").count().where("count > 1").drop("count")
+    prefixes = keys.groupBy("n_bytes", "prefix").count().join(lengths, "n_bytes", "left_semi").where("count > 1")
     slots = staged(prefixes.select(slot.alias("slot")).distinct(), "exact-slots").withColumn("hit", F.lit(True))
 
     read = docs.select("doc_id", text.alias("text"), n_bytes.alias("n_bytes"), prefix.alias("prefix")) \

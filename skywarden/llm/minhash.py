@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skywarden.llm.common import components, drop_staged, staged
+from skywarden.llm.common import components, staged
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -73,26 +73,29 @@ def bands_for(percent: int, rows: int = 4, miss: float = 1e-6) -> int:
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
-def _signer(words: int, bands: int, rows: int):
+def _signer(words: int, bands: int, rows: int, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * _ODD[0])
         for batch in batches:
-            ids, counts, sets, keys = batch.column(0), [], [], []
+            ids, counts, sets, keys, kept = batch.column(0), [], [], [], []
             for text in batch.column(1):
                 h = shingle_hashes(text.as_py() or b"", words)
                 counts.append(len(h))
                 if not len(h):
                     sets.append(None)
                     keys.append(None)
+                    kept.append(None)
                     continue
                 sets.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
-                s, key = sketch(h, bands * rows).reshape(bands, rows), seeds
+                whole = sketch(h, bins)
+                s, key = whole[:bands * rows].reshape(bands, rows), seeds
                 for i in range(rows):
                     key = _mixed((key + s[:, i]) * _ODD[0])
                 keys.append(key.view(np.int64))
+                kept.append(whole.astype(np.uint16).view(np.int16))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(counts, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_id", "bands"])
+                [ids, pa.array(counts, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(kept, pa.list_(pa.int16()))], ["doc_id", "n_shingles", "set_id", "bands", "sketch"])
     return run
 
 
@@ -117,7 +120,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(100 * F.col("both") >= percent * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 4, centres: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked when 100 * |A & B| >= percent * |A | B| on
@@ -126,12 +129,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     document itself included; kept says that it is that document.
 
     Documents with the same set form a class, named by its smallest
-    doc_id; only classes are banded.  In a bucket of equal band keys,
-    every member is verified against the smallest one first.  A bucket
-    whose members are then not all in one component goes on with the next
-    2, 4, 8, ... members as centres until it is in one component or all
-    its pairs across components have been verified: no cap, no lost pair,
-    and a group of near copies costs a star and not a square.
+    doc_id; only classes are banded.  In a bucket of equal band keys every
+    member is first verified against ``centres`` members drawn by hash,
+    others in each bucket, so a group of near copies costs a few stars and
+    not a square.  A bucket that is then still in several components has
+    the members outside its largest one compared with all that are not of
+    their own component: each pair once, in the first bucket it shares,
+    and verified unless its sketches agree in so few coordinates that a
+    pair at the threshold would have to be five standard deviations off.
 
     A text that is null or without words has an empty set and is linked
     with nothing.  A row without doc_id is linked with nothing either:
@@ -139,55 +144,60 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     their own text.  Other columns are not read.
     """
     bands = bands_for(percent, rows)
+    bins = max(128, bands * rows)
+    share = percent / 100
+    agree = math.floor(bins * share - 5 * math.sqrt(bins * share * (1 - share)))
     signed = staged(docs.select("doc_id", docs["text"].cast("binary").alias("text"))
-                    .mapInArrow(_signer(words, bands, rows),
-                                "doc_id long, n_shingles long, set_id binary, bands array<long>"), "near-signed")
+                    .mapInArrow(_signer(words, bands, rows, bins), "doc_id long, n_shingles long, set_id binary, "
+                                "bands array<long>, sketch array<short>"), "near-signed")
     named = signed.where("doc_id is not null and set_id is not null")
-    classes = named.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("c"),
-                                          F.count("*").alias("copies"))
-    keyed = staged(classes.select(F.col("c.doc_id").alias("node"), F.col("c.n_shingles").alias("n"),
-                                  F.explode("c.bands").alias("key")), "near-keyed")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first"),
-                                      F.max("node").alias("last")).where("first < last")
-    members = staged(keyed.join(shared, "key").select("key", "size", "first", "node", "n"), "near-members")
-    drop_staged(keyed)
+    classes = staged(named.groupBy("set_id").agg(
+        F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("c"), F.count("*").alias("copies"))
+        .select("set_id", F.col("c.doc_id").alias("node"), F.col("c.n_shingles").alias("n"), "c.bands", "c.sketch",
+                "copies"), "near-classes")
+    keyed = classes.select("node", "n", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi")) \
+        .where("lo < hi").select("key", "size")
+    drawn = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
+    members = staged(keyed.join(shared, "key").withColumn("r", F.row_number().over(drawn)), "near-members")
     needed = members.select(F.col("node").alias("doc_id")).distinct()
     sets = staged(docs.select("doc_id", docs["text"].cast("binary").alias("text")).join(needed, "doc_id", "left_semi")
                   .mapInArrow(_setter(words), "node long, hashes array<long>"), "near-sets")
 
-    size = members.select(F.col("node").alias("first"), F.col("n").alias("n_first")).distinct()
-    close = 100 * F.least("n", "n_first") >= percent * F.greatest("n", "n_first")
-    pairs = members.where("node != first").select("first", "node", "n").distinct().join(size, "first") \
-        .where(close).select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
-    links = staged(_verified(pairs, sets, percent), "near-links")
-    linked = components(links)
-    used, more = 1, 2
-    while True:
-        at = linked.withColumnRenamed("component", "c")
-        now = members.where(F.col("size") > used + 1).join(at, "node", "left") \
-            .select("key", "node", "n", F.coalesce("c", "node").alias("c"))
-        split = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        now = staged(now.join(split, "key", "left_semi")
-                     .withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1), "near-open")
-        if now.isEmpty():
-            drop_staged(now)
-            break
-        centre = now.where(F.col("r").between(used, used + more - 1)) \
-            .select("key", F.col("node").alias("first"), F.col("n").alias("n_first"), F.col("c").alias("c_first"),
-                    F.col("r").alias("r_first"))
-        pairs = now.join(centre, "key").where("r > r_first and c != c_first").where(close) \
-            .select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
-        links = links.unionByName(staged(_verified(pairs, sets, percent), "near-links"))
-        drop_staged(now)
-        linked = components(links)
-        used, more = used + more, 2 * more
-
-    copies = classes.where("copies > 1").select("set_id", F.col("c.doc_id").alias("class"))
-    rows_ = signed.select("doc_id", "n_shingles", "set_id").withColumn(
-        "set_id", F.coalesce("set_id", F.col("doc_id").cast("string").cast("binary")))
-    node = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
-    out = rows_.join(copies, "set_id", "left").withColumn("node", node).join(linked, "node", "left")
-    component = F.coalesce("component", "node")
+    def other(df: DataFrame) -> DataFrame:
+        return df.select("key", *[F.col(c).alias(f"{c}_2") for c in df.columns if c != "key"])
+
+    close = 100 * F.least("n", "n_2") >= percent * F.greatest("n", "n_2")
+    pair = [F.least("node", "node_2").alias("u"), F.greatest("node", "node_2").alias("v")]
+    stars = members.join(other(members.where(F.col("r") <= centres).drop("size")), "key") \
+        .where((F.col("r") > F.col("r_2")) & close & (F.col("node") != F.col("node_2"))).select(*pair).distinct()
+    linked = staged(components(_verified(stars, sets, percent)), "near-linked")
+
+    now = members.where(F.col("size") > centres + 1).join(linked, "node", "left") \
+        .select("key", "node", "n", F.coalesce("component", "node").alias("c"))
+    largest = now.groupBy("key", "c").count().groupBy("key").agg(
+        F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    now = staged(now.join(largest, "key").join(classes.select("node", "bands", "sketch"), "node")
+                 .withColumn("out", F.col("c") != F.col("main")).drop("main"), "near-open")
+    once = (~F.col("out_2") | (F.col("node") < F.col("node_2"))) & (F.col("c") != F.col("c_2"))
+    first = F.expr("filter(zip_with(bands, bands_2, (x, y) -> if(x = y, x, null)), x -> x is not null)[0] = key")
+    alike = F.size(F.filter(F.zip_with("sketch", "sketch_2", lambda x, y: x == y), lambda x: x)) >= agree
+    rest = now.where("out").join(other(now), "key").where(once & close & alike & first).select(*pair)
+    c_u = linked.select(F.col("node").alias("u"), F.col("component").alias("c_u"))
+    c_v = linked.select(F.col("node").alias("v"), F.col("component").alias("c_v"))
+    joined = staged(components(
+        _verified(rest, sets, percent).join(c_u, "u", "left").join(c_v, "v", "left")
+        .select(F.coalesce("c_u", "u").alias("u"), F.coalesce("c_v", "v").alias("v"))), "near-joined")
+
+    copies = classes.where("copies > 1").select("set_id", F.col("node").alias("class"))
+    out = signed.select("doc_id", "n_shingles", F.coalesce(
+        F.when(F.col("doc_id").isNotNull(), F.col("set_id")),
+        F.coalesce("doc_id", F.xxhash64("set_id")).cast("string").cast("binary")).alias("set_id"))
+    out = out.join(copies, "set_id", "left") \
+        .withColumn("node", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))) \
+        .join(linked, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component") \
+        .join(joined.withColumnRenamed("node", "c"), "c", "left")
+    component = F.coalesce("component", "c")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
