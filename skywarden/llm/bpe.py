@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from skywarden.llm.common import ship_package
 from skywarden.llm.tokens import PieceEncoder
 
 
@@ -131,6 +132,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, keep_ids: b
     nothing.  doc_id is carried as it is, null and repeated ones too;
     other columns are not read.
     """
+    ship_package(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoder = text_encoder(vocab_path, pattern)
         for batch in batches:

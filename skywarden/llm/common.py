@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Executors need not have it installed; Spark's file server hands out
+    the archive, as with ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_skywarden_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = os.path.join(tempfile.mkdtemp(prefix="skywarden-"), "skywarden.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "skywarden")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)
+    sc._skywarden_shipped = True
+
+
 def text_of(docs: DataFrame) -> Column:
     """The text, with null read as the empty string."""
     return F.coalesce(docs["text"], F.lit(""))

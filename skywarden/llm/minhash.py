@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skywarden.llm.common import components, staged
+from skywarden.llm.common import components, ship_package, staged
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -143,6 +143,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     component_id null, kept.  Rows that repeat a doc_id are each judged by
     their own text.  Other columns are not read.
     """
+    ship_package(docs.sparkSession)
     bands = bands_for(percent, rows)
     bins = max(128, bands * rows)
     share = percent / 100

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skywarden.llm.common import ranked, staged
+from skywarden.llm.common import ranked, ship_package, staged
 from skywarden.llm.tokens import encoded
 
 
@@ -120,6 +120,7 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int = 2, capacity: int = 1024
     packed one by one, whether or not doc_id is null or repeated.  Other
     columns are not read.  An empty table gives no rows.
     """
+    ship_package(docs.sparkSession)
     found = staged(document_pieces(docs, vocab_path, end_id, capacity, keep_ids), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = _places(plan_bins(histogram, capacity))

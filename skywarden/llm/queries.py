@@ -5,22 +5,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import bpe, exact, minhash, packing, tokenfile
+from skywarden.llm import bpe, exact, fingerprint, minhash, packing, quality, sharding, tokenfile, urlfilter
 from skywarden.llm.common import table
 
 END_ID = 2
 VOCAB_SIZE = 50_257
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/")]
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                 public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
 
@@ -36,7 +54,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_bpe, op7_packing, op8_exact_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_dedup, op2_fingerprints, op3_sharding, op4_bpe, op5_url_filter, op6_quality, op7_packing, op8_exact_dedup,
+    op10_token_files)}
 
 ORACLES = {
     "op1_minhash_dedup": r"""

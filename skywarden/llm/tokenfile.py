@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skywarden.llm.common import drop_staged, staged, staging_path
+from skywarden.llm.common import drop_staged, ship_package, staged, staging_path
 from skywarden.llm.tokens import encoded
 
 # Fixed values of the file format.  A file is a row of blocks; a block is
@@ -74,6 +74,7 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, vocab_size: int, e
     A null or empty text is a document of the end id alone.  Rows without
     doc_id come first; rows that repeat a doc_id follow one another.
     """
+    ship_package(docs.sparkSession)
     kind = "<u2" if vocab_size <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,6 +129,7 @@ def read_tokens(spark: SparkSession, path: str, keep_ids: bool = True) -> DataFr
 
     start counts the ids of all documents before it, in file order.
     """
+    ship_package(spark)
     ranks = spark.read.parquet(f"{path}/ranks").collect()
     id_of = np.zeros(len(ranks), "<u4")
     for r in ranks:
