@@ -46,41 +46,40 @@ def votes(text: str) -> list[int]:
         vote(text.count("!") / n, 0.3, 0.05),
         vote(1 - len(lower) / n, 0.75, 0.5) if n >= 30 else 0,
         vote(sum(a == b for a, b in zip(words, words[1:])) / n, 0.2, 0.05),
-        vote(sum(not any(map(str.isalnum, w)) for w in words) / n, 0.2, 0.05),
+        vote(sum(not any(map(str.isalnum, w)) for w in words) / n, 0.15, 0.05),
         vote(-sum(lower[w] for w in FUNCTION_WORDS if w in lower) / n, -0.02, -0.08) if n >= 30 else 0,
         vote(1 - len(set(lines)) / len(lines), 0.4, 0.1) if len(lines) >= 5 else 0,
     ]
 
 
 def label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> tuple[float, np.ndarray]:
-    """(share of good texts, P(vote | class) as [class, labeller, vote + 1]) by expectation-maximisation.
+    """(share of good texts, P(good vote | class) as [class, labeller]) by expectation-maximisation.
 
-    ``patterns`` are vote vectors with their numbers of texts.  A labeller
-    that abstains still tells something, and its accuracy is estimated for
-    each class on its own.  The start is the majority of the votes.
+    ``patterns`` are vote vectors with their numbers of texts.  Each
+    labeller has an accuracy of its own in either class, estimated from
+    the texts on which it votes; an abstention says nothing.  The start
+    takes a text with any bad vote for a bad one, as each labeller knows
+    one kind of junk and the others may well like it.
     """
-    seen = np.array([p for p, _ in patterns]) + 1
+    seen = np.array([p for p, _ in patterns])
     weight = np.array([n for _, n in patterns], float)
-    total = (seen - 1).sum(1)
-    good = np.clip(0.5 + 0.45 * np.sign(total), 0.05, 0.95)
+    good = np.where((seen < 0).any(1), 0.1, 0.95)
+    prior, table = 0.5, np.full((2, seen.shape[1]), 0.5)
     for _ in range(rounds):
-        prior = float(np.clip((weight * good).sum() / weight.sum(), 0.01, 0.99))
-        table = np.empty((2, seen.shape[1], 3))
+        prior = float(np.clip((weight * good).sum() / weight.sum(), 0.05, 0.95))
         for c, share in ((0, 1 - good), (1, good)):
-            for v in range(3):
-                table[c, :, v] = ((weight * share)[:, None] * (seen == v)).sum(0) + 1
-        table /= table.sum(2, keepdims=True)
-        before, good = good, posterior(seen - 1, prior, table)
+            n = (weight * share)[:, None]
+            table[c] = ((n * (seen > 0)).sum(0) + 1) / ((n * (seen != 0)).sum(0) + 2)
+        before, good = good, posterior(seen, prior, table)
         if np.abs(before - good).max() < 1e-6:
             break
     return prior, table
 
 
 def posterior(vote_rows: np.ndarray, prior: float, table: np.ndarray) -> np.ndarray:
-    """P(good | votes) for each row."""
-    at = np.arange(vote_rows.shape[1])
-    logs = np.log(table)[:, at, vote_rows + 1].sum(2)
-    odds = np.log(prior / (1 - prior)) + logs[1] - logs[0]
+    """P(good | votes) for each row; the prior where nothing votes."""
+    up, down = np.log(table[1] / table[0]), np.log((1 - table[1]) / (1 - table[0]))
+    odds = np.log(prior / (1 - prior)) + (vote_rows > 0) @ up + (vote_rows < 0) @ down
     return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
@@ -146,8 +145,8 @@ def classify(docs: DataFrame, train_rows: int = 8_000, cut: float = 0.5) -> Data
     sample with the smallest hashes of their texts, and scores every
     document.  kept: the mean of score and posterior reaches ``cut``.
 
-    A null or empty text has no words: score 0.5, posterior of no votes
-    left aside, kept, as there is nothing to hold against it.  Rows with
+    A null or empty text has no words: score and posterior 0.5, kept, as
+    there is nothing to hold against it.  Rows with
     null or repeated doc_id are judged one by one.  Other columns are not
     read.  An empty table gives no rows.
     """

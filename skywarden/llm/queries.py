@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import bpe, exact, fingerprint, minhash, packing, quality, sharding, tokenfile, urlfilter
+from skywarden.llm import (
+    bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, urlfilter,
+)
 from skywarden.llm.common import table
 
 END_ID = 2
 VOCAB_SIZE = 50_257
+#: Stands for a secret that a real run takes from its own configuration.
+PII_KEY = "surrogate key of the registered query"
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
              ("allow", "org", "/fr/")]
 
@@ -47,6 +51,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.fresh_folder(spark)
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
@@ -56,7 +64,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_fingerprints, op3_sharding, op4_bpe, op5_url_filter, op6_quality, op7_packing, op8_exact_dedup,
-    op10_token_files)}
+    op9_pii, op10_token_files)}
 
 ORACLES = {
     "op1_minhash_dedup": r"""
