@@ -14,6 +14,9 @@ from skywarden.llm.common import ship_package
 from skywarden.llm.tokens import PieceEncoder
 
 
+_NEVER = 1 << 60
+
+
 class PrefixBPE:
     """Byte-pair encoding of one pre-token by its prefixes.
 
@@ -28,48 +31,81 @@ class PrefixBPE:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.tails = {t[i:] for t in ranks for i in range(len(t))}
+        # Every end of a token: its own id if it is one, else -1.
+        self.tails = {t[i:]: -1 for t in ranks for i in range(len(t))} | ranks
         self.longest = max(map(len, ranks))
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
+        self.heads: dict[bytes, list[int]] = {}
+        self.spines: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """The merges applied one by one, for strings of a few tokens."""
-        parts = [data[i:i + 1] for i in range(len(data))]
+    def merged(self, data: bytes, below: int = _NEVER) -> list[bytes]:
+        """The merges of rank under ``below`` applied one by one, for strings of a few tokens."""
+        parts, rank = [data[i:i + 1] for i in range(len(data))], self.ranks.get
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 60:
+            least, at = min((rank(a + b, _NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if least >= below:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
 
     def reachable(self, token: int) -> bool:
         """Whether the merges make this token out of its own bytes."""
         known = self.whole.get(token)
         if known is None:
-            known = self.whole[token] = self.merged(self.bytes_of[token]) == [token]
+            known = self.whole[token] = self.merged(self.bytes_of[token]) == [self.bytes_of[token]]
+        return known
+
+    def spine(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """The parts that stand at one edge while the token is made, each with the rank that takes it in.
+
+        ``side`` 0 is the left edge, 1 the right one.  The first entry is
+        the token itself, which nothing takes in.
+        """
+        known = self.spines.get((token, side))
+        if known is None:
+            known, data = [(self.bytes_of[token], _NEVER)], self.bytes_of[token]
+            while len(data) > 1:
+                rank = self.ranks[data]
+                data = self.merged(data, rank)[-side]
+                known.append((data, rank))
+            self.spines[token, side] = known
         return known
 
     def follows(self, a: int, b: int) -> bool:
-        """Whether the merges leave token ``b`` after token ``a`` as it is."""
+        """Whether the merges leave token ``b`` after token ``a`` as it is.
+
+        They do unless, at some time, the part at the right edge of ``a``
+        and the part at the left edge of ``b`` merge before either is
+        taken in on its own side; of equal ranks the left one comes first.
+        """
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 200_000:
+            if len(self.pairs) > 300_000:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            rank = self.ranks.get
+            known = self.pairs[a, b] = not any(
+                (r := rank(x + y)) is not None and r < until_x and r <= until_y
+                for x, until_x in self.spine(a, 1) for y, until_y in self.spine(b, 0))
         return known
 
     def extend(self, data: bytes, last: list[int], stop: int | None = None) -> list[int]:
         """Grow ``last`` (the last tokens of the prefixes of ``data`` known so far) to ``stop`` bytes."""
-        ranks, tails = self.ranks, self.tails
+        tail, known, whole = self.tails.get, self.pairs.get, self.whole.get
         for end in range(len(last) + 1, (len(data) if stop is None else stop) + 1):
-            ending, size = [], 1
-            while size <= end and (tail := data[end - size:end]) in tails:
-                if (token := ranks.get(tail)) is not None:
-                    ending.append((size, token))
-                size += 1
-            for size, token in reversed(ending):
-                if self.reachable(token) and (size == end or self.follows(last[end - size - 1], token)):
+            ending, start = [], end - 1
+            while start >= 0 and (token := tail(data[start:end])) is not None:
+                if token >= 0:
+                    ending.append((start, token))
+                start -= 1
+            for start, token in reversed(ending):
+                if start:
+                    fits = known((last[start - 1], token))
+                    if fits is None:
+                        fits = self.follows(last[start - 1], token)
+                    if not fits:
+                        continue
+                if whole(token) or self.reachable(token):
                     last.append(token)
                     break
             else:
@@ -81,7 +117,15 @@ class PrefixBPE:
         whole = self.ranks.get(data)
         if last is None and whole is not None and self.reachable(whole):
             return [whole]
-        last = self.extend(data, []) if last is None else last
+        if last is None:
+            # Words share their beginnings, and a prefix has one last token whatever follows.
+            head = data[:7]
+            known = self.heads.get(head)
+            if known is None:
+                if len(self.heads) > 100_000:
+                    self.heads.clear()
+                known = self.heads[head] = self.extend(head, [])
+            last = self.extend(data, known.copy()) if len(data) > 7 else known
         out, at = [], len(data)
         while at:
             out.append(last[at - 1])
@@ -120,7 +164,7 @@ def text_encoder(vocab_path: str, pattern: str) -> tuple[PrefixBPE, PieceEncoder
     def encode(text: str) -> tuple[list[int], bytes]:
         ids = [i for match in split.findall(text) for i in bpe.ids(match.encode())]
         return ids, b" ".join(b"%d" % i for i in ids)
-    return bpe, PieceEncoder(lambda texts: [encode(t) for t in texts], keep=60_000)
+    return bpe, PieceEncoder(lambda texts: [encode(t) for t in texts], keep=120_000)
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, keep_ids: bool = True) -> DataFrame:

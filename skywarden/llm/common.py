@@ -48,7 +48,7 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a table that every executor can read again, and
@@ -56,7 +56,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,7 +69,7 @@ def drop_staged(df: DataFrame) -> None:
 
 
 def ranked(df: DataFrame, by: list[str], order: list[str], out: str,
-           chunk_rows: int = 20_000) -> DataFrame:
+           chunk_rows: int = 5_000) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each group of ``by``.
 
     A group larger than ``chunk_rows`` is cut into chunks by a hash of the

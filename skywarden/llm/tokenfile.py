@@ -92,7 +92,7 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, vocab_size: int, e
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
-    ids = staged(docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary"), "ids")
+    ids = staged(docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary"), "ids", "zstd")
     counts = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     by_rank = [r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))]
     total = sum(r["n"] for r in counts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import array
 import functools
 import re
 from collections.abc import Callable, Iterator
@@ -58,38 +59,70 @@ class PieceEncoder:
             pass
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
-        own, young, old = {}, self.young, self.old
-        for p in dict.fromkeys(parts):
-            if p in young:
-                own[p] = young[p]
-            elif p in old:
-                own[p] = young[p] = old[p]
-        missing = [p for p in dict.fromkeys(parts) if p not in own]
-        first = parts[0] if parts[0][-1:] == " " else None
-        for p, value in zip(missing, self.encode_many([p[:-1] if p is first else " " + p for p in missing])):
-            own[p] = value
-            if len(p) <= 48:
-                young[p] = value
-        return list(map(own.__getitem__, parts))
+        young, old, missing = self.young, self.old, []
+        for p in set(parts).difference(young):
+            if p in old:
+                young[p] = old[p]
+            else:
+                missing.append(p)
+        # The first piece is marked by its trailing blank; no other piece holds one.
+        young.update(zip(missing, self.encode_many([p[:-1] if p[-1:] == " " else " " + p for p in missing])))
+        out = list(map(young.__getitem__, parts))
+        for p in missing:
+            if len(p) > 48:
+                del young[p]
+        return out
+
+
+def _byte_level_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Ranks of the tokens of a plain byte-level BPE file, or None if the file is of another kind.
+
+    The merges must stand in the order of the ids that they make.
+    """
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not spec.get("normalizer") and not model.get("ignore_merges") and \
+        before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    if not plain:
+        return None
+    made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    if None in made or made != sorted(made):
+        return None
+    # Byte-level files write the bytes that are not printable as the characters from 256 on.
+    shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b > 173]
+    byte_of = {chr(b): b for b in shown}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte_of.values())}
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    return {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
 
 
 @functools.lru_cache(maxsize=2)
 def id_encoder(vocab_path: str) -> PieceEncoder:
-    """Pieces to little-endian 32-bit ids, by the tokenizers library.
+    """Pieces to little-endian 32-bit ids, as the tokenizers library makes them from its file.
 
-    Strings of special tokens in a text are ordinary text.
+    Pieces of a plain byte-level BPE are encoded by tiktoken's faster
+    merges from the same file; files of any other kind go through the
+    tokenizers library itself.  Strings of special tokens in a text are
+    ordinary text.
     """
+    import json
     import os
 
+    with open(vocab_path, encoding="utf-8") as f:
+        ranks = _byte_level_ranks(json.load(f))
+    if ranks is not None:
+        import public_tokenizers
+        import tiktoken
+
+        own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return PieceEncoder(lambda texts: [array.array("I", own.encode_ordinary(t)).tobytes() for t in texts])
+
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocab_path)
     tokenizer.encode_special_tokens = True
-
-    def encode_many(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    return PieceEncoder(encode_many)
+    # Other pre-tokenizers need not start anew at a blank: whole texts, nothing remembered.
+    return lambda text: [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
 
 
 def encoded(batch: pa.RecordBatch, column: int, vocab_path: str, end_id: int) -> Iterator[bytes]:
