@@ -26,7 +26,9 @@ def propagate(cells: DataFrame, capacities: list[int], rounds: int) -> DataFrame
     moved there if that holds more members than its own shard does.  The
     room of a shard is dealt out in order by running totals, so that no
     shard ever exceeds its capacity; a cell that only fits in part is
-    split.  Ends when nothing moves.
+    split.  Ends when nothing moves.  Cells move into room and do not swap
+    places, so documents without links, which are placed last, are what
+    makes room; where all are linked, few can move.
     """
     shards = len(capacities)
     for round_ in range(rounds):
