@@ -73,8 +73,8 @@ def disk_text(used, total) -> Column:
 
 
 def speed_text(v) -> Column:
-    """Three decimals, NULL -> ``"0"``."""
-    return F.coalesce(F.format_string("%.3f", _c(v).cast("double")), F.lit("0"))
+    """Three decimals, ties to even, NULL -> ``"0"``."""
+    return F.coalesce(F.format_string("%.3f", F.bround(_c(v).cast("double"), 3)), F.lit("0"))
 
 
 def route_label(dep, arr) -> Column:
@@ -85,7 +85,7 @@ def route_label(dep, arr) -> Column:
 def is_blank(s) -> Column:
     """NULL, empty, only blanks, or the text ``null`` in any case."""
     x = _c(s)
-    return x.isNull() | (F.trim(x) == "") | (F.lower(x) == "null")
+    return x.isNull() | x.rlike(r"\A[\x00-\x20]*\z") | (F.lower(x) == "null")
 
 
 def distinct_nonempty(arr) -> Column:

@@ -48,11 +48,15 @@ def unescape(col) -> Column:
     no valid escape makes the whole value NULL (the caller drops the key).
     """
     s = _c(col)
-    toks = F.regexp_extract_all(s, F.lit(r"%u[0-9a-fA-F]{4}|%[0-9a-fA-F]{2}|%|[^%]+"), 0)
+    # A surrogate pair is one token; half a pair is no character.
+    unit = r"%u(?![dD][89a-fA-F])[0-9a-fA-F]{4}"
+    pair = r"%u[dD][89abAB][0-9a-fA-F]{2}%u[dD][c-fC-F][0-9a-fA-F]{2}"
+    toks = F.regexp_extract_all(s, F.lit(rf"{pair}|%u[0-9a-fA-F]{{4}}|%[0-9a-fA-F]{{2}}|%|[^%]+"), 0)
 
     def dec(t: Column) -> Column:
-        return (F.when(t.rlike(r"^%u[0-9a-fA-F]{4}$"),
-                       F.decode(F.unhex(F.substring(t, 3, 4)), "UTF-16BE"))
+        return (F.when(t.rlike(f"^(?:{unit}|{pair})$"),
+                       F.decode(F.unhex(F.regexp_replace(t, "%u", "")), "UTF-16BE"))
+                .when(t.rlike(r"^%u[0-9a-fA-F]{4}$"), F.lit("?"))
                 .when(t.rlike(r"^%[0-9a-fA-F]{2}$"),
                       F.decode(F.unhex(F.concat(F.lit("00"), F.substring(t, 2, 2))), "UTF-16BE"))
                 .when(t == "%", F.lit(None).cast("string"))
@@ -85,9 +89,11 @@ def _kv_entries(pairs: Column, decode) -> Column:
 def _last_wins_map(entries: Column) -> Column:
     """Entries -> map where the last duplicate key wins (a plain
     ``map_from_entries`` raises on duplicates under the default policy)."""
-    empty = F.create_map().cast("map<string,string>")
-    return F.aggregate(entries, empty, lambda acc, e: F.map_concat(
-        F.map_filter(acc, lambda k, v: k != e["k"]), F.create_map(e["k"], e["v"])))
+    placed = F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v")))
+    # One sort, bound to a lambda variable so that it is not run per entry.
+    last = F.transform(F.array(F.array_sort(placed)), lambda s: F.filter(
+        s, lambda e, i: F.coalesce(F.get(s, i + 1)["k"] != e["k"], F.lit(True))))[0]
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"])))
 
 
 def _cookie_decode(v: Column) -> Column:

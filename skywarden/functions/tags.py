@@ -1,13 +1,14 @@
 """Classification and tagging expressions (D1-D6, B27) and regex helpers.
 
-Rules are small configuration lists, so each rule group is folded into a
-single alternation pattern literal: one compiled regex per row and group,
-evaluated inside whole-stage codegen.
+Rules are small configuration lists: each is one anchored pattern literal,
+and a group of them is a disjunction inside the projection.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +46,10 @@ def full_pattern(patterns: Sequence[str]) -> str | None:
 
 def matches_any(col, patterns: Sequence[str]) -> Column:
     """True when ``col`` fully matches one of ``patterns`` (False if none)."""
-    pat = full_pattern(patterns)
-    if pat is None:
-        return F.lit(False)
-    return F.coalesce(_c(col).rlike(pat), F.lit(False))
+    # One match per pattern: joined into one, back-references would shift.
+    hits = [_c(col).rlike(full_pattern([p])) for p in patterns if p]
+    return F.coalesce(F.array_contains(F.array(*hits), True) if len(hits) > 16 else reduce(or_, hits),
+                      F.lit(False)) if hits else F.lit(False)
 
 
 def request_flag(request) -> Column:

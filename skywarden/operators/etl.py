@@ -30,8 +30,6 @@ from ..schemas import PROCESSED_FIELDS, RAW_SEP
 
 QUERY_KEYS = ["depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country",
               "travelType"]
-# Upper bound on parse / classification rules inlined into one plan.
-MAX_RULES = 2000
 
 
 @dataclass
@@ -65,11 +63,6 @@ class EtlRules:
     book_rules: list = dc_field(default_factory=list)
 
     def check(self) -> "EtlRules":
-        n = sum(len(x) for x in (self.filter_rules, self.nation_query, self.internation_query,
-                                 self.nation_book, self.internation_book, self.query_rules,
-                                 self.book_rules))
-        if n > MAX_RULES:
-            raise ValueError(f"{n} rules exceed the inline bound {MAX_RULES}")
         return self
 
 

@@ -15,7 +15,6 @@ from ..plans.fixtures import RULE_NAMES
 
 # Upper bound on configured rules compiled into the scoring projection
 # (one column per rule; real configurations hold tens of rules).
-MAX_INLINE_RULES = 2000
 
 
 def process_table(region: DataFrame) -> DataFrame:
@@ -91,20 +90,14 @@ def flow_config_from_tables(spark, region: DataFrame, nation: DataFrame) -> Data
                        crawler_rules(rule_table(nation), rule_dictionary(spark)))
 
 
-def collect_flows(flows: DataFrame, max_rules: int = MAX_INLINE_RULES) -> list:
-    """Flow configuration as Python rows, refusing anything unbounded.
+def collect_flows(flows: DataFrame) -> list:
+    """Flow configuration as Python rows, in flow order.
 
-    The configuration is compiled into the scoring projection (no join,
-    no shuffle).  One bounded read: at most ``max_rules + 1`` flows come
-    back, and the rule count is checked before anything is built.
+    The configuration is what people have entered, not data: it is read
+    whole, however many rules it has, and compiled into the scoring
+    projection (no join, no shuffle).
     """
-    rows = flows.orderBy("flow_id").limit(max_rules + 1).collect()
-    n_rules = len(rows) + sum(len(r["rules"]) for r in rows)
-    if len(rows) > max_rules or n_rules > max_rules:
-        # Every metric row is scored against every rule, so the rule set
-        # is a per-row cost, not data to shuffle: refuse, do not degrade.
-        raise ValueError(f"{n_rules} configured flows/rules exceed the inline bound {max_rules}")
-    return rows
+    return flows.orderBy("flow_id").collect()
 
 
 def flow_model_list(nation: DataFrame, region: DataFrame) -> DataFrame:

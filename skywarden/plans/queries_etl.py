@@ -22,7 +22,7 @@ def _events(spark, sf):
 
 
 def _raw(spark, sf):
-    return fx.raw_lines(fx.table(spark, sf, "events", spread=False))
+    return fx.raw_lines(fx.table(spark, sf, "events"))
 
 
 RAW_SQL = f"raw AS ({fx.RAW_LINES_SQL})"
@@ -169,7 +169,7 @@ ok AS (SELECT event_id, a[1] AS k, url_decode(replace(a[2], '+', ' ')) AS v, o F
 SELECT event_id, k AS key, arg_max(v, o) AS value FROM ok WHERE v IS NOT NULL GROUP BY event_id, k
 """)
 def q_form_params(spark, sf):
-    r = fx.raw_lines_keyed(fx.table(spark, sf, "events", spread=False))
+    r = fx.raw_lines_keyed(fx.table(spark, sf, "events"))
     body = F.get(F.split("value", "#CS#", -1), 4)
     return r.select("event_id", F.explode(form_params(body)).alias("key", "value"))
 
@@ -185,7 +185,7 @@ ok AS (SELECT event_id, a[1] AS k, url_decode(replace(a[2], '+', ' ')) AS v, o F
 SELECT event_id, k AS key, arg_max(v, o) AS value FROM ok WHERE v IS NOT NULL GROUP BY event_id, k
 """)
 def q_cookie_map(spark, sf):
-    r = fx.raw_lines_keyed(fx.table(spark, sf, "events", spread=False))
+    r = fx.raw_lines_keyed(fx.table(spark, sf, "events"))
     cookie = F.get(F.split("value", "#CS#", -1), 10)
     return r.select("event_id", F.explode(cookie_map(cookie)).alias("key", "value"))
 

@@ -36,7 +36,7 @@ def _points(spark, sf):
 
 
 def _links(spark, sf):
-    return mf.link_points(fx.table(spark, sf, "events", spread=False))
+    return mf.link_points(fx.table(spark, sf, "events"))
 
 
 TP = f"tp AS ({mf.THROUGHPUT_SQL})"

@@ -168,7 +168,7 @@ SELECT DISTINCT k AS key FROM (SELECT id AS k FROM tp UNION ALL SELECT key FROM
 """)
 def q_monitor_keys(spark, sf):
     """Set union of the keys of two point stores, in key order."""
-    ev = fx.table(spark, sf, "events", spread=False)
+    ev = fx.table(spark, sf, "events")
     a = mf.throughput_points(fx.table(spark, sf, "events")).select(F.col("id").alias("key"))
     b = mf.link_points(ev).select("key")
     return a.union(b).distinct().orderBy("key")
@@ -182,7 +182,9 @@ def _e2e_sql() -> str:
     from .fixtures import requests_sql
     from .catalog import _ALL_SQL
     from .sqlparts import sql_request_flag, sql_spider_flag
-    metrics = METRICS_CTE.replace(f"req AS ({requests_sql()})", f"req AS ({_ETL_SQL})")
+    metrics = METRICS_CTE.replace(
+        f"req AS ({requests_sql()})",
+        f"lines AS ({_ETL_SQL}), req AS (SELECT * FROM lines WHERE behaviorType = 'Query')")
     return f"""
 WITH {metrics}, {FLOWS_CTE}, {SCORES_CTE},
 hot AS (SELECT DISTINCT window_start, ip FROM scores WHERE score > flow_limit),
@@ -191,7 +193,7 @@ bl AS (SELECT DISTINCT s.ip AS remoteAddr, s.flow_id AS flowID FROM scores s
 tagged AS (
   SELECT r.request, {sql_request_flag('r.request')} AS requestType, {sql_spider_flag('b.flowID')} AS isSpider,
          r.travelType, r.flightType, substr(r.timeIso8601, 1, 10) AS visitTime
-  FROM req r LEFT JOIN bl b ON r.remoteAddr = b.remoteAddr)
+  FROM lines r LEFT JOIN bl b ON r.remoteAddr = b.remoteAddr)
 {_ALL_SQL}
 """
 
@@ -214,9 +216,10 @@ def q_scored_indicators(spark, sf):
     from ..session import checkpoint_root
     checkpoint_root(spark)
     ev = fx.table(spark, sf, "events")
-    processed = E.etl(fx.raw_lines(fx.table(spark, sf, "events", spread=False)), fx.etl_rules(),
+    processed = E.etl(fx.raw_lines(fx.table(spark, sf, "events")), fx.etl_rules(),
                       fx.hot_ips(ev)).checkpoint()
-    metrics = W.ip_window_metrics(processed, fx.CRITICAL_PAGES, 86400)
+    queries, _ = E.split_by_behavior(processed)  # C3: only query lines are scored
+    metrics = W.ip_window_metrics(queries, fx.CRITICAL_PAGES, 86400)
     flows = R.collect_flows(R.flow_config_from_tables(spark, fx.table(spark, sf, "region"),
                                                       fx.table(spark, sf, "nation")))
     entries = S.blacklist_entries(S.flatten_flows(S.score_flows(metrics, flows)))

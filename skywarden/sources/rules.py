@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.etl import MAX_RULES, EtlRules, ParseRule
+from ..operators.etl import EtlRules, ParseRule
 
 # Table names.
 FILTER_TABLE = "nh_filter_rule"
@@ -32,13 +32,6 @@ CLASSIFY_GROUPS = {(0, 0): "nation_query", (1, 0): "internation_query",
                    (0, 1): "nation_book", (1, 1): "internation_book"}
 
 
-def _bounded_rows(df: DataFrame, limit: int = MAX_RULES) -> list:
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"rule table exceeds {limit} rows")
-    return rows
-
-
 @dataclass
 class RuleStore:
     spark: SparkSession
@@ -74,13 +67,13 @@ class RuleStore:
 
     @staticmethod
     def _filter_rules(df):
-        return [] if df is None else [r["value"] for r in _bounded_rows(df.select("value"))]
+        return [] if df is None else [r["value"] for r in df.select("value").collect()]
 
     @staticmethod
     def _classify(df):
         groups = {g: [] for g in CLASSIFY_GROUPS.values()}
         if df is not None:
-            for r in _bounded_rows(df.select("expression", "flight_type", "operation_type").orderBy("id")):
+            for r in df.select("expression", "flight_type", "operation_type").orderBy("id").collect():
                 g = CLASSIFY_GROUPS.get((r["flight_type"], r["operation_type"]))
                 if g:
                     groups[g].append(r["expression"])
@@ -91,7 +84,7 @@ class RuleStore:
         query, book = [], []
         if df is None:
             return query, book
-        for r in _bounded_rows(df.orderBy("id")):
+        for r in df.orderBy("id").collect():
             d = r.asDict()
             flag = lambda k: str(d.get(k, "false")).lower() == "true"
             rule = ParseRule(
@@ -120,7 +113,7 @@ class RuleStore:
 
     def critical_pages(self) -> list[str]:
         return self._load(CRITICAL_PAGES_TABLE, lambda df: [] if df is None else [
-            r[0] for r in _bounded_rows(df.select("criticalPageMatchExpression"))])
+            r[0] for r in df.select("criticalPageMatchExpression").collect()])
 
 
 def write_rule_tables(spark: SparkSession, root: str, rules: EtlRules, version: int = 1,
