@@ -73,29 +73,26 @@ def bands_for(percent: int, rows: int = 4, miss: float = 1e-6) -> int:
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
-def _signer(words: int, bands: int, rows: int, bins: int):
+def _signer(words: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * _ODD[0])
         for batch in batches:
-            ids, counts, sets, keys, kept = batch.column(0), [], [], [], []
+            ids, counts, sets, keys = batch.column(0), [], [], []
             for text in batch.column(1):
                 h = shingle_hashes(text.as_py() or b"", words)
                 counts.append(len(h))
                 if not len(h):
                     sets.append(None)
                     keys.append(None)
-                    kept.append(None)
                     continue
                 sets.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
-                whole = sketch(h, bins)
-                s, key = whole[:bands * rows].reshape(bands, rows), seeds
+                s, key = sketch(h, bands * rows).reshape(bands, rows), seeds
                 for i in range(rows):
                     key = _mixed((key + s[:, i]) * _ODD[0])
                 keys.append(key.view(np.int64))
-                kept.append(whole.astype(np.uint16).view(np.int16))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(counts, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(kept, pa.list_(pa.int16()))], ["doc_id", "n_shingles", "set_id", "bands", "sketch"])
+                [ids, pa.array(counts, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set_id", "bands"])
     return run
 
 
@@ -120,6 +117,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(100 * F.col("both") >= percent * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
 
 
+def rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, rare): of each set the shingles of which a linked set must hold one at least.
+
+    A set of n shingles shares percent * n / 100 of them with any set it is
+    linked to.  With all shingles in one order, the rarest first, two such
+    sets meet among the first n - ceil(percent * n / 100) + 1 of each.
+    Shingles that no other set holds take up places and are left out, so a
+    set that differs from all others in enough of them has none to look at.
+    """
+    each = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
+    often = each.groupBy("hash").agg(F.count("*").alias("df")).where("df > 1")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("held"))
+    return each.join(often, "hash").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "hash"))).alias("held")) \
+        .withColumn("first", first.cast("int")).where("first > 0") \
+        .select("node", F.slice("held", F.lit(1), F.col("first"))["hash"].alias("rare"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 4, centres: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -133,10 +147,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     member is first verified against ``centres`` members drawn by hash,
     others in each bucket, so a group of near copies costs a few stars and
     not a square.  A bucket that is then still in several components has
-    the members outside its largest one compared with all that are not of
-    their own component: each pair once, in the first bucket it shares,
-    and verified unless its sketches agree in so few coordinates that a
-    pair at the threshold would have to be five standard deviations off.
+    the members outside its largest one compared with those that are not
+    of their own component, share a bucket with them and hold one of their
+    rarest shingles (:func:`rarest`), which loses no pair at the threshold.
 
     A text that is null or without words has an empty set and is linked
     with nothing.  A row without doc_id is linked with nothing either:
@@ -145,17 +158,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     """
     ship_package(docs.sparkSession)
     bands = bands_for(percent, rows)
-    bins = max(128, bands * rows)
-    share = percent / 100
-    agree = math.floor(bins * share - 5 * math.sqrt(bins * share * (1 - share)))
     signed = staged(docs.select("doc_id", docs["text"].cast("binary").alias("text"))
-                    .mapInArrow(_signer(words, bands, rows, bins), "doc_id long, n_shingles long, set_id binary, "
-                                "bands array<long>, sketch array<short>"), "near-signed")
+                    .mapInArrow(_signer(words, bands, rows), "doc_id long, n_shingles long, set_id binary, bands array<long>"),
+                    "near-signed")
     named = signed.where("doc_id is not null and set_id is not null")
     classes = staged(named.groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("c"), F.count("*").alias("copies"))
-        .select("set_id", F.col("c.doc_id").alias("node"), F.col("c.n_shingles").alias("n"), "c.bands", "c.sketch",
-                "copies"), "near-classes")
+        F.min(F.struct("doc_id", "n_shingles", "bands")).alias("c"), F.count("*").alias("copies"))
+        .select("set_id", F.col("c.doc_id").alias("node"), F.col("c.n_shingles").alias("n"), "c.bands", "copies"),
+                     "near-classes")
     keyed = classes.select("node", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi")) \
         .where("lo < hi").select("key", "size")
@@ -178,12 +188,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         .select("key", "node", "n", F.coalesce("component", "node").alias("c"))
     largest = now.groupBy("key", "c").count().groupBy("key").agg(
         F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    now = staged(now.join(largest, "key").join(classes.select("node", "bands", "sketch"), "node")
-                 .withColumn("out", F.col("c") != F.col("main")).drop("main"), "near-open")
+    now = staged(now.join(largest, "key").groupBy("node", "n", "c").agg(F.max(F.col("c") != F.col("main")).alias("out"))
+                 .join(classes.select("node", "bands"), "node"), "near-open")
+    found = now.join(rarest(sets.join(now.select("node"), "node", "left_semi"), percent), "node") \
+        .withColumn("key", F.explode("rare")).drop("rare")
     once = (~F.col("out_2") | (F.col("node") < F.col("node_2"))) & (F.col("c") != F.col("c_2"))
-    first = F.expr("filter(zip_with(bands, bands_2, (x, y) -> if(x = y, x, null)), x -> x is not null)[0] = key")
-    alike = F.size(F.filter(F.zip_with("sketch", "sketch_2", lambda x, y: x == y), lambda x: x)) >= agree
-    rest = now.where("out").join(other(now), "key").where(once & close & alike & first).select(*pair)
+    rest = found.where("out").join(other(found), "key") \
+        .where(once & close & F.arrays_overlap("bands", "bands_2")).select(*pair).distinct()
     c_u = linked.select(F.col("node").alias("u"), F.col("component").alias("c_u"))
     c_v = linked.select(F.col("node").alias("v"), F.col("component").alias("c_v"))
     joined = staged(components(
