@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywarden.llm.common import components, ship_package, staged
@@ -118,20 +118,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, rare): of each set the shingles of which a linked set must hold one at least.
+    """(node, key, after): of each set the shingles of which a linked set must hold one at least.
 
     A set of n shingles shares percent * n / 100 of them with any set it is
     linked to.  With all shingles in one order, the rarest first, two such
     sets meet among the first n - ceil(percent * n / 100) + 1 of each.
-    Shingles that no other set holds take up places and are left out, so a
-    set that differs from all others in enough of them has none to look at.
+    ``after`` counts the shingles of the set from this one on: at the first
+    one that two sets share, no more than the lesser count are shared.
+    Shingles that no other set holds come first and are left out, so a set
+    that differs from all others in enough of them has none to look at.
     """
     each = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
     often = each.groupBy("hash").agg(F.count("*").alias("df")).where("df > 1")
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("held"))
     return each.join(often, "hash").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "hash"))).alias("held")) \
         .withColumn("first", first.cast("int")).where("first > 0") \
-        .select("node", F.slice("held", F.lit(1), F.col("first"))["hash"].alias("rare"))
+        .select("node", F.size("held").alias("size"), F.posexplode(F.slice("held", F.lit(1), F.col("first"))["hash"])
+                .alias("pos", "key")).select("node", "key", (F.col("size") - F.col("pos")).alias("after"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 4, centres: int = 3) -> DataFrame:
@@ -144,8 +147,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
 
     Documents with the same set form a class, named by its smallest
     doc_id; only classes are banded.  In a bucket of equal band keys every
-    member is first verified against ``centres`` members drawn by hash,
-    others in each bucket, so a group of near copies costs a few stars and
+    member is first verified against the most central one, which shares
+    most buckets, and ``centres`` drawn by hash, others in each bucket, so a group of near copies costs a few stars and
     not a square.  A bucket that is then still in several components has
     the members outside its largest one compared with those that are not
     of their own component, share a bucket with them and hold one of their
@@ -169,8 +172,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     keyed = classes.select("node", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi")) \
         .where("lo < hi").select("key", "size")
-    drawn = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
-    members = staged(keyed.join(shared, "key").withColumn("r", F.row_number().over(drawn)), "near-members")
+    members = staged(keyed.join(shared, "key"), "near-members")
     needed = members.select(F.col("node").alias("doc_id")).distinct()
     sets = staged(docs.select("doc_id", docs["text"].cast("binary").alias("text")).join(needed, "doc_id", "left_semi")
                   .mapInArrow(_setter(words), "node long, hashes array<long>"), "near-sets")
@@ -180,21 +182,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
 
     close = 100 * F.least("n", "n_2") >= percent * F.greatest("n", "n_2")
     pair = [F.least("node", "node_2").alias("u"), F.greatest("node", "node_2").alias("v")]
-    stars = members.join(other(members.where(F.col("r") <= centres).drop("size")), "key") \
-        .where((F.col("r") > F.col("r_2")) & close & (F.col("node") != F.col("node_2"))).select(*pair).distinct()
+    # The most central member, by the sizes of its buckets, and others by hash: no bucket is sorted.
+    weighed = members.join(members.groupBy("node").agg(F.sum("size").alias("weight")), "node")
+    by = [-F.col("weight"), *[F.xxhash64("node", "key", F.lit(i)) for i in range(centres)]]
+    chosen = weighed.groupBy("key").agg(*[F.min_by(c, o).alias(f"{c}_{i}") for i, o in enumerate(by) for c in ("node", "n")]) \
+        .select("key", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node_{i}").alias("node"), F.col(f"n_{i}").alias("n"))
+                                                            for i in range(len(by))]))).alias("c")).select("key", "c.*")
+    stars = members.join(other(chosen), "key").where(close & (F.col("node") != F.col("node_2"))).select(*pair).distinct()
     linked = staged(components(_verified(stars, sets, percent)), "near-linked")
 
-    now = members.where(F.col("size") > centres + 1).join(linked, "node", "left") \
+    now = members.where(F.col("size") > 2).join(linked, "node", "left") \
         .select("key", "node", "n", F.coalesce("component", "node").alias("c"))
     largest = now.groupBy("key", "c").count().groupBy("key").agg(
         F.max_by("c", F.struct("count", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     now = staged(now.join(largest, "key").groupBy("node", "n", "c").agg(F.max(F.col("c") != F.col("main")).alias("out"))
                  .join(classes.select("node", "bands"), "node"), "near-open")
-    found = now.join(rarest(sets.join(now.select("node"), "node", "left_semi"), percent), "node") \
-        .withColumn("key", F.explode("rare")).drop("rare")
+    found = now.join(rarest(sets.join(now.select("node"), "node", "left_semi"), percent), "node")
+    enough = (100 + percent) * F.least("after", "after_2") >= percent * (F.col("n") + F.col("n_2"))
     once = (~F.col("out_2") | (F.col("node") < F.col("node_2"))) & (F.col("c") != F.col("c_2"))
     rest = found.where("out").join(other(found), "key") \
-        .where(once & close & F.arrays_overlap("bands", "bands_2")).select(*pair).distinct()
+        .where(once & close & enough & F.arrays_overlap("bands", "bands_2")).select(*pair).distinct()
     c_u = linked.select(F.col("node").alias("u"), F.col("component").alias("c_u"))
     c_v = linked.select(F.col("node").alias("v"), F.col("component").alias("c_v"))
     joined = staged(components(
