@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skywarden.llm.common import ship_package
+from skywarden.llm.common import ship_package, staged
 
 BITS = 13
 # Frequent function words of the four languages of the corpus.
@@ -27,29 +27,122 @@ _SHAPE = [(re.compile(r"\d"), "9"), (re.compile(r"[^\W\d_a-zß-öø-ÿ]"), "A"),
 LABELLERS = ("symbols", "capitals", "shouting", "variety", "stutter", "bare", "function_words", "lines")
 
 
-def votes(text: str) -> list[int]:
-    """One vote per labeller: 1 good, -1 bad, 0 none.  Texts of under 8 words get none."""
-    words = text.split()
-    n = len(words)
-    if n < 8:
-        return [0] * len(LABELLERS)
-    letters = sum(map(str.isalpha, text)) or 1
-    lines = [x for x in text.split("\n") if x.strip()]
-
-    def vote(value: float, bad: float, good: float) -> int:
-        """-1 from ``bad`` on, 1 up to ``good``."""
-        return -1 if value >= bad else 1 if value <= good else 0
-    lower = Counter(w.lower() for w in words)
-    return [
-        vote(len(_SYMBOL.findall(text)) / n, 0.5, 0.05),
-        vote(sum(map(str.isupper, text)) / letters, 0.4, 0.15),
-        vote(text.count("!") / n, 0.3, 0.05),
-        vote(1 - len(lower) / n, 0.75, 0.5) if n >= 30 else 0,
-        vote(sum(a == b for a, b in zip(words, words[1:])) / n, 0.2, 0.05),
-        vote(sum(not any(map(str.isalnum, w)) for w in words) / n, 0.15, 0.05),
-        vote(-sum(lower[w] for w in FUNCTION_WORDS if w in lower) / n, -0.02, -0.08) if n >= 30 else 0,
-        vote(1 - len(set(lines)) / len(lines), 0.4, 0.1) if len(lines) >= 5 else 0,
-    ]
+#: The same shapes for ASCII alone.
+_ASCII_SHAPE = str.maketrans({c: "9" if c.isdigit() else "A" if c.isupper() else "a"
+                              for c in map(chr, range(128)) if c.isalnum()})
+
+
+def _place(kind: bytes, word: str) -> int:
+    return xxhash.xxh3_64_intdigest(kind + word.encode("utf-8", "surrogatepass")) >> 64 - BITS
+
+
+class Words:
+    """What a text's words say, from a table of the words last seen: votes of the labellers and hashed features.
+
+    A word is looked at once and then stands for its row of the table;
+    all else are sums over rows.  The table starts anew at ``keep`` words,
+    and words of over 256 characters are not kept beyond their text.
+    """
+
+    #: Columns of the table: letters, capitals, symbols, exclamation marks, without letters and digits, function word.
+    _COUNTS = 6
+
+    def __init__(self, keep: int = 200_000):
+        self.keep = keep
+        self._clear()
+
+    def _clear(self) -> None:
+        self.row_of: dict[str, int] = {}
+        self.lower_of: dict[str, int] = {}
+        self.shape_of: dict[str, int] = {}
+        self.rows = 0
+        self.counts = np.zeros((1024, self._COUNTS), np.int64)
+        self.places = np.zeros((1024, 3), np.int64)  # of the word, of its shape, number of its lower-cased form
+
+    def _shape_place(self, word: str) -> int:
+        if word.isascii():
+            shape = word.translate(_ASCII_SHAPE)
+        else:
+            shape = word
+            for pattern, symbol in _SHAPE:
+                shape = pattern.sub(symbol, shape)
+        found = self.shape_of.get(shape)
+        if found is None:
+            found = self.shape_of[shape] = _place(b"s", _RUNS.sub(r"\1", shape))
+        return found
+
+    def _learn(self, new: list[str]) -> None:
+        counts, places = [], []
+        for word in new:
+            lower = word.lower()
+            if word.isalpha():
+                capitals = 0 if word.islower() else sum(map(str.isupper, word))
+                counts.append((len(word), capitals, 0, 0, False, lower in FUNCTION_WORDS))
+            else:
+                counts.append((
+                    sum(map(str.isalpha, word)), sum(map(str.isupper, word)), len(_SYMBOL.findall(word)), word.count("!"),
+                    not any(map(str.isalnum, word)), lower in FUNCTION_WORDS))
+            places.append((_place(b"w", lower if len(word) <= 64 else word[:64].lower()), self._shape_place(word[:64]),
+                           self.lower_of.setdefault(lower, len(self.lower_of))))
+        end = self.rows + len(new)
+        while end > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+            self.places = np.concatenate([self.places, np.zeros_like(self.places)])
+        self.counts[self.rows:end], self.places[self.rows:end] = counts, places
+        self.row_of.update(zip(new, range(self.rows, end)))
+        self.rows = end
+
+    def rows_of(self, text: str) -> np.ndarray:
+        """The table's row of each word, in order; good until the next text."""
+        words = text.split()
+        new = list(set(words).difference(self.row_of))
+        if new and self.rows + len(new) > self.keep:
+            self._clear()
+            new = list(set(words))
+        if new:
+            self._learn(new)
+        rows = np.fromiter(map(self.row_of.__getitem__, words), np.int64, len(words))
+        for w in new:
+            if len(w) > 256:
+                del self.row_of[w]
+        return rows
+
+    def votes(self, text: str, rows: np.ndarray) -> list[int]:
+        """One vote per labeller: 1 good, -1 bad, 0 none.  Texts of under 8 words get none."""
+        n = len(rows)
+        if n < 8:
+            return [0] * len(LABELLERS)
+        letters, capitals, symbols, shouts, bare, common = self.counts[rows].sum(0).tolist()
+
+        def vote(value: float, bad: float, good: float) -> int:
+            """-1 from ``bad`` on, 1 up to ``good``."""
+            return -1 if value >= bad else 1 if value <= good else 0
+        lines = [x for x in text.split("\n") if x.strip()] if text.count("\n") >= 4 else []
+        return [
+            vote(symbols / n, 0.5, 0.05),
+            vote(capitals / (letters or 1), 0.4, 0.15),
+            vote(shouts / n, 0.3, 0.05),
+            vote(1 - len(set(self.places[rows, 2].tolist())) / n, 0.75, 0.5) if n >= 30 else 0,
+            vote(int((rows[1:] == rows[:-1]).sum()) / n, 0.2, 0.05),
+            vote(bare / n, 0.15, 0.05),
+            vote(-common / n, -0.02, -0.08) if n >= 30 else 0,
+            vote(1 - len(set(lines)) / len(lines), 0.4, 0.1) if len(lines) >= 5 else 0,
+        ]
+
+    def features(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, amounts) of hashed words, their shapes and repetitions; empty for a text without words."""
+        own, n = np.unique(rows, return_counts=True)
+        amounts = np.bincount(self.places[own, 0], minlength=1 << BITS) \
+            + np.bincount(self.places[own, 1], n, 1 << BITS).astype(np.int64)
+        amounts[0] += (n - 1).sum()
+        places = np.flatnonzero(amounts)
+        return places, amounts[places]
+
+
+def shares(amounts: np.ndarray) -> np.ndarray:
+    """Roots of the amounts, of length 1 together."""
+    values = np.sqrt(amounts)
+    return values / (np.sqrt((values ** 2).sum()) or 1)
 
 
 def label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> tuple[float, np.ndarray]:
@@ -83,40 +176,6 @@ def posterior(vote_rows: np.ndarray, prior: float, table: np.ndarray) -> np.ndar
     return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
-class Features:
-    """Hashed shares of a text's lower-cased words, of their shapes and of whether a word stood before."""
-
-    def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}
-
-    def _of(self, word: str) -> tuple[int, int]:
-        import xxhash
-
-        shape = word[:64]
-        for pattern, symbol in _SHAPE:
-            shape = pattern.sub(symbol, shape)
-        at = lambda kind, x: xxhash.xxh3_64_intdigest(kind + x.encode()) >> 64 - BITS
-        found = at(b"w", word[:64].lower()), at(b"s", _RUNS.sub(r"\1", shape))
-        if len(self.known) > 200_000:
-            self.known.clear()
-        self.known[word] = found
-        return found
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(places, values), the values of length 1 together; empty for a text without words."""
-        counts: Counter = Counter()
-        words = Counter(text.split())
-        for word, n in words.items():
-            at, shape = self.known.get(word) or self._of(word)
-            counts[at] += 1
-            counts[shape] += n
-            if n > 1:
-                counts[0] += n - 1
-        places = np.fromiter(counts.keys(), np.int32, len(counts))
-        values = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
-        return places, values / (np.sqrt((values ** 2).sum()) or 1)
-
-
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 150) -> np.ndarray:
     """Weights (the last is the bias) of a logistic regression on soft labels, by gradient descent."""
     if not rows:
@@ -141,9 +200,8 @@ def classify(docs: DataFrame, train_rows: int = 8_000, cut: float = 0.5) -> Data
     Overlapping heuristic labellers vote on every text; the counts of
     their vote vectors over all documents (at most 3^8 rows) go into the
     label model.  A linear scorer on hashed words and word shapes is then
-    fitted to the posteriors of ``train_rows`` documents, the bounded
-    sample with the smallest hashes of their texts, and scores every
-    document.  kept: the mean of score and posterior reaches ``cut``.
+    fitted to the posteriors of ``train_rows`` different texts, the bounded
+    sample with the smallest hashes, and scores every document.  kept: the mean of score and posterior reaches ``cut``.
 
     A null or empty text has no words: score and posterior 0.5, kept, as
     there is nothing to hold against it.  Rows with
@@ -152,51 +210,53 @@ def classify(docs: DataFrame, train_rows: int = 8_000, cut: float = 0.5) -> Data
     """
     spark = docs.sparkSession
     ship_package(spark)
-    texts = docs.select("doc_id", "text")
-
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
         for batch in batches:
-            found = [votes(t.as_py() or "") for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["votes"])
-
-    patterns = texts.select("text").mapInArrow(vote, "votes array<int>").groupBy("votes").count().collect()
+            own, counts, places, amounts = [], [], [], []
+            for text in (x.as_py() or "" for x in batch.column(2)):
+                rows = words.rows_of(text)
+                at, n = words.features(rows)
+                own.append(words.votes(text, rows))
+                counts.append(len(rows))
+                places.append(at.astype("<u2").tobytes())
+                amounts.append(n.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(counts, pa.int64()),
+                 pa.array(places, pa.binary()), pa.array(amounts, pa.binary())], names)
+
+    # Texts are read once: votes and features are written, and all that follows works on them.
+    names = ["doc_id", "h", "votes", "n_words", "places", "amounts"]
+    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    measured = staged(texts.mapInArrow(
+        measure, "doc_id long, h long, votes array<int>, n_words long, places binary, amounts binary"), "quality", "zstd")
+    patterns = measured.groupBy("votes").count().collect()
     if not patterns:
-        return texts.select("doc_id", F.lit(0.5).alias("score"), F.lit(True).alias("kept"),
+        return measured.select("doc_id", F.lit(0.5).alias("score"), F.lit(True).alias("kept"),
                             F.lit(0.5).alias("label_posterior"), F.lit(0).cast("long").alias("n_words"))
     prior, table = label_model(sorted((tuple(r["votes"]), r["count"]) for r in patterns))
 
-    sample = texts.select("text", F.xxhash64("text").alias("h")).orderBy("h").limit(train_rows).select("text")
-
-    def example(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
-        for batch in batches:
-            rows = [(features(t), votes(t)) for t in (x.as_py() or "" for x in batch.column(0))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0][0] for r in rows], pa.list_(pa.int32())),
-                 pa.array([r[0][1].astype(np.float32) for r in rows], pa.list_(pa.float32())),
-                 pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["places", "shares", "votes"])
-
-    examples = sample.mapInArrow(example, "places array<int>, shares array<float>, votes array<int>").toArrow()
-    as_np = lambda name, kind: [np.array(x.values, kind) for x in examples[name]]
+    last = measured.select("h").distinct().orderBy("h").limit(train_rows).agg(F.max("h")).first()[0]
+    examples = measured.where(F.col("h") <= last).dropDuplicates(["h"]).select("votes", "places", "amounts").toArrow()
     target = posterior(np.array(examples["votes"].to_pylist()), prior, table)
-    weights = fit_scorer(list(zip(as_np("places", np.int32), as_np("shares", np.float32))), target)
+    weights = fit_scorer([(np.frombuffer(p.as_py(), "<u2"), shares(np.frombuffer(n.as_py(), "<u4")))
+                          for p, n in zip(examples["places"], examples["amounts"])], target)
     shared = spark.sparkContext.broadcast(weights)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, w = Features(), shared.value
+        w = shared.value
         for batch in batches:
-            own, counts, scores = [], [], []
-            for text in (x.as_py() or "" for x in batch.column(1)):
-                places, values = features(text)
-                own.append(votes(text))
-                counts.append(len(text.split()))
-                scores.append(1 / (1 + np.exp(-np.clip(float(w[places] @ values) + w[-1], -50, 50))) if len(places) else 0.5)
-            scores, n = np.array(scores), np.array(counts, np.int64)
-            label = np.where(n > 0, posterior(np.array(own), prior, table), 0.5) if len(own) else scores
+            z = np.array([w[np.frombuffer(p.as_py(), "<u2")] @ shares(np.frombuffer(a.as_py(), "<u4")) + w[-1]
+                          for p, a in zip(batch.column(3), batch.column(4))])
+            n = batch.column(2).to_numpy()
+            scores = np.where(n > 0, 1 / (1 + np.exp(-np.clip(z, -50, 50))), 0.5)
+            own = np.array(batch.column(1).to_pylist()).reshape(-1, len(LABELLERS))
+            label = np.where(n > 0, posterior(own, prior, table), 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()),
                                               pa.array((scores + label) / 2 >= cut), pa.array(label, pa.float64()),
-                                              pa.array(n)], ["doc_id", "score", "kept", "label_posterior", "n_words"])
-    return texts.mapInArrow(judge, "doc_id long, score double, kept boolean, label_posterior double, n_words long")
+                                              batch.column(2)], ["doc_id", "score", "kept", "label_posterior", "n_words"])
+    return measured.select("doc_id", "votes", "n_words", "places", "amounts").mapInArrow(
+        judge, "doc_id long, score double, kept boolean, label_posterior double, n_words long")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
