@@ -135,6 +135,8 @@ def distinct_surrogates(entities: DataFrame, make: Callable[[Column], Column]) -
     one, the first keeps it and the others draw again, as does an entity
     whose surrogate occurs in the texts.
     """
+    # Drawing costs far more than the rows' bytes tell: keep it from being put into few tasks.
+    entities = entities.repartition(int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity")
     drawn = staged(entities.withColumn("salt", F.lit(0)).withColumn("surrogate", make(F.col("salt"))), "pii-drawn")
     while True:
         first = drawn.groupBy("surrogate").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
