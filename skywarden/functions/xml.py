@@ -21,6 +21,27 @@ def node_text(path: str) -> str:
     return p if p.endswith("text()") or "(" in p.rsplit("/", 1)[-1] else p + "/text()"
 
 
+# Element put around a text to see what stands beside its root.
+_AROUND = "around-page"
+
+
+def page_text(body) -> Column:
+    """The body from its first ``<page>`` on, or NULL unless that is one
+    well-formed ``page`` element with nothing but white space after it.
+
+    The ``xpath*`` functions fail the job on malformed text; the tolerant
+    XML reader tells beforehand.  What follows the root it overlooks, so
+    it reads the text inside another element, whose pages are counted.
+    """
+    at = F.instr(_c(body), "<page>")
+    text = F.substring(_c(body), at, F.length(_c(body)))
+    whole = (at > 0) & text.rlike(r"</page\s*>\s*\z") & ~text.contains(f"</{_AROUND}")
+    around = F.concat(F.lit(f"<{_AROUND}>"), text, F.lit(f"</{_AROUND}>"))
+    read = F.from_xml(around, "bad string, page string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+    pages = F.xpath_int(around, F.lit(f"count(/{_AROUND}/page)"))
+    return F.when(whole & read["bad"].isNull(), F.when(pages == 1, text))
+
+
 def xml_flat_map(xml, paths: dict[str, str]) -> Column:
     """``key + index -> value`` over several multi-node XPaths.
 

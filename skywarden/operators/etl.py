@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.masking import mask_id_card, mask_phone, md5_upper
-from ..functions.xml import node_text
+from ..functions.xml import node_text, page_text
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
                                  form_params, json_field, last_value, param, request_url,
                                  split_raw, url_params)
@@ -100,10 +100,6 @@ def _query_from_json(js: Column, r: ParseRule) -> dict:
     return out
 
 
-def _xml_text(body: Column) -> Column:
-    return F.substring(body, F.instr(body, "<page>"), F.length(body))
-
-
 def _query_from_xml(xml: Column, r: ParseRule) -> dict:
     """XPath per rule field, blank -> ``""``."""
     out = {}
@@ -129,7 +125,7 @@ def query_source(r: ParseRule, url: Column, body: Column, content_type: Column)
         return param(form_params(body), r.form_field, "")
     if m == "POST" and r.text_xml and r.is_xml:
         ok = (F.lower(content_type) == "text/xml") & (body != "")
-        return F.when(ok, _xml_text(body))
+        return F.when(ok, page_text(body))
     return None
 
 
@@ -165,8 +161,10 @@ def query_request(rules: list[ParseRule], idx: Column, sources: list[Column | No
 def _json_list(js: Column, path: str) -> Column:
     if _blank(path):
         return F.array().cast("array<string>")
-    return F.coalesce(F.from_json(F.get_json_object(js, path), "array<string>"),
-                      F.array().cast("array<string>"))
+    # A wildcard that matches once gives the bare value, not a list.
+    found = F.get_json_object(js, path)
+    listed = F.when(found.startswith("["), found).otherwise(F.concat(F.lit("["), found, F.lit("]")))
+    return F.coalesce(F.from_json(listed, "array<string>"), F.array().cast("array<string>"))
 
 
 def _json_one(js: Column, path: str) -> Column:
@@ -234,7 +232,7 @@ def book_source(r: ParseRule, body: Column, content_type: Column) -> Column | No
     """Per-rule input of the booking parse (JSON or XML text, else NULL)."""
     ct = F.lower(content_type)
     if r.text_xml and r.is_xml:
-        return F.when((ct == "text/xml") & (body != ""), body)
+        return F.when((ct == "text/xml") & (body != ""), page_text(body))
     if r.application_json and r.is_json and not r.normal_form:
         return F.when((ct == "application/json") & (body != ""), F.trim(F.replace(body, F.lit("\\x22"), F.lit(""))))
     if r.is_json and not r.normal_form and not r.application_json and not _blank(r.form_field):

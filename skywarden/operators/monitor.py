@@ -162,9 +162,10 @@ def host_status(sys_samples: DataFrame, disk_samples: DataFrame) -> DataFrame:
         H.disk_text("fs_used", "fs_total").alias("disk_info"))
 
 
-def recent_hits(samples: DataFrame, now: str, seconds: int = 20, cap: int = 10000) -> DataFrame:
+def recent_hits(samples: DataFrame, now: str, seconds: int, cap: int) -> DataFrame:
     """Samples of the last ``seconds``, newest first, at most ``cap``
-    (the cap is the feature: the dashboard reads one page of hits)."""
+    (the cap is the feature: the dashboard reads one page of hits; its
+    size is the caller's choice)."""
     t = F.col("ts")
     r = samples.filter((t >= _now(now) - F.make_interval(secs=F.lit(seconds))) & (t <= _now(now)))
     return r.orderBy(t.desc(), F.col("l_orderkey").desc(), F.col("l_linenumber").desc()).limit(cap)

@@ -24,12 +24,13 @@ def _expires(now: Column, ttl: int) -> Column:
 
 
 def write_blacklist_kv(entries: DataFrame, path: str, written_at: Column | None = None,
-                       ttl: int = BLACKLIST_TTL_SECONDS, batch_id: int | None = None) -> None:
+                       ttl: int = BLACKLIST_TTL_SECONDS, batch_id: int | str | None = None) -> None:
     """Append ``key -> value`` with ``expires_at`` (one batch).
 
     Entries are first reduced to the latest per key within the batch.
     ``batch_id`` makes a replayed micro-batch overwrite its own partition
-    instead of appending twice.
+    instead of appending twice; it must tell runs with other checkpoints
+    apart (:func:`skywarden.streaming.jobs.batch_key`).
     """
     now = written_at if written_at is not None else F.current_timestamp().cast("timestamp_ntz")
     latest = (entries.groupBy("key").agg(F.max_by(F.struct("value", "rule_time"), "rule_time").alias("v"))
@@ -39,7 +40,7 @@ def write_blacklist_kv(entries: DataFrame, path: str, written_at: Column | None
     if batch_id is None:
         out.write.mode("append").parquet(path)
     else:
-        out.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite") \
+        out.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite") \
            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
@@ -65,7 +66,7 @@ def monitor_points(kind: str, per_server: DataFrame, window_col: str = "window_s
 
 
 def write_monitor_points(points: DataFrame, path: str, ttl: int = MONITOR_TTL_SECONDS,
-                         batch_id: int | None = None) -> None:
+                         batch_id: int | str | None = None) -> None:
     """A10: append points with their expiry.
 
     With ``batch_id`` the batch overwrites its own partition, so a replayed
@@ -76,7 +77,7 @@ def write_monitor_points(points: DataFrame, path: str, ttl: int = MONITOR_TTL_SE
     if batch_id is None:
         out.write.mode("append").partitionBy("kind").parquet(path)
     else:
-        (out.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+        (out.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id").parquet(path))
 
 

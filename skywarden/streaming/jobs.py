@@ -10,8 +10,9 @@
 
 Every job keeps its progress in a checkpoint under the shared folder
 named by ``spark.checkpoint.dir``; every ``foreachBatch`` write is keyed
-by the batch id, so a replayed batch after an executor or driver loss
-rewrites instead of duplicating (exactly-once output on a file store).
+by the query id of the checkpoint and the batch id, so a replayed batch
+after an executor or driver loss rewrites instead of duplicating, and a
+job with a new checkpoint leaves the output of earlier ones alone.
 """
 
 from __future__ import annotations
@@ -64,6 +65,15 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**trigger) if trigger else w
 
 
+def batch_key(df: DataFrame, batch_id: int) -> str:
+    """Key of a micro-batch, within ``foreachBatch``: the id of the query,
+    which lives as long as its checkpoint, and the number of the batch."""
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("no streaming query is running in this thread")
+    return f"{query}-{batch_id}"
+
+
 def etl_job(lines: DataFrame, store: RuleStore, out_dir: str, checkpoint: str | None = None,
             trigger: dict | None = None, query_name: str = "etl"):
     """Raw lines -> processed log text, partitioned by behaviour.
@@ -75,7 +85,7 @@ def etl_job(lines: DataFrame, store: RuleStore, out_dir: str, checkpoint: str |
         processed = etl(df, store.snapshot(), store.hot_ips())
         out = (processed.filter(F.col("behaviorType").isin("Query", "Book"))
                .select(serialise_processed().alias("value"), "behaviorType")
-               .withColumn("batch_id", F.lit(int(batch_id))))
+               .withColumn("batch_id", F.lit(batch_key(df, batch_id))))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("behaviorType", "batch_id").text(out_dir))
 
@@ -109,7 +119,7 @@ def scoring_job(processed_lines: DataFrame, critical_pages: list[str],
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = S.flatten_flows(S.score_flows(df, flows_loader()))
-        sinks.write_blacklist_kv(S.blacklist_entries(rows), kv_path, batch_id=batch_id)
+        sinks.write_blacklist_kv(S.blacklist_entries(rows), kv_path, batch_id=batch_key(df, batch_id))
 
     w = (metrics.writeStream.queryName(query_name).outputMode("append").foreachBatch(batch)
          .option("checkpointLocation", _ckpt(processed_lines.sparkSession, query_name, checkpoint)))
@@ -136,7 +146,7 @@ def link_job(raw_lines: DataFrame, monitor_path: str, checkpoint: str | None = N
     def batch(df: DataFrame, batch_id: int) -> None:
         pts = sinks.monitor_points("serversCountMap", df).unionByName(
             sinks.monitor_points("activeNumMap", df.filter(F.col("active").isNotNull()), value_col="active"))
-        sinks.write_monitor_points(pts, monitor_path, batch_id=batch_id)
+        sinks.write_monitor_points(pts, monitor_path, batch_id=batch_key(df, batch_id))
 
     w = (out.writeStream.queryName(query_name).outputMode("append").foreachBatch(batch)
          .option("checkpointLocation", _ckpt(raw_lines.sparkSession, query_name, checkpoint)))

@@ -137,3 +137,20 @@ def test_stream_metrics_match_batch_metrics(spark):
         assert a[:4] == e[:4] and a[5:7] == e[5:7]
         for i in (4, 7, 8):
             assert abs(a[i] - e[i]) <= max(1, 0.1 * e[i])
+
+
+def test_page_text_of_malformed_bodies(spark):
+    from skywarden.functions.xml import page_text
+    good = {"<page><a>x</a></page>": "x", "xml=<page><a>x</a></page> \n": "x"}
+    bad = ["<page><a></page>", "<page>", "no tags", "", "<page></page>tail", "<page></page><page></page>",
+           "<page></page></around-page><around-page><page></page>", "<page>&foo;</page>", "<page>\x01</page>",
+           '<page><b c="1" c="2"/></page>', "<page>a & b</page>", None]
+    df = spark.createDataFrame([(x,) for x in [*good, *bad]], "body string").select("body", page_text("body").alias("t"))
+    rows = {r["body"]: r["v"] for r in df.select("body", F.xpath_string("t", F.lit("//a")).alias("v")).collect()}
+    assert rows == {**good, **dict.fromkeys(bad)}
+
+
+def test_single_match_of_a_json_wildcard_is_a_list(spark):
+    from skywarden.operators.etl import _json_list
+    df = spark.createDataFrame([('{"p":[{"x":"A"}]}',), ('{"p":[{"x":"A"},{"x":"B"}]}',), ('{"p":[]}',)], "j string")
+    assert [r[0] for r in df.select(_json_list(F.col("j"), "$.p[*].x")).collect()] == [["A"], ["A", "B"], []]

@@ -47,6 +47,10 @@ def test_etl_stream_equals_batch(spark, tmpdir_path):
     cols = ["request", "behaviorType", "depcity", "queryRequestDataStr", "bookRequestDataStr", "highFrqIPGroup"]
     assert got.count() == want.count() > 0
     assert multiset(got, cols) == multiset(want, cols)
+    # A job with a new checkpoint starts at batch 0 again and must add to the output, not replace it.
+    again = jobs.etl_job(jobs.read_lines(spark, "files", src), store, out, checkpoint=ckpt(spark), trigger=AVAILABLE_NOW)
+    again.awaitTermination()
+    assert spark.read.text(out).count() == 2 * want.count()
 
 
 def test_rule_change_takes_effect(spark, tmpdir_path):
