@@ -90,32 +90,42 @@ def _with_check_digit(body: Column) -> Column:
 def surrogate(entity: Column, kind: Column, salt: Column, surname: Column, key: str) -> Column:
     """A replacement of the same kind and form; ``salt`` 0, 1, ... gives further ones.
 
+    Each salt draws from more values than the one before, so that no number
+    of entities uses them up: a person has one more given name per salt;
+    mail names and secrets get a further letter per salt from 2 on, the
+    other kinds a further digit from 8 on, where their own form is full.
+
     Kept are the country code of a phone, the country of an IBAN, the
     prefix of a key, the name of a secret, and the title of a person, whose
     given names follow its gender and script.  A mail domain has one
     surrogate for all its addresses, below the reserved domain .example.
     """
     digest = _digest(key, kind, entity, salt)
+    more = lambda like, since: _same_form(
+        F.repeat(F.lit(like), F.greatest(F.lit(0), salt - since + 1)), _digest(key, F.lit("more"), entity, salt))
+    letters, digits = more("g", 2), more("0", 8)
 
     def after(prefix: str) -> Column:
         head = F.regexp_extract(entity, prefix, 0)
         return F.concat(head, _same_form(F.substr(entity, F.length(head) + 1, F.length(entity)), digest))
     domain = F.regexp_extract(entity, r"@(.*)\.[^.]*$", 1)
-    email = F.concat(_same_form(F.regexp_extract(entity, "^([^@]*)@", 1), digest), F.lit("@"),
+    email = F.concat(_same_form(F.regexp_extract(entity, "^([^@]*)@", 1), digest), letters, F.lit("@"),
                      _same_form(domain, _digest(key, F.lit("domain"), F.lower(domain))), F.lit(".example"))
     ip = F.concat_ws(".", *[(lo + _byte(digest, F.lit(i)) % n).cast("string")
                             for i, (lo, n) in enumerate([(1, 223), (0, 256), (0, 256), (1, 254)])])
     title = F.regexp_extract(entity, r"^(\S+) ", 1)
     given = F.regexp_extract(entity, r"^\S+ (.*) \S+$", 1)
     gender = F.when(title.rlike(f"^(?:{_TITLES['m']})$"), "m").when(title.rlike(f"^(?:{_TITLES['f']})$"), "f").otherwise("x")
-    pick = F.coalesce(*[F.when((_script(entity) == s) & (gender == g), _drawn(digest, 0, words))
+    pool = F.coalesce(*[F.when((_script(entity) == s) & (gender == g), F.array(*map(F.lit, words)))
                         for s, by in _GIVEN.items() for g, words in by.items()])
+    pick = F.array_join(F.transform(F.sequence(F.lit(0), salt),
+                                    lambda i: F.element_at(pool, _byte(digest, i) % F.size(pool) + 1)), " ")
     name = F.concat_ws(" ", title, F.when(given != "", pick), surname)
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "name", name) \
-        .when(kind == "card", _with_check_digit(F.substr(after("^$"), F.lit(1), F.length(entity) - 1))) \
-        .when(kind == "phone", after(r"^\+\d{1,3}(?=[ .(\-])|^")) .when(kind == "iban", after("^[A-Z]{2}")) \
-        .when(kind == "key", after("^(?:A[KS]IA|gh._)")).when(kind == "secret", after("^[^=:]*[=:]\\s*[\"']?")) \
-        .otherwise(after("^$"))
+    return F.when(kind == "email", email).when(kind == "name", name).when(kind == "ip", F.concat(ip, digits)) \
+        .when(kind == "card", _with_check_digit(F.concat(F.substr(after("^$"), F.lit(1), F.length(entity) - 1), digits))) \
+        .when(kind == "secret", F.concat(after("^[^=:]*[=:]\\s*[\"']?"), letters)) \
+        .otherwise(F.concat(F.when(kind == "phone", after(r"^\+\d{1,3}(?=[ .(\-])|^")).when(kind == "iban", after("^[A-Z]{2}"))
+                            .when(kind == "key", after("^(?:A[KS]IA|gh._)")).otherwise(after("^$")), digits))
 
 
 def _script(name: Column) -> Column:
@@ -123,9 +133,16 @@ def _script(name: Column) -> Column:
 
 
 def _surname(name: Column, salt: Column, key: str) -> Column:
+    """A surname of three parts, and of two more in the middle for each salt: the space grows with the salt."""
     digest = _digest(key, F.lit("surname"), F.lower(name), salt)
-    return F.coalesce(*[F.when(_script(name) == s, F.concat(*[_drawn(digest, i, words) for i, words in enumerate(parts)]))
-                        for s, parts in _SURNAME.items()])
+
+    def made(first: list[str], middle: list[str], end: list[str]) -> Column:
+        def pair(i: Column) -> Column:
+            return F.concat(*[F.element_at(F.array(*map(F.lit, words)), _byte(digest, 2 * i + at) % len(words) + 1)
+                              for at, words in ((1, [x.lower() for x in first]), (2, middle))])
+        more = F.when(salt > 0, F.array_join(F.transform(F.sequence(F.lit(1), salt), pair), "")).otherwise("")
+        return F.concat(_drawn(digest, 0, first), _drawn(digest, 1, middle), more, _drawn(digest, 2, end))
+    return F.coalesce(*[F.when(_script(name) == s, made(*parts)) for s, parts in _SURNAME.items()])
 
 
 def distinct_surrogates(entities: DataFrame, make: Callable[[Column], Column]) -> DataFrame:
