@@ -20,7 +20,11 @@ FUNCTION_WORDS = frozenset(
     "de la le et les des en un du une est que pour dans qui sur au par avec pas "
     "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als "
     "el que y los se del las por con no su para al lo como más".split())
-_SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()\-]")
+_SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()\-。，、；：！？「」『』（）《》・]")
+# Words longer than this are cut into parts of it, all of which count.
+PART = 64
+# A text with more characters than this to a word has few blanks and is judged by runs of RUN characters.
+FEW_BLANKS, RUN = 20, 4
 _RUNS = re.compile(r"(.)\1+", re.S)
 _SHAPE = [(re.compile(r"\d"), "9"), (re.compile(r"[^\W\d_a-zß-öø-ÿ]"), "A"), (re.compile(r"[^\W\dA_]"), "a")]
 
@@ -40,8 +44,8 @@ class Words:
     """What a text's words say, from a table of the words last seen: votes of the labellers and hashed features.
 
     A word is looked at once and then stands for its row of the table;
-    all else are sums over rows.  The table starts anew at ``keep`` words,
-    and words of over 256 characters are not kept beyond their text.
+    all else are sums over rows.  The table starts anew at ``keep`` words.
+    Words of over 64 characters count as their parts of 64 characters.
     """
 
     #: Columns of the table: letters, capitals, symbols, exclamation marks, without letters and digits, function word.
@@ -82,7 +86,7 @@ class Words:
                 counts.append((
                     sum(map(str.isalpha, word)), sum(map(str.isupper, word)), len(_SYMBOL.findall(word)), word.count("!"),
                     not any(map(str.isalnum, word)), lower in FUNCTION_WORDS))
-            places.append((_place(b"w", lower if len(word) <= 64 else word[:64].lower()), self._shape_place(word[:64]),
+            places.append((_place(b"w", lower), self._shape_place(word),
                            self.lower_of.setdefault(lower, len(self.lower_of))))
         end = self.rows + len(new)
         while end > len(self.counts):
@@ -92,27 +96,43 @@ class Words:
         self.row_of.update(zip(new, range(self.rows, end)))
         self.rows = end
 
-    def rows_of(self, text: str) -> np.ndarray:
-        """The table's row of each word, in order; good until the next text."""
+    def rows_of(self, text: str) -> tuple[int, np.ndarray]:
+        """The number of words, and the table's row of each word or part, in order; good until the next text."""
         words = text.split()
+        n = len(words)
         new = list(set(words).difference(self.row_of))
+        # The table holds no longer words: they are always new.
+        if any(len(w) > PART for w in new):
+            words = [w[i:i + PART] for w in words for i in range(0, len(w), PART)]
+            new = list(set(words).difference(self.row_of))
         if new and self.rows + len(new) > self.keep:
             self._clear()
             new = list(set(words))
         if new:
             self._learn(new)
-        rows = np.fromiter(map(self.row_of.__getitem__, words), np.int64, len(words))
-        for w in new:
-            if len(w) > 256:
-                del self.row_of[w]
-        return rows
-
-    def votes(self, text: str, rows: np.ndarray) -> list[int]:
-        """One vote per labeller: 1 good, -1 bad, 0 none.  Texts of under 8 words get none."""
+        return n, np.fromiter(map(self.row_of.__getitem__, words), np.int64, len(words))
+
+    def votes(self, text: str, words: int, rows: np.ndarray) -> list[int]:
+        """One vote per labeller: 1 good, -1 bad, 0 none.  Texts of under 8 words get none.
+
+        In a text with few blanks, runs of four characters stand for the
+        words, and its function words are not looked for.
+        """
         n = len(rows)
+        runs = None
+        if len(text) > FEW_BLANKS * words:
+            packed = "".join(text.split())
+            if len(packed) > FEW_BLANKS * words:
+                runs = [packed[i:i + RUN] for i in range(0, len(packed), RUN)]
+                n = len(runs)
         if n < 8:
             return [0] * len(LABELLERS)
         letters, capitals, symbols, shouts, bare, common = self.counts[rows].sum(0).tolist()
+        if runs is None:
+            kinds, repeats = len(set(self.places[rows, 2].tolist())), int((rows[1:] == rows[:-1]).sum())
+        else:
+            kinds, repeats = len(set(map(str.lower, runs))), sum(a == b for a, b in zip(runs, runs[1:]))
+            bare = sum(not any(map(str.isalnum, x)) for x in runs)
 
         def vote(value: float, bad: float, good: float) -> int:
             """-1 from ``bad`` on, 1 up to ``good``."""
@@ -122,10 +142,10 @@ class Words:
             vote(symbols / n, 0.5, 0.05),
             vote(capitals / (letters or 1), 0.4, 0.15),
             vote(shouts / n, 0.3, 0.05),
-            vote(1 - len(set(self.places[rows, 2].tolist())) / n, 0.75, 0.5) if n >= 30 else 0,
-            vote(int((rows[1:] == rows[:-1]).sum()) / n, 0.2, 0.05),
+            vote(1 - kinds / n, 0.75, 0.5) if n >= 30 else 0,
+            vote(repeats / n, 0.2, 0.05),
             vote(bare / n, 0.15, 0.05),
-            vote(-common / n, -0.02, -0.08) if n >= 30 else 0,
+            vote(-common / n, -0.02, -0.08) if n >= 30 and runs is None else 0,
             vote(1 - len(set(lines)) / len(lines), 0.4, 0.1) if len(lines) >= 5 else 0,
         ]
 
@@ -203,6 +223,9 @@ def classify(docs: DataFrame, train_rows: int = 8_000, cut: float = 0.5) -> Data
     fitted to the posteriors of ``train_rows`` different texts, the bounded
     sample with the smallest hashes, and scores every document.  kept: the mean of score and posterior reaches ``cut``.
 
+    Words of over 64 characters count as all their parts of 64, and texts
+    with few blanks (Chinese, Thai, base64) are voted on by their letters.
+
     A null or empty text has no words: score and posterior 0.5, kept, as
     there is nothing to hold against it.  Rows with
     null or repeated doc_id are judged one by one.  Other columns are not
@@ -215,10 +238,10 @@ def classify(docs: DataFrame, train_rows: int = 8_000, cut: float = 0.5) -> Data
         for batch in batches:
             own, counts, places, amounts = [], [], [], []
             for text in (x.as_py() or "" for x in batch.column(2)):
-                rows = words.rows_of(text)
+                n_words, rows = words.rows_of(text)
                 at, n = words.features(rows)
-                own.append(words.votes(text, rows))
-                counts.append(len(rows))
+                own.append(words.votes(text, n_words, rows))
+                counts.append(n_words)
                 places.append(at.astype("<u2").tobytes())
                 amounts.append(n.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(

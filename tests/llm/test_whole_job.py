@@ -1,6 +1,6 @@
 """Inputs on which an operator once did less than the whole job."""
 
-from skywarden.llm import pii
+from skywarden.llm import pii, quality
 
 
 def rows(df):
@@ -26,3 +26,22 @@ def test_pii_values_are_never_used_up(spark):
 def test_pii_more_surnames_than_three_parts_make(spark):
     name = lambda i, first: "".join(chr(first + i // 20 ** k % 20) for k in range(3))
     _surrogates(spark, [f"Mr. L{name(i, 97)}" for i in range(5000)] + [f"Mr. Ж{name(i, 1072)}" for i in range(600)])
+
+
+def _measured(text):
+    words = quality.Words()
+    n, found = words.rows_of(text)
+    places, amounts = words.features(found)
+    return n, words.votes(text, n, found), dict(zip(places.tolist(), amounts.tolist()))
+
+
+def test_quality_reads_all_of_long_words():
+    blob = "data:image/png;base64," + "Ab9" * 30
+    n, _, features = _measured(blob + "xyz")
+    assert n == 1 and features != _measured(blob + "123!")[2]
+    prose = "".join(chr(0x4E00 + i * 7919 % 5000) + "。" * (i % 12 == 11) for i in range(3000))
+    votes = _measured(prose)[1]
+    assert min(votes) == 0 and max(votes) == 1
+    assert min(_measured("z" * 40_000)[1]) == -1 and min(_measured("{}=>" * 1000)[1]) == -1
+    assert sum(_measured(prose)[2].values()) > 2 * len(prose) // 64
+    assert _measured("one two three")[1] == [0] * len(quality.LABELLERS)
