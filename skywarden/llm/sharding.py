@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,51 +18,114 @@ def _pick(values: list[int], at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), at.cast("int") + 1)
 
 
-def propagate(cells: DataFrame, capacities: list[int], rounds: int) -> DataFrame:
+def _ahead(cells: DataFrame, by: list[str]) -> DataFrame:
+    """``cells`` with ahead: the rows that stand before a cell in its line of ``by``.
+
+    Lines run by chunks of a hash, so that no task orders a whole line.
+    """
+    until = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("turn", F.pmod(F.xxhash64("group"), F.lit(1024)))
+    chunks = cells.groupBy(*by, "turn").agg(F.sum("n").alias("t")).withColumn(
+        "before", F.coalesce(F.sum("t").over(until(Window.partitionBy(*by).orderBy("turn"))), F.lit(0))).drop("t")
+    inside = F.sum("n").over(until(Window.partitionBy(*by, "turn").orderBy("group")))
+    return cells.join(chunks, [*by, "turn"]).withColumn("ahead", F.col("before") + F.coalesce(inside, F.lit(0))) \
+        .drop("before", "turn")
+
+
+def _cycle(wants: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """Wishes that lead from shard to shard and back to the first; empty if there are none."""
+    out: dict[int, set[int]] = {}
+    for (a, b), n in wants.items():
+        if n:
+            out.setdefault(a, set()).add(b)
+    while dead := {b for to in out.values() for b in to if b not in out}:
+        out = {a: to - dead for a, to in out.items() if to - dead}
+    if not out:
+        return []
+    path = [min(out)]
+    while (b := min(out[path[-1]])) not in path:
+        path.append(b)
+    around = path[path.index(b):]
+    return list(zip(around, around[1:] + around[:1]))
+
+
+def _flows(wants: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many rows may go from shard to shard, of those that ``wants`` to: into room, then around in cycles."""
+    left, room, flows = dict(wants), list(room), dict.fromkeys(wants, 0)
+
+    def go(a: int, b: int, n: int) -> None:
+        left[a, b] -= n
+        flows[a, b] += n
+    moved = True
+    while moved:
+        moved = False
+        for a, b in sorted(left):
+            n = min(left[a, b], room[b])
+            if n > 0:
+                go(a, b, n)
+                room[a], room[b], moved = room[a] + n, room[b] - n, True
+    for a, b in sorted(left):
+        both = min(left[a, b], left.get((b, a), 0))
+        if both:
+            go(a, b, both)
+            go(b, a, both)
+    while cycle := _cycle(left):
+        n = min(left[e] for e in cycle)
+        for e in cycle:
+            go(*e, n)
+    return flows
+
+
+def propagate(cells: DataFrame, capacities: list[int], rounds: int | None = None) -> DataFrame:
     """Move linked documents to the shards where most of their neighbours are.
 
     ``cells`` holds (group, shard, n): the members of a group in a shard
     are alike, so a third of all documents in one group is a few rows.
     In each round every cell looks, by a join with its group, for the
-    shard with the most members of the group that still has room, and is
-    moved there if that holds more members than its own shard does.  The
-    room of a shard is dealt out in order by running totals, so that no
-    shard ever exceeds its capacity; a cell that only fits in part is
-    split.  Ends when nothing moves.  Cells move into room and do not swap
-    places, so documents without links, which are placed last, are what
-    makes room; where all are linked, few can move.
+    shard with the most members of the group that they do not fill, and
+    wants to follow them if they are more than itself.  The numbers of
+    rows that want to go from one shard to another, at most one per pair
+    of shards, tell how many may: as many as there is room for, and as
+    many as come back, directly or around over others, so that no shard
+    ever exceeds its capacity.  They are taken in order by running totals;
+    a cell that only fits in part is split.  Each move goes to a larger
+    cell of the group, which adds to the squares of all cells, so there is
+    an end: when nothing moves, or after ``rounds`` if given.
     """
     shards = len(capacities)
-    for round_ in range(rounds):
+    for round_ in itertools.count() if rounds is None else range(rounds):
         loads = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [capacities[s] - loads.get(s, 0) for s in range(shards)]
-        # A cell may only follow a larger one, ties by a hash of the round: no two cells swap places.
-        place = F.struct(F.col("n"), F.xxhash64("group", "shard").alias("tie"), F.col("shard"))
-        open_ = cells.where(_pick(room, F.col("shard")) > 0).groupBy("group") \
-            .agg(F.max(place).alias("best"))
-        wanting = cells.join(open_, "group").where(place < F.col("best")) \
-            .select("group", "shard", "n", F.col("best.shard").alias("to"))
-        turns = F.pmod(F.xxhash64("group", "shard"), F.lit(1024))
-        wanting = staged(wanting.withColumn("turn", turns), "shard-wanting")
-        before = Window.partitionBy("to").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-        queue = wanting.groupBy("to", "turn").agg(F.sum("n").alias("t")) \
-            .withColumn("ahead", F.coalesce(F.sum("t").over(before), F.lit(0))).drop("t")
-        inside = Window.partitionBy("to", "turn").orderBy("group", "shard").rowsBetween(Window.unboundedPreceding, -1)
-        moved = wanting.join(queue, ["to", "turn"]).withColumn(
-            "ahead", F.col("ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))) \
-            .withColumn("moves", F.least("n", _pick(room, F.col("to")) - F.col("ahead"))).where("moves > 0") \
+        # A cell may only follow a larger one, ties by a hash of the round.
+        place = F.struct(F.col("n"), F.xxhash64("group", "shard", F.lit(round_)).alias("tie"), F.col("shard"))
+        loose = cells.where(F.col("n") < _pick(capacities, F.col("shard")))
+        # Where nobody can follow the largest cell of its group, the largest in a shard with room will do.
+        for goals in (loose, loose.where(_pick(room, F.col("shard")) > 0)):
+            best = goals.groupBy("group").agg(F.max(place).alias("best"))
+            wanting = loose.join(best, "group").where(place < F.col("best")) \
+                .select("group", "shard", "n", F.col("best.shard").alias("to"))
+            wanting = staged(wanting, "shard-wanting")
+            wants = {(r["shard"], r["to"]): r["n"] for r in wanting.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
+            flows = _flows(wants, room)
+            if any(flows.values()):
+                break
+            drop_staged(wanting)
+        else:
+            break
+        limit = _pick([flows.get((a, b), 0) for a in range(shards) for b in range(shards)], F.col("shard") * shards + F.col("to"))
+        moved = _ahead(wanting, ["shard", "to"]).withColumn("moves", F.least("n", limit - F.col("ahead"))).where("moves > 0") \
             .select("group", "shard", "to", "moves")
         moved = staged(moved, "shard-moved")
         drop_staged(wanting)
-        if moved.isEmpty():
-            break
-        flows = cells.unionByName(moved.select("group", "shard", (-F.col("moves")).alias("n"))) \
+        changes = cells.unionByName(moved.select("group", "shard", (-F.col("moves")).alias("n"))) \
             .unionByName(moved.select("group", F.col("to").alias("shard"), F.col("moves").alias("n")))
-        cells = staged(flows.groupBy("group", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "shard-cells")
+        done, cells = cells, staged(changes.groupBy("group", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "shard-cells")
+        drop_staged(done)
+        drop_staged(moved)
     return cells
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 24) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, rounds: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard, group_rows.
 
     The law is ``rows``: the counts of any two shards differ by one at
@@ -116,8 +181,7 @@ def _fitted(cells: DataFrame, capacities: list[int]) -> DataFrame:
         return cells
     room = [max(0, c - loads.get(s, 0)) for s, c in enumerate(capacities)]
     # One line of all that is too much, laid against one line of all room; both have at most 16 stretches.
-    inside = Window.partitionBy("shard").orderBy(F.xxhash64("group"), "group")
-    cells = cells.withColumn("end", F.sum("n").over(inside))
+    cells = _ahead(cells, ["shard"]).withColumn("end", F.col("ahead") + F.col("n"))
     base = [sum(over[:s]) for s in range(len(over))]
     much = F.greatest(F.lit(0), F.least(F.col("n"), _pick(over, F.col("shard")) - F.col("end") + F.col("n")))
     cells = cells.withColumn("much", much)

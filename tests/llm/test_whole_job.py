@@ -1,6 +1,8 @@
 """Inputs on which an operator once did less than the whole job."""
 
-from skywarden.llm import pii, quality
+from collections import defaultdict
+
+from skywarden.llm import pii, quality, sharding
 
 
 def rows(df):
@@ -45,3 +47,22 @@ def test_quality_reads_all_of_long_words():
     assert min(_measured("z" * 40_000)[1]) == -1 and min(_measured("{}=>" * 1000)[1]) == -1
     assert sum(_measured(prose)[2].values()) > 2 * len(prose) // 64
     assert _measured("one two three")[1] == [0] * len(quality.LABELLERS)
+
+
+def test_shards_gather_copies_where_all_are_linked(spark):
+    docs = spark.createDataFrame([(i, f"t{i // 2}") for i in range(2000)], "doc_id long, text string")
+    got = rows(sharding.shard_documents(docs, shards=8))
+    shards_of, load = defaultdict(set), defaultdict(int)
+    for r in got:
+        shards_of[r["text_crc32"]].add(r["shard"])
+        load[r["shard"]] += 1
+    cut = sum(len(x) > 1 for x in shards_of.values())
+    print("cut pairs", cut, "of", len(shards_of))
+    assert set(load.values()) == {250} and cut <= 0.02 * len(shards_of)
+
+
+def test_shard_flows_keep_the_counts():
+    wants = {(0, 1): 5, (1, 2): 4, (2, 0): 3, (1, 0): 1, (3, 0): 2}
+    flows = sharding._flows(wants, [0, 0, 0, 0])
+    assert flows == {(0, 1): 4, (1, 2): 3, (2, 0): 3, (1, 0): 1, (3, 0): 0}
+    assert sharding._flows(wants, [1, 0, 0, 0])[3, 0] + sharding._flows(wants, [1, 0, 0, 0])[2, 0] == 4
