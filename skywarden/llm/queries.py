@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skywarden.llm import (
-    bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, urlfilter,
+    bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, trie, urlfilter,
 )
-from skywarden.llm.common import table
+from skywarden.llm.common import staged, table
 
 END_ID = 2
 VOCAB_SIZE = 50_257
@@ -62,9 +63,34 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path, keep_ids=False)
 
 
+def _rebuilt(turns: DataFrame, head: int = 5, chunk: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns with the first h of each conversation taken from conversation c - c % 100, and all conv_ids.
+
+    What a conversation needs to know is copied to each ``chunk`` of its
+    turns, so that a long one is not joined in one task.
+    """
+    n_head = (F.crc32(F.col("conv_id").cast("string")) % (head + 1)).alias("h")
+    convs = staged(turns.groupBy("conv_id").agg(F.max("place").alias("n")).select(
+        "conv_id", "n", F.expr("conv_id - conv_id % 100").alias("base"), n_head), "rebuilt-convs")
+    heads = turns.where(f"conv_id % 100 = 0 and place <= {head}").withColumnRenamed("conv_id", "base")
+    given = convs.join(heads, "base").where("place <= h").select("conv_id", "place", "digest", "n_chars")
+    lengths = heads.groupBy("base").agg(F.max("place").alias("given"))
+    moves = convs.join(lengths, "base", "left").select(
+        "conv_id", "h", F.least("h", F.coalesce("given", F.lit(0))).alias("given"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"n div {chunk}"))).alias("chunk"))
+    own = turns.withColumn("chunk", F.expr(f"place div {chunk}")).join(moves, ["conv_id", "chunk"]).where("place > h") \
+        .select("conv_id", F.expr("place - h + given").alias("place"), "digest", "n_chars")
+    return given.unionByName(own), convs.select("conv_id")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = staged(trie.numbered(trie.turn_digests(table(spark, sf_dir, "conversations"))), "op11-turns")
+    return trie.trie(*_rebuilt(turns))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_fingerprints, op3_sharding, op4_bpe, op5_url_filter, op6_quality, op7_packing, op8_exact_dedup,
-    op9_pii, op10_token_files)}
+    op9_pii, op10_token_files, op11_prefix_trie)}
 
 ORACLES = {
     "op1_minhash_dedup": r"""
@@ -88,4 +114,34 @@ FROM documents JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)""",
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op11_prefix_trie": """
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+t AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+o AS (SELECT conv_id, length(text) AS c, sha, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha) AS p
+      FROM (SELECT conv_id, turn, coalesce(text, '') AS text, substring(sha256(concat(length(coalesce(role, '')), ':',
+            coalesce(role, ''), coalesce(text, ''))), 1, 32) AS sha FROM conversations WHERE conv_id IS NOT NULL)),
+ids AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+          list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+          lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM o), t),
+n AS (SELECT conv_id AS base, count(*) AS n FROM o GROUP BY 1),
+r AS (SELECT i.conv_id, p, c, sha FROM ids i JOIN o ON o.conv_id = i.base AND p <= h
+      UNION ALL
+      SELECT i.conv_id, p - h + least(h, coalesce(n, 0)), c, sha FROM ids i JOIN o ON o.conv_id = i.conv_id AND p > h
+      LEFT JOIN n ON n.base = i.base),
+w AS (SELECT conv_id, p AS depth, c, string_agg(sha, '') OVER (PARTITION BY conv_id ORDER BY p) AS path FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+nodes AS (SELECT path, any_value(depth) AS depth, any_value(c) AS c, min(conv_id) AS conv_id, count(*) AS n_convs
+          FROM w GROUP BY path),
+kids AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+sub AS (SELECT w.path, count(*) FILTER (k.path IS NULL) AS n_leaves, sum((d.n_convs - 1) * d.c)::BIGINT AS saved_tokens
+        FROM nodes d JOIN w ON w.conv_id = d.conv_id AND w.depth <= d.depth LEFT JOIN kids k ON k.path = d.path GROUP BY 1),
+ends AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+         FROM (SELECT conv_id, max_by(path, depth) AS path FROM w GROUP BY 1) GROUP BY 1)
+SELECT a.conv_id, a.depth::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM nodes a LEFT JOIN nodes b ON a.depth > 0 AND b.path = left(a.path, length(a.path) - 32)
+LEFT JOIN kids ON kids.path = a.path JOIN sub ON sub.path = a.path LEFT JOIN ends ON ends.path = a.path""",
 }
