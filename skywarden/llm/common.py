@@ -68,6 +68,23 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lookup(rows: DataFrame, found: DataFrame, keys: list[str], hot: Column, salts: int = 64) -> DataFrame:
+    """Left join with ``found`` (one row per key), safe where many ``rows`` share a key.
+
+    Keys for which ``hot`` holds are copied to ``salts`` tasks, among which
+    their rows are dealt; all others are joined plainly.
+    """
+    values = [c for c in found.columns if c not in keys]
+    hot = F.coalesce(hot, F.lit(False))
+    many = found.where(hot).select(*keys, F.struct(*values).alias("__many"),
+                                   F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
+    few = found.where(~hot).select(*keys, F.struct(*values).alias("__few"), F.lit(-1).alias("__salt"))
+    out = rows.withColumn("__salt", (F.rand(5) * salts).cast("int")).join(many, [*keys, "__salt"], "left") \
+        .withColumn("__salt", F.when(F.col("__many").isNotNull(), F.col("__salt")).otherwise(-1)) \
+        .join(few, [*keys, "__salt"], "left").withColumn("__found", F.coalesce("__many", "__few"))
+    return out.select(*rows.columns, *[F.col("__found")[c].alias(c) for c in values])
+
+
 def ranked(df: DataFrame, by: list[str], order: list[str], out: str,
            chunk_rows: int = 5_000) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each group of ``by``.

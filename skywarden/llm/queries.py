@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywarden.llm import (
-    bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, trie, urlfilter,
+    bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, trie, urlfilter, warc,
 )
 from skywarden.llm.common import staged, table
 
@@ -88,9 +88,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(*_rebuilt(turns))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.fresh_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    page = lambda c: F.nullif(F.regexp_extract(c, r"^<urn:x-page:(-?\d*):", 1), F.lit("")).cast("long")
+    return warc.read_archives(spark, path, keep_payload=False).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to").alias("refers_to"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_fingerprints, op3_sharding, op4_bpe, op5_url_filter, op6_quality, op7_packing, op8_exact_dedup,
-    op9_pii, op10_token_files, op11_prefix_trie)}
+    op9_pii, op10_token_files, op11_prefix_trie, op13_warc)}
 
 ORACLES = {
     "op1_minhash_dedup": r"""
@@ -144,4 +153,14 @@ SELECT a.conv_id, a.depth::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n_con
        n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
 FROM nodes a LEFT JOIN nodes b ON a.depth > 0 AND b.path = left(a.path, length(a.path) - 32)
 LEFT JOIN kids ON kids.path = a.path JOIN sub ON sub.path = a.path LEFT JOIN ends ON ends.path = a.path""",
+    "op13_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT hex, array_to_string([substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+        (('0x' || substring(hex, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER, 1)
+        FOR i IN range(32)], '') AS payload_digest FROM (SELECT DISTINCT hex FROM p)),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keep FROM p)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM r JOIN d USING (hex)""",
 }
