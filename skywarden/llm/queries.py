@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywarden.llm import (
-    bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, trie, urlfilter, warc,
+    alignment, bpe, exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, trie, urlfilter, warc,
 )
 from skywarden.llm.common import staged, table
 
@@ -88,6 +88,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(*_rebuilt(turns))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.fresh_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -99,7 +104,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_fingerprints, op3_sharding, op4_bpe, op5_url_filter, op6_quality, op7_packing, op8_exact_dedup,
-    op9_pii, op10_token_files, op11_prefix_trie, op13_warc)}
+    op9_pii, op10_token_files, op11_prefix_trie, op12_alignment, op13_warc)}
 
 ORACLES = {
     "op1_minhash_dedup": r"""

@@ -9,14 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skywarden.llm.common import drop_staged, staged
+from skywarden.llm.common import drop_staged, lookup, staged
 
 #: Turns that one block digest covers.
 BLOCK = 4
 #: Blocks of one conversation that one task puts in order.
 CHUNK_BLOCKS = 1024
-#: Children from which a parent's row is dealt to several tasks, and to how many.
-HOT_CHILDREN, SALTS = 10_000, 64
+#: Children from which on a parent's row is dealt to several tasks.
+HOT_CHILDREN = 10_000
 #: Ids that one row of a list of ends holds.
 END_IDS = 4096
 
@@ -63,23 +63,6 @@ def numbered(turns: DataFrame) -> DataFrame:
         .select("conv_id", (F.col("start") + F.col("place")).cast("long").alias("place"), "digest", "n_chars")
 
 
-def lookup(rows: DataFrame, found: DataFrame, keys: list[str], hot: Column) -> DataFrame:
-    """Left join where a key of ``found`` (one row each) for which ``hot`` holds may have any number of ``rows``.
-
-    Such keys are copied to ``SALTS`` tasks and their rows are dealt among
-    them; what they do not match is joined plainly.
-    """
-    values = [c for c in found.columns if c not in keys]
-    salted = found.where(hot).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))) \
-        .withColumn("__hit", F.lit(True))
-    first = rows.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.lit(SALTS)).cast("int")) \
-        .join(salted, [*keys, "__salt"], "left")
-    done = first.where("__hit").select(*rows.columns, *values)
-    rest = first.where("__hit is null").select(*rows.columns).join(found.where(~hot), keys, "left") \
-        .select(*rows.columns, *values)
-    return done.unionByName(rest)
-
-
 def block_paths(turns: DataFrame) -> DataFrame:
     """One row per block of ``BLOCK`` turns (the last may be shorter) of each conversation.
 
