@@ -100,7 +100,7 @@ def _fields(head: bytes) -> dict[str, str]:
             fields[name] += " " + line.strip().decode()
             continue
         key, colon, value = line.partition(b":")
-        if not colon or not key or key != key.strip():
+        if not colon or not key or len(key.split()) != 1 or key != key.strip():
             raise DamagedArchive(f"header line without a name: {line[:60]!r}")
         name = key.decode().lower()
         fields.setdefault(name, value.strip().decode())
