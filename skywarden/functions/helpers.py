@@ -94,8 +94,19 @@ def distinct_nonempty(arr) -> Column:
 
 
 def split_list(s, sep: str = ",") -> Column:
-    """Comma list -> array without empty items."""
-    return F.filter(F.split(F.coalesce(_c(s), F.lit("")), sep, -1), lambda x: x != "")
+    """Separated list -> array, empty items kept; NULL gives no items."""
+    return F.when(_c(s).isNull(), F.array().cast("array<string>")).otherwise(
+        F.split(_c(s), "\\Q" + sep + "\\E", -1))
+
+
+def drop_empty(arr) -> Column:
+    """The items that are neither NULL nor empty; NULL for an empty list."""
+    return F.when(F.size(_c(arr)) > 0, F.filter(_c(arr), lambda x: x.isNotNull() & (x != "")))
+
+
+def distinct_items(arr) -> Column:
+    """Order-preserving distinct without NULL; empty items count."""
+    return F.array_distinct(F.filter(_c(arr), lambda x: x.isNotNull()))
 
 
 def usage_percent(free, total) -> Column:

@@ -6,10 +6,13 @@ they stay inside whole-stage codegen and work unchanged on streams.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import PROCESSED_FIELDS, RAW_FIELDS, RAW_SEP
+from ..schemas import (BEHAVIOR_TYPE_IDS, BOOK_RECORD, FLIGHT_TYPE_IDS, PROCESSED_FIELDS, QUERY_RECORD, RAW_FIELDS,
+                       RAW_SEP, TRAVEL_TYPE_IDS)
 
 # Cookie keys picked from the cookie map.
 COOKIE_SESSION_KEY = "JSESSIONID"
@@ -41,32 +44,60 @@ def strip_cookie(cookie) -> Column:
     return F.regexp_replace(F.coalesce(_c(cookie), F.lit("")), r"[\x00\s]", "")
 
 
+# Fixed value: what a character that is no hexadecimal digit counts as.
+NO_DIGIT = 0x3F
+
+
+def _digit(ch: Column) -> Column:
+    """Value of one hexadecimal digit; other characters below 256 count as
+    ``NO_DIGIT``, those beyond have no value."""
+    at = F.position(F.upper(ch), F.lit("0123456789ABCDEF")) - 1
+    return F.when((F.length(ch) == 1) & (at >= 0), at).when(F.ascii(ch) < 256, F.lit(NO_DIGIT))
+
+
 def unescape(col) -> Column:
     """``%uXXXX`` (UTF-16 unit) and ``%XX`` (Latin-1) unescape.
 
-    Tokens are decoded natively (``unhex`` + UTF-16BE); a ``%`` that starts
-    no valid escape makes the whole value NULL (the caller drops the key).
+    Digits are shifted together as they come, whatever they are (see
+    ``NO_DIGIT``): ``%zz`` is one character too.  A ``%`` with too few
+    characters after it, or with one beyond Latin-1, makes the whole value
+    NULL (the caller drops the key).
     """
     s = _c(col)
     # A surrogate pair is one token; half a pair is no character.
-    unit = r"%u(?![dD][89a-fA-F])[0-9a-fA-F]{4}"
     pair = r"%u[dD][89abAB][0-9a-fA-F]{2}%u[dD][c-fC-F][0-9a-fA-F]{2}"
-    toks = F.regexp_extract_all(s, F.lit(rf"{pair}|%u[0-9a-fA-F]{{4}}|%[0-9a-fA-F]{{2}}|%|[^%]+"), 0)
+    toks = F.regexp_extract_all(s, F.lit(rf"{pair}|%u[\s\S]{{4}}|%[^u][\s\S]|%[\s\S]*|[^%]+"), 0)
+
+    def unit(t: Column, first: int, n: int) -> Column:
+        code = F.lit(0)
+        for i in range(n):
+            code = F.shiftleft(code, 4).bitwiseOR(_digit(F.substring(t, first + i, 1)))
+        code = code.bitwiseAND(F.lit(0xFFFF))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+        return F.when((code >= 0xD800) & (code <= 0xDFFF), F.lit("?")).otherwise(char)
 
     def dec(t: Column) -> Column:
-        return (F.when(t.rlike(f"^(?:{unit}|{pair})$"),
-                       F.decode(F.unhex(F.regexp_replace(t, "%u", "")), "UTF-16BE"))
-                .when(t.rlike(r"^%u[0-9a-fA-F]{4}$"), F.lit("?"))
-                .when(t.rlike(r"^%[0-9a-fA-F]{2}$"),
-                      F.decode(F.unhex(F.concat(F.lit("00"), F.substring(t, 2, 2))), "UTF-16BE"))
-                .when(t == "%", F.lit(None).cast("string"))
-                .otherwise(t))
+        return (F.when(~t.startswith("%"), t)
+                .when(t.rlike(f"^{pair}$"), F.decode(F.unhex(F.replace(t, F.lit("%u"), F.lit(""))), "UTF-16BE"))
+                .when(t.startswith("%u") & (F.length(t) == 6), unit(t, 3, 4))
+                .when(~t.startswith("%u") & (F.length(t) == 3), unit(t, 2, 2)))
 
     parts = F.transform(toks, dec)
     return F.when(F.exists(parts, lambda p: p.isNull()), F.lit(None).cast("string")) \
             .otherwise(F.array_join(parts, ""))
 
 
+def escape(col) -> Column:
+    """B5, the other way: letters, digits and ``-_.!~*'()`` stay, other
+    ASCII becomes ``%XX`` and each further UTF-16 unit ``%uXXXX``."""
+    def enc(c: Column) -> Column:
+        units = F.hex(F.encode(c, "UTF-16BE"))
+        return (F.when(c.rlike(r"^[A-Za-z0-9\-_.!~*'()]$"), c)
+                .when((F.length(units) == 4) & (units < "0080"), F.concat(F.lit("%"), F.substring(units, 3, 2)))
+                .otherwise(F.regexp_replace(units, "(.{4})", "%u$1")))
+    return F.array_join(F.transform(F.regexp_extract_all(_c(col), F.lit(r"[\s\S]"), 0), enc), "")
+
+
 def url_decode(col) -> Column:
     """UTF-8 URL decode; NULL when the text is not decodable."""
     return F.try_url_decode(_c(col))
@@ -86,7 +117,7 @@ def _kv_entries(pairs: Column, decode) -> Column:
     return F.filter(ents, lambda e: e["v"].isNotNull())
 
 
-def _last_wins_map(entries: Column) -> Column:
+def last_wins_map(entries: Column) -> Column:
     """Entries -> map where the last duplicate key wins (a plain
     ``map_from_entries`` raises on duplicates under the default policy)."""
     placed = F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v")))
@@ -108,7 +139,7 @@ def cookie_entries(cookie) -> Column:
 
 def cookie_map(cookie) -> Column:
     """Cookie text -> map; the last duplicate key wins."""
-    return _last_wins_map(cookie_entries(cookie))
+    return last_wins_map(cookie_entries(cookie))
 
 
 def last_value(entries: Column, key: str, default: str | None = "NULL") -> Column:
@@ -123,14 +154,14 @@ def url_params(url) -> Column:
     u = F.coalesce(_c(url), F.lit(""))
     q = field(F.split(u, r"\?", -1), 1)
     pairs = F.when(q == "", F.array().cast("array<string>")).otherwise(F.split(q, "&", -1))
-    return _last_wins_map(_kv_entries(pairs, lambda v: v))
+    return last_wins_map(_kv_entries(pairs, lambda v: v))
 
 
 def form_params(body) -> Column:
     """Form body -> map with URL-decoded values (bad values dropped, P25)."""
     b = F.coalesce(_c(body), F.lit(""))
     pairs = F.when(b == "", F.array().cast("array<string>")).otherwise(F.split(b, "&", -1))
-    return _last_wins_map(_kv_entries(pairs, url_decode))
+    return last_wins_map(_kv_entries(pairs, url_decode))
 
 
 def json_map(col) -> Column:
@@ -139,11 +170,68 @@ def json_map(col) -> Column:
     return F.coalesce(F.from_json(_c(col), "map<string,string>", {"mode": "PERMISSIVE"}), empty)
 
 
+_JSON_TOKEN = r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
+
+
+def json_members(js, key: str) -> Column:
+    """JSON texts of every member ``key`` at any depth, outer before inner.
+
+    The text is cut into its tokens once; a value reaches from the colon
+    to the token at which its brackets are closed again.  Text that is no
+    JSON has none.
+    """
+    name = F.lit(json.dumps(key, ensure_ascii=False))
+    plain = F.get_json_object(F.concat(F.lit("["), _c(js), F.lit("]")), "$")
+    tokens = F.coalesce(F.regexp_extract_all(plain, F.lit(_JSON_TOKEN), 0), F.array().cast("array<string>"))
+
+    def found(t: Column) -> Column:
+        at = F.filter(F.transform(t, lambda x, i: F.when((x == name) & (F.get(t, i + 1) == ":"), i + 3)), lambda i: i.isNotNull())
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+
+        def step(a: Column, x: Column) -> Column:
+            depth = a["depth"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)
+            go = F.struct(depth.alias("depth"), (a["n"] + 1).alias("n"), (depth == 0).alias("done"))
+            return F.when(a["done"], a).otherwise(go)
+
+        def text(i: Column) -> Column:
+            rest = F.slice(t, i, F.size(t))
+            nested = F.array_join(F.slice(t, i, F.aggregate(rest, start, step, lambda a: a["n"])), "")
+            return F.when(F.get(t, i - 1).isin("{", "["), nested).otherwise(F.get(t, i - 1))
+        return F.transform(at, text)
+    # Bound to a lambda variable, the tokens are cut once.
+    return F.get(F.transform(F.array(tokens), found), F.lit(0))
+
+
+def json_texts(js, path: str) -> Column:
+    """All matches of a JsonPath with recursive descent (``..key``) as
+    texts, strings without their quotes, in the order of the document.
+
+    Before, between and after the descents stand plain steps
+    (``$.a..b.c``); a missing step gives no match.  A member that is JSON
+    null is a null item.
+    """
+    head, *descents = path.split("..")
+    base = F.get_json_object(_c(js), head) if head.rstrip("$.") else _c(js)
+    out = F.when(base.isNotNull(), F.array(base)).otherwise(F.array().cast("array<string>"))
+    for i, step in enumerate(descents):
+        cut = min([k for k in (step.find("."), step.find("[")) if k > 0], default=len(step))
+        key, rest = step[:cut], step[cut:]
+        out = F.flatten(F.transform(out, lambda x: json_members(x, key)))  # noqa: B023
+        if rest:
+            out = F.filter(F.transform(out, lambda x: F.get_json_object(x, "$" + rest)), lambda x: x.isNotNull())  # noqa: B023
+        elif i == len(descents) - 1:
+            out = F.transform(out, lambda x: F.when(x != "null", F.get_json_object(x, "$")))
+    return out
+
+
 def json_field(col, path) -> Column:
     """JsonPath field of a JSON text, ``""`` when missing.
 
-    ``path`` may be a column (one rule per row) as well as a literal.
+    ``path`` may be a column (one rule per row) as well as a literal; a
+    literal may hold a recursive descent, which gives its first match.
     """
+    if isinstance(path, str) and ".." in path:
+        return F.coalesce(F.get(json_texts(col, path), F.lit(0)), F.lit(""))
     p = F.lit(path) if isinstance(path, str) else path
     return F.coalesce(F.call_function("get_json_object", _c(col), p), F.lit(""))
 
@@ -167,6 +255,28 @@ def serialise_processed(df_cols: dict[str, Column] | None = None) -> Column:
 
 
 def parse_processed(value) -> Column:
-    """``#CS#`` text -> struct of the 18 processed fields."""
+    """``#CS#`` text -> struct of the 18 processed fields, as texts."""
     arr = F.split(_c(value), RAW_SEP, -1)
     return F.struct(*[F.get(arr, i).alias(n) for i, n in enumerate(PROCESSED_FIELDS)])
+
+
+def parse_record(value) -> Column:
+    """``#CS#`` text -> the nested record (M3).
+
+    The high-frequency flag is a boolean, type names stand beside their
+    ids, the query record is parsed from its JSON (NULL if it is none) and
+    the booking record is not read.
+    """
+    p = parse_processed(value)
+    known = lambda c, ids: F.when(p[c].isin(*ids), p[c]).otherwise("Other" if "Other" in ids else "Unknown")
+    return F.struct(
+        *[p[c].alias(c) for c in ("requestMethod", "request", "remoteAddr", "httpUserAgent", "timeIso8601", "serverAddr")],
+        (F.lower(p["highFrqIPGroup"]) == "true").alias("highFrqIPGroup"),
+        F.struct(known("flightType", FLIGHT_TYPE_IDS).alias("flightType"),
+                 known("behaviorType", BEHAVIOR_TYPE_IDS).alias("behaviorType")).alias("requestType"),
+        known("travelType", TRAVEL_TYPE_IDS).alias("travelType"),
+        F.struct(p["flightDate"].alias("flightDate"), p["depcity"].alias("depcity"), p["arrcity"].alias("arrcity"))
+        .alias("requestParams"),
+        p["JSESSIONID"].alias("cookieValue_JSESSIONID"), p["USERID"].alias("cookieValue_USERID"),
+        F.from_json(F.nullif(p["queryRequestDataStr"], F.lit("NULL")), QUERY_RECORD).alias("queryRequestData"),
+        F.lit(None).cast(BOOK_RECORD).alias("bookRequestData"), p["httpReferrer"].alias("httpReferrer"))

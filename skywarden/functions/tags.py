@@ -13,6 +13,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import BEHAVIOR_TYPE_IDS, FLIGHT_TYPE_IDS, TRAVEL_TYPE_IDS  # noqa: F401
+
 # Page-stage patterns of the request tag (1 booking,
 # 2 passenger information, 3 payment; anything else is 0).
 BOOKING_PATTERNS = ["^.*/bookingnew/.*$", "^.*/bookingGroup/.*$", "^.*/ita/intl/zh/shop/.*$"]
@@ -22,11 +24,6 @@ PAYMENT_PATTERNS = ["^.*upp_payment/pay/.*$"]
 # Travel-date pattern of a referrer parameter value.
 DATE_VALUE_PATTERN = r"^(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])$"
 
-# Enum names and ids (M6).
-FLIGHT_TYPE_IDS = {"National": 0, "International": 1, "Other": -1}
-BEHAVIOR_TYPE_IDS = {"Query": 0, "Book": 1, "Other": -1}
-TRAVEL_TYPE_IDS = {"OneWay": 0, "RoundTrip": 1, "Unknown": -1}
-
 
 def _c(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
@@ -47,9 +44,11 @@ def full_pattern(patterns: Sequence[str]) -> str | None:
 def matches_any(col, patterns: Sequence[str]) -> Column:
     """True when ``col`` fully matches one of ``patterns`` (False if none)."""
     # One match per pattern: joined into one, back-references would shift.
+    # Halved again and again, so that any number of patterns makes a shallow plan.
     hits = [_c(col).rlike(full_pattern([p])) for p in patterns if p]
-    return F.coalesce(F.array_contains(F.array(*hits), True) if len(hits) > 16 else reduce(or_, hits),
-                      F.lit(False)) if hits else F.lit(False)
+    while len(hits) > 1:
+        hits = [reduce(or_, hits[i:i + 2]) for i in range(0, len(hits), 2)]
+    return F.coalesce(hits[0], F.lit(False)) if hits else F.lit(False)
 
 
 def request_flag(request) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .parsing import last_wins_map
+
 
 def _c(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
@@ -46,17 +48,19 @@ def xml_flat_map(xml, paths: dict[str, str]) -> Column:
     """``key + index -> value`` over several multi-node XPaths.
 
     Every node matched by ``paths[key]`` becomes one entry ``key<i>`` with
-    ``i`` counting from 0 in document order.
+    ``i`` counting from 0 in document order; of equal keys (node 10 of
+    ``n`` and node 0 of ``n1``) the last path wins.  A body without one
+    well-formed page gives an empty map.
     """
-    x = _c(xml)
+    x = page_text(xml)
 
     def entries_of(key: str, path: str) -> Column:
         return F.transform(F.xpath(x, F.lit(node_text(path))), lambda v, i: F.struct(
             F.concat(F.lit(key), i.cast("string")).alias("k"), v.alias("v")))
 
-    parts = [entries_of(k, p) for k, p in paths.items()]
-    entries = F.flatten(F.array(*parts)) if parts else F.array().cast("array<struct<k:string,v:string>>")
-    return F.map_from_entries(entries)
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    parts = [F.coalesce(entries_of(k, p), none) for k, p in paths.items()]
+    return last_wins_map(F.flatten(F.array(*parts)) if parts else none)
 
 
 # Segment type codes of a booking XML.
@@ -64,8 +68,14 @@ SEGTYPE_TRAVEL = {"S": "OneWay", "R": "RoundTrip"}
 
 
 def segtype_travel(xml, path: str = "//SEGTYPE") -> Column:
-    """Segment type S / R -> OneWay / RoundTrip, else Unknown."""
-    seg = F.trim(F.coalesce(F.xpath_string(_c(xml), F.lit(path)), F.lit("")))
+    """Segment type S / R -> OneWay / RoundTrip, else Unknown.
+
+    Read from the first ``<page>`` to the first ``</page>``, whatever
+    stands around them; no page or a malformed one is Unknown.
+    """
+    end = F.instr(_c(xml), "</page>")
+    page = page_text(F.substring(_c(xml), F.lit(1), end + F.lit(len("</page>") - 1)))
+    seg = F.xpath_string(page, F.lit(node_text(path)))
     out = F.lit("Unknown")
     for code, name in reversed(list(SEGTYPE_TRAVEL.items())):
         out = F.when(seg == code, F.lit(name)).otherwise(out)

@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from ..functions.masking import mask_id_card, mask_phone, md5_upper
 from ..functions.xml import node_text, page_text
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
-                                 form_params, json_field, last_value, param, request_url,
+                                 form_params, json_field, json_texts, last_value, param, request_url,
                                  split_raw, url_params)
 from ..functions.tags import (BEHAVIOR_TYPE_IDS, FLIGHT_TYPE_IDS, TRAVEL_TYPE_IDS, classify_request,
-                              enum_id, matches_any, travel_type)
-from ..schemas import PROCESSED_FIELDS, RAW_SEP
+                              enum_id, hot_ip_flag, matches_any, travel_type)
+from ..schemas import BOOK_FIELDS, BOOK_LISTS, PROCESSED_FIELDS, QUERY_FIELDS, RAW_SEP
 
 QUERY_KEYS = ["depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country",
               "travelType"]
@@ -62,9 +62,6 @@ class EtlRules:
     query_rules: list = dc_field(default_factory=list)
     book_rules: list = dc_field(default_factory=list)
 
-    def check(self) -> "EtlRules":
-        return self
-
 
 def last_match(rules: list[ParseRule], method: Column, behavior_id: Column, url: Column) -> Column:
     """Index of the last rule whose method (any case), behaviour and URL match."""
@@ -155,12 +152,14 @@ def query_request(rules: list[ParseRule], idx: Column, sources: list[Column | No
     # The behaviour's flight type and the referrer's travel type win (P20).
     return F.struct(
         acc["isEmpty"].alias("isEmpty"), flight_id.alias("flightType"), travel_id.alias("travelType"),
-        *[acc[k].alias(k) for k in QUERY_KEYS if k != "travelType"])
+        *[acc.get(k, F.lit("")).alias(k) for k in QUERY_FIELDS])
 
 
 def _json_list(js: Column, path: str) -> Column:
     if _blank(path):
         return F.array().cast("array<string>")
+    if ".." in path:
+        return json_texts(js, path)
     # A wildcard that matches once gives the bare value, not a list.
     found = F.get_json_object(js, path)
     listed = F.when(found.startswith("["), found).otherwise(F.concat(F.lit("["), found, F.lit("]")))
@@ -171,7 +170,7 @@ def _json_one(js: Column, path: str) -> Column:
     """A scalar path as a list of at most one element."""
     if _blank(path):
         return F.array().cast("array<string>")
-    v = F.get_json_object(js, path)
+    v = F.get(json_texts(js, path), F.lit(0)) if ".." in path else F.get_json_object(js, path)
     return F.when(v.isNull(), F.array().cast("array<string>")).otherwise(F.array(v))
 
 
@@ -184,12 +183,12 @@ def _book_from_json(js: Column, r: ParseRule) -> dict:
     names = F.transform(first, lambda a, i: F.concat(F.coalesce(a, F.lit("null")),
                                                      F.coalesce(F.get(last, i), F.lit("null"))))
     return {
-        "bookUserId": F.coalesce(F.get_json_object(js, p.get("bookUserId") or "$.__none__"), F.lit("")),
+        "bookUserId": json_field(js, p.get("bookUserId") or "$.__none__"),
         "psgName": names,
         "idType": _json_list(js, p.get("idType", "")),
         "idCard": _json_list(js, p.get("idCard", "")),
-        "contractName": F.coalesce(F.get_json_object(js, p.get("contractName") or "$.__none__"), F.lit("")),
-        "contractPhone": F.coalesce(F.get_json_object(js, p.get("contractPhone") or "$.__none__"), F.lit("")),
+        "contractName": json_field(js, p.get("contractName") or "$.__none__"),
+        "contractPhone": json_field(js, p.get("contractPhone") or "$.__none__"),
         "depCity": _json_one(js, p.get("depCity", "")),
         "arrCity": _json_one(js, p.get("arrCity", "")),
         "flightDate": _json_one(js, p.get("flightDate", "")),
@@ -214,7 +213,9 @@ def _book_from_xml(body: Column, r: ParseRule) -> dict:
 
     return {
         "bookUserId": one("bookUserId"),
+        "bookUnUserId": one("bookUnUserId"),
         "psgName": lst("psgName"),
+        "psgType": lst("psgType"),
         "idType": lst("idType"),
         "idCard": lst("idCard"),
         "contractName": F.substring_index(one("contractName"), "|", 1),
@@ -224,10 +225,6 @@ def _book_from_xml(body: Column, r: ParseRule) -> dict:
     }
 
 
-BOOK_FIELDS = ["bookUserId", "psgName", "idType", "idCard", "contractName", "contractPhone",
-               "depCity", "arrCity", "flightDate", "flightNo", "cabin"]
-
-
 def book_source(r: ParseRule, body: Column, content_type: Column) -> Column | None:
     """Per-rule input of the booking parse (JSON or XML text, else NULL)."""
     ct = F.lower(content_type)
@@ -247,27 +244,21 @@ def book_request(rules: list[ParseRule], idx: Column, sources: list[Column | Non
                  travel_id: Column) -> Column:
     """Booking record (M5); contact phone and id cards hashed."""
     empty_list = F.array().cast("array<string>")
-    empty = {k: (F.lit("") if k in ("bookUserId", "contractName", "contractPhone") else empty_list)
-             for k in BOOK_FIELDS}
+    empty = {k: empty_list if k in BOOK_LISTS else F.lit("") for k in BOOK_FIELDS}
     acc = dict(empty)
     flight = F.lit(-1)
     travel = F.lit(-1)
     for i, (r, src) in enumerate(zip(rules, sources)):
         if src is not None:
             vals = _book_from_xml(src, r) if (r.text_xml and r.is_xml) else _book_from_json(src, r)
-            for k in acc:
+            for k in vals:
                 acc[k] = F.when((idx == i) & src.isNotNull(), vals[k]).otherwise(acc[k])
         if r.flight_type in (0, 1):
             flight = F.when(idx == i, F.lit(r.flight_type)).otherwise(flight)
             travel = F.when(idx == i, travel_id).otherwise(travel)
-    return F.struct(
-        flight.alias("flightType"), travel.alias("travelType"),
-        acc["bookUserId"].alias("bookUserId"), acc["psgName"].alias("psgName"),
-        acc["idType"].alias("idType"),
-        F.transform(acc["idCard"], lambda x: md5_upper(x)).alias("idCard"),
-        acc["contractName"].alias("contractName"),
-        md5_upper(acc["contractPhone"]).alias("contractPhone"),
-        *[acc[k].alias(k) for k in ("depCity", "arrCity", "flightDate", "flightNo", "cabin")])
+    acc["idCard"] = F.transform(acc["idCard"], md5_upper)
+    acc["contractPhone"] = md5_upper(acc["contractPhone"])
+    return F.struct(flight.alias("flightType"), travel.alias("travelType"), *[acc[k].alias(k) for k in BOOK_FIELDS])
 
 
 def filter_lines(raw: DataFrame, filter_rules: list[str], drop: bool = True) -> DataFrame:
@@ -288,13 +279,17 @@ def etl(raw: DataFrame, rules: EtlRules, hot_ips: DataFrame | None = None,
     read several times (masked text, cookie entries, rule index, parse
     inputs) is its own column, so it is computed once per row.
     """
-    rules.check()
     kept = filter_lines(raw, rules.filter_rules)                                      # C1
     masked = (kept.select(mask_phone("value").alias("value"))                          # B24
                   .select(mask_id_card("value").alias("value")))                       # B25
     f = masked.select(split_raw("value").alias("f")).select("f.*")                    # B1
+    # D6 before anything is parsed: the join moves the plain fields only.
+    if hot_ips is None:
+        f = f.withColumn("__is_hot", F.lit(False))
+    else:
+        f = hot_ip_flag(f, "remoteAddr", hot_ips, hot_col, "__is_hot")
     s = f.select(
-        "requestMethod", request_url(F.col("requestLine")).alias("request"),           # B2
+        "__is_hot", "requestMethod", request_url(F.col("requestLine")).alias("request"),           # B2
         "contentType", "requestBody", "httpReferrer", "remoteAddr", "httpUserAgent",
         "timeIso8601", "serverAddr", cookie_entries(F.col("cookie")).alias("__ck"))     # B3-B6
     s = s.select(
@@ -330,12 +325,6 @@ def etl(raw: DataFrame, rules: EtlRules, hot_ips: DataFrame | None = None,
         query_request(rules.query_rules, F.col("__qi"), qcols, F.col("__flight_id"),   # B14
                       F.col("__travel_id")).alias("q"),
         book_request(rules.book_rules, F.col("__bi"), bcols, F.col("__travel_id")).alias("b"))  # B15
-    if hot_ips is not None:                                                             # D6
-        hot = hot_ips.select(F.col(hot_col).alias("__hot")).distinct()
-        parsed = parsed.join(hot, parsed["remoteAddr"] == hot["__hot"], "left") \
-                       .withColumn("__is_hot", F.col("__hot").isNotNull()).drop("__hot")
-    else:
-        parsed = parsed.withColumn("__is_hot", F.lit(False))
     beh = F.col("cls.behaviorType")
     # Core parameters from the query record, or the booking lists joined.
     core = {k: F.when(beh == "Query", F.col(f"q.{qk}"))

@@ -1,17 +1,17 @@
 """Rule / flow scoring (I1-I6, C4) over per-IP window metrics.
 
-The flow configuration is a bounded table (checked in
-``rules.collect_flows``) and is compiled into the plan: every rule is a
-comparison of a metric column with a literal, so scoring is a narrow,
-code-generated projection over the metric rows: no join, no shuffle.
+The flow configuration is one value in the plan, a nested array of flows
+and their rules, evaluated per metric row by higher-order functions.  The
+plan has the same shape for ten rules and for ten thousand; scoring stays
+a narrow projection: no join, no shuffle.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
 # Metric name -> metric column of ``ip_window_metrics``.
 METRIC_COLUMNS = {
@@ -29,85 +29,69 @@ FLOW_SCORE_CAP = 60.0     # factor 2 weight
 ENABLED_SHARE_WEIGHT = 40.0  # factor 3 weight
 
 
-def _metric(name: str) -> Column:
-    """Metric value of a rule name; unknown names and NULL metrics (min gap
-    below two visits, P11) count as 0."""
-    col = METRIC_COLUMNS.get(name)
-    return F.lit(0.0) if col is None else F.coalesce(F.col(col).cast("double"), F.lit(0.0))
+_RULE = "array<struct<rule_id:string,metric:int,above:double,score:double,enabled:boolean>>"
+_FLOWS = f"array<struct<flow_id:string,flow_limit:double,rules:{_RULE}>>"
 
 
-def _sum(cols: list[Column]) -> Column:
-    total = F.lit(0.0)
-    for c in cols:          # left to right, in rule order
-        total = total + c
-    return total
+def flows_value(flow_rows: list) -> Column:
+    """The flow configuration as one constant: rules in their order, each
+    with the place of its metric and the threshold that applies (argument 1
+    for the less-than-default rule, else argument 0; I1)."""
+    places = {name: i for i, name in enumerate(METRIC_COLUMNS)}
+    flows = [{"flow_id": f["flow_id"], "flow_limit": f["flow_limit"], "rules": [
+        {"rule_id": r["rule_id"], "metric": places.get(r["rule_name"], len(places)),
+         "above": r["arg1"] if r["rule_name"] == SECOND_ARG_RULE else r["arg0"],
+         "score": float(r["score"]), "enabled": r["rule_status"] == 0}
+        for r in sorted(f["rules"], key=lambda r: r["rule_order"])]} for f in flow_rows]
+    return F.from_json(F.lit(json.dumps(flows)), _FLOWS)
 
 
-def _hit(r) -> Column:
-    """Metric above the rule's threshold (argument 1 for the
-    less-than-default rule, else argument 0)."""
-    thr = r["arg1"] if r["rule_name"] == SECOND_ARG_RULE else r["arg0"]
-    return _metric(r["rule_name"]) > F.lit(thr).cast("double")
+def _flow_result(metrics: Column, flow: Column) -> Column:
+    """I1-I4 for one flow: hits, score and over-limit flag.
 
-
-def _flow_score(total: Column, n: int, max_en: Column, sum_en: Column) -> Column:
-    """f1 * (f2 + f3); no hit (the reference's 0 / 0) scores 0."""
-    if n == 0:
-        return F.lit(0.0)
-    f1 = total / F.lit(10 * n)
-    sixth = F.lit(1.0) / F.lit(6.0)
-    f2 = F.when(F.lit(1.0) < sixth * max_en, F.lit(FLOW_SCORE_CAP)).otherwise(sixth * max_en * F.lit(60.0))
-    f3 = F.lit(ENABLED_SHARE_WEIGHT) * (sum_en / total)
-    return F.when(total == 0, F.lit(0.0)).otherwise(f1 * (f2 + f3))
+    I3 is f1 * (f2 + f3); no rule or no hit (the reference's 0 / 0) scores
+    0 (P16).  Sums run left to right, in rule order.
+    """
+    rules = flow["rules"]
+    zero = F.lit(0.0)
+    add = lambda values: F.aggregate(values, zero, lambda total, x: total + x)
+    # Intermediate results are bound to lambda variables, so each is worked out once.
+    hits = F.transform(rules, lambda r: F.when(F.get(metrics, r["metric"]) > r["above"], r["score"]).otherwise(zero))
+
+    def totals(hit: Column) -> Column:
+        enabled = F.filter(F.zip_with(rules, hit, lambda r, h: F.when(r["enabled"], h)), lambda h: h.isNotNull())
+        return F.struct(add(hit).alias("all"), add(enabled).alias("on"),
+                        F.coalesce(F.array_max(enabled), zero).alias("top"))
+
+    def score(t: Column) -> Column:
+        sixth = F.lit(1.0) / F.lit(6.0)
+        f1 = t["all"] / (F.lit(10) * F.size(rules))
+        f2 = F.when(F.lit(1.0) < sixth * t["top"], F.lit(FLOW_SCORE_CAP)).otherwise(sixth * t["top"] * F.lit(60.0))
+        value = F.when(t["all"] == 0, zero).otherwise(f1 * (f2 + F.lit(ENABLED_SHARE_WEIGHT) * (t["on"] / t["all"])))
+        return F.struct(value.alias("score"), F.filter(F.zip_with(
+            rules, F.transform(rules, lambda r: F.get(metrics, r["metric"]) > r["above"]),
+            lambda r, h: F.when(h, r["rule_id"])), lambda i: i.isNotNull()).alias("ids"))
+
+    def result(s: Column) -> Column:
+        return F.struct(flow["flow_id"].alias("flow_id"), s["score"].alias("score"), flow["flow_limit"].alias("flow_limit"),
+                        F.coalesce(s["score"] > flow["flow_limit"], F.lit(False)).alias("is_up_limited"),
+                        s["ids"].alias("hit_rules"))
+
+    bound = F.transform(F.transform(F.transform(F.array(hits), totals), score), result)
+    return F.get(bound, F.lit(0))
 
 
 def score_flows(metrics: DataFrame, flow_rows: list) -> DataFrame:
-    """Append ``flows_score`` (one struct per configured flow).
+    """Append ``flows_score`` (one struct per configured flow) and
+    ``any_up_limited``.
 
-    The bounded flow configuration (``rules.collect_flows``) is compiled
-    into staged projections of plain, code-generated expressions: per
-    rule the hit score, per flow the totals, then the score, then the
-    structs with the over-limit flag.  Each intermediate is a column, so
-    it is computed once and every generated method stays small.
+    Unknown rule names and NULL metrics (min gap below two visits, P11)
+    count as 0.
     """
-    cols = metrics.columns
-    if not flow_rows:
-        empty = F.array().cast(T.ArrayType(T.StructType([
-            T.StructField("flow_id", T.StringType()), T.StructField("score", T.DoubleType()),
-            T.StructField("flow_limit", T.DoubleType()), T.StructField("is_up_limited", T.BooleanType()),
-            T.StructField("hit_rules", T.ArrayType(T.StringType()))])))
-        return metrics.withColumn("flows_score", empty).withColumn("any_up_limited", F.lit(False))
-    flows = [(f, sorted(f["rules"], key=lambda r: r["rule_order"])) for f in flow_rows]
-    none = F.array().cast("array<string>")
-    # Stage 1: per rule, the hit score (0 on a miss); per flow, hit ids.
-    s1, stage2 = [], []
-    for k, (f, rules) in enumerate(flows):
-        for j, r in enumerate(rules):
-            s1.append(F.when(_hit(r), F.lit(float(r["score"]))).otherwise(F.lit(0.0)).alias(f"__r{k}_{j}"))
-        s1.append((F.flatten(F.array(*[F.when(_hit(r), F.array(F.lit(r["rule_id"]))).otherwise(none)
-                                       for r in rules])) if rules else none).alias(f"__h{k}"))
-    st1 = metrics.select(*cols, *s1)
-    # Stage 2: totals over all rules and over enabled rules.
-    for k, (f, rules) in enumerate(flows):
-        sc = [F.col(f"__r{k}_{j}") for j in range(len(rules))]
-        en = [c for c, r in zip(sc, rules) if r["rule_status"] == 0]
-        stage2 += [_sum(sc).alias(f"__t{k}"), _sum(en).alias(f"__e{k}"),
-                   (F.lit(0.0) if not en else en[0] if len(en) == 1 else F.greatest(*en)).alias(f"__m{k}")]
-    st2 = st1.select(*cols, *[f"__h{k}" for k in range(len(flows))], *stage2)
-    # Stage 3: scores (I3); stage 4: structs with the flag (I4).
-    st3 = st2.select(*cols, *[f"__h{k}" for k in range(len(flows))], *[
-        _flow_score(F.col(f"__t{k}"), len(rules), F.col(f"__m{k}"), F.col(f"__e{k}")).alias(f"__s{k}")
-        for k, (f, rules) in enumerate(flows)])
-    out = []
-    for k, (f, rules) in enumerate(flows):
-        limit = F.lit(f["flow_limit"]).cast("double")
-        out.append(F.struct(F.lit(f["flow_id"]).alias("flow_id"), F.col(f"__s{k}").alias("score"),
-                            limit.alias("flow_limit"), (F.col(f"__s{k}") > limit).alias("is_up_limited"),
-                            F.col(f"__h{k}").alias("hit_rules")))
-    any_up = F.lit(False)
-    for k, (f, rules) in enumerate(flows):
-        any_up = any_up | (F.col(f"__s{k}") > F.lit(f["flow_limit"]).cast("double"))
-    return st3.select(*cols, F.array(*out).alias("flows_score"), F.coalesce(any_up, F.lit(False)).alias("any_up_limited"))
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in METRIC_COLUMNS.values()], F.lit(0.0))
+    scored = metrics.select("*", F.get(F.transform(F.array(values), lambda m: F.transform(
+        flows_value(flow_rows), lambda f: _flow_result(m, f))), F.lit(0)).alias("flows_score"))
+    return scored.withColumn("any_up_limited", F.exists("flows_score", lambda f: f["is_up_limited"]))
 
 
 def _any_up(scored: DataFrame) -> Column:

@@ -4,12 +4,12 @@ Windows are tumbling on *event time* parsed from the ISO text (P8), so the
 same function gives the same answer in batch and under Structured
 Streaming (where the caller adds ``withWatermark``).
 
-Skew: one address may carry a third of all rows.  Every metric is either
-an algebraic aggregate (partial aggregation on the map side), a distinct
-count (Spark expands it into a two-level aggregate keyed on the distinct
-value), or the set of distinct *seconds* of critical visits, which is
-bounded by the window length however hot the address is: the gap metrics
-need only that set and the visit count.  One aggregate, one shuffle.
+Skew: one address may carry a third of all rows.  The per-IP metrics are
+two aggregates: first per (window, IP, kind, value), whose keys are many
+even for one address, then per (window, IP) over the distinct values,
+where a count is enough.  The only set ever held is that of the distinct
+*seconds* of critical visits, which the window length bounds.  Batch and
+stream run the same two aggregates.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ def event_time(time_iso) -> Column:
     """ISO text -> TIMESTAMP_NTZ at second resolution.
 
     Text before the first ``+``, ``T`` replaced by a space; the value ``0``,
-    text without ``+`` and unparsable text give NULL.
+    text without ``+`` and unparsable text give NULL.  The time is the
+    pattern ``yyyy-MM-dd HH:mm:ss``, 19 characters; what follows them up to
+    the ``+`` (fractions of a second) is not part of it and is left out.
     """
     t = _c(time_iso)
     pos = F.instr(t, "+")
@@ -60,23 +62,53 @@ def fmt_time(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def _metric_inputs(logs: DataFrame, critical_pages: Sequence[str], seconds: int) -> DataFrame:
+def _metric_inputs(logs: DataFrame, critical: Column, seconds: int) -> DataFrame:
     return (logs.select(
-                F.col("remoteAddr").alias("ip"),
-                matches_any("request", critical_pages).alias("crit"),
-                F.col("httpUserAgent").alias("ua"),
-                F.struct(F.col("depcity"), F.col("arrcity")).alias("trip"),
+                *[c for c in logs.columns if c == "__et"],
+                F.col("remoteAddr").alias("ip"), critical.alias("crit"),
+                F.col("httpUserAgent").alias("ua"), F.col("depcity").alias("dep"), F.col("arrcity").alias("arr"),
                 F.col("JSESSIONID").alias("cookie"),
                 event_time("timeIso8601").alias("ts"))
             .filter(F.col("ts").isNotNull())
             .withColumn("win", window_start(F.col("ts"), seconds)))
 
 
-def _gap_aggs() -> list[Column]:
-    """Critical visits as (count, distinct seconds): the set is bounded by
-    the window length in seconds, however hot the address is."""
-    return [F.count_if("crit").alias("__crit_n"),
-            F.array_sort(F.collect_set(F.when(F.col("crit"), F.col("ts")))).alias("__secs")]
+# Kinds of values that are counted once: user agent, trip, critical cookie, critical second.
+_UA, _TRIP, _COOKIE, _SECOND = "ua", "trip", "cookie", "second"
+
+
+def _values(base: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per visit and kind: kind, v1, v2, sec beside ``keep``."""
+    none, no_time = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+
+    def value(kind: str, v1: Column, v2: Column = none, sec: Column = no_time) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), v1.alias("v1"), v2.alias("v2"), sec.alias("sec"))
+
+    always = [value(_UA, F.col("ua")), value(_TRIP, F.col("dep"), F.col("arr"))]
+    critical = [value(_COOKIE, F.col("cookie")), value(_SECOND, none, none, F.col("ts"))]
+    return base.select(*keep, "crit", F.inline(F.when(F.col("crit"), F.array(*always, *critical)).otherwise(F.array(*always))))
+
+
+def _per_value(values: DataFrame, *keys) -> DataFrame:
+    return values.groupBy(*keys, "win", "ip", "kind", "v1", "v2", "sec").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("crit").alias("c"))
+
+
+def _per_ip(distinct: DataFrame, *keys) -> DataFrame:
+    """Second aggregate.  Every visit has one user agent, so those rows carry the visits."""
+    kind = F.col("kind")
+    agg = distinct.groupBy(*keys, "win", "ip").agg(
+        F.sum(F.when(kind == _UA, F.col("n"))).alias("ip_visits"), F.sum(F.when(kind == _UA, F.col("c"))).alias("__crit_n"),
+        F.count_if(kind == _UA).alias("distinct_ua"), F.count_if(kind == _TRIP).alias("distinct_trips"),
+        F.count_if(kind == _COOKIE).alias("critical_cookies"),
+        F.array_sort(F.collect_set("sec")).alias("__secs"))
+    return _metric_columns(agg)
+
+
+def _metric_columns(agg: DataFrame) -> DataFrame:
+    return agg.select(
+        fmt_time(F.col("win")).alias("window_start"), "ip", "ip_visits", F.col("__crit_n").alias("critical_visits"),
+        "distinct_ua", *_gap_metrics(), "distinct_trips", "critical_cookies")
 
 
 def _gap_metrics() -> list[Column]:
@@ -97,79 +129,56 @@ def _gap_metrics() -> list[Column]:
     return [min_gap.alias("min_critical_gap"), under.cast("long").alias("gaps_under_10s")]
 
 
-def ip_window_metrics(logs: DataFrame, critical_pages: Sequence[str], seconds: int = 10) -> DataFrame:
-    """G1a-G1g: seven metrics per (window, remote address), one aggregate.
+def _critical(critical_pages: Sequence[str] | Column) -> Column:
+    return critical_pages if isinstance(critical_pages, Column) else matches_any("request", critical_pages)
+
+
+def ip_window_metrics(logs: DataFrame, critical_pages: Sequence[str] | Column, seconds: int = 10) -> DataFrame:
+    """G1a-G1g: seven metrics per (window, remote address).
 
-    Columns: window_start, ip, ip_visits, critical_visits, distinct_ua,
-    min_critical_gap (NULL below two critical visits, P11), gaps_under_10s,
-    distinct_trips, critical_cookies.
+    ``critical_pages`` are patterns of the request, or a boolean column
+    that tells critical visits already.  Columns: window_start, ip,
+    ip_visits, critical_visits, distinct_ua, min_critical_gap (NULL below
+    two critical visits, P11), gaps_under_10s, distinct_trips,
+    critical_cookies.  A null user agent, city or cookie is a value.
     """
-    base = _metric_inputs(logs, critical_pages, seconds)
-    agg = base.groupBy("win", "ip").agg(
-        F.count(F.lit(1)).alias("ip_visits"),
-        F.count_if("crit").alias("critical_visits"),
-        F.countDistinct(F.struct("ua")).alias("distinct_ua"),
-        F.countDistinct("trip").alias("distinct_trips"),
-        F.countDistinct(F.when(F.col("crit"), F.struct("cookie"))).alias("critical_cookies"),
-        *_gap_aggs())
-    return agg.select(
-        fmt_time(F.col("win")).alias("window_start"), "ip", "ip_visits", "critical_visits",
-        "distinct_ua", *_gap_metrics(), "distinct_trips", "critical_cookies")
+    base = _metric_inputs(logs, _critical(critical_pages), seconds)
+    return _per_ip(_per_value(_values(base, ["win", "ip"])))
 
 
-def ip_window_metrics_stream(logs: DataFrame, critical_pages: Sequence[str], seconds: int = 10,
+def ip_window_metrics_stream(logs: DataFrame, critical_pages: Sequence[str] | Column, seconds: int = 10,
                              watermark: str = "30 seconds", approx: bool = False) -> DataFrame:
     """G1 for Structured Streaming (append mode after the watermark).
 
-    Same metrics as :func:`ip_window_metrics`; distinct counts use
-    ``size(collect_set)`` because streaming rejects ``count(DISTINCT)``.
-    ``approx=True`` keeps a fixed-size sketch per window instead
-    (``approx_count_distinct``) for sources that rotate many values.
-    """
-    base = (_metric_inputs(logs, critical_pages, seconds)
-            .withColumn("__et", watermark_time(F.col("ts"))).withWatermark("__et", watermark))
-
-    def distinct(c: Column) -> Column:
-        if approx:
-            return F.approx_count_distinct(F.to_json(c) if isinstance(c, Column) else c)
-        return F.size(F.collect_set(c)).cast("long")
-
-    # The NTZ window start is functionally dependent on the watermarked
-    # window; grouping by both keeps the output identical to batch.
-    agg = base.groupBy(F.window("__et", f"{int(seconds)} seconds").alias("w"), "win", "ip").agg(
-        F.count(F.lit(1)).alias("ip_visits"),
-        F.count_if("crit").alias("critical_visits"),
-        distinct(F.struct("ua")).alias("distinct_ua"),
-        distinct(F.col("trip")).alias("distinct_trips"),
-        distinct(F.when(F.col("crit"), F.struct("cookie"))).alias("critical_cookies"),
-        *_gap_aggs())
-    return agg.select(
-        fmt_time(F.col("win")).alias("window_start"), "ip", "ip_visits", "critical_visits",
-        "distinct_ua", *_gap_metrics(), "distinct_trips", "critical_cookies")
-
+    Two chained stateful aggregates.  The first keeps one state row per
+    distinct value, hashed over all tasks by (window, IP, kind, value): a
+    hot address is spread like any other.  The second gets each value
+    once, when the watermark passes its window, and keeps a row of counts
+    per (window, IP).  If the logs already carry a watermark (``__et``) it
+    is used as it is.
 
-def critical_gaps(rows: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
-    """Min gap and gaps under 10 s for arbitrary keys (window form).
-
-    Equal seconds are collapsed first (they contribute ``count - 1`` zero
-    gaps); consecutive distinct seconds come from ``lag`` over a window
-    whose size is bounded by the number of distinct seconds per key.
+    ``approx=True`` is for sources that rotate so many values that even
+    spread state is too much: one aggregate with a sketch of fixed size for
+    each distinct count.
     """
-    per_sec = rows.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*keys).orderBy(ts)
-    with_gap = per_sec.withColumn(
-        "gap", F.timestamp_diff("SECOND", F.lag(ts).over(w), F.col(ts)))
-    agg = with_gap.groupBy(*keys).agg(
-        F.sum("c").alias("n_times"),
-        F.sum(F.col("c") - 1).alias("dup_gaps"),
-        F.min("gap").alias("min_diff"),
-        F.count_if(F.col("gap") < SMALL_GAP_SECONDS).alias("small_diffs"))
-    return agg.select(
-        *keys,
-        F.when(F.col("n_times") < 2, F.lit(None).cast("long"))
-         .when(F.col("dup_gaps") > 0, F.lit(0).cast("long"))
-         .otherwise(F.col("min_diff")).cast("int").alias("min_critical_gap"),
-        (F.col("dup_gaps") + F.col("small_diffs")).alias("gaps_under_10s"))
+    base = _metric_inputs(logs, _critical(critical_pages), seconds)
+    if "__et" not in logs.columns:
+        base = base.withColumn("__et", watermark_time(F.col("ts"))).withWatermark("__et", watermark)
+    length = f"{int(seconds)} seconds"
+    if approx:
+        kinds = _values(base, ["__et", "win", "ip"])
+        only = lambda k: F.when(F.col("kind") == k, F.to_json(F.struct("v1", "v2")))
+        seen = F.col("kind") == _UA
+        agg = kinds.groupBy(F.window("__et", length).alias("w"), "win", "ip").agg(
+            F.count_if(seen).alias("ip_visits"), F.count_if(seen & F.col("crit")).alias("__crit_n"),
+            *[F.approx_count_distinct(only(k)).alias(c) for k, c in (
+                (_UA, "distinct_ua"), (_TRIP, "distinct_trips"), (_COOKIE, "critical_cookies"))],
+            F.array_sort(F.collect_set("sec")).alias("__secs"))
+        return _metric_columns(agg)
+    # The NTZ window start follows from the watermarked window; grouping
+    # by both keeps the output identical to batch.
+    distinct = _per_value(_values(base, ["__et", "win", "ip"]), F.window("__et", length).alias("w"))
+    return _per_ip(distinct, F.window("w", length).alias("w2"))
 
 
 def method_window_counts(logs: DataFrame, seconds: int = 10) -> DataFrame:

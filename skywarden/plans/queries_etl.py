@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import helpers as H
 from ..functions.masking import mask_columns, mask_phone, sql_mask_id_card, sql_mask_phone
-from ..functions.parsing import (cookie_map, form_params, json_field, json_map, parse_processed,
-                                 request_url, serialise_processed, split_raw, url_params)
+from ..functions.parsing import (cookie_map, escape, form_params, json_field, json_map, parse_processed,
+                                 request_url, serialise_processed, split_raw, unescape, url_params)
 from ..functions.tags import DATE_VALUE_PATTERN, classify_request, hot_ip_flag, travel_type
 from ..operators import etl as E
 from ..schemas import PROCESSED_FIELDS, RAW_FIELDS
@@ -176,17 +176,25 @@ def q_form_params(spark, sf):
 
 @register("cookie_map", f"""
 WITH {RAW_KEYED_SQL},
-c AS (SELECT event_id, regexp_replace(coalesce(string_split(value, '#CS#')[11], ''), '[\\x00\\s]', '', 'g') AS s
+c AS (SELECT event_id, regexp_replace(coalesce(string_split(value, '#CS#')[11], ''), '[\\x00\\s]', '', 'g')
+             || CASE event_id % 5 WHEN 0 THEN ';city=%u5317%u4EAC%41' WHEN 1 THEN ';odd=%zzu4E2D' WHEN 2 THEN ';cut=u4E2D%4'
+                     WHEN 3 THEN ';pair=%uD83D%uDE00;bad=%zz' ELSE ';name=%E5%8C%97+x;name=2' END AS s
       FROM rawk),
+esc(raw, plain) AS (VALUES ('%u5317%u4EAC%41', '北京A'), ('%zzu4E2D', chr(1023) || 'u4E2D'), ('u4E2D%4', NULL),
+                           ('%uD83D%uDE00', chr(128512))),
 kv AS (SELECT event_id, string_split(x, '=') AS a, o FROM c, unnest(string_split(s, ';')) WITH ORDINALITY AS t(x, o)
        WHERE s <> ''),
-ok AS (SELECT event_id, a[1] AS k, url_decode(replace(a[2], '+', ' ')) AS v, o FROM kv
-       WHERE len(list_filter(a[2:], lambda t: t <> '')) > 0 AND NOT regexp_matches(a[2], 'u[0-9a-fA-F]{{4}}'))
+ok AS (SELECT event_id, a[1] AS k, CASE WHEN regexp_matches(a[2], 'u[0-9a-fA-F]{{4}}') THEN plain
+              WHEN a[2] <> '%zz' THEN url_decode(replace(a[2], '+', ' ')) END AS v, o
+       FROM kv LEFT JOIN esc ON a[2] = raw WHERE len(list_filter(a[2:], lambda t: t <> '')) > 0)
 SELECT event_id, k AS key, arg_max(v, o) AS value FROM ok WHERE v IS NOT NULL GROUP BY event_id, k
 """)
 def q_cookie_map(spark, sf):
+    """B3-B6, with escaped, undecodable and repeated values among the cookies."""
     r = fx.raw_lines_keyed(fx.table(spark, sf, "events"))
-    cookie = F.get(F.split("value", "#CS#", -1), 10)
+    more = F.array(*[F.lit(x) for x in (";city=%u5317%u4EAC%41", ";odd=%zzu4E2D", ";cut=u4E2D%4",
+                                        ";pair=%uD83D%uDE00;bad=%zz", ";name=%E5%8C%97+x;name=2")])
+    cookie = F.concat(F.get(F.split("value", "#CS#", -1), 10), F.get(more, (F.col("event_id") % 5).cast("int")))
     return r.select("event_id", F.explode(cookie_map(cookie)).alias("key", "value"))
 
 
@@ -280,6 +288,7 @@ p AS (
     struct_pack(isEmpty := NOT (q_ok AND {_QHAS}),
                 flightType := CASE flightType WHEN 'National' THEN 0 WHEN 'International' THEN 1 ELSE -1 END,
                 travelType := CASE travelType WHEN 'OneWay' THEN 0 WHEN 'RoundTrip' THEN 1 ELSE -1 END,
+                queryTime := '', queryUserId := '', queryUnUserId := '', queryIp := '',
                 depCity := {_QF['depCity']}, arrCity := {_QF['arrCity']}, flightDate := {_QF['flightDate']},
                 adultNum := {_QF['adultNum']}, childNum := {_QF['childNum']}, infantNum := {_QF['infantNum']},
                 country := {_QF['country']}) AS q,
@@ -287,13 +296,13 @@ p AS (
       flightType := CASE b_rule WHEN 'B1' THEN 0 WHEN 'B2' THEN 1 ELSE -1 END,
       travelType := CASE WHEN b_rule IS NULL THEN -1
                          ELSE CASE travelType WHEN 'OneWay' THEN 0 WHEN 'RoundTrip' THEN 1 ELSE -1 END END,
-      bookUserId := {_sql_jstr(_P['bookUserId'])},
+      bookTime := '', bookUserId := {_sql_jstr(_P['bookUserId'])}, bookUnUserId := '', bookIp := '',
       psgName := list_transform({_sql_jlist(_P['psgFirName'])},
                    lambda x, i: coalesce(x, 'null') || coalesce(({_sql_jlist(_P['psgName'])})[i], 'null')),
-      idType := {_sql_jlist(_P['idType'])},
+      psgType := []::VARCHAR[], idType := {_sql_jlist(_P['idType'])},
       idCard := list_transform({_sql_jlist(_P['idCard'])}, lambda x: upper(md5(x))),
       contractName := {_sql_jstr(_P['contractName'])},
-      contractPhone := upper(md5({_sql_jstr(_P['contractPhone'])})),
+      contractPhone := upper(md5({_sql_jstr(_P['contractPhone'])})), bookAgent := '',
       depCity := {_sql_jone(_P['depCity'])}, arrCity := {_sql_jone(_P['arrCity'])},
       flightDate := {_sql_jone(_P['flightDate'])}, flightNo := {_sql_jone(_P['flightNo'])},
       cabin := {_sql_jone(_P['cabin'])}) AS b
@@ -318,6 +327,57 @@ def q_etl(spark, sf):
     return E.etl(_raw(spark, sf), fx.etl_rules(), fx.hot_ips(ev))
 
 
+@register("processed_record", f"""
+SELECT remoteAddr, timeIso8601, request, highFrqIPGroup = 'true' AS is_hot, flightType, behaviorType, travelType,
+       depcity, JSESSIONID AS session, CAST(json_extract(queryRequestDataStr, '$.isEmpty') AS BOOLEAN) AS q_empty,
+       CAST(json_extract(queryRequestDataStr, '$.flightType') AS INTEGER) AS q_flight,
+       json_extract_string(queryRequestDataStr, '$.depCity') AS q_dep,
+       json_extract_string(queryRequestDataStr, '$.adultNum') AS q_adults, true AS no_booking
+FROM ({_ETL_SQL})
+""")
+def q_record(spark, sf):
+    """B22 + B23: the processed log as text, read back into the nested record."""
+    from ..functions.parsing import parse_record
+    text = q_etl(spark, sf).select(serialise_processed().alias("value"))
+    r = text.select(parse_record("value").alias("r"))
+    return r.select("r.remoteAddr", "r.timeIso8601", "r.request", F.col("r.highFrqIPGroup").alias("is_hot"),
+                    "r.requestType.flightType", "r.requestType.behaviorType", "r.travelType", "r.requestParams.depcity",
+                    F.col("r.cookieValue_JSESSIONID").alias("session"), F.col("r.queryRequestData.isEmpty").alias("q_empty"),
+                    F.col("r.queryRequestData.flightType").alias("q_flight"), F.col("r.queryRequestData.depCity").alias("q_dep"),
+                    F.col("r.queryRequestData.adultNum").alias("q_adults"),
+                    F.col("r.bookRequestData").isNull().alias("no_booking"))
+
+
+@register("escape_text", """
+SELECT page_id, list_aggregate([CASE WHEN regexp_matches(c, '^[A-Za-z0-9\\-_.!~*''()]$') THEN c
+         WHEN ord(c) < 128 THEN '%' || lpad(printf('%X', ord(c)), 2, '0')
+         WHEN ord(c) < 65536 THEN '%u' || lpad(printf('%X', ord(c)), 4, '0')
+         ELSE '%u' || printf('%X', 55296 + (ord(c) - 65536) // 1024) || '%u' || printf('%X', 56320 + (ord(c) - 65536) % 1024) END
+         FOR c IN regexp_extract_all(url || ' 北京é/' || chr(128512), '(?s).')], 'string_agg', '') AS escaped,
+       url || ' 北京é/' || chr(128512) AS back
+FROM pages
+""")
+def q_escape(spark, sf):
+    """B5 both ways: escape, and unescape of what it gives."""
+    p = fx.table(spark, sf, "pages").select("page_id", escape(F.concat("url", F.lit(" 北京é/😀"))).alias("escaped"))
+    return p.select("page_id", "escaped", unescape("escaped").alias("back"))
+
+
+@register("split_lists", """
+SELECT event_id, array_to_string(string_split(t, ','), '|') AS items, len(string_split(t, ','))::INTEGER AS n,
+       array_to_string(list_filter(string_split(t, ','), lambda x: x <> ''), '|') AS filled
+FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'a,,b' WHEN 1 THEN '' WHEN 2 THEN event_type || ',' ELSE ',x,x' END AS t
+      FROM events)
+""")
+def q_split_lists(spark, sf):
+    """Comma lists with empty items, and without them."""
+    k = F.col("event_id") % 4
+    t = F.when(k == 0, "a,,b").when(k == 1, "").when(k == 2, F.concat("event_type", F.lit(","))).otherwise(",x,x")
+    items = _events(spark, sf).select("event_id", H.split_list(t).alias("i"))
+    return items.select("event_id", F.array_join("i", "|").alias("items"), F.size("i").alias("n"),
+                        F.array_join(H.drop_empty("i"), "|").alias("filled"))
+
+
 # --------------------------------------------------------------- B29 / B34-B36
 
 @register("date_helpers", """

@@ -23,11 +23,18 @@ from .registry import register
 XML_QUERY_RULE = E.ParseRule("QX", "POST", 0, ".*", text_xml=True, is_xml=True, query={
     "depCity": "/page/dep", "arrCity": "/page/arr", "flightDate": "/page/date", "adultNum": "/page/adult"})
 XML_BOOK_RULE = E.ParseRule("BX", "POST", 1, ".*", flight_type=0, text_xml=True, is_xml=True, book={
-    "psgName": "/page/psg/name", "idCard": "/page/psg/id", "contractName": "/page/contact",
+    "bookUnUserId": "/page/guest", "psgName": "/page/psg/name", "psgType": "/page/psg/type", "idCard": "/page/psg/id", "contractName": "/page/contact",
     "contractPhone": "/page/phone", "depCity": "/page/dep", "arrCity": "/page/arr", "flightDate": "/page/date"})
 FORM_JSON_RULE = E.ParseRule("QF", "POST", 0, ".*", is_json=True, form_field="json", query={
-    "depCity": "$.dep", "arrCity": "$.arr", "flightDate": "$.date", "adultNum": "$.adult"})
-FLAT_PATHS = {"name": "/page/psg/name", "id": "/page/psg/id"}
+    "depCity": "$.dep", "arrCity": "$.arr", "flightDate": "$..date", "adultNum": "$..adult"})
+FLAT_PATHS = {"name": "/page/psg/name", "id": "/page/psg/id", "n": "/page/n", "n1": "/page/m"}
+# Passengers and contact at their depth in a booking JSON; the same paths for a JSON body and for one in a form field.
+JSON_BOOK_PATHS = {"bookUserId": "$.user", "psgFirName": "$..fir", "psgName": "$.order.psgs..name", "idType": "$..doc.type",
+                   "idCard": "$..id", "contractName": "$.order.contact.name", "contractPhone": "$..phone",
+                   "depCity": "$..dep", "arrCity": "$.trip.arr", "flightDate": "$..date"}
+JSON_BOOK_RULES = [
+    E.ParseRule("BJ", "POST", 1, "^/json/.*$", flight_type=0, application_json=True, is_json=True, book=JSON_BOOK_PATHS),
+    E.ParseRule("BF", "POST", 1, "^/form/.*$", flight_type=1, is_json=True, form_field="json", book=JSON_BOOK_PATHS)]
 DAYS = ("2024-01-10", "2024-01-12")
 
 
@@ -49,15 +56,25 @@ def _orders(spark, sf) -> DataFrame:
 
 
 def _xml(o: DataFrame) -> DataFrame:
+    """Bodies of one page each, but for four in eleven: no page, text after
+    it, cut off, and a bare ampersand.  One in eleven has nodes whose
+    numbered keys clash."""
     c, s = F.col, lambda x: F.col(x).cast("string")
     xml = F.concat(
         F.lit("xml=<page><SEGTYPE>"), c("seg"), F.lit("</SEGTYPE><dep>"), c("dep"), F.lit("</dep><arr>"),
         c("arr"), F.lit("</arr><date>"), c("date"), F.lit("</date><adult>"), c("adult"),
-        F.lit("</adult><psg><name>P"), s("o_custkey"), F.lit("A</name><id>"), c("id1"),
-        F.lit("</id></psg><psg><name>P"), s("o_custkey"), F.lit("B</name><id>"), c("id2"),
+        F.lit("</adult><guest>G"), s("o_orderkey"), F.lit("</guest><psg><name>P"), s("o_custkey"),
+        F.lit("A</name><type>ADT</type><id>"), c("id1"),
+        F.lit("</id></psg><psg><name>P"), s("o_custkey"), F.lit("B</name><type>CHD</type><id>"), c("id2"),
         F.lit("</id></psg><contact>C"), s("o_custkey"), F.lit("|x</contact><phone>"), c("phone"),
         F.lit("/1</phone></page>"))
-    return o.select("*", xml.alias("body"))
+    nodes = "".join(f"<n>v{i}</n>" for i in range(11)) + "<m>last</m></page>"
+    kind = F.col("o_orderkey") % 11
+    body = (F.when(kind == 0, F.replace(xml, F.lit("page>"), F.lit("pg>"))).when(kind == 1, F.concat(xml, F.lit("tail")))
+            .when(kind == 2, F.substring(xml, F.lit(1), F.length(xml) - 20))
+            .when(kind == 3, F.replace(xml, F.lit("<dep>"), F.lit("<dep>&")))
+            .when(kind == 4, F.replace(xml, F.lit("</page>"), F.lit(nodes))).otherwise(xml))
+    return o.select("*", body.alias("body"))
 
 
 _ORDERS_SQL = f"""
@@ -66,7 +83,7 @@ o AS (SELECT o_orderkey, o_custkey, {_list_sql(CITIES)}[o_custkey % 11 + 1] AS d
              CAST(o_orderkey % 3 + 1 AS VARCHAR) AS adult,
              '1101' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS id1,
              '2202' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS id2,
-             '139' || lpad(CAST(o_orderkey % 100000000 AS VARCHAR), 8, '0') AS phone
+             '139' || lpad(CAST(o_orderkey % 100000000 AS VARCHAR), 8, '0') AS phone, o_orderkey % 11 > 3 AS ok
       FROM orders)
 """
 
@@ -83,7 +100,8 @@ def _parse_query(df: DataFrame, rule: E.ParseRule, ctype: str) -> DataFrame:
 
 @register("xml_query_parse", f"""
 WITH {_ORDERS_SQL}
-SELECT o_orderkey, false AS isEmpty, dep AS depCity, arr AS arrCity, date AS flightDate, adult AS adultNum FROM o
+SELECT o_orderkey, NOT ok AS isEmpty, CASE WHEN ok THEN dep ELSE '' END AS depCity, CASE WHEN ok THEN arr ELSE '' END AS arrCity,
+       CASE WHEN ok THEN date ELSE '' END AS flightDate, CASE WHEN ok THEN adult ELSE '' END AS adultNum FROM o
 """)
 def q_xml_query(spark, sf):
     """Query fields by rule XPath from a text/xml body."""
@@ -97,57 +115,107 @@ SELECT o_orderkey, false AS isEmpty, dep AS depCity, arr AS arrCity, date AS fli
 def q_form_json(spark, sf):
     """B9 + B12: JSON carried in a URL-encoded form field."""
     o = _orders(spark, sf)
-    js = F.to_json(F.struct(F.col("dep"), F.col("arr"), F.col("date"), F.col("adult")))
+    js = F.to_json(F.struct(F.col("dep"), F.col("arr"), F.struct(F.array(F.struct(F.col("date"), F.struct("adult").alias("who")))
+                                                                 .alias("legs")).alias("trip")))
     body = o.select("*", F.concat(F.lit("other=1&json="), F.url_encode(js)).alias("body"))
     return _parse_query(body, FORM_JSON_RULE, "application/x-www-form-urlencoded")
 
 
+def _if_ok(sql: str, name: str, other: str = "''") -> str:
+    return f"CASE WHEN ok THEN {sql} ELSE {other} END AS {name}"
+
+
 @register("xml_book_parse", f"""
 WITH {_ORDERS_SQL}
-SELECT o_orderkey, 'P' || CAST(o_custkey AS VARCHAR) || 'A,P' || CAST(o_custkey AS VARCHAR) || 'B' AS psgName,
-       upper(md5(id1)) || ',' || upper(md5(id2)) AS idCard, 'C' || CAST(o_custkey AS VARCHAR) AS contractName,
-       upper(md5(phone)) AS contractPhone, dep AS depCity, arr AS arrCity, date AS flightDate, 0 AS flightType
+SELECT o_orderkey, {_if_ok("'P' || CAST(o_custkey AS VARCHAR) || 'A,P' || CAST(o_custkey AS VARCHAR) || 'B'", "psgName")},
+       {_if_ok("'ADT,CHD'", "psgType")}, {_if_ok("'G' || CAST(o_orderkey AS VARCHAR)", "bookUnUserId")},
+       {_if_ok("upper(md5(id1)) || ',' || upper(md5(id2))", "idCard")},
+       {_if_ok("'C' || CAST(o_custkey AS VARCHAR)", "contractName")},
+       {_if_ok("upper(md5(phone))", "contractPhone", "upper(md5(''))")},
+       {_if_ok("dep", "depCity")}, {_if_ok("arr", "arrCity")}, {_if_ok("date", "flightDate")}, 0 AS flightType
 FROM o
 """)
 def q_xml_book(spark, sf):
     """B17 + B26: booking lists by multi-node XPath; contact name before
-    '|', phone before '/', id cards and phone hashed."""
+    '|', phone before '/', id cards and phone hashed.  A body without one
+    well-formed page gives an empty record."""
     o = _xml(_orders(spark, sf))
     url, method, ct = F.lit("/b"), F.lit("POST"), F.lit("text/xml")
-    xml_body = F.substring(F.col("body"), F.instr(F.col("body"), "<page>"), F.length(F.col("body")))
     staged = o.select("o_orderkey", E.last_match([XML_BOOK_RULE], method, F.lit(1), url).alias("__i"),
-                      E.book_source(XML_BOOK_RULE, xml_body, ct).alias("__src"))
+                      E.book_source(XML_BOOK_RULE, F.col("body"), ct).alias("__src"))
     b = E.book_request([XML_BOOK_RULE], F.col("__i"), [F.col("__src")], F.lit(-1))
-    r = staged.select("o_orderkey", b.alias("b"))
-    return r.select("o_orderkey", F.array_join("b.psgName", ",").alias("psgName"),
+    return _flat_booking(staged.select("o_orderkey", b.alias("b"))).drop("idType", "bookUserId")
+
+
+def _flat_booking(r: DataFrame) -> DataFrame:
+    return r.select("o_orderkey", "b.bookUserId", "b.bookUnUserId", F.array_join("b.psgName", ",").alias("psgName"),
+                    F.array_join("b.psgType", ",").alias("psgType"), F.array_join("b.idType", ",").alias("idType"),
                     F.array_join("b.idCard", ",").alias("idCard"), F.col("b.contractName").alias("contractName"),
                     F.col("b.contractPhone").alias("contractPhone"),
                     F.array_join("b.depCity", "").alias("depCity"), F.array_join("b.arrCity", "").alias("arrCity"),
                     F.array_join("b.flightDate", "").alias("flightDate"), F.col("b.flightType").alias("flightType"))
 
 
+@register("book_json_parse", f"""
+WITH {_ORDERS_SQL}, two AS (SELECT *, o_orderkey % 3 <> 0 AS pair FROM o)
+SELECT o_orderkey, 'U' || CAST(o_custkey AS VARCHAR) AS bookUserId,
+       'LiP' || CAST(o_custkey AS VARCHAR) || CASE WHEN pair THEN ',WangQ' || CAST(o_custkey AS VARCHAR) ELSE '' END AS psgName,
+       'ID' || CASE WHEN pair THEN ',PP' ELSE '' END AS idType,
+       upper(md5(id1)) || CASE WHEN pair THEN ',' || upper(md5(id2)) ELSE '' END AS idCard,
+       'C "' || CAST(o_custkey AS VARCHAR) || '"' AS contractName, upper(md5(phone)) AS contractPhone,
+       dep AS depCity, arr AS arrCity, date AS flightDate, CAST(o_orderkey % 2 AS INTEGER) AS flightType
+FROM two
+""")
+def q_book_json(spark, sf):
+    """B15 + B16: booking JSON as a body or in a form field (in one pair of
+    brackets), lists by recursive descent, one or two passengers."""
+    o = _orders(spark, sf)
+    ck = F.col("o_custkey").cast("string")
+
+    def passenger(first: str, letter: str, kind: str, number: str):
+        return F.struct(F.lit(first).alias("fir"), F.concat(F.lit(letter), ck).alias("name"),
+                        F.struct(F.lit(kind).alias("type"), F.col(number).alias("id")).alias("doc"))
+
+    one, two = passenger("Li", "P", "ID", "id1"), passenger("Wang", "Q", "PP", "id2")
+    js = F.to_json(F.struct(
+        F.concat(F.lit("U"), ck).alias("user"),
+        F.struct(F.when(F.col("o_orderkey") % 3 == 0, F.array(one)).otherwise(F.array(one, two)).alias("psgs"),
+                 F.struct(F.concat(F.lit('C "'), ck, F.lit('"')).alias("name"), "phone").alias("contact")).alias("order"),
+        F.struct("dep", "arr", F.array("date").alias("dates"), F.struct("date").alias("leg")).alias("trip")))
+    form = F.concat(F.lit("a=1&json="), F.url_encode(F.concat(F.lit("["), js, F.lit("]"))))
+    odd = F.col("o_orderkey") % 2 == 1
+    o = o.select("o_orderkey", F.when(odd, form).otherwise(js).alias("body"),
+                 F.when(odd, "/form/x").otherwise("/json/x").alias("url"),
+                 F.when(odd, "application/x-www-form-urlencoded").otherwise("application/json").alias("ct"))
+    staged = o.select("o_orderkey", E.last_match(JSON_BOOK_RULES, F.lit("post"), F.lit(1), F.col("url")).alias("__i"),
+                      *[E.book_source(r, F.col("body"), F.col("ct")).alias(f"__s{i}") for i, r in enumerate(JSON_BOOK_RULES)])
+    b = E.book_request(JSON_BOOK_RULES, F.col("__i"), [F.col("__s0"), F.col("__s1")], F.lit(-1))
+    return _flat_booking(staged.select("o_orderkey", b.alias("b"))).drop("bookUnUserId", "psgType")
+
+
 @register("xml_flat_map", f"""
 WITH {_ORDERS_SQL}
-SELECT o_orderkey, 'name0' AS key, 'P' || CAST(o_custkey AS VARCHAR) || 'A' AS value FROM o
-UNION ALL SELECT o_orderkey, 'name1', 'P' || CAST(o_custkey AS VARCHAR) || 'B' FROM o
-UNION ALL SELECT o_orderkey, 'id0', id1 FROM o
-UNION ALL SELECT o_orderkey, 'id1', id2 FROM o
+SELECT o_orderkey, 'name0' AS key, 'P' || CAST(o_custkey AS VARCHAR) || 'A' AS value FROM o WHERE ok
+UNION ALL SELECT o_orderkey, 'name1', 'P' || CAST(o_custkey AS VARCHAR) || 'B' FROM o WHERE ok
+UNION ALL SELECT o_orderkey, 'id0', id1 FROM o WHERE ok
+UNION ALL SELECT o_orderkey, 'id1', id2 FROM o WHERE ok
+UNION ALL SELECT o_orderkey, 'n' || i, CASE WHEN i = 10 THEN 'last' ELSE 'v' || i END
+          FROM o, range(11) t(i) WHERE o_orderkey % 11 = 4
 """)
 def q_xml_flat(spark, sf):
-    """Several XPaths flattened into one ``key<i> -> value`` map."""
+    """Several XPaths flattened into one ``key<i> -> value`` map; the
+    eleventh ``n`` and the first ``n1`` share a key, and the last wins."""
     o = _xml(_orders(spark, sf))
-    xml_body = F.substring(F.col("body"), F.instr(F.col("body"), "<page>"), F.length(F.col("body")))
-    return o.select("o_orderkey", F.explode(xml_flat_map(xml_body, FLAT_PATHS)).alias("key", "value"))
+    return o.select("o_orderkey", F.explode(xml_flat_map("body", FLAT_PATHS)).alias("key", "value"))
 
 
 @register("xml_travel_type", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'OneWay' ELSE 'RoundTrip' END AS travel_type FROM orders
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 IN (0, 2, 3) THEN 'Unknown'
+                        WHEN o_orderkey % 2 = 0 THEN 'OneWay' ELSE 'RoundTrip' END AS travel_type FROM orders
 """)
 def q_xml_travel(spark, sf):
     """SEGTYPE S / R -> OneWay / RoundTrip."""
-    o = _xml(_orders(spark, sf))
-    xml_body = F.substring(F.col("body"), F.instr(F.col("body"), "<page>"), F.length(F.col("body")))
-    return o.select("o_orderkey", segtype_travel(xml_body).alias("travel_type"))
+    return _xml(_orders(spark, sf)).select("o_orderkey", segtype_travel("body").alias("travel_type"))
 
 
 @register("whole_day_points", f"""

@@ -28,51 +28,23 @@ PROCESSED = T.StructType([T.StructField(f, S) for f in PROCESSED_FIELDS])
 BLACKLIST_FIELDS = ["remoteAddr", "flowID", "score", "ruleIDs", "ruleTime"]
 BLACKLIST = T.StructType([T.StructField(f, S) for f in BLACKLIST_FIELDS])
 
-# Query request data (M4).
-QUERY_REQUEST = T.StructType([
-    T.StructField("isEmpty", T.BooleanType()),
-    T.StructField("flightType", T.IntegerType()),
-    T.StructField("travelType", T.IntegerType()),
-    T.StructField("depCity", S),
-    T.StructField("arrCity", S),
-    T.StructField("flightDate", S),
-    T.StructField("adultNum", S),
-    T.StructField("childNum", S),
-    T.StructField("infantNum", S),
-    T.StructField("country", S),
-])
-
-# Booking request data (M5): scalars plus string lists.
-BOOK_REQUEST = T.StructType([
-    T.StructField("flightType", T.IntegerType()),
-    T.StructField("travelType", T.IntegerType()),
-    T.StructField("arrCity", T.ArrayType(S)),
-    T.StructField("depCity", T.ArrayType(S)),
-    T.StructField("flightDate", T.ArrayType(S)),
-    T.StructField("flightNo", T.ArrayType(S)),
-    T.StructField("cabin", T.ArrayType(S)),
-    T.StructField("passengerName", T.ArrayType(S)),
-    T.StructField("passengerId", T.ArrayType(S)),
-    T.StructField("contactName", S),
-    T.StructField("contactPhone", S),
-])
-
-# Rule entry nested under a flow (M8).
-RULE = T.StructType([
-    T.StructField("rule_order", T.IntegerType()),
-    T.StructField("rule_id", S),
-    T.StructField("rule_name", S),
-    T.StructField("rule_status", T.IntegerType()),
-    T.StructField("arg0", T.DoubleType()),
-    T.StructField("arg1", T.DoubleType()),
-    T.StructField("score", T.IntegerType()),
-])
-FLOW = T.StructType([
-    T.StructField("flow_id", S),
-    T.StructField("flow_name", S),
-    T.StructField("flow_limit", T.DoubleType()),
-    T.StructField("rules", T.ArrayType(RULE)),
-])
-
-# Monitor point (M13) JSON map.
-SERVER_MAP = T.MapType(S, T.IntegerType())
+# Enum names and ids (M6).
+FLIGHT_TYPE_IDS = {"National": 0, "International": 1, "Other": -1}
+BEHAVIOR_TYPE_IDS = {"Query": 0, "Book": 1, "Other": -1}
+TRAVEL_TYPE_IDS = {"OneWay": 0, "RoundTrip": 1, "Unknown": -1}
+
+# Query request data (M4): time, user and address fields are part of the
+# record; no parser fills them.
+QUERY_FIELDS = ["queryTime", "queryUserId", "queryUnUserId", "queryIp", "depCity", "arrCity", "flightDate",
+                "adultNum", "childNum", "infantNum", "country"]
+QUERY_RECORD = T.StructType([
+    T.StructField("isEmpty", T.BooleanType()), T.StructField("flightType", T.IntegerType()),
+    T.StructField("travelType", T.IntegerType()), *[T.StructField(f, S) for f in QUERY_FIELDS]])
+
+# Booking request data (M5): scalars and string lists, in the order of the record.
+BOOK_LISTS = ["psgName", "psgType", "idType", "idCard", "depCity", "arrCity", "flightDate", "flightNo", "cabin"]
+BOOK_FIELDS = ["bookTime", "bookUserId", "bookUnUserId", "bookIp", "psgName", "psgType", "idType", "idCard",
+               "contractName", "contractPhone", "bookAgent", "depCity", "arrCity", "flightDate", "flightNo", "cabin"]
+BOOK_RECORD = T.StructType([
+    T.StructField("flightType", T.IntegerType()), T.StructField("travelType", T.IntegerType()),
+    *[T.StructField(f, T.ArrayType(S) if f in BOOK_LISTS else S) for f in BOOK_FIELDS]])

@@ -105,7 +105,7 @@ class RuleStore:
         return EtlRules(filter_rules=self._load(FILTER_TABLE, self._filter_rules),
                         nation_query=cls["nation_query"], internation_query=cls["internation_query"],
                         nation_book=cls["nation_book"], internation_book=cls["internation_book"],
-                        query_rules=q, book_rules=b).check()
+                        query_rules=q, book_rules=b)
 
     def hot_ips(self) -> DataFrame | None:
         """nh_ip_blacklist as a DataFrame (joined, never collected)."""
