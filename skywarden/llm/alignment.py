@@ -49,6 +49,9 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_sizes = np.array([len(x) for x in self.b_bytes])
         # Words are encoded on their own where no piece holds a space after another character.
         self.blank = self.b.piece_to_id("▁")
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces) and \
@@ -63,32 +66,60 @@ class Aligner:
             return _CUT.split(text)
         return text.split(" ")
 
-    def aligned(self, a: list[int], b: list[int], text: str) -> tuple | None:
-        """(groups as bytes, counts packed, links) or None where the bytes of either differ from the text."""
+    def aligned(self, text: str) -> tuple | None:
+        """(groups as bytes, counts packed, links) of a blank and ``text``.
+
+        None where the bytes of either encoding differ from the text.
+        """
+        found = self._many([text])
+        return found[0] if found else None
+
+    def _many(self, parts: list[str]) -> list[tuple] | None:
+        """All ``parts`` encoded and cut as one text; None where the bytes of an encoding differ from it.
+
+        Both encodings start anew at each part, so a part's tokens are those
+        that end within its bytes.
+        """
+        text = " ".join(parts)
+        a = self.a.encode_ordinary(" " + text)
+        b = self.b.encode(text) if text else [self.blank]
         data = (" " + text).encode()
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        if b"".join([b_bytes[i] for i in b]) != data or b"".join([a_bytes[i] for i in a]) != data:
+        if b"".join(map(self.b_bytes.__getitem__, b)) != data or b"".join(map(self.a_bytes.__getitem__, a)) != data:
             return None
-        if len(a) == len(b) == 1:
-            return b"%d|%d" % (a[0], b[0]), 1 << 96 | 1 << 48 | 1, (b[0] << 32 | a[0],)
-        groups, links, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        end_a, end_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-        while True:
-            if end_a == end_b:
-                links.append(b[j] << 32 | a[i])
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                if i == len(a):
-                    break
-                first_a, first_b = i, j
-                end_a, end_b = end_a + len(a_bytes[a[i]]), end_b + len(b_bytes[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(a_bytes[a[i]])
+        a_ids, b_ids = np.array(a), np.array(b)
+        end_a, end_b = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        in_b = np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)
+        at_a = np.flatnonzero(end_b[in_b] == end_a)
+        at_b = in_b[at_a]
+        # Groups end at these tokens; parts end at some of the groups.
+        if len(parts) == 1:
+            last = np.array([len(at_a) - 1])
+        else:
+            last = np.searchsorted(end_a[at_a], np.cumsum([len(p.encode()) + 1 for p in parts]))
+        links = (b_ids[at_b] << 32 | a_ids[at_a]).tolist()
+        at_a, at_b, groups, i, j = (at_a + 1).tolist(), (at_b + 1).tolist(), [], 0, 0
+        for i2, j2 in zip(at_a, at_b):
+            if i2 - i == j2 - j == 1:
+                groups.append(f"{a[i]}|{b[j]}")
             else:
-                j += 1
-                end_b += len(b_bytes[b[j]])
-        return ";".join(groups).encode(), len(a) << 96 | len(b) << 48 | len(groups), tuple(links)
+                groups.append(f"{','.join(map(str, a[i:i2]))}|{','.join(map(str, b[j:j2]))}")
+            i, j = i2, j2
+        out, first, i, j = [], 0, 0, 0
+        for g in (last + 1).tolist():
+            i2, j2 = at_a[g - 1], at_b[g - 1]
+            out.append((";".join(groups[first:g]).encode(), i2 - i << 96 | j2 - j << 48 | g - first, tuple(links[first:g])))
+            first, i, j = g, i2, j2
+        return out
+
+    def _fill(self, missing: list[str]) -> list[tuple | None]:
+        """The missing parts, aligned: together where one may follow the other, else each on its own."""
+        # A part that ends with white space, or holds what B reads as a blank, could join with the next one.
+        plain = [bool(p) and not p[-1].isspace() and "▁" not in p for p in missing]
+        together = self._many([p for p, ok in zip(missing, plain) if ok]) if any(plain) else []
+        if together is None:
+            return [self.aligned(p) for p in missing]
+        rest = iter(together)
+        return [next(rest) if ok else self.aligned(p) for p, ok in zip(missing, plain)]
 
     def __call__(self, text: str) -> list[tuple | None]:
         """The aligned parts of a text, in order."""
@@ -96,6 +127,10 @@ class Aligner:
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
+        try:
+            return [young[p] for p in parts]
+        except KeyError:
+            pass
         missing = []
         for p in set(parts).difference(young):
             if p in old:
@@ -103,9 +138,7 @@ class Aligner:
             else:
                 missing.append(p)
         if missing:
-            a = self.a.encode_ordinary_batch([" " + p for p in missing], num_threads=1)
-            b = self.b.encode(missing, num_threads=1)
-            young.update(zip(missing, [self.aligned(x, y if p else [self.blank], p) for x, y, p in zip(a, b, missing)]))
+            young.update(zip(missing, self._fill(missing)))
         out = [young[p] for p in parts]
         for p in missing:
             if len(p) > 48:
