@@ -3,7 +3,7 @@
 Rule tables are small configuration (a web form edits them), but they are
 still handled as DataFrames: one join per relation instead of the N+1
 lookups a row-at-a-time loader would do.  ``collect_flows`` is the single
-place where configuration reaches the driver, behind a size check.
+place where configuration reaches the driver.
 """
 
 from __future__ import annotations
@@ -11,68 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.fixtures import RULE_NAMES
-
-# Upper bound on configured rules compiled into the scoring projection
-# (one column per rule; real configurations hold tens of rules).
-
-
-def process_table(region: DataFrame) -> DataFrame:
-    """nh_process_info derived from ``region`` (region 4 is switched off)."""
-    k = F.col("r_regionkey")
-    return region.select(
-        F.concat(F.lit("P"), k.cast("string")).alias("id"),
-        F.col("r_name").alias("process_name"),
-        F.when(k == 4, 1).otherwise(0).alias("status"),
-        k.cast("int").alias("process_num"))
-
-
-def strategy_table(region: DataFrame) -> DataFrame:
-    """nh_strategy: one blacklist threshold per process."""
-    k = F.col("r_regionkey")
-    return region.select(F.concat(F.lit("P"), k.cast("string")).alias("process_id"),
-                         (F.lit(10.0) + k.cast("double") * 5).alias("crawler_blacklist_thresholds"))
-
-
-def rule_table(nation: DataFrame) -> DataFrame:
-    """nh_rule derived from ``nation``: 25 rules spread over the processes."""
-    k = F.col("n_nationkey")
-    return nation.select(
-        F.concat(F.lit("R"), k.cast("string")).alias("id"),
-        F.concat(F.lit("P"), F.col("n_regionkey").cast("string")).alias("process_id"),
-        (k % 7).cast("int").alias("rule_type"),
-        F.when(k % 8 == 7, 1).otherwise(0).alias("crawler_type"),
-        F.when(k % 4 == 1, 1).otherwise(0).alias("status"),
-        (k % 3).cast("double").alias("arg0"),
-        (k % 2).cast("double").alias("arg1"),
-        (F.lit(1) + k % 9).cast("int").alias("score"),
-        k.cast("int").alias("rule_order"))
-
-
-def rule_dictionary(spark) -> DataFrame:
-    """nh_rules_maintenance_table: rule type -> metric name."""
-    names = F.array(*[F.lit(n) for n in RULE_NAMES])
-    return spark.range(len(RULE_NAMES)).select(
-        F.col("id").cast("int").alias("rule_type"),
-        F.element_at(names, (F.col("id") + 1).cast("int")).alias("rule_real_name"))
+# Columns of the rule tables that are read (others may stand beside them).
+RULE_SCHEMA = "id string, process_id string, rule_name string, crawler_type int, status int, arg0 double, arg1 double, score int"
+DICTIONARY_SCHEMA = "rule_name string, rule_real_name string"
 
 
 def active_processes(process: DataFrame, strategy: DataFrame) -> DataFrame:
-    """Process x strategy, enabled processes only."""
+    """Process x strategy (same id), enabled processes only."""
+    s = strategy.select(F.col("id").alias("__id"), F.col("crawler_blacklist_thresholds").cast("double").alias("flow_limit"))
     return (process.filter(F.col("status") == 0)
-            .join(strategy, process["id"] == strategy["process_id"], "inner")
-            .select(F.col("id").alias("flow_id"), F.col("process_name").alias("flow_name"),
-                    F.col("crawler_blacklist_thresholds").cast("double").alias("flow_limit")))
+            .join(s, process["id"] == s["__id"], "inner")
+            .select(F.col("id").alias("flow_id"), F.col("process_name").alias("flow_name"), "flow_limit"))
 
 
 def crawler_rules(rules: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """E5: rule x rule-name dictionary, crawler rules (crawler_type 0) only."""
+    """E5: rule x rule-name dictionary, crawler rules (crawler_type 0) only.
+
+    Rules follow one another by ``rule_order`` where the table has it, and
+    by their id.
+    """
+    order = F.col("rule_order").cast("int") if "rule_order" in rules.columns else F.lit(0)
+    names = dictionary.select("rule_name", "rule_real_name")
     return (rules.filter(F.col("crawler_type") == 0)
-            .join(dictionary, "rule_type", "inner")
-            .select("process_id", "rule_order", F.col("id").alias("rule_id"),
+            .join(names, "rule_name", "inner")
+            .select("process_id", order.alias("rule_order"), F.col("id").alias("rule_id"),
                     F.col("rule_real_name").alias("rule_name"),
                     F.col("status").cast("int").alias("rule_status"),
-                    "arg0", "arg1", F.col("score").cast("int").alias("score")))
+                    F.col("arg0").cast("double").alias("arg0"), F.col("arg1").cast("double").alias("arg1"),
+                    F.col("score").cast("int").alias("score")))
 
 
 def flow_config(flows: DataFrame, rules: DataFrame) -> DataFrame:
@@ -85,17 +51,17 @@ def flow_config(flows: DataFrame, rules: DataFrame) -> DataFrame:
     return j.select("flow_id", "flow_name", "flow_limit", F.coalesce("rules", empty).alias("rules"))
 
 
-def flow_config_from_tables(spark, region: DataFrame, nation: DataFrame) -> DataFrame:
-    return flow_config(active_processes(process_table(region), strategy_table(region)),
-                       crawler_rules(rule_table(nation), rule_dictionary(spark)))
+def flows_of(process: DataFrame, strategy: DataFrame, rules: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The four rule tables -> flows with their rules."""
+    return flow_config(active_processes(process, strategy), crawler_rules(rules, dictionary))
 
 
 def collect_flows(flows: DataFrame) -> list:
     """Flow configuration as Python rows, in flow order.
 
     The configuration is what people have entered, not data: it is read
-    whole, however many rules it has, and compiled into the scoring
-    projection (no join, no shuffle).
+    whole, however many rules it has, and becomes one constant of the
+    scoring projection (no join, no shuffle).
     """
     return flows.orderBy("flow_id").collect()
 

@@ -60,6 +60,56 @@ def etl_rules():
                               application_json=True, is_json=True, book=BOOK_JSON_PATHS)])
 
 
+def process_table(region: DataFrame) -> DataFrame:
+    """nh_process_info derived from ``region`` (region 4 is switched off)."""
+    k = F.col("r_regionkey")
+    return region.select(
+        F.concat(F.lit("P"), k.cast("string")).alias("id"),
+        F.col("r_name").alias("process_name"),
+        F.when(k == 4, 1).otherwise(0).alias("status"),
+        k.cast("int").alias("process_num"))
+
+
+def strategy_table(region: DataFrame) -> DataFrame:
+    """nh_strategy: one blacklist threshold per process."""
+    k = F.col("r_regionkey")
+    return region.select(F.concat(F.lit("P"), k.cast("string")).alias("id"),
+                         (F.lit(10.0) + k.cast("double") * 5).alias("crawler_blacklist_thresholds"))
+
+
+def rule_table(nation: DataFrame) -> DataFrame:
+    """nh_rule derived from ``nation``: 25 rules spread over the processes."""
+    k = F.col("n_nationkey")
+    return nation.select(
+        F.concat(F.lit("R"), k.cast("string")).alias("id"),
+        F.concat(F.lit("P"), F.col("n_regionkey").cast("string")).alias("process_id"),
+        F.concat(F.lit("rule-"), (k % 7).cast("string")).alias("rule_name"),
+        F.when(k % 8 == 7, 1).otherwise(0).alias("crawler_type"),
+        F.when(k % 4 == 1, 1).otherwise(0).alias("status"),
+        (k % 3).cast("double").alias("arg0"),
+        (k % 2).cast("double").alias("arg1"),
+        (F.lit(1) + k % 9).cast("int").alias("score"),
+        k.cast("int").alias("rule_order"))
+
+
+def rule_dictionary(spark: SparkSession) -> DataFrame:
+    """nh_rules_maintenance_table: rule name of the form -> metric name."""
+    return spark.createDataFrame([(f"rule-{i}", n) for i, n in enumerate(RULE_NAMES)], "rule_name string, rule_real_name string")
+
+
+def flow_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four tables of the flow configuration, by the names :func:`write_rule_tables` takes."""
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    return {"process": process_table(region), "strategy": strategy_table(region), "rule": rule_table(nation),
+            "dictionary": rule_dictionary(spark)}
+
+
+def flow_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.rules import flows_of
+    t = flow_tables(spark, sf_dir)
+    return flows_of(t["process"], t["strategy"], t["rule"], t["dictionary"])
+
+
 def hot_ips(events: DataFrame) -> DataFrame:
     """nh_ip_blacklist: addresses of every 50th user."""
     u = events.select("user_id").distinct().filter(F.col("user_id") % 50 == 0)

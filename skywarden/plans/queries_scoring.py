@@ -22,7 +22,7 @@ def _metrics(spark, sf):
 
 
 def _flows(spark, sf):
-    return R.flow_config_from_tables(spark, fx.table(spark, sf, "region"), fx.table(spark, sf, "nation"))
+    return fx.flow_config(spark, sf)
 
 
 def _scored(spark, sf):
@@ -225,4 +225,4 @@ SELECT CAST(r_regionkey AS INTEGER) AS process_num, 'P' || CAST(r_regionkey AS V
 FROM region
 """)
 def q_flow_dir(spark, sf):
-    return R.flow_directory(R.process_table(fx.table(spark, sf, "region")))
+    return R.flow_directory(fx.process_table(fx.table(spark, sf, "region")))

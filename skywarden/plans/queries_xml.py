@@ -288,8 +288,7 @@ def q_scored_indicators(spark, sf):
                       fx.hot_ips(ev)).checkpoint()
     queries, _ = E.split_by_behavior(processed)  # C3: only query lines are scored
     metrics = W.ip_window_metrics(queries, fx.CRITICAL_PAGES, 86400)
-    flows = R.collect_flows(R.flow_config_from_tables(spark, fx.table(spark, sf, "region"),
-                                                      fx.table(spark, sf, "nation")))
+    flows = R.collect_flows(fx.flow_config(spark, sf))
     entries = S.blacklist_entries(S.flatten_flows(S.score_flows(metrics, flows)))
     store = entries.groupBy("ip", "flow_id").agg(
         F.max_by(F.struct("score", "hit_rules", "rule_time"), "rule_time").alias("v")).select(

@@ -1,16 +1,26 @@
 """Sinks and key-value style tables.
 
 The reference writes to a key-value store with TTLs and to relational
-tables.  Here every store is an append-only table in a shared folder:
-"upsert with TTL" is append + (latest per key, not yet expired) on read,
-which is idempotent under task retries and micro-batch replays.
+tables.  Here a store with expiry is a tree of folders
+
+    <store>/expires_hour=yyyy-MM-dd-HH/batch=<key>/part-*
+
+A batch overwrites its own folder, so a replay leaves what it writes and
+nothing else.  Reads list the folders of hours that have not passed, and
+no others; :func:`drop_expired` removes those that have, and
+:func:`compact` merges the many small batches of an hour into one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import folders
+
 # Time-to-live of blacklist and monitor entries, seconds.
 BLACKLIST_TTL_SECONDS = 3600
 MONITOR_TTL_SECONDS = 86400
@@ -18,39 +28,95 @@ MONITOR_TTL_SECONDS = 86400
 BACKUP_ZONE = "Asia/Shanghai"
 BACKUP_ROLL_BYTES = 100 * 1024 * 1024
 
+_HOUR = "%Y-%m-%d-%H"
+_BLACKLIST = "key string, value string, rule_time string, written_at timestamp_ntz, expires_at timestamp_ntz"
+_MONITOR = "kind string, key string, end_time string, value string, written_at timestamp_ntz, expires_at timestamp_ntz"
+
+
+def wall_clock(spark: SparkSession, at: Column | str | dt.datetime | None = None) -> dt.datetime:
+    """A moment of the session's wall clock (default: now) as a Python value."""
+    if isinstance(at, dt.datetime):
+        return at
+    c = F.current_timestamp() if at is None else F.lit(at) if isinstance(at, str) else at
+    return spark.range(1).select(c.cast("timestamp_ntz").alias("t")).first()["t"]
+
+
+def _write(rows: DataFrame, path: str, at: dt.datetime, ttl: int, batch_id: int | str | None) -> None:
+    """One batch into the folder of the hour in which it expires."""
+    ends = at + dt.timedelta(seconds=ttl)
+    folder = f"{path}/expires_hour={ends.strftime(_HOUR)}/batch={uuid.uuid4().hex if batch_id is None else batch_id}"
+    rows.withColumn("written_at", F.lit(at).cast("timestamp_ntz")).withColumn("expires_at", F.lit(ends).cast("timestamp_ntz")) \
+        .write.mode("overwrite").parquet(folder)
+
+
+def _open_hours(spark: SparkSession, path: str, now: dt.datetime) -> list[str]:
+    """Folders whose entries may be alive at ``now``: from its own hour on."""
+    return [f"{path}/expires_hour={h}" for h in folders.values(spark, path, "expires_hour") if h >= now.strftime(_HOUR)]
+
 
-def _expires(now: Column, ttl: int) -> Column:
-    return now + F.make_interval(secs=F.lit(ttl))
+def _read(spark: SparkSession, path: str, schema: str, now: dt.datetime) -> DataFrame:
+    found = [f"{p}/batch={b}" for p in _open_hours(spark, path, now) for b in folders.values(spark, p, "batch")]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*found).where(F.col("expires_at") > F.lit(now).cast("timestamp_ntz"))
 
 
-def write_blacklist_kv(entries: DataFrame, path: str, written_at: Column | None = None,
+def drop_expired(spark: SparkSession, path: str, now: str | dt.datetime | None = None) -> int:
+    """Remove the folders of hours that have passed; how many there were."""
+    limit = wall_clock(spark, now).strftime(_HOUR)
+    gone = [h for h in folders.values(spark, path, "expires_hour") if h < limit]
+    for h in gone:
+        folders.delete(spark, f"{path}/expires_hour={h}")
+    return len(gone)
+
+
+def compact(spark: SparkSession, path: str, least: int = 16) -> int:
+    """Merge the batches of every hour that has ``least`` of them or more; how many hours were.
+
+    The newest entry of a key stays.  The merged batch is written before
+    the others go: reads take the newest entry per key, so they find the
+    same at any moment in between, and after a crash.
+    """
+    done = 0
+    for h in folders.values(spark, path, "expires_hour"):
+        hour = f"{path}/expires_hour={h}"
+        batches = folders.values(spark, hour, "batch")
+        if len(batches) < least:
+            continue
+        rows = spark.read.parquet(*[f"{hour}/batch={b}" for b in batches])
+        _newest(rows).write.parquet(f"{hour}/batch=merged-{uuid.uuid4().hex}")
+        for b in batches:
+            folders.delete(spark, f"{hour}/batch={b}")
+        done += 1
+    return done
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest entry per key; of entries written at once the later rule time, then the greater value."""
+    rest = [c for c in rows.columns if c != "key"]
+    order = [c for c in ("written_at", "rule_time", "value") if c in rest]
+    return rows.groupBy("key").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("v")) \
+        .select(*[F.col("key") if c == "key" else F.col(f"v.{c}").alias(c) for c in rows.columns])
+
+
+def write_blacklist_kv(entries: DataFrame, path: str, written_at: Column | str | dt.datetime | None = None,
                        ttl: int = BLACKLIST_TTL_SECONDS, batch_id: int | str | None = None) -> None:
-    """Append ``key -> value`` with ``expires_at`` (one batch).
+    """Write ``key -> value`` with its expiry (one batch).
 
-    Entries are first reduced to the latest per key within the batch.
-    ``batch_id`` makes a replayed micro-batch overwrite its own partition
-    instead of appending twice; it must tell runs with other checkpoints
-    apart (:func:`skywarden.streaming.jobs.batch_key`).
+    Entries are first reduced to the latest per key within the batch.  A
+    replayed micro-batch overwrites its own folder if it comes with the
+    same ``batch_id`` and ``written_at`` (see
+    :func:`skywarden.streaming.jobs.batch_key` and
+    :meth:`skywarden.sources.rules.RuleStore.pinned`).
     """
-    now = written_at if written_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    latest = (entries.groupBy("key").agg(F.max_by(F.struct("value", "rule_time"), "rule_time").alias("v"))
+    latest = (entries.groupBy("key").agg(F.max_by(F.struct("value", "rule_time"), F.struct("rule_time", "value")).alias("v"))
               .select("key", "v.value", "v.rule_time"))
-    out = latest.select("key", "value", "rule_time", now.alias("written_at"),
-                        _expires(now, ttl).alias("expires_at"))
-    if batch_id is None:
-        out.write.mode("append").parquet(path)
-    else:
-        out.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite") \
-           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    _write(latest, path, wall_clock(entries.sparkSession, written_at), ttl, batch_id)
 
 
 def read_blacklist_kv(spark: SparkSession, path: str, now: str | None = None) -> DataFrame:
     """A9 read side: latest value per key that has not expired at ``now``."""
-    t = F.lit(now).cast("timestamp_ntz") if now else F.current_timestamp().cast("timestamp_ntz")
-    df = spark.read.parquet(path)
-    latest = df.groupBy("key").agg(F.max_by(F.struct("value", "rule_time", "expires_at"),
-                                            F.struct("written_at", "rule_time")).alias("v"))
-    return latest.select("key", "v.*").filter(F.col("expires_at") > t)
+    return _newest(_read(spark, path, _BLACKLIST, wall_clock(spark, now))).drop("written_at")
 
 
 def monitor_points(kind: str, per_server: DataFrame, window_col: str = "window_start",
@@ -66,27 +132,16 @@ def monitor_points(kind: str, per_server: DataFrame, window_col: str = "window_s
 
 
 def write_monitor_points(points: DataFrame, path: str, ttl: int = MONITOR_TTL_SECONDS,
-                         batch_id: int | str | None = None) -> None:
-    """A10: append points with their expiry.
-
-    With ``batch_id`` the batch overwrites its own partition, so a replayed
-    micro-batch does not duplicate points.
-    """
-    now = F.current_timestamp().cast("timestamp_ntz")
-    out = points.withColumn("expires_at", _expires(now, ttl))
-    if batch_id is None:
-        out.write.mode("append").partitionBy("kind").parquet(path)
-    else:
-        (out.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id").parquet(path))
+                         batch_id: int | str | None = None, written_at: Column | str | dt.datetime | None = None) -> None:
+    """A10: write points with their expiry; a replayed batch overwrites its own folder."""
+    _write(points.select("kind", "key", "end_time", "value"), path, wall_clock(points.sparkSession, written_at), ttl, batch_id)
 
 
 def scan_monitor(spark: SparkSession, path: str, kind_prefix: str, now: str | None = None) -> DataFrame:
     """Points whose kind starts with a prefix, unexpired, JSON parsed
-    (unparsable JSON dropped), in key order."""
-    t = F.lit(now).cast("timestamp_ntz") if now else F.current_timestamp().cast("timestamp_ntz")
-    df = spark.read.parquet(path).filter(F.col("kind").startswith(kind_prefix) & (F.col("expires_at") > t))
-    parsed = df.withColumn("parsed", F.from_json("value", "map<string,map<string,int>>"))
+    (unparsable JSON dropped), in key order; a key stands once."""
+    df = _read(spark, path, _MONITOR, wall_clock(spark, now)).filter(F.col("kind").startswith(kind_prefix))
+    parsed = _newest(df).drop("written_at").withColumn("parsed", F.from_json("value", "map<string,map<string,int>>"))
     return parsed.filter(F.col("parsed").isNotNull()).orderBy("key")
 
 
@@ -99,10 +154,28 @@ def backup_raw(lines: DataFrame, ts_col: Column | None = None) -> DataFrame:
     return lines.select("value", F.date_format(local, "yyyy-MM-dd").alias("dt"))
 
 
-def write_backup(lines_with_dt: DataFrame, path: str, max_records_per_file: int = 200000) -> None:
-    """A11 batch write: partitioned by day, bounded files."""
-    lines_with_dt.write.mode("append").partitionBy("dt").option("maxRecordsPerFile", max_records_per_file) \
-        .text(path)
+def rolled(lines_with_dt: DataFrame, roll_bytes: int = BACKUP_ROLL_BYTES) -> DataFrame:
+    """Add ``roll``, the file of each line within its day.
+
+    Every partition of the input sums up the bytes of its own lines per day
+    and cuts the sums into shares of ``roll_bytes`` less its longest line,
+    so that no file grows beyond ``roll_bytes``, unless one line does.  No
+    day passes through one task.
+    """
+    size = F.octet_length("value") + 1
+    numbered = lines_with_dt.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    own = Window.partitionBy("dt", "part")
+    share = F.greatest(F.lit(roll_bytes) - F.max(size).over(own), F.lit(1))
+    before = F.sum(size).over(own.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - size
+    return numbered.withColumn("share", share).withColumn("before", before).withColumn("roll", F.concat_ws(
+        "-", F.lpad(F.col("part").cast("string"), 6, "0"), F.lpad(F.expr("before div share").cast("string"), 12, "0"))) \
+        .drop("part", "at", "share", "before")
+
+
+def write_backup(lines_with_dt: DataFrame, path: str, roll_bytes: int = BACKUP_ROLL_BYTES, batch_id: str | None = None) -> None:
+    """Text files by day and roll, one each; a batch overwrites its own folder."""
+    rolled(lines_with_dt, roll_bytes).write.mode("overwrite").partitionBy("dt", "roll").text(
+        f"{path}/batch={uuid.uuid4().hex if batch_id is None else batch_id}")
 
 
 def append_table(df: DataFrame, path: str | None = None, jdbc_url: str | None = None,
