@@ -1,61 +1,71 @@
 """Monitoring roll-ups and reads.
 
-Inputs are monitor-point tables (one row per point, time as text) and
-host samples.  "Latest per key" is a hash aggregate of the newest time
-plus a join back (``latest_point``), never a window or a sort over a whole
-key: a host or a kind with a third of all samples is reduced map-side
-like any other.
+Inputs are monitor points, best those of the time-indexed store
+(``sources.points``), and host samples.  Bounds on time become bounds on
+the store's day folders, so a read opens the days that it needs; points
+that are not from the store get their time and day from the text.
+"Latest per key" over samples is a hash aggregate of the newest time plus
+a join back (``latest_point``), never a window or a sort over a whole key:
+a host with a third of all samples is reduced map-side like any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import helpers as H
+from ..sources import points as P
 
-TIME_FMT = "yyyy-MM-dd HH:mm:ss"
-
+TIME_FMT = P.TIME_FMT
 
-def _ts(col: str) -> Column:
-    return F.to_timestamp_ntz(F.col(col), F.lit(TIME_FMT))
 
+def _at(now: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(now)
 
-def _now(now: str) -> Column:
-    return F.lit(now).cast("timestamp_ntz")
 
-
-def between_minutes(points: DataFrame, now: str, minutes: int, col: str = "end_time") -> DataFrame:
+def between_minutes(points: DataFrame, now: str, minutes: int) -> DataFrame:
     """Strictly inside the last ``minutes`` before ``now``."""
-    t = _ts(col)
-    return points.filter((t > _now(now) - F.make_interval(mins=F.lit(minutes))) & (t < _now(now)))
+    return P.between(points, _at(now) - dt.timedelta(minutes=minutes), _at(now), with_start=False)
 
 
-def older_than(points: DataFrame, now: str, minutes: int = 30, col: str = "end_time") -> DataFrame:
+def older_than(points: DataFrame, now: str, minutes: int = 30) -> DataFrame:
     """Points older than ``minutes`` before ``now``."""
-    return points.filter(_ts(col) < _now(now) - F.make_interval(mins=F.lit(minutes)))
+    return P.between(points, end=_at(now) - dt.timedelta(minutes=minutes))
 
 
-def whole_days(points: DataFrame, start: str | None, end: str | None, col: str = "end_time") -> DataFrame:
-    """C11: whole days ``[start day 00:00, end day + 1 00:00)``.
+def whole_days(points: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """C11: whole days ``[start day 00:00, end day + 1 00:00)``: a bound on the day folders alone.
 
     Given bounds are used as given (P15); the caller supplies defaults.
     """
-    t = _ts(col)
-    out = points
+    out = P.with_time(points)
     if start:
-        out = out.filter(t >= F.to_timestamp_ntz(F.to_date(F.lit(start))))
+        out = out.filter(F.col("day") >= F.lit(start).cast("date"))
     if end:
-        out = out.filter(t < F.to_timestamp_ntz(F.date_add(F.to_date(F.lit(end)), 1)))
+        out = out.filter(F.col("day") <= F.lit(end).cast("date"))
     return out
 
 
 def liveness(points: DataFrame, now: str, minutes: int = 2) -> DataFrame:
-    """C12 per kind: 1 when no point arrived in the last ``minutes``."""
-    t = _ts("end_time")
-    recent = (t > _now(now) - F.make_interval(mins=F.lit(minutes))) & (t <= _now(now))
-    return points.groupBy("kind").agg(
-        F.when(F.count_if(recent) == 0, F.lit(1)).otherwise(F.lit(0)).alias("is_down"))
+    """C12 per kind: 1 when no point arrived in the last ``minutes``.
+
+    The kinds come from the folder names, the recent points from the days
+    of those minutes.
+    """
+    points = P.with_time(points)
+    recent = P.between(points, _at(now) - dt.timedelta(minutes=minutes), _at(now), with_start=False, with_end=True)
+    alive = recent.groupBy("kind").agg(F.lit(0).alias("is_down"))
+    return points.select("kind").distinct().join(alive, "kind", "left").select("kind", F.coalesce("is_down", F.lit(1)).alias("is_down"))
+
+
+def newest_point(points: DataFrame) -> DataFrame:
+    """H4 / H5: the newest point of each kind, out of the last day of each."""
+    days = P.newest_days(points)
+    cols = [c for c in days.columns if c != "kind"]
+    return days.groupBy("kind").agg(F.max_by(F.struct(*cols), F.struct("ts", "end_time")).alias("__last")).select("kind", "__last.*")
 
 
 def latest_point(points: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -83,7 +93,7 @@ def latest_point(points: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 def daily_flow(points: DataFrame, day: str, kind: str = "DP") -> DataFrame:
     """total source count of one day for one kind."""
-    d = points.filter((F.col("kind") == kind) & (F.substring("end_time", 1, 10) == day))
+    d = whole_days(points, day, day).filter(F.col("kind") == kind)
     return d.agg(F.coalesce(F.sum("source_count"), F.lit(0)).cast("long").alias("total_flow"))
 
 
@@ -117,7 +127,7 @@ def current_day_panel(points: DataFrame, daily_identified: DataFrame, day: str)
 
     One aggregate over a tagged union (no join of one-row results).
     """
-    flow = (points.filter((F.col("kind") == "DP") & (F.substring("end_time", 1, 10) == day))
+    flow = (whole_days(points, day, day).filter(F.col("kind") == "DP")
             .select(F.lit("flow").alias("what"), F.lit(day).alias("day"), F.col("source_count").alias("n")))
     ident = daily_identified.select(F.lit("ident").alias("what"), "day", F.col("n"))
     u = flow.unionByName(ident)
@@ -137,10 +147,10 @@ def children(points: DataFrame, now: str, minutes: int = 30) -> DataFrame:
 def server_view(daily_counts: DataFrame, link_points: DataFrame) -> DataFrame:
     """E8 + H6: per-server 3-day counts joined with the newest active map.
 
-    The newest point is picked by its key (lexical order, H6); its map is
-    exploded and inner-joined with the per-server counts.
+    The newest point is picked by its key (lexical order, H6) out of the
+    last day; its map is exploded and inner-joined with the per-server counts.
     """
-    act = link_points.filter(F.col("kind") == "activeNumMap")
+    act = P.newest_days(link_points.filter(F.col("kind") == "activeNumMap"))
     newest = act.agg(F.max_by("value_map", "key").alias("m"))
     active = newest.select(F.explode("m").alias("server", "active"))
     return daily_counts.join(active, "server", "inner")
@@ -156,7 +166,7 @@ def host_status(sys_samples: DataFrame, disk_samples: DataFrame) -> DataFrame:
     return j.select(
         "host", F.date_format("ts", TIME_FMT).alias("state_time"),
         H.cpu_percent("cpu_system_p", "cpu_user_p").alias("cpu_rate"),
-        F.bround(F.col("mem_actual_used") / F.col("mem_total") * 100, 2).alias("memory_rate"),
+        (F.col("mem_actual_used_p") * 100).alias("memory_rate"),
         H.memory_text("mem_actual_used", "mem_total").alias("memory_info"),
         F.bround(F.col("fs_used") / F.col("fs_total") * 100, 2).alias("disk_rate"),
         H.disk_text("fs_used", "fs_total").alias("disk_info"))
@@ -166,6 +176,6 @@ def recent_hits(samples: DataFrame, now: str, seconds: int, cap: int) -> DataFra
     """Samples of the last ``seconds``, newest first, at most ``cap``
     (the cap is the feature: the dashboard reads one page of hits; its
     size is the caller's choice)."""
-    t = F.col("ts")
-    r = samples.filter((t >= _now(now) - F.make_interval(secs=F.lit(seconds))) & (t <= _now(now)))
+    t, last = F.col("ts"), F.lit(now).cast("timestamp_ntz")
+    r = samples.filter((t >= last - F.make_interval(secs=F.lit(seconds))) & (t <= last))
     return r.orderBy(t.desc(), F.col("l_orderkey").desc(), F.col("l_linenumber").desc()).limit(cap)

@@ -111,6 +111,7 @@ def host_metrics(lineitem: DataFrame) -> DataFrame:
         "l_orderkey", "l_linenumber",
         F.col("l_discount").alias("cpu_system_p"), F.col("l_tax").alias("cpu_user_p"),
         (F.col("l_extendedprice") * 1000000).cast("long").alias("mem_actual_used"),
+        (F.col("l_extendedprice") / 64000).alias("mem_actual_used_p"),
         F.lit(64000000000).cast("long").alias("mem_total"))
 
 
@@ -132,7 +133,7 @@ HOST_SQL = """
 SELECT 'host-' || CAST(l_suppkey % 10 AS VARCHAR) AS host,
        l_shipdate + to_minutes(CAST(l_linenumber AS BIGINT)) AS ts, l_orderkey, l_linenumber,
        l_discount AS cpu_system_p, l_tax AS cpu_user_p,
-       CAST(trunc(l_extendedprice * 1000000) AS BIGINT) AS mem_actual_used, CAST(64000000000 AS BIGINT) AS mem_total
+       CAST(trunc(l_extendedprice * 1000000) AS BIGINT) AS mem_actual_used, l_extendedprice / 64000 AS mem_actual_used_p, CAST(64000000000 AS BIGINT) AS mem_total
 FROM lineitem
 """
 

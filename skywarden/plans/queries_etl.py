@@ -12,7 +12,7 @@ from ..functions.tags import DATE_VALUE_PATTERN, classify_request, hot_ip_flag,
 from ..operators import etl as E
 from ..schemas import PROCESSED_FIELDS, RAW_FIELDS
 from . import fixtures as fx
-from .registry import logs, register
+from .registry import logs, raw_log, register
 from .fixtures import requests_sql
 from .sqlparts import sql_full_match
 
@@ -22,7 +22,7 @@ def _events(spark, sf):
 
 
 def _raw(spark, sf):
-    return fx.raw_lines(fx.table(spark, sf, "events"))
+    return raw_log(spark, sf)
 
 
 RAW_SQL = f"raw AS ({fx.RAW_LINES_SQL})"

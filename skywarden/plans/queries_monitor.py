@@ -8,9 +8,10 @@ from ..functions.helpers import route_label, speed_text
 from ..operators import indicators as ind
 from ..operators import monitor as M
 from ..operators import reports as RP
+from ..sources import points as P
 from . import fixtures as fx
 from . import monitor_fixtures as mf
-from .registry import blacklist, logs, register, summary
+from .registry import blacklist, derived, logs, register, summary
 from .fixtures import CITIES, _list_sql, requests_sql
 from .queries_scoring import FLOWS_CTE, METRICS_CTE, SCORES_CTE, _scored
 from .sqlparts import sql_ratio, with_tagged
@@ -32,11 +33,13 @@ def _ev(spark, sf):
 
 
 def _points(spark, sf):
-    return mf.throughput_points(_ev(spark, sf))
+    """The point store, filled from the derived throughput points."""
+    return P.read_points(spark, derived(spark, sf, "points", lambda p: P.write_points(mf.throughput_points(_ev(spark, sf)), p)))
 
 
 def _links(spark, sf):
-    return mf.link_points(fx.table(spark, sf, "events"))
+    return P.read_points(spark, derived(spark, sf, "links", lambda p: P.write_points(
+        mf.link_points(fx.table(spark, sf, "events")), p)))
 
 
 TP = f"tp AS ({mf.THROUGHPUT_SQL})"
@@ -47,7 +50,7 @@ LP = f"{mf.link_fields_sql()}, lp AS ({mf.LINK_POINTS_SQL})"
 WITH {TP} SELECT id, kind, end_time, source_count, cost_time, count_per_millis FROM tp
 """)
 def q_points(spark, sf):
-    return _points(spark, sf).drop("servers_count_map")
+    return _points(spark, sf).drop("servers_count_map", "ts", "day")
 
 
 @register("daily_flow", f"""
@@ -99,7 +102,7 @@ SELECT kind, max(end_time) AS end_time, arg_max(source_count, end_time) AS sourc
 FROM tp GROUP BY kind
 """)
 def q_latest_point(spark, sf):
-    p = M.latest_point(_points(spark, sf).drop("servers_count_map"), ["kind"], ["end_time"])
+    p = M.newest_point(_points(spark, sf).drop("servers_count_map"))
     return p.select("kind", "end_time", "source_count", speed_text("count_per_millis").alias("speed"))
 
 
@@ -112,8 +115,8 @@ SELECT end_time, server, n FROM recent WHERE end_time = (SELECT max(end_time) FR
 """)
 def q_latest_link(spark, sf):
     r = M.between_minutes(_links(spark, sf).filter(F.col("kind") == "serversCountMap"), NOW, 20)
-    last = M.latest_point(r.withColumn("__k", F.lit(1)), ["__k"], ["end_time"])
-    return last.select("end_time", F.explode("value_map").alias("server", "n"))
+    last = r.agg(F.max_by(F.struct("end_time", "value_map"), "end_time").alias("p"))
+    return last.select("p.end_time", F.explode("p.value_map").alias("server", "n"))
 
 
 @register("realtime_children", f"""
@@ -179,7 +182,7 @@ dl AS (SELECT host, device, mount, arg_max(d, (ts, l_orderkey, l_linenumber)) AS
 dr AS (SELECT host, sum(r.fs_used) AS fs_used, sum(r.fs_total) AS fs_total FROM dl GROUP BY host)
 SELECT hl.host, strftime(r.ts, '%Y-%m-%d %H:%M:%S') AS state_time,
        round_even((r.cpu_system_p + r.cpu_user_p) * 100, 2) AS cpu_rate,
-       round_even(r.mem_actual_used / r.mem_total * 100, 2) AS memory_rate,
+       r.mem_actual_used_p * 100 AS memory_rate,
        CAST(CAST(trunc(r.mem_actual_used / 1000000) AS BIGINT) AS VARCHAR) || 'M/'
          || CAST(CAST(trunc(r.mem_total / 1000000) AS BIGINT) AS VARCHAR) || 'M' AS memory_info,
        round_even(dr.fs_used / dr.fs_total * 100, 2) AS disk_rate,

@@ -8,7 +8,7 @@ from ..operators import rules as R
 from ..operators import scoring as S
 from ..operators import windows as W
 from . import fixtures as fx
-from .registry import logs, register
+from .registry import logs, raw_log, register
 from .fixtures import RULE_NAMES, _list_sql, requests_sql
 from .sqlparts import sql_full_match
 
@@ -163,7 +163,7 @@ def q_method_counts(spark, sf):
 
 
 def _raw(spark, sf):
-    return fx.raw_lines(fx.table(spark, sf, "events"))
+    return raw_log(spark, sf)
 
 
 RAW_FIELDS_CTE = f"""

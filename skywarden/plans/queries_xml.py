@@ -8,6 +8,8 @@ each check is a round trip ``parse(build(order)) == order``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from ..operators import monitor as M
 from . import fixtures as fx
 from . import monitor_fixtures as mf
 from .fixtures import CITIES, _list_sql
-from .registry import register
+from .queries_monitor import _links, _points
+from .registry import raw_log, register
 
 # Parse rules of the order payloads.
 XML_QUERY_RULE = E.ParseRule("QX", "POST", 0, ".*", text_xml=True, is_xml=True, query={
@@ -226,8 +229,7 @@ WHERE strptime(end_time, '%Y-%m-%d %H:%M:%S') >= TIMESTAMP '{DAYS[0]} 00:00:00'
 """)
 def q_whole_days(spark, sf):
     """C11: points of whole days between two dates (bounds as given, P15)."""
-    pts = mf.throughput_points(fx.table(spark, sf, "events"))
-    return M.whole_days(pts, *DAYS).select("id", "kind", "end_time", "source_count")
+    return M.whole_days(_points(spark, sf), *DAYS).select("id", "kind", "end_time", "source_count")
 
 
 @register("monitor_keys", f"""
@@ -236,9 +238,7 @@ SELECT DISTINCT k AS key FROM (SELECT id AS k FROM tp UNION ALL SELECT key FROM
 """)
 def q_monitor_keys(spark, sf):
     """Set union of the keys of two point stores, in key order."""
-    ev = fx.table(spark, sf, "events")
-    a = mf.throughput_points(fx.table(spark, sf, "events")).select(F.col("id").alias("key"))
-    b = mf.link_points(ev).select("key")
+    a, b = _points(spark, sf).select(F.col("id").alias("key")), _links(spark, sf).select("key")
     return a.union(b).distinct().orderBy("key")
 
 
@@ -273,19 +273,19 @@ def q_scored_indicators(spark, sf):
     all indicators.
 
     The processed log feeds two branches (scoring and indicators), so it
-    is checkpointed once into the shared ``spark.checkpoint.dir`` folder
-    (the reference hands it over through a topic) instead of being
-    recomputed by each branch.
+    written once below the shared folder of ``spark.checkpoint.dir`` (the
+    reference hands it over through a topic), and each branch reads the
+    columns that it needs.
     """
     from ..operators import indicators as ind
     from ..operators import rules as R
     from ..operators import scoring as S
     from ..operators import windows as W
     from ..session import checkpoint_root
-    checkpoint_root(spark)
-    ev = fx.table(spark, sf, "events")
-    processed = E.etl(fx.raw_lines(fx.table(spark, sf, "events")), fx.etl_rules(),
-                      fx.hot_ips(ev)).checkpoint()
+    path = f"{checkpoint_root(spark)}/processed-{uuid.uuid4().hex}"
+    E.etl(raw_log(spark, sf), fx.etl_rules(), fx.hot_ips(fx.table(spark, sf, "events"))).drop(
+        "queryRequestDataStr", "bookRequestDataStr", "httpReferrer").write.parquet(path)
+    processed = spark.read.parquet(path)
     queries, _ = E.split_by_behavior(processed)  # C3: only query lines are scored
     metrics = W.ip_window_metrics(queries, fx.CRITICAL_PAGES, 86400)
     flows = R.collect_flows(fx.flow_config(spark, sf))

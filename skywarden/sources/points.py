@@ -24,19 +24,44 @@ def point_time(col: str = "end_time") -> Column:
 
 
 def with_time(points: DataFrame) -> DataFrame:
-    """Add ``ts`` and ``day`` to points with a text time; points without a readable time are left out."""
-    return points.withColumn("ts", point_time()).where(F.col("ts").isNotNull()) \
-        .withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    """Points with ``ts`` and ``day``: those of the store, or read from a text ``end_time``
+    (points without a readable time are left out)."""
+    if "ts" in points.columns and "day" in points.columns:
+        return points
+    return points.withColumn("ts", point_time()).where(F.col("ts").isNotNull()).withColumn("day", F.to_date("ts"))
 
 
 def write_points(points: DataFrame, path: str) -> None:
-    """Add points (kind, end_time, …) to the store: files of a whole partition, one per kind and day."""
+    """Add points (kind, end_time, …) to the store, one file per kind and day."""
     with_time(points).repartition("kind", "day").write.mode("append").partitionBy("kind", "day").parquet(path)
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """The store; kind and day are partition columns, both text."""
-    return spark.read.option("basePath", path).parquet(path).withColumn("day", F.col("day").cast("string"))
+    """The store; ``kind`` (text) and ``day`` (date) are partition columns."""
+    return spark.read.option("basePath", path).parquet(path)
+
+
+def between(points: DataFrame, start: dt.datetime | None = None, end: dt.datetime | None = None,
+            with_start: bool = True, with_end: bool = False) -> DataFrame:
+    """Points from ``start`` to ``end``; each bound is one on the day folders and one on the time."""
+    out, at = with_time(points), lambda t: F.lit(t).cast("timestamp_ntz")
+    if start is not None:
+        out = out.where(F.col("day") >= F.lit(start.date())).where(
+            F.col("ts") >= at(start) if with_start else F.col("ts") > at(start))
+    if end is not None:
+        out = out.where(F.col("day") <= F.lit(end.date())).where(F.col("ts") <= at(end) if with_end else F.col("ts") < at(end))
+    return out
+
+
+def newest_days(points: DataFrame) -> DataFrame:
+    """The points of the last day of each kind.
+
+    The last days come from the folder names; the join prunes the folders
+    that are read (dynamic partition pruning).
+    """
+    points = with_time(points)
+    last = points.groupBy("kind").agg(F.max("day").alias("day"))
+    return points.join(F.broadcast(last), ["kind", "day"])
 
 
 def put_point(spark: SparkSession, path: str, kind: str, key: str, at: dt.datetime, **values) -> None:
