@@ -62,10 +62,10 @@ def liveness(points: DataFrame, now: str, minutes: int = 2) -> DataFrame:
 
 
 def newest_point(points: DataFrame) -> DataFrame:
-    """H4 / H5: the newest point of each kind, out of the last day of each."""
-    days = P.newest_days(points)
-    cols = [c for c in days.columns if c != "kind"]
-    return days.groupBy("kind").agg(F.max_by(F.struct(*cols), F.struct("ts", "end_time")).alias("__last")).select("kind", "__last.*")
+    """H4 / H5: the newest point of each kind; best out of ``sources.points.read_newest``."""
+    points = P.with_time(points)
+    cols = [c for c in points.columns if c != "kind"]
+    return points.groupBy("kind").agg(F.max_by(F.struct(*cols), F.struct("ts", "end_time")).alias("__last")).select("kind", "__last.*")
 
 
 def latest_point(points: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -147,10 +147,10 @@ def children(points: DataFrame, now: str, minutes: int = 30) -> DataFrame:
 def server_view(daily_counts: DataFrame, link_points: DataFrame) -> DataFrame:
     """E8 + H6: per-server 3-day counts joined with the newest active map.
 
-    The newest point is picked by its key (lexical order, H6) out of the
-    last day; its map is exploded and inner-joined with the per-server counts.
+    The newest point is picked by its key (lexical order, H6); its map is
+    exploded and inner-joined with the per-server counts.
     """
-    act = P.newest_days(link_points.filter(F.col("kind") == "activeNumMap"))
+    act = link_points.filter(F.col("kind") == "activeNumMap")
     newest = act.agg(F.max_by("value_map", "key").alias("m"))
     active = newest.select(F.explode("m").alias("server", "active"))
     return daily_counts.join(active, "server", "inner")

@@ -32,14 +32,21 @@ def _ev(spark, sf):
     return fx.table(spark, sf, "events")
 
 
-def _points(spark, sf):
+def _points_path(spark, sf):
     """The point store, filled from the derived throughput points."""
-    return P.read_points(spark, derived(spark, sf, "points", lambda p: P.write_points(mf.throughput_points(_ev(spark, sf)), p)))
+    return derived(spark, sf, "points", lambda p: P.write_points(mf.throughput_points(_ev(spark, sf)), p))
+
+
+def _links_path(spark, sf):
+    return derived(spark, sf, "links", lambda p: P.write_points(mf.link_points(_ev(spark, sf)), p))
+
+
+def _points(spark, sf):
+    return P.read_points(spark, _points_path(spark, sf))
 
 
 def _links(spark, sf):
-    return P.read_points(spark, derived(spark, sf, "links", lambda p: P.write_points(
-        mf.link_points(fx.table(spark, sf, "events")), p)))
+    return P.read_points(spark, _links_path(spark, sf))
 
 
 TP = f"tp AS ({mf.THROUGHPUT_SQL})"
@@ -102,7 +109,7 @@ SELECT kind, max(end_time) AS end_time, arg_max(source_count, end_time) AS sourc
 FROM tp GROUP BY kind
 """)
 def q_latest_point(spark, sf):
-    p = M.newest_point(_points(spark, sf).drop("servers_count_map"))
+    p = M.newest_point(P.read_newest(spark, _points_path(spark, sf)).drop("servers_count_map"))
     return p.select("kind", "end_time", "source_count", speed_text("count_per_millis").alias("speed"))
 
 
@@ -172,7 +179,7 @@ SELECT c.server, c.n, a.active FROM cnt c JOIN act a ON c.server = a.server
 """)
 def q_server_view(spark, sf):
     counts = logs(spark, sf).groupBy(F.col("serverAddr").alias("server")).agg(F.count(F.lit(1)).alias("n"))
-    return M.server_view(counts, _links(spark, sf))
+    return M.server_view(counts, P.read_newest(spark, _links_path(spark, sf)))
 
 
 @register("host_status", f"""

@@ -16,6 +16,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import folders
+
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -53,15 +55,14 @@ def between(points: DataFrame, start: dt.datetime | None = None, end: dt.datetim
     return out
 
 
-def newest_days(points: DataFrame) -> DataFrame:
-    """The points of the last day of each kind.
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The points of the last day of each kind: only those folders are read.
 
-    The last days come from the folder names; the join prunes the folders
-    that are read (dynamic partition pruning).
+    The last days come from the folder names, without a look into any file.
     """
-    points = with_time(points)
-    last = points.groupBy("kind").agg(F.max("day").alias("day"))
-    return points.join(F.broadcast(last), ["kind", "day"])
+    days = [f"{path}/kind={k}/day={folders.values(spark, f'{path}/kind={k}', 'day')[-1]}"
+            for k in folders.values(spark, path, "kind")]
+    return spark.read.option("basePath", path).parquet(*days) if days else read_points(spark, path)
 
 
 def put_point(spark: SparkSession, path: str, kind: str, key: str, at: dt.datetime, **values) -> None:
