@@ -243,7 +243,7 @@ def param(m: Column, key: str, default: str = "") -> Column:
 
 def travel_id_text(v: Column) -> Column:
     """Travel type text -> int, blank / non-numeric -> -1."""
-    return F.coalesce(F.try_cast(F.trim(v), "int"), F.lit(-1))
+    return F.coalesce(F.trim(v).try_cast("int"), F.lit(-1))
 
 
 def serialise_processed(df_cols: dict[str, Column] | None = None) -> Column:

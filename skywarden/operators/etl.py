@@ -23,7 +23,7 @@ from ..functions.masking import mask_id_card, mask_phone, md5_upper
 from ..functions.xml import node_text, page_text
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
                                  form_params, json_field, json_texts, last_value, param, request_url,
-                                 split_raw, url_params)
+                                 split_raw, travel_id_text, url_params)
 from ..functions.tags import (BEHAVIOR_TYPE_IDS, FLIGHT_TYPE_IDS, TRAVEL_TYPE_IDS, classify_request,
                               enum_id, hot_ip_flag, matches_any, travel_type)
 from ..schemas import BOOK_FIELDS, BOOK_LISTS, PROCESSED_FIELDS, QUERY_FIELDS, RAW_SEP
@@ -78,7 +78,7 @@ def _blank(s: str | None) -> bool:
     return s is None or s.strip() == ""
 
 
-def _query_from_map(m: Column, r: ParseRule) -> Column:
+def _query_from_map(m: Column, r: ParseRule) -> dict:
     """Fields from a parameter map; empty map leaves the record empty."""
     keys = r.query
     nonempty = F.size(m) > 0
@@ -88,6 +88,21 @@ def _query_from_map(m: Column, r: ParseRule) -> Column:
     return out
 
 
+def query_params(m: Column, r: ParseRule) -> Column:
+    """Parameter map -> the fields that a rule names, with the travel
+    type as a number.
+
+    Without a parameter for it, with a blank or with text that is no number
+    the travel type is -1.  In a whole record (:func:`query_request`) the
+    referrer's travel type takes its place (P20).
+    """
+    key = r.query.get("travelType", "")
+    travel = F.lit(-1) if _blank(key) else travel_id_text(param(m, key, ""))
+    vals = _query_from_map(m, r)
+    return F.struct(vals["isEmpty"].alias("isEmpty"), travel.alias("travelType"),
+                    *[vals[k].alias(k) for k in QUERY_KEYS if k != "travelType"])
+
+
 def _query_from_json(js: Column, r: ParseRule) -> dict:
     """JsonPath extraction; blank JSON leaves the record empty."""
     ok = F.coalesce(F.trim(js), F.lit("")) != ""

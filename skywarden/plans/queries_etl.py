@@ -160,6 +160,29 @@ def q_url_params(spark, sf):
     return p.select("page_id", F.explode(url_params("url")).alias("key", "value"))
 
 
+PARAM_RULE = E.ParseRule("QP", "GET", 0, ".*", normal_get=True, query={
+    "depCity": "c1", "arrCity": "c2", "adultNum": "n", "travelType": "t"})
+
+
+@register("param_fields", """
+SELECT event_id, event_id % 6 = 5 AS isEmpty, CASE event_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE -1 END AS travelType,
+       CASE WHEN event_id % 6 = 5 THEN '' ELSE 'D' || user_id END AS depCity,
+       CASE WHEN event_id % 6 = 5 THEN '' ELSE event_type END AS arrCity,
+       CASE WHEN event_id % 6 = 4 THEN '2' ELSE '' END AS adultNum
+FROM events
+""")
+def q_param_fields(spark, sf):
+    """B7 + B13: the fields that a rule names, out of a search URL; the
+    travel type is a number, 0 or 1, or there is none to read."""
+    eid = F.col("event_id") % 6
+    more = F.array(*[F.lit(x) for x in ("&t=0", "&t= 1 ", "&t=x", "&t=%20", "&n=2&n=2", "")])
+    url = F.when(eid == 5, "/q").otherwise(F.concat(F.lit("/q?c1=D"), F.col("user_id").cast("string"), F.lit("&c2="),
+                                                    F.col("event_type"), F.get(more, eid.cast("int"))))
+    m = _events(spark, sf).select("event_id", url_params(url).alias("m"))
+    q = m.select("event_id", E.query_params(F.col("m"), PARAM_RULE).alias("q"))
+    return q.select("event_id", "q.isEmpty", "q.travelType", "q.depCity", "q.arrCity", "q.adultNum")
+
+
 @register("form_params", f"""
 WITH {RAW_KEYED_SQL},
 b AS (SELECT event_id, string_split(coalesce(string_split(value, '#CS#')[5], ''), '&') AS ps FROM rawk),
