@@ -121,10 +121,13 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int = 2, capacity: int = 1024
     columns are not read.  An empty table gives no rows.
     """
     ship_package(docs.sparkSession)
-    found = staged(document_pieces(docs, vocab_path, end_id, capacity, keep_ids), "pack-pieces")
-    histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    found = document_pieces(docs, vocab_path, end_id, capacity, keep_ids)
+    # The ids stay where they are written; only the narrow rows, under a number of their own, are ranked and placed.
+    found = staged(found.withColumn("__row", F.monotonically_increasing_id()) if keep_ids else found, "pack-pieces")
+    narrow = found.drop("ids")
+    histogram = {r["length"]: r["n"] for r in narrow.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = _places(plan_bins(histogram, capacity))
-    placed = ranked(found, ["length"], ["doc_id", "piece", "start"], "__rank")
+    placed = ranked(narrow, ["length"], ["doc_id", "piece", "start"], "__rank")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -139,5 +142,9 @@ def pack(docs: DataFrame, vocab_path: str, end_id: int = 2, capacity: int = 1024
                 bins[group] = first_bin[at] + nth // uses[at]
                 offsets[group] = offset[at] + nth % uses[at] * length
             yield rows.assign(sequence_id=bins, offset=offsets)
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return placed.mapInPandas(run, schema + ", sequence_id long, offset long")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", __row long" * keep_ids
+    out = placed.mapInPandas(run, schema + ", sequence_id long, offset long")
+    if keep_ids:
+        out = out.join(found.select("__row", "ids"), "__row").select(
+            "doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")
+    return out
