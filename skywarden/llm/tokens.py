@@ -95,32 +95,53 @@ def _byte_level_ranks(spec: dict) -> dict[bytes, int] | None:
     return {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
 
 
-@functools.lru_cache(maxsize=2)
-def id_encoder(vocab_path: str) -> PieceEncoder:
-    """Pieces to little-endian 32-bit ids, as the tokenizers library makes them from its file.
+def _added_tokens(spec: dict) -> dict[str, int] | None:
+    """Texts of added tokens and their ids, or None if one of them takes in more than its own text."""
+    added = spec.get("added_tokens", [])
+    if any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized") for t in added):
+        return None
+    return {t["content"]: t["id"] for t in added}
 
-    Pieces of a plain byte-level BPE are encoded by tiktoken's faster
-    merges from the same file; files of any other kind go through the
-    tokenizers library itself.  Strings of special tokens in a text are
-    ordinary text.
+
+@functools.lru_cache(maxsize=2)
+def id_encoder(vocab_path: str) -> Callable[[str], list[bytes]]:
+    """Texts to little-endian 32-bit ids, as the tokenizers library makes them without adding special tokens.
+
+    The text of an added token gets its id wherever it stands, as the
+    library does by itself.  What lies between is cut into pieces, and
+    those of a plain byte-level BPE are encoded by tiktoken's faster merges
+    from the same file; files of any other kind go through the tokenizers
+    library itself.
     """
     import json
     import os
 
     with open(vocab_path, encoding="utf-8") as f:
-        ranks = _byte_level_ranks(json.load(f))
-    if ranks is not None:
+        spec = json.load(f)
+    ranks, added = _byte_level_ranks(spec), _added_tokens(spec)
+    if ranks is not None and added is not None:
         import public_tokenizers
         import tiktoken
 
         own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return PieceEncoder(lambda texts: [array.array("I", own.encode_ordinary(t)).tobytes() for t in texts])
+        plain = PieceEncoder(lambda texts: [array.array("I", own.encode_ordinary(t)).tobytes() for t in texts], keep=300_000)
+        if not added:
+            return plain
+        # At one place the longest added token wins.
+        cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+        ids = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
+
+        def encode(text: str) -> list[bytes]:
+            if not any(t in text for t in ids):
+                return plain(text)
+            parts = cut.split(text)
+            return [x for i, part in enumerate(parts) for x in ([ids[part]] if i % 2 else plain(part))]
+        return encode
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocab_path)
-    tokenizer.encode_special_tokens = True
     # Other pre-tokenizers need not start anew at a blank: whole texts, nothing remembered.
     return lambda text: [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
 

@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from skywarden.llm import exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, urlfilter
+from skywarden.llm import exact, fingerprint, minhash, packing, pii, quality, sharding, tokenfile, tokens, urlfilter
 from skywarden.llm.common import components, ranked
 
 VOCAB = P.path("byte_bpe_50k.json")
@@ -138,10 +138,27 @@ def test_propagation_gathers_a_large_group(spark):
 
 def _ids():
     tokenizer = Tokenizer.from_file(VOCAB)
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for _, t in TEXTS]
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", " <|endoftext|> ",
+                                  "a\n <|endoftext|>\n  b", "<|endoftext", "<|<|endoftext|>|>", "é<|endoftext|>日本 <|endoftext|>"])
+def test_added_tokens_as_the_library_reads_them(text):
+    got = np.frombuffer(b"".join(tokens.id_encoder(VOCAB)(text)), "<u4").tolist()
+    assert got == Tokenizer.from_file(VOCAB).encode(text, add_special_tokens=False).ids
+
+
+def test_packed_pieces_are_those_of_the_library(docs):
+    found = defaultdict(list)
+    for r in rows(packing.pack(docs, VOCAB, capacity=256, keep_ids=True)):
+        found[r["doc_id"]].append((r["piece"], r["start"], tuple(r["ids"])))
+    want = defaultdict(list)
+    for (doc_id, _), ids in zip(TEXTS, _ids()):
+        cuts = [0, *range(len(ids) % 256 or 256, len(ids), 256), len(ids)]
+        want[doc_id] += [(i, a, tuple(ids[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_packing(docs):
     got = rows(packing.pack(docs, VOCAB, capacity=256, keep_ids=True))
     assert sum(r["length"] for r in got) == sum(map(len, _ids()))
