@@ -156,15 +156,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 @functools.lru_cache(maxsize=2)
 def text_encoder(vocab_path: str, pattern: str) -> tuple[PrefixBPE, PieceEncoder]:
-    """Texts to (ids, ids as decimal text), each match of the pattern on its own."""
+    """Texts to (ids, ids as decimal text, bytes that the ids decode to), each match of the pattern on its own."""
     import regex
 
     bpe, split = PrefixBPE(read_ranks(vocab_path)), regex.compile(pattern)
 
-    def encode(text: str) -> tuple[list[int], bytes]:
+    bytes_of = bpe.bytes_of
+
+    def encode(text: str) -> tuple[list[int], bytes, bytes]:
         ids = [i for match in split.findall(text) for i in bpe.ids(match.encode())]
-        return ids, b" ".join(b"%d" % i for i in ids)
-    return bpe, PieceEncoder(lambda texts: [encode(t) for t in texts], keep=120_000)
+        return ids, " ".join(map(str, ids)).encode(), b"".join([bytes_of[i] for i in ids])
+    return bpe, PieceEncoder(lambda texts: [encode(t) for t in texts], keep=300_000)
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, keep_ids: bool = True) -> DataFrame:
@@ -178,18 +180,18 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, keep_ids: b
     """
     ship_package(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, encoder = text_encoder(vocab_path, pattern)
+        _, encoder = text_encoder(vocab_path, pattern)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 counts, shas, decoded, kept = [], [], [], []
                 for text in part.column(1):
                     found = encoder(text.as_py() or "")
-                    ids = [i for own, _ in found for i in own]
-                    counts.append(len(ids))
-                    shas.append(hashlib.sha256(b" ".join([t for _, t in found])).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join(map(bpe.bytes_of.__getitem__, ids))).hexdigest())
-                    kept.append(ids)
+                    counts.append(sum([len(f[0]) for f in found]))
+                    shas.append(hashlib.sha256(b" ".join([f[1] for f in found])).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join([f[2] for f in found])).hexdigest())
+                    if keep_ids:
+                        kept.append([i for f in found for i in f[0]])
                 out = [part.column(0), pa.array(counts, pa.int64()), pa.array(shas), pa.array(decoded)]
                 if keep_ids:
                     out.append(pa.array(kept, pa.list_(pa.int32())))
