@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,21 +56,40 @@ def merged(sketches: DataFrame, by: list[str], column: str = "sketch") -> DataFr
     return sketches.select(*by, F.explode(column).alias("hash")).distinct()
 
 
-def _next_in_order(rows: DataFrame) -> DataFrame:
-    """(id, th) and the (next_id, next_th) that follows in falling order; the first follows the last."""
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("id").desc(), F.col("th").desc()]
-    rows = staged(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "print-order")
-    # One row per partition: its first row, and the first row of the next.
-    by_part = Window.orderBy("part")
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = rows.groupBy("part").agg(F.max(F.struct("id", "th")).alias("first")) \
-        .select("part", F.coalesce(F.lead("first").over(by_part), F.first("first").over(whole)).alias("after"))
-    follows = F.lead(F.struct("id", "th")).over(Window.partitionBy("part").orderBy(*order))
-    return rows.withColumn("follows", follows).join(firsts, "part").select(
-        "id", "th", "n_chars", F.coalesce("follows", "after").alias("f")) \
-        .select("id", "th", "n_chars", F.col("f.id").alias("next_id"), F.col("f.th").alias("next_th"))
+#: Ranges of the order per shuffle partition, so that those that fall together are small.
+RANGES = 4
+
+
+def _firsts(rows: DataFrame, order: list[Column]) -> list[tuple[int, int]]:
+    """The first (id, th) of each range of the order, at most ``RANGES`` times the shuffle partitions."""
+    parts = RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.distinct().repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    found = dealt.groupBy("part").agg(F.max(F.struct("id", "th")).alias("first")).collect()
+    return sorted((tuple(r["first"]) for r in found), reverse=True)
+
+
+def _followed(rows: DataFrame, firsts: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` with next_text and next_sketch: those of the row that follows in falling order of (id, th).
+
+    Each range of the order is sorted by itself.  Its last row is followed
+    by the first of the next range, of which the range gets a copy: one
+    row per range.  After the last row comes the first.
+    """
+    bounds = F.from_json(F.lit(json.dumps([{"id": i, "th": t} for i, t in firsts])), "array<struct<id:long,th:long>>")
+    n, key = len(firsts), F.struct("id", "th")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, n.bit_length())))])
+    # The last range that begins at or before the key, by halving.
+    part = F.aggregate(steps, F.lit(-1), lambda at, step: F.when(
+        (at + step < n) & (F.get(bounds, at + step) >= key), at + step).otherwise(at))
+    rows = rows.withColumn("part", part)
+    own = F.struct(F.col("part").alias("at"), F.lit(False).alias("copy"))
+    before = F.struct(((F.col("part") + (n - 1)) % n).alias("at"), F.lit(True).alias("copy"))
+    rows = rows.select("*", F.inline(F.when(F.get(bounds, F.col("part")) == key, F.array(own, before)).otherwise(F.array(own)))) \
+        .drop("part")
+    order = Window.partitionBy("at").orderBy("copy", F.col("id").desc(), F.col("th").desc())
+    # Both in one select: one window, so one shuffle of the texts.
+    return rows.select("*", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch")) \
+        .where("not copy").drop("at", "copy")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -80,27 +101,29 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     all) of the next document in falling order of doc_id; after the last
     comes the first.
 
+    The texts, of any length, are shuffled once, with their sketches, by
+    ranges of the order, so each is sketched once as itself and once
+    edited.
+
     A null text is the empty text.  Rows without doc_id come last in the
     order; rows that share a doc_id stand in the order of a hash of their
     texts, and repeated rows are one document there.  A table of one
-    document is its own next.  Other columns are not read.
+    document is its own next; an empty one gives no rows.  Other columns
+    are not read.
     """
     texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), text_of(docs).alias("text")) \
         .withColumn("th", F.xxhash64("text"))
-    rows = staged(texts.select("id", "th", F.length("text").alias("n_chars")), "print-rows")
-    once = rows.distinct()
-    pairs = staged(_next_in_order(once), "print-pairs")
-    wanted = pairs.select(F.col("next_id").alias("id"), F.col("next_th").alias("th"), F.col("id").alias("cur_id"),
-                          F.col("th").alias("cur_th"), F.expr("n_chars div 3").cast("int").alias("n_cut"))
-    source = texts.select("id", "th", "text")
-    if not rows.groupBy("id", "th").count().where("count > 1").isEmpty():
-        source = source.dropDuplicates(["id", "th"])
-    following = add_sketch(source.join(wanted, ["id", "th"]), "text", "next_sketch").select(
-        F.col("cur_id").alias("id"), F.col("cur_th").alias("th"), "n_cut",
-        F.expr("substring(text, 1, n_cut)").alias("head"), "next_sketch")
-    own = texts.join(following, ["id", "th"]).withColumn("n_chars", F.length("text")) \
-        .withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - n_cut)"), "head"))
-    own = add_sketch(add_sketch(own, "text", "sketch"), "edited", "edited_sketch")
+    rows = staged(texts.select("id", "th"), "print-rows")
+    firsts = _firsts(rows, [F.col("id").desc(), F.col("th").desc()])
+    repeated = not rows.groupBy("id", "th").count().where("count > 1").isEmpty()
+    if repeated:
+        texts = texts.groupBy("doc_id", "id", "th").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    own = _followed(add_sketch(texts, "text", "sketch"), firsts or [(0, 0)])
+    own = own.withColumn("n_chars", F.length("text")).withColumn("n_cut", F.expr("n_chars div 3").cast("int"))
+    own = own.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - n_cut)"), F.expr("substring(next_text, 1, n_cut)")))
+    if repeated:
+        own = own.withColumn("copies", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    own = add_sketch(own, "edited", "edited_sketch")
     return own.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_string(F.col("sketch")).alias("fingerprint"), as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
