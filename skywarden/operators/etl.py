@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.masking import mask_id_card, mask_phone, md5_upper
-from ..functions.xml import node_text, page_text
+from ..functions.xml import page_values
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
                                  form_params, json_field, json_texts, last_value, param, request_url,
                                  split_raw, travel_id_text, url_params)
@@ -112,22 +112,21 @@ def _query_from_json(js: Column, r: ParseRule) -> dict:
     return out
 
 
-def _query_from_xml(xml: Column, r: ParseRule) -> dict:
-    """XPath per rule field, blank -> ``""``."""
+def _query_from_xml(page: Column, r: ParseRule) -> dict:
+    """XPath per rule field (read by :func:`query_source`), blank -> ``""``."""
     out = {}
     for k in QUERY_KEYS:
         if k == "travelType":
             continue
-        path = r.query.get(k, "")
-        out[k] = (F.lit("") if _blank(path)
-                  else F.coalesce(F.nullif(F.trim(F.xpath_string(xml, F.lit(path))), F.lit("")), F.lit("")))
+        out[k] = (F.lit("") if _blank(r.query.get(k, ""))
+                  else F.coalesce(F.nullif(F.trim(page[k]), F.lit("")), F.lit("")))
     out["isEmpty"] = F.lit(False)
     return out
 
 
 def query_source(r: ParseRule, url: Column, body: Column, content_type: Column) -> Column | None:
     """Per-rule input of the query parse: a parameter map, a JSON text or
-    an XML text (computed once per row, then read by every field)."""
+    the values of an XML page (computed once per row, then read by every field)."""
     m = r.method.upper()
     if m == "GET" and r.normal_get:
         return url_params(url)
@@ -137,7 +136,8 @@ def query_source(r: ParseRule, url: Column, body: Column, content_type: Column)
         return param(form_params(body), r.form_field, "")
     if m == "POST" and r.text_xml and r.is_xml:
         ok = (F.lower(content_type) == "text/xml") & (body != "")
-        return F.when(ok, page_text(body))
+        return page_values(F.when(ok, body), firsts={k: r.query[k] for k in QUERY_KEYS
+                                                     if k != "travelType" and not _blank(r.query.get(k, ""))})
     return None
 
 
@@ -212,39 +212,27 @@ def _book_from_json(js: Column, r: ParseRule) -> dict:
     }
 
 
-def _book_from_xml(body: Column, r: ParseRule) -> dict:
-    """Booking XML -> lists by XPath; contact name before ``|``,
-    contact phone before ``/``."""
-    xml = body
-    p = r.book
-
-    def lst(k):
-        path = p.get(k, "")
-        return F.array().cast("array<string>") if _blank(path) else F.xpath(xml, F.lit(node_text(path)))
+# Fields of a booking XML that are lists, and those of one value.
+XML_LISTS = ["psgName", "psgType", "idType", "idCard", "depCity", "arrCity", "flightDate", "flightNo", "cabin"]
+XML_FIRSTS = ["bookUserId", "bookUnUserId", "contractName", "contractPhone"]
 
-    def one(k):
-        path = p.get(k, "")
-        return F.lit("") if _blank(path) else F.coalesce(F.xpath_string(xml, F.lit(path)), F.lit(""))
 
-    return {
-        "bookUserId": one("bookUserId"),
-        "bookUnUserId": one("bookUnUserId"),
-        "psgName": lst("psgName"),
-        "psgType": lst("psgType"),
-        "idType": lst("idType"),
-        "idCard": lst("idCard"),
-        "contractName": F.substring_index(one("contractName"), "|", 1),
-        "contractPhone": F.substring_index(one("contractPhone"), "/", 1),
-        "depCity": lst("depCity"), "arrCity": lst("arrCity"), "flightDate": lst("flightDate"),
-        "flightNo": lst("flightNo"), "cabin": lst("cabin"),
-    }
+def _book_from_xml(page: Column, r: ParseRule) -> dict:
+    """Values of a booking XML (read by :func:`book_source`) -> lists;
+    contact name before ``|``, contact phone before ``/``."""
+    out = {k: F.array().cast("array<string>") if _blank(r.book.get(k, "")) else page[k] for k in XML_LISTS}
+    out |= {k: F.lit("") if _blank(r.book.get(k, "")) else F.coalesce(page[k], F.lit("")) for k in XML_FIRSTS}
+    out["contractName"] = F.substring_index(out["contractName"], "|", 1)
+    out["contractPhone"] = F.substring_index(out["contractPhone"], "/", 1)
+    return out
 
 
 def book_source(r: ParseRule, body: Column, content_type: Column) -> Column | None:
-    """Per-rule input of the booking parse (JSON or XML text, else NULL)."""
+    """Per-rule input of the booking parse (JSON text or values of an XML page, else NULL)."""
     ct = F.lower(content_type)
     if r.text_xml and r.is_xml:
-        return F.when((ct == "text/xml") & (body != ""), page_text(body))
+        named = lambda keys: {k: r.book[k] for k in keys if not _blank(r.book.get(k, ""))}
+        return page_values(F.when((ct == "text/xml") & (body != ""), body), named(XML_LISTS), named(XML_FIRSTS))
     if r.application_json and r.is_json and not r.normal_form:
         return F.when((ct == "application/json") & (body != ""), F.trim(F.replace(body, F.lit("\\x22"), F.lit(""))))
     if r.is_json and not r.normal_form and not r.application_json and not _blank(r.form_field):
@@ -322,13 +310,13 @@ def etl(raw: DataFrame, rules: EtlRules, hot_ips: DataFrame | None = None,
     method, ctype, url, body = (F.col("requestMethod"), F.col("contentType"), F.col("request"),
                                 F.col("requestBody"))
     beh_id = F.col("__behavior_id")
-    qsrc = [query_source(r, url, body, ctype) for r in rules.query_rules]
-    bsrc = [book_source(r, body, ctype) for r in rules.book_rules]
+    # A rule's input is built only on the lines that rule parses.
+    qsrc = [query_source(r, url, F.when(F.col("__qi") == i, body), ctype) for i, r in enumerate(rules.query_rules)]
+    bsrc = [book_source(r, F.when(F.col("__bi") == i, body), ctype) for i, r in enumerate(rules.book_rules)]
     s = s.select(
         "*",
         last_match(rules.query_rules, method, beh_id, url).alias("__qi"),
         last_match(rules.book_rules, method, beh_id, url).alias("__bi"))
-    # A rule's input is built only on the lines that rule parses.
     s = s.select(
         "*",
         *[F.when(F.col("__qi") == i, c).alias(f"__qs{i}") for i, c in enumerate(qsrc) if c is not None],
