@@ -7,7 +7,9 @@ they stay inside whole-stage codegen and work unchanged on streams.
 from __future__ import annotations
 
 import json
+import re
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -170,58 +172,93 @@ def json_map(col) -> Column:
     return F.coalesce(F.from_json(_c(col), "map<string,string>", {"mode": "PERMISSIVE"}), empty)
 
 
-_JSON_TOKEN = r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
+_JSON_TOKEN = r'"[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
 
 
-def json_members(js, key: str) -> Column:
-    """JSON texts of every member ``key`` at any depth, outer before inner.
+def _member_reader(keys: list[str]):
+    """Function from lists of JSON texts, as Spark writes them, to the members of each key."""
+    cut = re.compile(_JSON_TOKEN, re.ASCII | re.DOTALL).findall
+    slots = {json.dumps(k, ensure_ascii=False): i for i, k in enumerate(keys)}
 
-    The text is cut into its tokens once; a value reaches from the colon
-    to the token at which its brackets are closed again.  Text that is no
-    JSON has none.
-    """
-    name = F.lit(json.dumps(key, ensure_ascii=False))
-    plain = F.get_json_object(F.concat(F.lit("["), _c(js), F.lit("]")), "$")
-    tokens = F.coalesce(F.regexp_extract_all(plain, F.lit(_JSON_TOKEN), 0), F.array().cast("array<string>"))
+    def read(texts: list) -> list[list[str]]:
+        found = [[] for _ in keys]
+        for text in texts:
+            tokens = cut(text or "")
+            at = [i for i, t in enumerate(tokens) if t in slots and tokens[i + 1:i + 2] == [":"]]
+            ends, open_ = {}, []
+            if any(tokens[i + 2] in "{[" for i in at):
+                for i, t in enumerate(tokens):
+                    if t in ("{", "["):
+                        open_.append(i)
+                    elif t in ("}", "]"):
+                        ends[open_.pop()] = i
+            for i in at:
+                found[slots[tokens[i]]].append("".join(tokens[i + 2:ends.get(i + 2, i + 2) + 1]))
+        return found
+
+    def run(texts: pa.Array) -> pa.Array:
+        rows = [read(t or []) for t in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.list_(pa.string())) for i in range(len(keys))],
+                                          [f"v{i}" for i in range(len(keys))])
+    return run
 
-    def found(t: Column) -> Column:
-        at = F.filter(F.transform(t, lambda x, i: F.when((x == name) & (F.get(t, i + 1) == ":"), i + 3)), lambda i: i.isNotNull())
-        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
 
-        def step(a: Column, x: Column) -> Column:
-            depth = a["depth"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)
-            go = F.struct(depth.alias("depth"), (a["n"] + 1).alias("n"), (depth == 0).alias("done"))
-            return F.when(a["done"], a).otherwise(go)
+def json_members(texts: Column, keys: list[str]) -> list[Column]:
+    """For each key the JSON texts of its members at any depth of the texts of an array, outer before inner.
 
-        def text(i: Column) -> Column:
-            rest = F.slice(t, i, F.size(t))
-            nested = F.array_join(F.slice(t, i, F.aggregate(rest, start, step, lambda a: a["n"])), "")
-            return F.when(F.get(t, i - 1).isin("{", "["), nested).otherwise(F.get(t, i - 1))
-        return F.transform(at, text)
-    # Bound to a lambda variable, the tokens are cut once.
-    return F.get(F.transform(F.array(tokens), found), F.lit(0))
+    Each text is written anew by Spark's JSON reader and cut into its tokens
+    once for all keys.  Text that is no JSON has none.
+    """
+    plain = F.transform(texts, lambda x: F.get_json_object(F.concat(F.lit("["), x, F.lit("]")), "$"))
+    found = F.arrow_udf(_member_reader(keys), f"struct<{', '.join(f'v{i}: array<string>' for i in range(len(keys)))}>")(plain)
+    return [found[f"v{i}"] for i in range(len(keys))]
 
 
 def json_texts(js, path: str) -> Column:
-    """All matches of a JsonPath with recursive descent (``..key``) as
+    """All matches of one JsonPath with recursive descent, see :func:`json_texts_of`."""
+    return json_texts_of(js, [path])[path]
+
+
+def json_texts_of(js, paths: list[str]) -> dict[str, Column]:
+    """All matches of JsonPaths with recursive descent (``..key``) as
     texts, strings without their quotes, in the order of the document.
 
     Before, between and after the descents stand plain steps
     (``$.a..b.c``); a missing step gives no match.  A member that is JSON
-    null is a null item.
+    null is a null item.  Paths that descend from the same place share one
+    reading of the text.
     """
-    head, *descents = path.split("..")
-    base = F.get_json_object(_c(js), head) if head.rstrip("$.") else _c(js)
-    out = F.when(base.isNotNull(), F.array(base)).otherwise(F.array().cast("array<string>"))
-    for i, step in enumerate(descents):
-        cut = min([k for k in (step.find("."), step.find("[")) if k > 0], default=len(step))
-        key, rest = step[:cut], step[cut:]
-        out = F.flatten(F.transform(out, lambda x: json_members(x, key)))  # noqa: B023
-        if rest:
-            out = F.filter(F.transform(out, lambda x: F.get_json_object(x, "$" + rest)), lambda x: x.isNotNull())  # noqa: B023
-        elif i == len(descents) - 1:
-            out = F.transform(out, lambda x: F.when(x != "null", F.get_json_object(x, "$")))
-    return out
+    def descended(places: dict[str, tuple[Column, list[str]]]) -> dict[str, Column]:
+        """``places``: path -> (texts to descend from, steps left); texts that are one object are read together."""
+        out, groups = {}, {}
+        for path, (texts, steps) in places.items():
+            groups.setdefault(id(texts), (texts, {}))[1][path] = steps
+        further = {}
+        for texts, steps_of in groups.values():
+            heads = {}
+            for path, steps in steps_of.items():
+                cut = min([k for k in (steps[0].find("."), steps[0].find("[")) if k > 0], default=len(steps[0]))
+                heads[path] = steps[0][:cut], steps[0][cut:]
+            keys = list(dict.fromkeys(key for key, _ in heads.values()))
+            members = dict(zip(keys, json_members(texts, keys)))
+            for path, (key, rest) in heads.items():
+                found = members[key]
+                if rest:
+                    found = F.filter(F.transform(found, lambda x: F.get_json_object(x, "$" + rest)), lambda x: x.isNotNull())  # noqa: B023
+                elif len(steps_of[path]) == 1:
+                    found = F.transform(found, lambda x: F.when(x != "null", F.get_json_object(x, "$")))
+                if len(steps_of[path]) > 1:
+                    further[path] = found, steps_of[path][1:]
+                else:
+                    out[path] = found
+        return out | (descended(further) if further else {})
+
+    bases = {}
+    for head in {path.split("..")[0] for path in paths}:
+        base = F.get_json_object(_c(js), head) if head.rstrip("$.") else _c(js)
+        bases[head] = F.filter(F.array(base), lambda x: x.isNotNull())
+    plain = {p: bases[p] for p in paths if ".." not in p}
+    return plain | descended({p: (bases[p.split("..")[0]], p.split("..")[1:]) for p in paths if ".." in p})
 
 
 def json_field(col, path) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.masking import mask_id_card, mask_phone, md5_upper
 from ..functions.xml import page_values
 from ..functions.parsing import (COOKIE_SESSION_KEY, COOKIE_USER_KEY, cookie_entries, field,
-                                 form_params, json_field, json_texts, last_value, param, request_url,
+                                 form_params, json_field, json_texts_of, last_value, param, request_url,
                                  split_raw, travel_id_text, url_params)
 from ..functions.tags import (BEHAVIOR_TYPE_IDS, FLIGHT_TYPE_IDS, TRAVEL_TYPE_IDS, classify_request,
                               enum_id, hot_ip_flag, matches_any, travel_type)
@@ -106,7 +106,8 @@ def query_params(m: Column, r: ParseRule) -> Column:
 def _query_from_json(js: Column, r: ParseRule) -> dict:
     """JsonPath extraction; blank JSON leaves the record empty."""
     ok = F.coalesce(F.trim(js), F.lit("")) != ""
-    out = {k: F.when(ok, json_field(js, r.query.get(k, "") or "$.__none__")).otherwise(F.lit(""))
+    found = _descents(js, r.query)
+    out = {k: F.when(ok, _json_value(js, r.query.get(k, ""), found)).otherwise(F.lit(""))
            for k in QUERY_KEYS if k != "travelType"}
     out["isEmpty"] = ~ok
     return out
@@ -170,45 +171,61 @@ def query_request(rules: list[ParseRule], idx: Column, sources: list[Column | No
         *[acc.get(k, F.lit("")).alias(k) for k in QUERY_FIELDS])
 
 
-def _json_list(js: Column, path: str) -> Column:
+def _descents(js: Column, paths: dict[str, str]) -> dict[str, Column]:
+    """Matches of the paths with a recursive descent, read together."""
+    return json_texts_of(js, sorted({p for p in paths.values() if p and ".." in p}))
+
+
+def _json_value(js: Column, path: str, found: dict[str, Column]) -> Column:
+    """One field; a recursive descent gives its first match."""
+    if path in found:
+        return F.coalesce(F.get(found[path], F.lit(0)), F.lit(""))
+    return json_field(js, path or "$.__none__")
+
+
+def _json_list(js: Column, path: str, found: dict[str, Column] | None = None) -> Column:
     if _blank(path):
         return F.array().cast("array<string>")
     if ".." in path:
-        return json_texts(js, path)
+        return (found or _descents(js, {"": path}))[path]
     # A wildcard that matches once gives the bare value, not a list.
-    found = F.get_json_object(js, path)
-    listed = F.when(found.startswith("["), found).otherwise(F.concat(F.lit("["), found, F.lit("]")))
+    hit = F.get_json_object(js, path)
+    listed = F.when(hit.startswith("["), hit).otherwise(F.concat(F.lit("["), hit, F.lit("]")))
     return F.coalesce(F.from_json(listed, "array<string>"), F.array().cast("array<string>"))
 
 
-def _json_one(js: Column, path: str) -> Column:
+def _json_one(js: Column, path: str, found: dict[str, Column]) -> Column:
     """A scalar path as a list of at most one element."""
     if _blank(path):
         return F.array().cast("array<string>")
-    v = F.get(json_texts(js, path), F.lit(0)) if ".." in path else F.get_json_object(js, path)
-    return F.when(v.isNull(), F.array().cast("array<string>")).otherwise(F.array(v))
+    v = F.get(found[path], F.lit(0)) if path in found else F.get_json_object(js, path)
+    return F.filter(F.array(v), lambda x: x.isNotNull())
 
 
 def _book_from_json(js: Column, r: ParseRule) -> dict:
     """Booking JSON (cleaned by :func:`book_source`) -> lists;
     passenger name = first + last name."""
     p = r.book
-    first, last = _json_list(js, p.get("psgFirName", "")), _json_list(js, p.get("psgName", ""))
+    found = _descents(js, p)
+    many = lambda k: _json_list(js, p.get(k, ""), found)
+    one = lambda k: _json_one(js, p.get(k, ""), found)
+    value = lambda k: _json_value(js, p.get(k) or "", found)
+    first, last = many("psgFirName"), many("psgName")
     # One name per first name; Java string concatenation prints "null".
-    names = F.transform(first, lambda a, i: F.concat(F.coalesce(a, F.lit("null")),
-                                                     F.coalesce(F.get(last, i), F.lit("null"))))
+    names = F.slice(F.zip_with(first, last, lambda a, b: F.concat(F.coalesce(a, F.lit("null")), F.coalesce(b, F.lit("null")))),
+                    F.lit(1), F.size(first))
     return {
-        "bookUserId": json_field(js, p.get("bookUserId") or "$.__none__"),
+        "bookUserId": value("bookUserId"),
         "psgName": names,
-        "idType": _json_list(js, p.get("idType", "")),
-        "idCard": _json_list(js, p.get("idCard", "")),
-        "contractName": json_field(js, p.get("contractName") or "$.__none__"),
-        "contractPhone": json_field(js, p.get("contractPhone") or "$.__none__"),
-        "depCity": _json_one(js, p.get("depCity", "")),
-        "arrCity": _json_one(js, p.get("arrCity", "")),
-        "flightDate": _json_one(js, p.get("flightDate", "")),
-        "flightNo": _json_one(js, p.get("flightNo", "")),
-        "cabin": _json_one(js, p.get("cabin", "")),
+        "idType": many("idType"),
+        "idCard": many("idCard"),
+        "contractName": value("contractName"),
+        "contractPhone": value("contractPhone"),
+        "depCity": one("depCity"),
+        "arrCity": one("arrCity"),
+        "flightDate": one("flightDate"),
+        "flightNo": one("flightNo"),
+        "cabin": one("cabin"),
     }
 
 

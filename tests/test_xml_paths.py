@@ -81,3 +81,16 @@ def test_orders_are_dealt_out(spark, tmp_path):
         .coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
     for query in (Q.q_xml_travel, Q.q_xml_flat, Q.q_xml_book, Q.q_xml_query, Q.q_book_json, Q.q_form_json):
         assert "RebalancePartitions" in _plan(query(spark, str(tmp_path)))
+
+
+def test_json_descents_share_one_reading(spark):
+    """Paths from one place are read by one call, with keys at several depths, repeated and null."""
+    from skywarden.functions.parsing import json_texts_of
+    df = spark.createDataFrame([('{"a":{"b":"x","a":1.5},"l":[{"b":null},{"b":{"c":"\\"y"}}],"a":"z"}',), ("{'a':1",), (None,)], "js string")
+    found = json_texts_of("js", ["$..a", "$..b", "$..b.c", "$.l..b", "$..a..b"])
+    out = df.select(*[c.alias(p.strip("$").replace(".", "_")) for p, c in found.items()])
+    assert out.collect()[0].asDict() == {"__a": ['{"b":"x","a":1.5}', "1.5", "z"], "__b": ["x", None, '{"c":"\\"y"}'],
+                                         "__b_c": ['"y'], "_l__b": [None, '{"c":"\\"y"}'], "__a__b": ["x"]}
+    assert [list(r) for r in out.collect()[1:]] == [[[]] * 5] * 2
+    three = df.select(*[c.alias(f"c{i}") for i, c in enumerate(json_texts_of("js", ["$..a", "$..b", "$..b.c"]).values())])
+    assert _plan(three).count("run(") == _plan(df.select(json_texts_of("js", ["$..a"])["$..a"].alias("c"))).count("run(")
