@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skywarden.llm.common import components, ship_package, staged
@@ -137,6 +137,34 @@ def rarest(sets: DataFrame, percent: int) -> DataFrame:
                 .alias("pos", "key")).select("node", "key", (F.col("size") - F.col("pos")).alias("after"))
 
 
+_PAIR = ["least(node, node_2) u", "greatest(node, node_2) v"]
+
+
+def _other(df: DataFrame) -> DataFrame:
+    return df.select("key", *[F.col(c).alias(f"{c}_2") for c in df.columns if c != "key"])
+
+
+def _close(percent: int) -> Column:
+    return 100 * F.least("n", "n_2") >= percent * F.greatest("n", "n_2")
+
+
+def star_pairs(members: DataFrame, percent: int, centres: int) -> DataFrame:
+    """(u, v): each member of a bucket with its most central one, which shares most buckets, and ``centres`` others.
+
+    The others are the least of the bucket in orders that all buckets
+    share, so the buckets of one group choose mostly the same and a member
+    of a large group has few partners, however many buckets it lies in.
+    No bucket is sorted.
+    """
+    weighed = members.join(members.groupBy("node").agg(F.sum("size").alias("weight")), "node")
+    by = [-F.col("weight"), *[F.xxhash64("node", F.lit(i)) for i in range(centres)]]
+    chosen = weighed.groupBy("key").agg(*[F.min_by(c, o).alias(f"{c}_{i}") for i, o in enumerate(by) for c in ("node", "n")]) \
+        .select("key", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node_{i}").alias("node"), F.col(f"n_{i}").alias("n"))
+                                                            for i in range(len(by))]))).alias("c")).select("key", "c.*")
+    return members.join(_other(chosen), "key").where(_close(percent) & (F.col("node") != F.col("node_2"))) \
+        .selectExpr(*_PAIR).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 4, centres: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -147,9 +175,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
 
     Documents with the same set form a class, named by its smallest
     doc_id; only classes are banded.  In a bucket of equal band keys every
-    member is first verified against the most central one, which shares
-    most buckets, and ``centres`` drawn by hash, others in each bucket, so a group of near copies costs a few stars and
-    not a square.  A bucket that is then still in several components has
+    member is first verified against a few (:func:`star_pairs`), so a group
+    of near copies costs a few stars and not a square.  A bucket that is then still in several components has
     the members outside its largest one compared with those that are not
     of their own component, share a bucket with them and hold one of their
     rarest shingles (:func:`rarest`), which loses no pair at the threshold.
@@ -177,18 +204,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     sets = staged(docs.select("doc_id", docs["text"].cast("binary").alias("text")).join(needed, "doc_id", "left_semi")
                   .mapInArrow(_setter(words), "node long, hashes array<long>"), "near-sets")
 
-    def other(df: DataFrame) -> DataFrame:
-        return df.select("key", *[F.col(c).alias(f"{c}_2") for c in df.columns if c != "key"])
-
-    close = 100 * F.least("n", "n_2") >= percent * F.greatest("n", "n_2")
-    pair = [F.least("node", "node_2").alias("u"), F.greatest("node", "node_2").alias("v")]
-    # The most central member, by the sizes of its buckets, and others by hash: no bucket is sorted.
-    weighed = members.join(members.groupBy("node").agg(F.sum("size").alias("weight")), "node")
-    by = [-F.col("weight"), *[F.xxhash64("node", "key", F.lit(i)) for i in range(centres)]]
-    chosen = weighed.groupBy("key").agg(*[F.min_by(c, o).alias(f"{c}_{i}") for i, o in enumerate(by) for c in ("node", "n")]) \
-        .select("key", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"node_{i}").alias("node"), F.col(f"n_{i}").alias("n"))
-                                                            for i in range(len(by))]))).alias("c")).select("key", "c.*")
-    stars = members.join(other(chosen), "key").where(close & (F.col("node") != F.col("node_2"))).select(*pair).distinct()
+    close = _close(percent)
+    stars = star_pairs(members, percent, centres)
     linked = staged(components(_verified(stars, sets, percent)), "near-linked")
 
     now = members.where(F.col("size") > 2).join(linked, "node", "left") \
@@ -200,8 +217,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     found = now.join(rarest(sets.join(now.select("node"), "node", "left_semi"), percent), "node")
     enough = (100 + percent) * F.least("after", "after_2") >= percent * (F.col("n") + F.col("n_2"))
     once = (~F.col("out_2") | (F.col("node") < F.col("node_2"))) & (F.col("c") != F.col("c_2"))
-    rest = found.where("out").join(other(found), "key") \
-        .where(once & close & enough & F.arrays_overlap("bands", "bands_2")).select(*pair).distinct()
+    rest = found.where("out").join(_other(found), "key") \
+        .where(once & close & enough & F.arrays_overlap("bands", "bands_2")).selectExpr(*_PAIR).distinct()
     c_u = linked.select(F.col("node").alias("u"), F.col("component").alias("c_u"))
     c_v = linked.select(F.col("node").alias("v"), F.col("component").alias("c_v"))
     joined = staged(components(
