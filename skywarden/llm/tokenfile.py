@@ -27,12 +27,15 @@ _SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
 def write_block(doc_ids: np.ndarray, lengths: np.ndarray, ranks: np.ndarray) -> bytes:
-    sizes = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[:len(ranks)] = sizes - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = raw[np.arange(4) < sizes[:, None]]
+    more = codes[:len(ranks)]
+    for most in (0xFF, 0xFFFF, 0xFFFFFF):
+        more += ranks > most
+    control = codes[::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    # No rank of the block takes more than ``width`` bytes.
+    width = int(more.max(initial=0)) + 1
+    raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
+    data = raw[np.arange(width, dtype=np.uint8) <= more[:, None]]
     body = doc_ids.astype("<i8").tobytes() + lengths.astype("<u4").tobytes() + control.tobytes() + data.tobytes()
     return HEADER.pack(MAGIC, len(doc_ids), len(ranks), len(data), zlib.crc32(body)) + body
 
@@ -87,8 +90,9 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, vocab_size: int, e
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocab_size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_py(), kind), minlength=vocab_size)
+            for at in range(0, batch.num_rows, 500):
+                # One count over many documents: it is as long as the vocabulary.
+                total += np.bincount(np.frombuffer(b"".join(batch.column(0).slice(at, 500).to_pylist()), kind), minlength=vocab_size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
