@@ -7,14 +7,70 @@ import functools
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skywarden.llm.common import ship_package
-from skywarden.llm.tokens import PieceEncoder
+from skywarden.llm.tokens import PieceEncoder, groups_of_texts, ids_together, starts_of_pieces
 
 
 _NEVER = 1 << 60
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of the table that remembers which pairs follow one another.
+_MEMO = 20
+
+
+class _Numbers:
+    """A fixed map of keys to numbers, both not negative, for whole arrays of keys; -1 for what it lacks."""
+
+    def __init__(self, known: dict[int, int]):
+        bits = (4 * len(known) + 4).bit_length()
+        self.shift, self.most = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        keys, values = np.fromiter(known, np.int64, len(known)), np.fromiter(known.values(), np.int64, len(known))
+        at = self.places(keys)
+        while len(keys):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[free]
+            placed = self.keys[at] == keys
+            self.values[at[placed]] = values[placed]
+            keys, values, at = keys[~placed], values[~placed], at[~placed] + 1 & self.most
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * _MIX >> self.shift).view(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.places(keys)
+        there = self.keys[at]
+        # Free places hold -1 as their value.
+        out = self.values[at]
+        left = np.flatnonzero((there != keys) & (there != -1))
+        at = at[left]
+        while len(left):
+            at = at + 1 & self.most
+            there = self.keys[at]
+            out[left] = self.values[at]
+            more = (there != keys[left]) & (there != -1)
+            left, at = left[more], at[more]
+        return out
+
+
+class _Spines:
+    """Spines of one side, one after the other, as arrays."""
+
+    def __init__(self, bpe: PrefixBPE, side: int):
+        self.bpe, self.side = bpe, side
+        self.start, self.size = np.zeros((2, max(bpe.ranks.values()) + 1), np.int64)
+        self.part, self.until = np.zeros((2, 0), np.int64)
+
+    def add(self, tokens: np.ndarray) -> None:
+        new = np.unique(tokens[self.size[tokens] == 0])
+        spines = [self.bpe.spine(t, self.side) for t in new.tolist()]
+        self.size[new] = [len(s) for s in spines]
+        self.start[new] = len(self.part) + np.cumsum(self.size[new]) - self.size[new]
+        self.part = np.append(self.part, [self.bpe.ranks[p] for s in spines for p, _ in s]).astype(np.int64)
+        self.until = np.append(self.until, [u for s in spines for _, u in s]).astype(np.int64)
 
 
 class PrefixBPE:
@@ -132,6 +188,119 @@ class PrefixBPE:
             at -= len(self.bytes_of[last[at - 1]])
         return out[::-1]
 
+    @functools.cached_property
+    def _arrays(self) -> tuple:
+        """Of the vocabulary as a tree of bytes: edges and the token at each node; further the pairs that join
+        to a token, the lengths of tokens, what is known of ``reachable`` and of ``follows``, and spines."""
+        nodes, edges, joins, get = {b"": 0}, {}, {}, self.ranks.get
+        for t, rank in self.ranks.items():
+            known = len(t)
+            while (at := nodes.get(t[:known])) is None:
+                known -= 1
+            for i in range(known, len(t)):
+                edges[at << 8 | t[i]] = at = nodes[t[:i + 1]] = len(nodes)
+            for i in range(1, len(t)):
+                if (x := get(t[:i])) is not None and (y := get(t[i:])) is not None:
+                    joins[x << 32 | y] = rank
+        token = np.full(len(nodes), -1, np.int64)
+        token[[nodes[t] for t in self.ranks]] = list(self.ranks.values())
+        sizes = np.zeros(max(self.bytes_of) + 1, np.int64)
+        sizes[list(self.bytes_of)] = [len(t) for t in self.bytes_of.values()]
+        return (_Numbers(edges), token, _Numbers(joins), sizes, np.full(len(sizes), -1, np.int8),
+                np.full(1 << _MEMO, -1, np.int64), np.zeros(1 << _MEMO, bool), _Spines(self, 1), _Spines(self, 0))
+
+    def _all_reachable(self, tokens: np.ndarray) -> np.ndarray:
+        known = self._arrays[4]
+        for t in set(tokens[known[tokens] < 0].tolist()):
+            known[t] = self.reachable(t)
+        return known[tokens] == 1
+
+    def _all_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``follows`` for arrays; a bounded table remembers the pairs last seen."""
+        _, _, joins, _, _, keys, fits, left, right = self._arrays
+        pair = a << 32 | b
+        at = (pair.view(np.uint64) * _MIX >> np.uint64(64 - _MEMO)).view(np.int64)
+        out, new = fits[at], np.flatnonzero(keys[at] != pair)
+        if len(new):
+            pairs, where = np.unique(pair[new], return_inverse=True)
+            a, b = pairs >> 32, pairs & 0xFFFFFFFF
+            left.add(a)
+            right.add(b)
+            # Every part of the one spine with every part of the other.
+            n = left.size[a] * right.size[b]
+            of = np.repeat(np.arange(len(pairs)), n)
+            i, j = np.divmod(np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n), right.size[b][of])
+            i, j = i + left.start[a][of], j + right.start[b][of]
+            rank = joins(left.part[i] << 32 | right.part[j])
+            found = np.ones(len(pairs), bool)
+            found[of[(rank >= 0) & (rank < left.until[i]) & (rank <= right.until[j])]] = False
+            out[new] = found[where]
+            keys[at[new]], fits[at[new]] = pair[new], out[new]
+        return out
+
+    def ids_many(self, words: list[bytes], most: int = 64, group: int = 20_000) -> list[list[int]]:
+        """The encoding of each word: the prefixes of all words are extended together, byte by byte.
+
+        Words of over ``most`` bytes go on their own, as do few words.
+        """
+        out: list = [None] * len(words)
+        short = [i for i, w in enumerate(words) if 0 < len(w) <= most]
+        if len(short) < 100:
+            return [self.ids(w) for w in words]
+        for i, w in enumerate(words):
+            if not 0 < len(w) <= most:
+                out[i] = self.ids(w)
+        short.sort(key=lambda i: -len(words[i]))
+        for at in range(0, len(short), group):
+            part = short[at:at + group]
+            for i, ids in zip(part, self._ids_together([words[i] for i in part])):
+                out[i] = ids
+        return out
+
+    def _ids_together(self, words: list[bytes]) -> Iterator[list[int]]:
+        """The encodings of words that come by falling length."""
+        edges, token_at, _, sizes = self._arrays[:4]
+        n, length = len(words), np.array([len(w) for w in words])
+        longest = len(words[0])
+        text = np.frombuffer(b"".join([w.ljust(longest, b"\0") for w in words]), np.uint8).reshape(n, longest).T.astype(np.int64)
+        # The last token of each prefix of each word.
+        last = np.full((longest, n), -1, np.int64)
+        # What may become a token: its word, its start and its node in the tree.
+        word, start, node = np.zeros((3, 0), np.int64)
+        for end in range(longest):
+            live = int(np.searchsorted(-length, -end))
+            held = word < live
+            word = np.concatenate([word[held], np.arange(live)])
+            start = np.concatenate([start[held], np.full(live, end)])
+            node = edges(np.concatenate([node[held], np.zeros(live, np.int64)]) << 8 | text[end][word])
+            held = node >= 0
+            word, start, node = word[held], start[held], node[held]
+            token = token_at[node]
+            ending = np.flatnonzero(token >= 0)
+            token = token[ending]
+            fits = self._all_reachable(token)
+            inner = np.flatnonzero(fits & (start[ending] > 0))
+            w = word[ending[inner]]
+            fits[inner] = self._all_follow(last[start[ending[inner]] - 1, w], token[inner])
+            # Longer tokens stand first and are written last.
+            last[end, word[ending[fits]][::-1]] = token[fits][::-1]
+            if (last[end, :live] < 0).any():
+                raise ValueError(f"no token ends at byte {end + 1}: the vocabulary lacks a byte")
+        at, who, steps = length.copy(), np.arange(n), []
+        while len(who):
+            token = last[at[who] - 1, who]
+            steps.append((who, token))
+            at[who] -= sizes[token]
+            who = who[at[who] > 0]
+        stop = np.cumsum(np.bincount(np.concatenate([w for w, _ in steps]), minlength=n))
+        flat = np.empty(stop[-1], np.int64)
+        for back, (who, token) in enumerate(steps, 1):
+            flat[stop[who] - back] = token
+        flat, first = flat.tolist(), 0
+        for to in stop.tolist():
+            yield flat[first:to]
+            first = to
+
     def edited(self, data: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
         """Replace data[start:end] by ``new``; returns the new data and its last tokens.
 
@@ -156,17 +325,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 @functools.lru_cache(maxsize=2)
 def text_encoder(vocab_path: str, pattern: str) -> tuple[PrefixBPE, PieceEncoder]:
-    """Texts to (ids, ids as decimal text, bytes that the ids decode to), each match of the pattern on its own."""
+    """Texts to (ids as decimal text, bytes that the ids decode to), each match of the pattern on its own."""
     import regex
 
     bpe, split = PrefixBPE(read_ranks(vocab_path)), regex.compile(pattern)
 
-    bytes_of = bpe.bytes_of
-
-    def encode(text: str) -> tuple[list[int], bytes, bytes]:
-        ids = [i for match in split.findall(text) for i in bpe.ids(match.encode())]
-        return ids, " ".join(map(str, ids)).encode(), b"".join([bytes_of[i] for i in ids])
-    return bpe, PieceEncoder(lambda texts: [encode(t) for t in texts], keep=300_000)
+    begins, bytes_of, decimal = starts_of_pieces(bpe.ranks), bpe.bytes_of, {i: f"{i} ".encode() for i in bpe.bytes_of}
+    sizes = np.zeros((2, len(begins)), np.int64)
+    for i, t in bytes_of.items():
+        sizes[:, i] = len(decimal[i]), len(t)
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        cuts = [split.findall(t) for t in texts]
+        matches = list(set().union(*cuts))
+        ids = dict(zip(matches, bpe.ids_many([m.encode() for m in matches])))
+        return [np.array([i for m in cut for i in ids[m]], np.int64) for cut in cuts]
+
+    def encode_many(texts: list[str]) -> list[tuple[bytes, bytes]]:
+        order, ids, ends = ids_together(texts, encode, begins)
+        # Both are made of all ids and cut where the ids of a text end.
+        each = ids.tolist()
+        shown, decoded = b"".join([decimal[i] for i in each]), b"".join([bytes_of[i] for i in each])
+        shown_ends, decoded_ends = (np.append(0, np.cumsum(sizes[k][ids]))[ends].tolist() for k in (0, 1))
+        out: list = [None] * len(texts)
+        a = b = 0
+        for i, c, d in zip(order, shown_ends, decoded_ends):
+            out[i] = shown[a:c], decoded[b:d]
+            a, b = c, d
+        return out
+    return bpe, PieceEncoder(encode_many, keep=300_000)
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, keep_ids: bool = True) -> DataFrame:
@@ -185,13 +372,15 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, keep_ids: b
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 counts, shas, decoded, kept = [], [], [], []
-                for text in part.column(1):
-                    found = encoder(text.as_py() or "")
-                    counts.append(sum([len(f[0]) for f in found]))
-                    shas.append(hashlib.sha256(b" ".join([f[1] for f in found])).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join([f[2] for f in found])).hexdigest())
+                groups = groups_of_texts(text.as_py() or "" for text in part.column(1))
+                for found in (f for group in groups for f in encoder.many(group)):
+                    # A blank follows each id.
+                    shown = b"".join([f[0] for f in found])
+                    counts.append(shown.count(b" "))
+                    shas.append(hashlib.sha256(shown[:-1]).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join([f[1] for f in found])).hexdigest())
                     if keep_ids:
-                        kept.append([i for f in found for i in f[0]])
+                        kept.append(np.array(shown.split(), np.int32))
                 out = [part.column(0), pa.array(counts, pa.int64()), pa.array(shas), pa.array(decoded)]
                 if keep_ids:
                     out.append(pa.array(kept, pa.list_(pa.int32())))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import array
 import functools
 import re
 from collections.abc import Callable, Iterator
@@ -46,34 +45,75 @@ class PieceEncoder:
         self.old: dict = {}
 
     def __call__(self, text: str) -> list:
-        if not text:
-            return []
-        parts = pieces(text)
-        if parts is None:
-            return self.encode_many([text])
-        if parts[0] == " ":
-            del parts[0]
-        try:
-            return list(map(self.young.__getitem__, parts))
-        except KeyError:
-            pass
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[list]:
+        """The values of each text's pieces; what is new in all of the texts is encoded at once."""
+        cuts = [pieces(text) if text else [] for text in texts]
+        for parts in cuts:
+            if parts and parts[0] == " ":
+                del parts[0]
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
         young, old, missing = self.young, self.old, []
-        for p in set(parts).difference(young):
+        for p in set().union(*[parts for parts in cuts if parts]).difference(young):
             if p in old:
                 young[p] = old[p]
             else:
                 missing.append(p)
         # The first piece is marked by its trailing blank; no other piece holds one.
-        young.update(zip(missing, self.encode_many([p[:-1] if p[-1:] == " " else " " + p for p in missing])))
-        out = list(map(young.__getitem__, parts))
+        new = [p[:-1] if p[-1:] == " " else " " + p for p in missing]
+        whole = [text for text, parts in zip(texts, cuts) if parts is None]
+        values = self.encode_many(new + whole) if new or whole else []
+        young.update(zip(missing, values))
+        rest = iter(values[len(new):])
+        out = [[next(rest)] if parts is None else list(map(young.__getitem__, parts)) for parts in cuts]
         for p in missing:
             if len(p) > 48:
                 del young[p]
         return out
 
 
+def groups_of_texts(texts: list[str], chars: int = 1_000_000) -> Iterator[list[str]]:
+    """The texts in order, in groups of about ``chars`` characters."""
+    group, n = [], 0
+    for text in texts:
+        group.append(text)
+        n += len(text)
+        if n >= chars:
+            yield group
+            group, n = [], 0
+    if group:
+        yield group
+
+
+def starts_of_pieces(ranks: dict[bytes, int]) -> np.ndarray:
+    """For each id whether its token begins with a blank."""
+    begins = np.zeros(max(ranks.values()) + 1, bool)
+    begins[[i for t, i in ranks.items() if t[:1] == b" "]] = True
+    return begins
+
+
+def ids_together(texts: list[str], encode: Callable[[list[str]], list[np.ndarray]],
+                 begins: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """An order of the texts, all their ids in that order, and where each text's ids end.
+
+    Texts that begin with their only blank and end with no white space are
+    encoded as one text, the others one by one.  The pattern starts a new
+    match at the blank of each of them, so their tokens are the same as
+    alone, and a token that begins with a blank is the first of its text.
+    """
+    fit = [t.rfind(" ") == 0 and not t[-1].isspace() for t in texts]
+    joint, rest = [i for i, f in enumerate(fit) if f], [i for i, f in enumerate(fit) if not f]
+    found = encode(["".join([texts[i] for i in joint])] + [texts[i] for i in rest])
+    ends = np.append(np.flatnonzero(begins[found[0]]), len(found[0]))[bool(joint):]
+    if len(ends) != max(len(joint), 1):
+        # Of another pattern.
+        found = encode(texts)
+        return list(range(len(texts))), np.concatenate(found), np.cumsum([len(x) for x in found])
+    return joint + rest, np.concatenate(found), np.append(ends[:len(joint)], len(found[0]) + np.cumsum([len(x) for x in found[1:]], dtype=int))
+
+
 def _byte_level_ranks(spec: dict) -> dict[bytes, int] | None:
     """Ranks of the tokens of a plain byte-level BPE file, or None if the file is of another kind.
 
@@ -124,7 +164,17 @@ def id_encoder(vocab_path: str) -> Callable[[str], list[bytes]]:
         import tiktoken
 
         own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        plain = PieceEncoder(lambda texts: [array.array("I", own.encode_ordinary(t)).tobytes() for t in texts], keep=300_000)
+        begins = starts_of_pieces(ranks)
+        encode_each = lambda texts: [np.array(own.encode_ordinary(t), "<u4") for t in texts]
+
+        def encode_many(texts: list[str]) -> list[bytes]:
+            order, ids, ends = ids_together(texts, encode_each, begins)
+            out, raw, at = [b""] * len(texts), ids.tobytes(), 0
+            for i, end in zip(order, (4 * ends).tolist()):
+                out[i] = raw[at:end]
+                at = end
+            return out
+        plain = PieceEncoder(encode_many, keep=300_000)
         if not added:
             return plain
         # At one place the longest added token wins.

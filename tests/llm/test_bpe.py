@@ -5,7 +5,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 
-from skywarden.llm.bpe import PrefixBPE, decode_documents, encode_documents, read_ranks
+from skywarden.llm.bpe import PrefixBPE, decode_documents, encode_documents, read_ranks, text_encoder
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 
@@ -57,3 +57,24 @@ def test_documents(spark, library):
     assert got == [library.encode_ordinary(t or "") for t in texts]
     assert [r["text"] for r in decode_documents(out, PATH).collect()] == [t or "" for t in texts]
     assert encode_documents(docs.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_many_words_together(bpe, library):
+    words = [*_strings(), b"", b" ", "日本".encode(), b"x" * 64, b"x" * 65, b"x" * 500]
+    assert bpe.ids_many(words) == [library._core_bpe.encode_single_piece(w) if w else [] for w in words]
+    assert bpe.ids_many(words[:9]) == [bpe.ids(w) for w in words[:9]]
+    # Few places for remembered pairs: what was forgotten is found anew.
+    bpe._arrays[5][:] = bpe._arrays[5][0]
+    assert bpe.ids_many(words) == [bpe.ids(w) for w in words]
+
+
+def test_new_words_of_all_texts_go_at_once(library):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abéo.,'1") for _ in range(rng.randrange(9))) for _ in range(60)) for _ in range(20)]
+    texts += ["", " ", "a\n b \n c", "\n", "x" * 100 + " y", "a  b", "<|endoftext|> a"]
+    bpe, encoder = text_encoder.__wrapped__(PATH, P.PATTERN)
+    calls, encode_many = [], encoder.encode_many
+    encoder.encode_many = lambda new: calls.append(len(new)) or encode_many(new)
+    shown = [b"".join([f[0] for f in found]) for found in encoder.many(texts)]
+    assert [list(map(int, s.split())) for s in shown] == [library.encode_ordinary(t) for t in texts]
+    assert len(calls) == 1 and calls[0] > 500
