@@ -148,6 +148,13 @@ def test_added_tokens_as_the_library_reads_them(text):
     assert got == Tokenizer.from_file(VOCAB).encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["", " ", "it's a\n b \n\n  c\t \u3000 1234 日本 é", "wherer thonre " * 300, "x" * 3000])
+def test_a_text_without_added_tokens_is_encoded_in_one_call(text):
+    got = tokens.id_encoder(VOCAB)(text)
+    assert len(got) == 1
+    assert np.frombuffer(got[0], "<u4").tolist() == Tokenizer.from_file(VOCAB).encode(text, add_special_tokens=False).ids
+
+
 def test_packed_pieces_are_those_of_the_library(docs):
     found = defaultdict(list)
     for r in rows(packing.pack(docs, VOCAB, capacity=256, keep_ids=True)):
