@@ -8,7 +8,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywarden.llm.common import ship_package, staged
-from skywarden.llm.tokens import _byte_level_ranks
+from skywarden.llm.tokens import _byte_level_ranks, groups_of_texts
 
 #: Radix partitions, by the low bits of the B id.
-BUCKETS = 64
-#: A run ends at so many pair-document records or documents.
-RUN_RECORDS, RUN_DOCS = 400_000, 4096
+BUCKET_BITS = 6
+BUCKETS = 1 << BUCKET_BITS
+#: A run ends at so many links or documents; so many characters of texts are aligned at once.
+RUN_LINKS, RUN_DOCS, GROUP_CHARS = 1_500_000, 4096, 1_000_000
+#: Characters of new words that are encoded as one text.
+TOGETHER = 400
+#: Bits of an id, and of a document within its run: a pair of ids and a document fit one number.
+ID_BITS, DOC_BITS = 25, 13
 #: Runs that one heap merges, and runs of a partition that one task streams the counts back to.
 FAN_IN, STREAMED = 64, 256
 
@@ -31,10 +36,47 @@ _BLANK_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 
 
+def _spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(sizes.sum()) + np.repeat(starts - ends + sizes, sizes)]
+
+
+class Tokens:
+    """The bytes of a tokenizer's tokens, by id."""
+
+    def __init__(self, by_id: dict[int, bytes]):
+        sizes = [len(by_id.get(i, b"")) for i in range(max(by_id) + 1)]
+        self.sizes = np.array(sizes, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join([by_id[i] for i in sorted(by_id)]), np.uint8)
+        if len(sizes) >> ID_BITS:
+            raise ValueError(f"more than {ID_BITS} bits an id")
+
+    def give(self, ids: np.ndarray, n: np.ndarray, data: list[bytes]) -> list[bool]:
+        """Whether the tokens of each text, ``n`` of all ids, give its bytes."""
+        ends = np.cumsum(self.sizes[ids])[np.cumsum(n) - 1].tolist()
+        got = _spread(self.flat, self.starts[ids], self.sizes[ids]).tobytes()
+        return [got[i:j] == x for i, j, x in zip([0, *ends], ends, data)]
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, and how many are of each list."""
+    n = np.array([len(x) for x in lists])
+    return np.fromiter(chain.from_iterable(lists), np.int64, n.sum()), n
+
+
 class Aligner:
-    """Texts to the groups and links of two tokenizations, with a bounded memory of words."""
+    """Texts to the groups and links of two tokenizations, with a bounded memory of words.
 
-    def __init__(self, a_path: str, b_path: str, keep: int = 120_000):
+    The words of many texts are looked up at once; those not remembered are
+    encoded a few hundred characters at a time and aligned together, as
+    arrays.  A word is a slot in these: what its groups look like, its
+    sizes (tokens of A and of B, groups, and 1 if the bytes of an encoding
+    differ from it) and its stretch of ``links``.
+    """
+
+    def __init__(self, a_path: str, b_path: str, keep: int = 400_000):
         import public_tokenizers
         import sentencepiece
         import tiktoken
@@ -44,19 +86,22 @@ class Aligner:
         if ranks is None:
             raise ValueError(f"{a_path} is not a plain byte-level BPE")
         self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.a_bytes = {i: t for t, i in ranks.items()}
+        self.a_tokens = Tokens({i: t for t, i in ranks.items()})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
-        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
-        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
-        self.b_sizes = np.array([len(x) for x in self.b_bytes])
+        self.b_tokens = Tokens({i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                                for i, p in enumerate(pieces)})
+        shown = [str(i).encode() for i in range(max(len(self.a_tokens.sizes), len(self.b_tokens.sizes)))]
+        self.n_digits = np.array([len(x) for x in shown])
+        # Each id's digits, and place for what stands after it.
+        self.digits = np.array(shown, f"S{len(shown[-1]) + 1}").view(np.uint8).reshape(len(shown), -1)
         # Words are encoded on their own where no piece holds a space after another character.
         self.blank = self.b.piece_to_id("▁")
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces) and \
             self.b.encode("a  b ") == self.b.encode("a") + self.b.encode(" b") + [self.blank]
-        self.keep, self.young, self.old = keep, {}, {}
+        self.keep, self.time = keep, 0
+        self.slot, self.shown = {}, []
+        self.sizes, self.links, self.used = np.zeros((0, 4), np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def parts(self, text: str) -> list[str]:
         """The text cut before each blank that follows no white space; each part stands for a blank and itself."""
@@ -66,84 +111,109 @@ class Aligner:
             return _CUT.split(text)
         return text.split(" ")
 
-    def aligned(self, text: str) -> tuple | None:
-        """(groups as bytes, counts packed, links) of a blank and ``text``.
-
-        None where the bytes of either encoding differ from the text.
-        """
-        found = self._many([text])
-        return found[0] if found else None
+    def _store(self, words: list[str], shown: list[bytes], sizes: np.ndarray, links: np.ndarray) -> None:
+        self.slot.update(zip(words, range(len(self.shown), len(self.shown) + len(words))))
+        self.shown += shown
+        self.sizes, self.links = np.concatenate([self.sizes, sizes], dtype=np.int32), np.concatenate([self.links, links])
+        self.used = np.append(self.used, np.full(len(words), self.time, np.int32))
 
-    def _many(self, parts: list[str]) -> list[tuple] | None:
-        """All ``parts`` encoded and cut as one text; None where the bytes of an encoding differ from it.
+    def _take(self, chunks: list[list[str]]) -> list[list[str]]:
+        """Encodes and stores the words of each chunk as one text; gives the chunks whose bytes come out otherwise.
 
-        Both encodings start anew at each part, so a part's tokens are those
+        Both encodings start anew at each word, so a word's tokens are those
         that end within its bytes.
         """
-        text = " ".join(parts)
-        a = self.a.encode_ordinary(" " + text)
-        b = self.b.encode(text) if text else [self.blank]
-        data = (" " + text).encode()
-        if b"".join(map(self.b_bytes.__getitem__, b)) != data or b"".join(map(self.a_bytes.__getitem__, a)) != data:
-            return None
-        a_ids, b_ids = np.array(a), np.array(b)
-        end_a, end_b = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
-        in_b = np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)
-        at_a = np.flatnonzero(end_b[in_b] == end_a)
-        at_b = in_b[at_a]
-        # Groups end at these tokens; parts end at some of the groups.
-        if len(parts) == 1:
-            last = np.array([len(at_a) - 1])
-        else:
-            last = np.searchsorted(end_a[at_a], np.cumsum([len(p.encode()) + 1 for p in parts]))
-        links = (b_ids[at_b] << 32 | a_ids[at_a]).tolist()
-        at_a, at_b, groups, i, j = (at_a + 1).tolist(), (at_b + 1).tolist(), [], 0, 0
-        for i2, j2 in zip(at_a, at_b):
-            if i2 - i == j2 - j == 1:
-                groups.append(f"{a[i]}|{b[j]}")
-            else:
-                groups.append(f"{','.join(map(str, a[i:i2]))}|{','.join(map(str, b[j:j2]))}")
-            i, j = i2, j2
-        out, first, i, j = [], 0, 0, 0
-        for g in (last + 1).tolist():
-            i2, j2 = at_a[g - 1], at_b[g - 1]
-            out.append((";".join(groups[first:g]).encode(), i2 - i << 96 | j2 - j << 48 | g - first, tuple(links[first:g])))
-            first, i, j = g, i2, j2
-        return out
-
-    def _fill(self, missing: list[str]) -> list[tuple | None]:
-        """The missing parts, aligned: together where one may follow the other, else each on its own."""
-        # A part that ends with white space, or holds what B reads as a blank, could join with the next one.
-        plain = [bool(p) and not p[-1].isspace() and "▁" not in p for p in missing]
-        together = self._many([p for p, ok in zip(missing, plain) if ok]) if any(plain) else []
-        if together is None:
-            return [self.aligned(p) for p in missing]
-        rest = iter(together)
-        return [next(rest) if ok else self.aligned(p) for p, ok in zip(missing, plain)]
-
-    def __call__(self, text: str) -> list[tuple | None]:
-        """The aligned parts of a text, in order."""
-        parts = self.parts(text)
-        if len(self.young) > self.keep:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        try:
-            return [young[p] for p in parts]
-        except KeyError:
-            pass
-        missing = []
-        for p in set(parts).difference(young):
-            if p in old:
-                young[p] = old[p]
-            else:
-                missing.append(p)
-        if missing:
-            young.update(zip(missing, self._fill(missing)))
-        out = [young[p] for p in parts]
-        for p in missing:
-            if len(p) > 48:
-                del young[p]
-        return out
+        if not chunks:
+            return []
+        texts = [" " + " ".join(c) for c in chunks]
+        data = [t.encode() for t in texts]
+        a_ids, of_a = _flat([self.a.encode_ordinary(t) for t in texts])
+        b_ids, of_b = _flat([x or [self.blank] for x in self.b.encode([t[1:] for t in texts], num_threads=1)])
+        good = np.array(self.a_tokens.give(a_ids, of_a, data)) & self.b_tokens.give(b_ids, of_b, data)
+        failed = [chunks[i] for i in np.flatnonzero(~good)]
+        if len(failed) == len(chunks):
+            return failed
+        if failed:
+            a_ids, b_ids = a_ids[np.repeat(good, of_a)], b_ids[np.repeat(good, of_b)]
+        words = [w for c, ok in zip(chunks, good.tolist()) if ok for w in c]
+        end_a, end_b = np.cumsum(self.a_tokens.sizes[a_ids]), np.cumsum(self.b_tokens.sizes[b_ids])
+        ends = np.zeros((2, end_a[-1] + 1), bool)
+        ends[0, end_a] = ends[1, end_b] = True
+        # Groups end at these tokens; words end at some of the groups.
+        at_a, at_b = np.flatnonzero(ends[1, end_a]), np.flatnonzero(ends[0, end_b])
+        n_a, n_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        last = np.searchsorted(end_a[at_a], np.cumsum([len(w.encode()) + 1 for w in words]))
+        sizes = np.stack([np.diff(x, prepend=-1) for x in (at_a[last], at_b[last], last, np.full(len(last), -1))], axis=1)
+        # The tokens of A of a group stand before those of B.
+        place_a = np.arange(len(a_ids)) + np.repeat(at_b + 1 - n_b, n_a)
+        place_b = np.arange(len(b_ids)) + np.repeat(at_a + 1, n_b)
+        ids, after = np.empty(len(a_ids) + len(b_ids), np.int64), np.full(len(a_ids) + len(b_ids), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = a_ids, b_ids
+        after[place_a[at_a]], after[place_b[at_b]] = ord("|"), ord(";")
+        digits, n = self.digits[ids], self.n_digits[ids]
+        digits[np.arange(len(ids)), n] = after
+        shown = digits[np.arange(digits.shape[1]) <= n[:, None]].tobytes()
+        cuts = np.cumsum(n + 1)[place_b[at_b[last]]].tolist()
+        self._store(words, [shown[i:j - 1] for i, j in zip([0, *cuts], cuts)], sizes, b_ids[at_b] << 32 | a_ids[at_a])
+        return failed
+
+    def _learn(self, missing: list[str]) -> None:
+        """Stores the missing words: those that may follow one another together, else each on its own."""
+        # A word that ends with white space, or holds what B reads as a blank, could join with the next one.
+        plain = [self.by_word and bool(w) and not w[-1].isspace() and "▁" not in w for w in missing]
+        failed = self._take(list(groups_of_texts([w for w, ok in zip(missing, plain) if ok], TOGETHER)))
+        failed = self._take([[w] for c in failed for w in c] + [[w] for w, ok in zip(missing, plain) if not ok])
+        bad = [w for c in failed for w in c]
+        self._store(bad, [b""] * len(bad), np.tile(np.array([0, 0, 0, 1]), (len(bad), 1)), self.links[:0])
+
+    def _starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes[:, 2], dtype=np.int64) - self.sizes[:, 2]
+
+    def _forget(self) -> None:
+        """Drops the half of the words that was not used for the longest time."""
+        kept = np.sort(np.argsort(self.used, kind="stable")[len(self.used) // 2:])
+        words = list(self.slot)
+        self.slot = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.shown = [self.shown[i] for i in kept.tolist()]
+        self.links = _spread(self.links, self._starts()[kept], self.sizes[kept, 2])
+        self.sizes, self.used = self.sizes[kept], self.used[kept]
+
+    def __call__(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(groups, sizes, links) of a blank and each text: groups as bytes, tokens of A and of B and groups, all links.
+
+        All are empty for a text that is, or that differs from the bytes of an encoding.
+        """
+        self.time += 1
+        if len(self.shown) > self.keep:
+            self._forget()
+        cuts = [self.parts(t) if t else [] for t in texts]
+        words = list(chain.from_iterable(cuts))
+        slots = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slots < 0).tolist()
+        missing = {words[i] for i in new}
+        long = [w for w in missing if len(w) > 48]
+        self._learn([w for w in missing if len(w) <= 48])
+        n_kept, n_links = len(self.shown), len(self.links)
+        self._learn(long)
+
+        slots[new] = [self.slot[words[i]] for i in new]
+        self.used[slots] = self.time
+        n = np.array([len(c) for c in cuts])
+        sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(self.sizes[slots], axis=0, dtype=np.int64)])
+        ends = np.cumsum(n)
+        sizes = sums[ends] - sums[ends - n]
+        good = sizes[:, 3] == 0
+        slots, n = slots[np.repeat(good, n)], n * good
+        links = _spread(self.links, self._starts()[slots], self.sizes[slots, 2])
+        shown, ends = list(map(self.shown.__getitem__, slots.tolist())), np.cumsum(n).tolist()
+        groups = [b";".join(shown[i:j]) for i, j in zip([0, *ends], ends)]
+
+        # Long words are not remembered.
+        for w in long:
+            del self.slot[w]
+        del self.shown[n_kept:]
+        self.sizes, self.links, self.used = self.sizes[:n_kept], self.links[:n_links], self.used[:n_kept]
+        return groups, sizes[:, :3] * good[:, None], links
 
 
 @functools.lru_cache(maxsize=1)
@@ -166,11 +236,16 @@ def unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(np.frombuffer(raw, "<i8", n)), np.frombuffer(raw, "<i8", n, 8 * n), np.frombuffer(raw, "<u4", n, 16 * n)
 
 
-def runs_of(keys: np.ndarray, docs: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, pairs, posts) for the records of one run, dealt by radix and sorted by pair, then document."""
-    bucket = keys >> 32 & (BUCKETS - 1)
-    order = np.lexsort((docs, keys, bucket))
-    keys, docs, counts, bucket = keys[order], docs[order], counts[order], bucket[order]
+def runs_of(links: np.ndarray, docs: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, pairs, posts) for the links of one run, dealt by radix and counted by pair and document."""
+    # One number to sort: the bucket, what is left of the B id, the A id, the document.
+    rest, b, a = ID_BITS - BUCKET_BITS, links >> 32, links & 0xFFFFFFFF
+    order = np.sort(((b & BUCKETS - 1) << rest | b >> BUCKET_BITS) << ID_BITS + DOC_BITS | a << DOC_BITS | docs)
+    first = np.flatnonzero(np.diff(order, prepend=-1))
+    counts, order = np.diff(np.append(first, len(order))), order[first]
+    docs, a, b = order & (1 << DOC_BITS) - 1, order >> DOC_BITS & (1 << ID_BITS) - 1, order >> ID_BITS + DOC_BITS
+    bucket = b >> rest
+    keys = ((b & (1 << rest) - 1) << BUCKET_BITS | bucket) << 32 | a
     at = np.flatnonzero(np.diff(bucket, prepend=-1))
     for start, end in zip(at, [*at[1:], len(keys)]):
         first = np.flatnonzero(np.diff(keys[start:end], prepend=-1))
@@ -214,35 +289,38 @@ def _spilled(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = aligner(a_path, b_path)
         number = TaskContext.get().partitionId() << 32
-        rows, keys, counts, n_records = [], [], [], 0
+        rows, links, docs_of, n_links, ids, texts, chars = [], [], [], 0, [], [], 0
+
+        def take() -> int:
+            groups, sizes, own = align(texts)
+            docs_of.append(np.repeat(np.arange(len(rows), len(rows) + len(texts)), sizes[:, 2]))
+            links.append(own)
+            for doc_id, shown, n in zip(ids, groups, sizes.tolist()):
+                sha = hashlib.sha256(shown).hexdigest() if shown else ""
+                rows.append((number, len(rows), doc_id, *n, sha, shown.decode() if shown and keep_groups else None))
+            return len(own)
 
         def flush() -> pa.RecordBatch:
-            sizes = [len(k) for k in keys]
             out = [r + (None, None, None) for r in rows]
-            if n_records:
-                spill = runs_of(np.concatenate(keys), np.repeat(np.arange(len(keys)), sizes), np.concatenate(counts))
-                out += [(number, None, None, None, None, None, None, None, *s) for s in spill]
+            if n_links:
+                out += [(number, None, None, None, None, None, None, None, *s)
+                        for s in runs_of(np.concatenate(links), np.concatenate(docs_of))]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                found = align(text) if text else [None]
-                total, sha, shown, own = 0, "", None, ()
-                if None not in found:
-                    groups = b";".join([v[0] for v in found])
-                    sha, shown = hashlib.sha256(groups).hexdigest(), groups.decode() if keep_groups else None
-                    total = sum([v[1] for v in found])
-                    own = chain.from_iterable([v[2] for v in found])
-                pairs, n = np.unique(np.fromiter(own, np.int64), return_counts=True)
-                rows.append((number, len(rows), doc_id, total >> 96, total >> 48 & (1 << 48) - 1, total & (1 << 48) - 1, sha, shown))
-                keys.append(pairs)
-                counts.append(n)
-                n_records += len(pairs)
-                if n_records >= RUN_RECORDS or len(rows) == RUN_DOCS:
-                    yield flush()
-                    number += 1
-                    rows, keys, counts, n_records = [], [], [], 0
+                ids.append(doc_id)
+                texts.append(text.as_py() or "")
+                chars += len(texts[-1])
+                if chars >= GROUP_CHARS or len(rows) + len(texts) == RUN_DOCS:
+                    n_links += take()
+                    ids, texts, chars = [], [], 0
+                    if n_links >= RUN_LINKS or len(rows) == RUN_DOCS:
+                        yield flush()
+                        number += 1
+                        rows, links, docs_of, n_links = [], [], [], 0
+        if texts:
+            n_links += take()
         if rows:
             yield flush()
     schema = "run long, place int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, groups string, " \
@@ -315,8 +393,8 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool
     groups_sha256 (and groups).  Offsets where a token of A and one of B end
     cut the text into groups; those two tokens are a link.
 
-    Each task spills its (pair, document) records as sorted runs, radix
-    partitioned by B id and compressed.  Heaps merge the runs of a partition,
+    Each task looks up the words of many texts at once, and spills its
+    (pair, document) records as sorted runs, radix partitioned by B id and compressed.  Heaps merge the runs of a partition,
     ``FAN_IN`` at a time, into the count of each pair; B ids come one after
     the other, so each one's highest count is known when it ends.  The runs
     then stream past the counts, and what each document gets from a

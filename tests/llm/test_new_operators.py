@@ -99,6 +99,80 @@ def test_alignment_keeps_groups_and_takes_empty_tables(spark):
     assert len(blank) == 2 and all(r["n_a"] == r["count_sum"] == 0 and r["groups_sha256"] == "" for r in blank)
 
 
+def test_words_new_to_many_texts_are_encoded_together():
+    align, calls = alignment.Aligner(A, B), []
+
+    class Counting:
+        def __init__(self, of, name):
+            self.of, self.name = of, name
+
+        def __getattr__(self, name):
+            if name == self.name:
+                calls.append(name)
+            return getattr(self.of, name)
+
+    align.a, align.b = Counting(align.a, "encode_ordinary"), Counting(align.b, "encode")
+    texts = [f"w{i} and w{i}x here" for i in range(1000)]
+    groups, sizes, links = align(texts)
+    assert calls.count("encode") <= 4 and calls.count("encode_ordinary") < 100
+    assert len(groups) == len(set(groups)) == 1000 and sizes[:, 2].sum() == len(links)
+    calls.clear()
+    assert align(texts)[0] == groups and not calls
+
+
+@pytest.mark.parametrize("keep, size", [(400_000, 1), (400_000, 99), (2, 2), (6, 1)])
+def test_odd_words_do_not_change_others_of_their_group(keep, size):
+    texts = [t or "" for _, t in ALIGN_TEXTS] + ["ﬁ ligature the quick", "the quick ▁ brown", "the " + "q" * 60, "the " + "q" * 60]
+    align = alignment.Aligner(A, B, keep=keep)
+    got = []
+    for _ in range(2):
+        for at in range(0, len(texts), size):
+            groups, sizes, links = align(texts[at:at + size])
+            assert sizes[:, 2].sum() == len(links) and len(align.shown) == len(align.slot) == len(align.sizes) == len(align.used)
+            assert align.sizes[:, 2].sum() == len(align.links) and all(len(w) <= 48 for w in align.slot)
+            got += [(*n, hashlib.sha256(g).hexdigest() if g else "") for n, g in zip(sizes.tolist(), groups)]
+    want = [(na, nb, n, sha) for _, na, nb, n, _, _, _, sha in (aligned_by_hand([(0, t)])[0][0] for t in texts)]
+    assert got == want * 2
+
+
+def test_word_that_a_model_rewrites_empties_only_its_texts():
+    class Rewriting:
+        def __init__(self, of):
+            self.of = of
+
+        def encode(self, texts, **options):
+            return self.of.encode([t.replace("ﬁ", "fi") for t in texts], **options)
+
+    texts = ["the quick brown fox", "a ﬁne day", "the fine day", "quick ﬁ", "ﬁ"]
+    align = alignment.Aligner(A, B)
+    want, _, want_links = align([t if "ﬁ" not in t else "" for t in texts])
+    align = alignment.Aligner(A, B)
+    align.b = Rewriting(align.b)
+    groups, sizes, links = align(texts)
+    assert groups == want and (sizes > 0).all(axis=1).tolist() == ["ﬁ" not in t for t in texts]
+    assert links.tolist() == want_links.tolist()
+
+
+def test_runs_count_links_by_pair_and_document():
+    random.seed(4)
+    ids = (1 << alignment.ID_BITS) - 1
+    links = [random.choice([0, 1, 63, 64, ids]) << 32 | random.choice([0, 7, ids]) for _ in range(500)]
+    docs = [random.choice([0, 5, alignment.RUN_DOCS - 1]) for _ in links]
+    got, before = {}, -1
+    for bucket, pairs, posts in alignment.runs_of(*map(alignment.np.array, (links, docs))):
+        keys, counts, more = alignment.unpack_pairs(pairs)
+        raw = zstandard.ZstdDecompressor().decompress(posts)
+        n = len(raw) // 6
+        own = list(zip(struct.unpack(f"<{n}H", raw[:2 * n]), struct.unpack(f"<{n}I", raw[2 * n:])))
+        assert bucket > before and list(keys) == sorted(set(keys.tolist())) and sum(more) == n
+        before, i = bucket, 0
+        for key, count, m in zip(keys.tolist(), counts.tolist(), more.tolist()):
+            assert (key >> 32) % alignment.BUCKETS == bucket and count == sum(c for _, c in own[i:i + m])
+            got |= {(key, d): c for d, c in own[i:i + m]}
+            i += m
+    assert got == Counter(zip(links, docs))
+
+
 def test_heap_merge_and_maxima():
     random.seed(3)
     runs, total = [], Counter()
